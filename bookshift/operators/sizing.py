@@ -1,0 +1,24 @@
+"""Checked broadcasts.
+
+A side is broadcast only when a bound on its size is proven: either it is a
+fixed-size control table (``fixed=True``, e.g. a code map of a few entries),
+or a capped count shows it has at most ``max_rows`` rows.  The check counts at
+most ``max_rows + 1`` rows, so it stays cheap on a large input.  Beyond the
+bound the DataFrame is returned unchanged and the planner (with AQE) picks a
+shuffle join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000, fixed: bool = False) -> DataFrame:
+    if fixed or row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
