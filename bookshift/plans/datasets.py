@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from bookshift.functions.scalars import case_in_lists, iff, remove_text, strip_dashes, to_int
 from bookshift.functions.temporal import add_months_keep_time, years_to_months
+from bookshift.operators.joins import like_join
 from bookshift.operators.rows import top_n_per_group
 from bookshift.plans import specs
 
@@ -114,11 +115,12 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
     lm = t["io_link_masterreference"].where(F.col("lmr_idlink_association") == _g(guids, "funder_link"))
     cm = t["io_client_masterreference"]
     rate_master = t["io_control_productratemaster"]
-    funder = (lm.join(pm.select(F.col("rmr_id").alias("f_rmr")), F.col("f_rmr") == lm.lmr_idlink_code_id)
-              .join(cm.select(F.col("cmr_id").alias("f_cmr"), "cmr_name"), F.col("f_cmr") == lm.lmr_idlink_cmr)
-              .join(rate_master, F.like(F.col("xrrm_detail"),
-                                        F.concat(F.lit(specs.RATE_MASTER_PREFIX), F.col("cmr_name")), F.lit("!")))
-              .select(F.col("lmr_idlink_code_id").alias("f_code"), F.col("cmr_name").alias("funder")))
+    links = (lm.join(pm.select(F.col("rmr_id").alias("f_rmr")), F.col("f_rmr") == lm.lmr_idlink_code_id)
+             .join(cm.select(F.col("cmr_id").alias("f_cmr"), "cmr_name"), F.col("f_cmr") == lm.lmr_idlink_cmr)
+             .select(F.col("lmr_idlink_code_id").alias("f_code"), "cmr_name"))
+    # Funder name LIKE pattern: names without wildcards join by equality (hash join).
+    funder = like_join(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
+                       "cmr_name").select("f_code", F.col("cmr_name").alias("funder"))
     dates = t["io_product_controldate"]
 
     def date_of(kind: int, name: str) -> DataFrame:
@@ -237,7 +239,7 @@ def test_cohort(t: Tables, as_at: str = "2022-12-07", start_from: str = "2022-08
     wl = t["v_c_lap_dbo_wealthx_loan"]
     base = (ls.where(F.lit(as_at).cast("date").between(F.col("startdate"), F.col("enddate"))
                      & (F.col("startdate") >= F.lit(start_from).cast("date")))
-            .join(arm, arm.ymr_idlink_foreign == ls.loan_id))
+            .join(arm, arm.ymr_idlink_foreign.cast("bigint") == ls.loan_id))
     sole = base.join(wl.where(F.col("isjointapplication") == 0).select(F.col("loanid").alias("wl_loanid")),
                      F.col("wl_loanid") == F.col("loan_id"))
     joint_pairs = joint_applicant_pairs(wl)

@@ -133,10 +133,10 @@ RATE_MASTER_PREFIX = "Direct Money\\Provisional Rate\\"
 
 # Placeholder link-type GUIDs (parameters in practice).
 DEFAULT_GUIDS = {
-    "system_link": "{00000000-0000-0000-0000-000000000001}",
-    "mobile_contact": "{00000000-0000-0000-0000-000000000002}",
-    "email_contact": "{00000000-0000-0000-0000-000000000003}",
-    "loan_balance": "{00000000-0000-0000-0000-000000000004}",
-    "funder_link": "{00000000-0000-0000-0000-000000000005}",
+    "system_link": "guid-system-link",
+    "mobile_contact": "guid-mobile-contact",
+    "email_contact": "guid-email-contact",
+    "loan_balance": "guid-loan-balance",
+    "funder_link": "guid-funder-link",
 }
 ZERO_GUID = "00000000-0000-0000-0000-000000000000"
