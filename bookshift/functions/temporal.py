@@ -25,21 +25,24 @@ def tz_stamp(c: str | Column, zone: str = DEFAULT_ZONE) -> Column:
     the spring gap (a wall time that never occurs) the wall time is kept and
     the standard offset is used.  Null stays null.
 
-    The offset is the difference between the wall time and its UTC instant.
-    Spark resolves an ambiguous wall time to the earlier (daylight) instant;
-    the wall time is ambiguous exactly when the same wall time comes back one
-    hour later, and then one hour is taken off the offset.
+    The wall time's microseconds are carried into a TIMESTAMP unchanged and
+    shifted with ``to_utc_timestamp`` (the zone is resolved once per task,
+    not per row); the offset is the shift.  An ambiguous wall time resolves
+    to the earlier (daylight) instant; it is ambiguous exactly when the same
+    wall time comes back one hour later, and then one hour is taken off.
+    No step reads the session time zone.
     """
     ts = _c(c).cast("timestamp_ntz")
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
-    again = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc + F.expr("INTERVAL 1 HOUR")) == ts
-    minutes = F.timestamp_diff("MINUTE", utc, ts) - F.when(again, F.lit(60)).otherwise(F.lit(0))
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    wall = F.timestamp_micros(micros)
+    instant = F.to_utc_timestamp(wall, zone)
+    again = F.from_utc_timestamp(instant + F.expr("INTERVAL 1 HOUR"), zone) == wall
+    minutes = ((micros - F.unix_micros(instant)) / 60_000_000).cast("bigint") - F.when(again, 60).otherwise(0)
     sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
     hh = F.lpad((F.abs(minutes) / 60).cast("int").cast("string"), 2, "0")
     mm = F.lpad((F.abs(minutes) % 60).cast("int").cast("string"), 2, "0")
     text = F.substring(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), 1, 19)
-    return F.when(ts.isNull(), F.lit(None).cast("string")).otherwise(
-        F.concat(text, sign, hh, F.lit(":"), mm))
+    return F.concat(text, sign, hh, F.lit(":"), mm)
 
 
 def parse_iso(c: str | Column) -> Column:

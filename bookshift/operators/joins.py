@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.operators.sizing import broadcast_if_bounded
 
 
 def merge_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
@@ -78,22 +77,39 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
 
     A pattern without wildcard (or escape) characters matches only its own
     text, so those right rows are joined by equality: a hash join.  Only
-    the right rows whose names hold a wildcard need a pattern test; they are
-    matched with a nested-loop join against a broadcast of just those rows
-    (checked to be small).  ``exact=True`` asserts there are none.
+    the right rows whose names hold a wildcard need a pattern test, done as
+    a nested-loop join; the planner broadcasts whichever side its size
+    estimate (and AQE's measured size) shows to be small.  ``exact=True``
+    asserts there are no wildcard names.  Use it on distinct names and join
+    the matches back by equality when the name side is large (see
+    ``like_matches``).
     """
     if how != "inner":
         raise ValueError("like_join supports inner joins")
-    plain = right.where(~right[right_col].rlike("[%_!]"))
+    wild_name = right[right_col].rlike("[%_!]")
+    plain = right.where(~wild_name)
     by_equality = left.join(plain, left[left_col] == F.concat(F.lit(prefix), plain[right_col]), "inner")
     if exact:
         return by_equality
-    wild = broadcast_if_bounded(right.where(right[right_col].rlike("[%_!]")), 100_000)
+    wild = right.where(wild_name)
     by_pattern = left.join(wild, F.like(left[left_col], F.concat(F.lit(prefix), wild[right_col]),
                                         F.lit("!")), "inner")
     return by_equality.unionByName(by_pattern)
 
 
+def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: str, name_col: str) -> DataFrame:
+    """``rows`` joined to every ``details`` row whose text is LIKE prefix + name.
+
+    The pattern test runs once per distinct name (a small set: funder or
+    product names), and the matches are joined back to the rows by
+    equality, so the large side only takes part in a hash join.
+    Multiplicities are those of the direct LIKE join.
+    """
+    names = rows.select(F.col(name_col).alias("__name")).distinct()
+    matched = like_join(details, detail_col, names, prefix, "__name")
+    return rows.join(matched, rows[name_col] == matched["__name"]).drop("__name")
+
+
 def join_by_seq(left: DataFrame, right: DataFrame, seq: str = "seq", how: str = "inner",
                 suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Attach two row sets that describe the same requests.

@@ -60,10 +60,6 @@ def _order_struct(order_by: Sequence[str | Column]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
 
 
-def _element(df: DataFrame, fields: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{f}`").alias(f) for f in sorted(fields)])
-
-
 def _all_null(x: Column, fields: Sequence[str], nan_text: bool, types: dict) -> Column:
     conds = []
     for f in fields:
@@ -78,31 +74,31 @@ def _all_null(x: Column, fields: Sequence[str], nan_text: bool, types: dict) ->
     return out
 
 
-def object_agg(df: DataFrame, fs: FieldSet, order: Column) -> Column:
-    """Aggregate expression for an object field set."""
-    first = F.min_by(_element(df, fs.fields), order)
+def _prune_object(x: Column, fs: FieldSet, types: dict) -> Column:
+    """P5: an object whose fields are all null becomes null."""
     if not fs.prune:
-        return first
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return F.when(_all_null(first, fs.fields, False, types), F.lit(None)).otherwise(first)
-
+        return x
+    return F.when(_all_null(x, fs.fields, False, types), F.lit(None)).otherwise(x)
 
-def array_agg(df: DataFrame, fs: FieldSet, order: Column) -> Column:
-    """Aggregate expression for an array field set.
 
-    ``collect_list`` skips null values, so each element is wrapped with its
-    order key (never null) and unwrapped after sorting.
-    """
-    wrapped = F.collect_list(F.struct(order.alias("o"), _element(df, fs.fields).alias("e")))
-    elems = F.transform(F.array_sort(wrapped), lambda w: w.getField("e"))
+def _prune_array(elems: Column, fs: FieldSet, types: dict) -> Column:
+    """All-null (or ``"nan"``) elements become null; exactly ``[null]`` becomes null."""
     if not fs.prune:
         return elems
-    types = {f.name: f.dataType for f in df.schema.fields}
     pruned = F.transform(elems, lambda e: F.when(_all_null(e, fs.fields, True, types), F.lit(None))
                          .otherwise(e))
     return F.when((F.size(pruned) == 1) & pruned.getItem(0).isNull(), F.lit(None)).otherwise(pruned)
 
 
+def _project(rec: Column, fields: Sequence[str]) -> Column:
+    return F.struct(*[rec.getField(f).alias(f) for f in sorted(fields)])
+
+
+def _projector(fields: Sequence[str]):
+    """One-argument lambda for ``transform`` (a second argument would be the index)."""
+    return lambda x: _project(x, fields)
+
+
 def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
                     order_by: Sequence[str | Column], null_keys: str = "drop",
                     copies_col: str | None = "copies") -> DataFrame:
@@ -110,18 +106,49 @@ def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[Fie
 
     Output columns are the keys in the given order, then the field sets in
     name order, then ``copies``.
+
+    Plan: when any field set is an array, every record of the entity is
+    needed anyway, so ONE ``collect_list`` of ``(order, all fields)`` is
+    built (an object hash aggregate with a partial phase), sorted once, and
+    each object field set takes the first record while each array field set
+    projects all of them.  With objects only, ONE ``min_by`` over the
+    combined record keeps just the first record per entity.  Either way the
+    entity is shuffled once and no field set is joined back.
     """
     if null_keys not in ("drop", "keep"):
         raise ValueError("null_keys must be 'drop' or 'keep'")
     staged = df.where(_keys_not_null(keys)) if null_keys == "drop" else df
+    types = {f.name: f.dataType for f in staged.schema.fields}
     order = _order_struct(order_by)
-    aggs = []
-    for fs in sorted(field_sets, key=lambda f: f.name):
-        agg = array_agg(staged, fs, order) if fs.array else object_agg(staged, fs, order)
-        aggs.append(agg.alias(fs.name))
+    fields = sorted({f for fs in field_sets for f in fs.fields})
+    record = F.struct(*[F.col(f"`{f}`").alias(f) for f in fields])
+    group_cols = [F.col(f"`{k}`") for k in keys]
+    sets = sorted(field_sets, key=lambda f: f.name)
+    has_array = any(fs.array for fs in sets)
+
+    if has_array:
+        grouped = staged.groupBy(*group_cols).agg(
+            F.collect_list(F.struct(order.alias("o"), record.alias("r"))).alias("__recs"))
+        grouped = grouped.select(*[F.col(f"`{k}`") for k in keys],
+                                 F.transform(F.array_sort("__recs"), lambda x: x.getField("r")).alias("__recs"))
+        first = F.col("__recs").getItem(0)
+        copies = F.size("__recs").cast("bigint")
+    else:
+        grouped = staged.groupBy(*group_cols).agg(F.min_by(record, order).alias("__first"),
+                                                  F.count(F.lit(1)).alias("__n"))
+        first = F.col("__first")
+        copies = F.col("__n")
+
+    outs = []
+    for fs in sets:
+        if fs.array:
+            elems = F.transform(F.col("__recs"), _projector(fs.fields))
+            outs.append(_prune_array(elems, fs, types).alias(fs.name))
+        else:
+            outs.append(_prune_object(_project(first, fs.fields), fs, types).alias(fs.name))
     if copies_col:
-        aggs.append(F.count(F.lit(1)).alias(copies_col))
-    return staged.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
+        outs.append(copies.alias(copies_col))
+    return grouped.select(*[F.col(f"`{k}`") for k in keys], *outs)
 
 
 def nest_object(df: DataFrame, keys: Sequence[str], name: str, fields: Sequence[str],

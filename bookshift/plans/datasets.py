@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from bookshift.functions.scalars import case_in_lists, iff, remove_text, strip_dashes, to_int
 from bookshift.functions.temporal import add_months_keep_time, years_to_months
-from bookshift.operators.joins import like_join
+from bookshift.operators.joins import like_matches
 from bookshift.operators.rows import top_n_per_group
 from bookshift.plans import specs
 
@@ -119,8 +119,8 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
              .join(cm.select(F.col("cmr_id").alias("f_cmr"), "cmr_name"), F.col("f_cmr") == lm.lmr_idlink_cmr)
              .select(F.col("lmr_idlink_code_id").alias("f_code"), "cmr_name"))
     # Funder name LIKE pattern: names without wildcards join by equality (hash join).
-    funder = like_join(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
-                       "cmr_name").select("f_code", F.col("cmr_name").alias("funder"))
+    funder = like_matches(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
+                          "cmr_name").select("f_code", F.col("cmr_name").alias("funder"))
     dates = t["io_product_controldate"]
 
     def date_of(kind: int, name: str) -> DataFrame:

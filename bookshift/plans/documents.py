@@ -135,12 +135,19 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
     """K4: fee key lookup (exact match), channel default, zone stamps,
     renames, then ``fees`` (array) and ``transactionDetails`` (object); one
     document per key (P8 off: ``copies`` is 1)."""
-    df = staged.withColumn("predefinedFeeKey", lookup("fee_type", fee_keys, strict=strict, what="fee type"))
+    df = staged
+    if null_keys == "drop":
+        # The stamped keys are null exactly when their source columns are, so
+        # the null-key rule is applied to the source columns: a filter on the
+        # stamped text would be pushed below the stamp and computed twice.
+        raw_keys = [k for k, v in specs.DISBURSEMENT_RENAMES.items() if v in specs.DISBURSEMENT_KEYS]
+        df = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in raw_keys)))
+    df = df.withColumn("predefinedFeeKey", lookup("fee_type", fee_keys, strict=strict, what="fee type"))
     df = with_defaults(df, defaults)
     df = stamp_columns(df, specs.DISBURSEMENT_DATETIME_COLS, zone)
     df = rename_existing(df, specs.DISBURSEMENT_RENAMES).drop("fee_type")
     df = normalise_nulls(df)
-    nested = nest_field_sets(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, null_keys)
+    nested = nest_field_sets(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep")
     return nested.withColumn("copies", F.lit(1).cast("bigint"))
 
 
