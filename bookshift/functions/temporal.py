@@ -33,7 +33,7 @@ def tz_stamp(c: str | Column, zone: str = DEFAULT_ZONE) -> Column:
     No step reads the session time zone.
     """
     ts = _c(c).cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    micros = wall_micros(ts)
     wall = F.timestamp_micros(micros)
     instant = F.to_utc_timestamp(wall, zone)
     again = F.from_utc_timestamp(instant + F.expr("INTERVAL 1 HOUR"), zone) == wall
@@ -45,6 +45,20 @@ def tz_stamp(c: str | Column, zone: str = DEFAULT_ZONE) -> Column:
     return F.concat(text, sign, hh, F.lit(":"), mm)
 
 
+def wall_micros(c: str | Column) -> Column:
+    """Microseconds of a wall-clock time counted as if it were UTC.
+
+    Built from the date and time fields, which read the same in every session
+    zone.  (``timestamp_diff`` on wall-clock values passes through the session
+    zone and moves a wall time that falls in that zone's spring gap.)
+    """
+    ts = _c(c).cast("timestamp_ntz")
+    seconds = F.extract(F.lit("SECOND"), ts)  # seconds with microsecond fraction
+    return (F.unix_date(ts.cast("date")).cast("bigint") * 86_400_000_000
+            + F.hour(ts).cast("bigint") * 3_600_000_000 + F.minute(ts).cast("bigint") * 60_000_000
+            + (seconds * 1_000_000).cast("bigint"))
+
+
 def parse_iso(c: str | Column) -> Column:
     """ISO text -> TIMESTAMP_NTZ."""
     return _c(c).cast("timestamp_ntz")
