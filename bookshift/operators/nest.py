@@ -187,3 +187,60 @@ def duplicate_entities(df: DataFrame, keys: Sequence[str], min_rows: int = 2) ->
     """Q4: entities with more than one staged row (each would be repeated)."""
     return (df.where(_keys_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("staged_rows"))
             .where(F.col("staged_rows") >= min_rows))
+
+
+def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
+                          order_by: Sequence[str | Column], max_elements: int,
+                          copies_col: str = "copies", max_broadcast_keys: int = 1_000_000
+                          ) -> tuple[DataFrame, DataFrame]:
+    """``nest_field_sets`` that never collects a large entity into one row.
+
+    Entities with at most ``max_elements`` staged rows are nested as usual.
+    A larger ("hot") entity still gets one document row with its object
+    field sets (partial ``min_by``) and ``copies``, but its array field sets
+    are left null and ``elements_split`` is true; its elements come back in
+    the second DataFrame as ``(keys..., field_set, order, element)`` rows,
+    with ``element`` the element's JSON text (``null`` for a pruned element)
+    and ``order`` the staged-order struct, so a sender can stream them in
+    order.  No step holds a hot entity's records in one task or row.
+
+    Row counts per entity come from a partial aggregate.  The hot-key list
+    has at most ``rows / max_elements`` entries; it is broadcast when a
+    capped count shows it under ``max_broadcast_keys``, otherwise the
+    semi/anti joins shuffle on the keys, the same partitioning the
+    nesting uses.  Rows with a null key are dropped (P2).
+    """
+    from bookshift.operators.sizing import broadcast_if_bounded
+
+    staged = df.where(_keys_not_null(keys))
+    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = broadcast_if_bounded(counts.where(F.col("__n") > max_elements).select(*keys), max_broadcast_keys)
+    small_rows = staged.join(hot, list(keys), "left_anti")
+    hot_rows = staged.join(hot, list(keys), "left_semi")
+
+    docs_small = nest_field_sets(small_rows, keys, field_sets, order_by, "keep", copies_col)
+    objects = [fs for fs in field_sets if not fs.array]
+    arrays = [fs for fs in field_sets if fs.array]
+    if objects:
+        docs_hot = nest_field_sets(hot_rows, keys, objects, order_by, "keep", copies_col)
+    else:
+        docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col))
+    docs_hot = docs_hot.withColumns({fs.name: F.lit(None).cast(docs_small.schema[fs.name].dataType)
+                                     for fs in arrays})
+    docs = (docs_small.withColumn("elements_split", F.lit(False))
+            .unionByName(docs_hot.select(*docs_small.columns).withColumn("elements_split", F.lit(True))))
+
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    order = _order_struct(order_by)
+    parts = []
+    for fs in arrays:
+        elem = F.struct(*[F.col(f"`{f}`").alias(f) for f in sorted(fs.fields)])
+        if fs.prune:
+            elem = F.when(_all_null(elem, fs.fields, True, types), F.lit(None)).otherwise(elem)
+        parts.append(hot_rows.select(*[F.col(f"`{k}`") for k in keys], F.lit(fs.name).alias("field_set"),
+                                     order.alias("order"),
+                                     F.coalesce(F.to_json(elem), F.lit("null")).alias("element")))
+    elements = parts[0]
+    for p in parts[1:]:
+        elements = elements.unionByName(p)
+    return docs, elements

@@ -1300,3 +1300,47 @@ def q_loan_payload(spark, sf):
 
 def loan_payloads(spark, sf):
     return documents.payloads(_loan_docs(spark, sf))
+
+
+# =============================================================================
+# Hot-entity split of the nesting (scale path)
+# =============================================================================
+
+_SPLIT_MAX = 4
+
+
+def _split(spark, sf):
+    l = table(spark, sf, "lineitem")
+    sets = [FieldSet("lines", ["l_linenumber", "l_partkey"], array=True),
+            FieldSet("flags", ["l_returnflag", "l_linestatus"])]
+    return nest.nest_field_sets_split(l, ["l_orderkey"], sets, LSEQ[1:], _SPLIT_MAX)
+
+
+@query("nest_split_documents", f"""
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                                        ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn,
+                  COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS copies, max(n) > {_SPLIT_MAX} AS elements_split,
+       CASE WHEN max(n) > {_SPLIT_MAX} THEN NULL ELSE CAST(COUNT(*) AS BIGINT) END AS n_lines,
+       max(CASE WHEN rn = 1 THEN l_returnflag || l_linestatus END) AS first_flags
+FROM e GROUP BY l_orderkey
+""")
+def q_nest_split_documents(spark, sf):
+    docs, _ = _split(spark, sf)
+    return docs.select("l_orderkey", "copies", "elements_split",
+                       F.when(F.col("lines").isNull(), F.lit(None)).otherwise(F.size("lines")).cast("bigint")
+                       .alias("n_lines"),
+                       F.concat("flags.l_returnflag", "flags.l_linestatus").alias("first_flags"))
+
+
+@query("nest_split_elements", f"""
+WITH e AS (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+SELECT l_orderkey, 'lines' AS field_set, l_linenumber, l_partkey, l_suppkey,
+       '{{"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || '}}'
+       AS element
+FROM e WHERE n > {_SPLIT_MAX}
+""")
+def q_nest_split_elements(spark, sf):
+    _, elements = _split(spark, sf)
+    return elements.select("l_orderkey", "field_set", F.col("order.o0").alias("l_linenumber"),
+                           F.col("order.o1").alias("l_partkey"), F.col("order.o2").alias("l_suppkey"), "element")

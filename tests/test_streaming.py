@@ -1,0 +1,40 @@
+import datetime as dt
+import json
+import tempfile
+
+from pyspark.sql import functions as F
+
+from bookshift.operators import requests
+from bookshift.plans import documents
+from bookshift.streaming.handover import handover_stream
+
+SCHEMA = ("loanid string, value_date timestamp_ntz, booking_date timestamp_ntz, "
+          "first_repayment_date timestamp_ntz, fee_type string, amount double")
+
+
+def _build(batch):
+    docs = documents.disbursement_documents(batch, order_by=["predefinedFeeKey", "amount"])
+    return requests.disburse_requests(documents.payloads(docs), "payload")
+
+
+def test_handover_writes_one_request_per_document_per_batch(spark):
+    src = tempfile.mkdtemp(prefix="bookshift-src-")
+    sink = tempfile.mkdtemp(prefix="bookshift-sink-")
+    ts = dt.datetime(2022, 12, 7)
+    rows = [("7", ts, ts, dt.datetime(2023, 1, 7), "Brokerage Fee", 10.0),
+            ("7", ts, ts, dt.datetime(2023, 1, 7), "Establishment Fee", 5.0),
+            ("8", ts, ts, dt.datetime(2023, 1, 7), "Transaction Fees", 1.0)]
+    spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    q = handover_stream(stream, _build, sink, name="test_handover",
+                        checkpoint_location=tempfile.mkdtemp(prefix="bookshift-sckpt-"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(sink)
+    got = {r.request_id: r for r in out.collect()}
+    assert set(got) == {"7", "8"}
+    assert got["7"].url.endswith("/loans/7/disbursement-transactions")
+    body = json.loads(got["7"].body)
+    assert [f["predefinedFeeKey"] for f in body["fees"]] == ["fee-key-brokerage", "fee-key-establishment"]
+    assert body["valueDate"] == "2022-12-07T00:00:00+11:00"
+    assert body["transactionDetails"] == {"transactionChannelId": "settlement"}
+    assert out.select(F.countDistinct("batch_id")).first()[0] == 1
