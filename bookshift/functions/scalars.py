@@ -21,11 +21,11 @@ def _c(c: str | Column) -> Column:
 
 def to_int(c: str | Column, lenient: bool = False) -> Column:
     """Text -> INT.  ANSI mode fails on text such as ``''``; ``lenient`` gives null."""
-    return F.try_cast(_c(c), "int") if lenient else _c(c).cast("int")
+    return _c(c).try_cast("int") if lenient else _c(c).cast("int")
 
 
 def to_bigint(c: str | Column, lenient: bool = False) -> Column:
-    return F.try_cast(_c(c), "bigint") if lenient else _c(c).cast("bigint")
+    return _c(c).try_cast("bigint") if lenient else _c(c).cast("bigint")
 
 
 def to_date(c: str | Column) -> Column:
@@ -64,6 +64,11 @@ def quote_id(c: str | Column) -> Column:
     return F.concat(F.lit("'"), _c(c).cast("string"), F.lit("'"))
 
 
+def basic_auth(user: str | Column, password: str | Column) -> Column:
+    """``base64('user:password')`` for an Authorization header column."""
+    return F.base64(F.concat_ws(":", _c(user), _c(password)).cast("binary"))
+
+
 # -- conditionals (S9-S11) -----------------------------------------------------
 
 def case_in_lists(c: str | Column, cases: Sequence[tuple[Sequence, object]]) -> Column:

@@ -100,6 +100,25 @@ def response_summary(requests: DataFrame, responses: DataFrame, body_schema: str
     return out
 
 
+def split_responses(responses: DataFrame, ok_codes: tuple[int, ...] = (200, 201, 204)
+                    ) -> tuple[DataFrame, DataFrame]:
+    """(answered, failed): failed reads go to their own output with the
+    reason phrase instead of being flattened into the entity data (A5)."""
+    ok = F.col("status_code").isin(list(ok_codes))
+    failed = responses.where(~ok | F.col("status_code").isNull()).withColumn(
+        "status", http_reason("status_code"))
+    return responses.where(ok), failed
+
+
+def union_flattened(*frames: DataFrame) -> DataFrame:
+    """Row-concatenate flattened answers whose columns differ (U3); missing
+    columns become null."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def outcome_messages(responses: DataFrame, id_col: str, entity: str, success_code: int = 204,
                      success_text: str = " is deleted") -> DataFrame:
     """One message per response (A14): ``'Client 7 is deleted'`` on success,

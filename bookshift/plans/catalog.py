@@ -1344,3 +1344,59 @@ def q_nest_split_elements(spark, sf):
     _, elements = _split(spark, sf)
     return elements.select("l_orderkey", "field_set", F.col("order.o0").alias("l_linenumber"),
                            F.col("order.o1").alias("l_partkey"), F.col("order.o2").alias("l_suppkey"), "element")
+
+
+# =============================================================================
+# Failed reads, differing response shapes, lenient casts, auth text
+# =============================================================================
+
+
+@query("failed_responses", f"""
+SELECT CAST(event_id AS VARCHAR) AS request_id, {_STATUS_SQL} AS status_code,
+       {_REASON_SQL.format(c=_STATUS_SQL)} AS status, props AS body
+FROM events WHERE {_STATUS_SQL} NOT IN (200, 201, 204)
+""")
+def q_failed_responses(spark, sf):
+    _, failed = requests.split_responses(_responses(spark, sf).select("request_id", "status_code", "body"))
+    return failed.select("request_id", "status_code", "status", "body")
+
+
+@query("response_union", f"""
+SELECT event_id AS seq, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS BIGINT) AS user_id
+FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT event_id AS seq, CAST(json_extract(props, '$.k') AS BIGINT) AS k, user_id
+FROM events WHERE event_type = 'view'
+""")
+def q_response_union(spark, sf):
+    e = table(spark, sf, "events")
+    clicks = jsonio.flatten_json(e.where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("seq"), F.from_json("props", "k bigint").alias("b")), "b", keep=["seq"])
+    views = jsonio.flatten_json(e.where(F.col("event_type") == "view").select(
+        F.col("event_id").alias("seq"), F.from_json(F.concat(F.lit('{"user_id":'), F.col("user_id").cast("string"),
+                                                             F.lit(',"k":'), F.get_json_object("props", "$.k"),
+                                                             F.lit("}")), "k bigint, user_id bigint").alias("b")),
+        "b", keep=["seq"])
+    return requests.union_flattened(clicks, views)
+
+
+@query("scalar_casts_lenient", """
+SELECT c_custkey, TRY_CAST(c_name AS INTEGER) AS name_as_int, TRY_CAST(substr(c_name, 10) AS INTEGER) AS digits,
+       CAST('1998-06-30T10:' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || ':00' AS TIMESTAMP) AS parsed
+FROM customer
+""")
+def q_scalar_casts_lenient(spark, sf):
+    c = table(spark, sf, "customer")
+    iso = F.concat(F.lit("1998-06-30T10:"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit(":00"))
+    return c.select("c_custkey", scalars.to_int("c_name", lenient=True).alias("name_as_int"),
+                    scalars.to_int(F.substring("c_name", 10, 100), lenient=True).alias("digits"),
+                    temporal.parse_iso(iso).alias("parsed"))
+
+
+@query("scalar_base64", """
+SELECT c_custkey, to_base64(encode(c_name || ':' || CAST(c_custkey AS VARCHAR))) AS auth
+FROM customer
+""")
+def q_scalar_base64(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_custkey", scalars.basic_auth(F.col("c_name"), F.col("c_custkey").cast("string")).alias("auth"))
