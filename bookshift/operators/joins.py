@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bookshift.operators.sizing import broadcast_if_bounded
+
 
 
 def merge_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
@@ -69,7 +71,7 @@ def role_join(base: DataFrame, base_key: str, table: DataFrame, table_key: str,
 
 
 def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, right_col: str,
-              how: str = "inner", exact: bool = False) -> DataFrame:
+              how: str = "inner", exact: bool = False, max_wild_names: int = 100_000) -> DataFrame:
     """Inner join where ``left_col LIKE concat(prefix, right_col)``.
 
     The escape character is ``!`` so a backslash in the prefix is literal;
@@ -78,8 +80,8 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
     A pattern without wildcard (or escape) characters matches only its own
     text, so those right rows are joined by equality: a hash join.  Only
     the right rows whose names hold a wildcard need a pattern test, done as
-    a nested-loop join; the planner broadcasts whichever side its size
-    estimate (and AQE's measured size) shows to be small.  ``exact=True``
+    a nested-loop join against a broadcast of those rows (at most
+    ``max_wild_names``, checked).  ``exact=True``
     asserts there are no wildcard names.  Use it on distinct names and join
     the matches back by equality when the name side is large (see
     ``like_matches``).
@@ -91,7 +93,10 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
     by_equality = left.join(plain, left[left_col] == F.concat(F.lit(prefix), plain[right_col]), "inner")
     if exact:
         return by_equality
-    wild = right.where(wild_name)
+    # Wildcard names are rare (the distinct names of a control table); they
+    # are broadcast after a capped count proves them small, so the pattern
+    # test is a broadcast nested-loop join and never a cartesian product.
+    wild = broadcast_if_bounded(right.where(wild_name), max_wild_names)
     by_pattern = left.join(wild, F.like(left[left_col], F.concat(F.lit(prefix), wild[right_col]),
                                         F.lit("!")), "inner")
     return by_equality.unionByName(by_pattern)

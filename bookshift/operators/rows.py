@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bookshift.session import checkpoint_dir
+
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
@@ -63,6 +65,7 @@ def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq", star
     table, whose size is the partition count, is broadcast.
     """
     spark = df.sparkSession
+    checkpoint_dir(spark)  # the cluster's shared folder; a local one only when none is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
               .withColumn("__pid", F.spark_partition_id())

@@ -143,19 +143,23 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
             .select(F.col("kpd_idlink_code").alias("freq_code"),
                     case_in_lists("xtkm_iduser", specs.TASK_USERS_FREQUENCY).alias("payment_frequency"),
                     F.col("kpd_daystart").alias("recurring_repayment_day")))
+    cbd = t["io_client_bankdetail"].select("cbd_id", "cbd_accountname", "cbd_accountbsbno", "cbd_accountnumber")
+    # The bank account hangs off the scheduled transfer, so it is joined here,
+    # before the loan join: the same rows and multiplicities as joining it
+    # last, without re-shuffling the wide loan rows on the account key.
     sched = (tp.join(tm.where(F.col("xtkm_iduser").isin(specs.TASK_USERS_SCHEDULED)),
                      F.col("xtkm_id") == F.col("kpd_idlink_xtkm"))
              .join(plt, plt.rdd_idlink_kpd == tp.kpd_id)
              .select(F.col("kpd_idlink_code").alias("sched_code"), "rdd_idlink_cbd",
                      F.col("kpd_datenext").alias("next_repayment_due_date"),
-                     F.col("rdd_processamount").alias("repayment_amount")))
+                     F.col("rdd_processamount").alias("repayment_amount"))
+             .join(cbd, F.col("cbd_id") == F.col("rdd_idlink_cbd"), "left"))
     oneoff = (tp.join(tm.where(F.col("xtkm_iduser") == specs.TASK_USER_ONE_OFF),
                       F.col("xtkm_id") == F.col("kpd_idlink_xtkm"))
               .join(plt, plt.rdd_idlink_kpd == tp.kpd_id)
               .select(F.col("kpd_idlink_code").alias("oneoff_code"),
                       F.col("kpd_datenext").alias("adhoc_repayment_date"),
                       F.col("rdd_processamount").alias("adhoc_repayment_amount")))
-    cbd = t["io_client_bankdetail"]
     armnet = F.col("ymr_idlink_armnet")
     j = (km.join(pm, pm.rmr_id == armnet)
          .join(pcb, pcb.rcb_idlink_rmr == armnet)
@@ -169,8 +173,7 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
          .join(status, status.xsu_id == pm.rmr_idlink_xsu)
          .join(freq, F.col("freq_code") == armnet, "left")
          .join(sched, F.col("sched_code") == armnet, "left")
-         .join(oneoff, F.col("oneoff_code") == armnet, "left")
-         .join(cbd, cbd.cbd_id == F.col("rdd_idlink_cbd"), "left"))
+         .join(oneoff, F.col("oneoff_code") == armnet, "left"))
     return j.select(
         to_int("ymr_idlink_foreign").alias("loanid"), "funder", "approved_date", "interest_rate", "loan_term",
         F.col("rcb_currentvalue").alias("loan_amount"), "payment_frequency", "recurring_repayment_day",

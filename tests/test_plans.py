@@ -40,3 +40,16 @@ def test_filter_and_projection_reach_the_scan(spark):
 def test_top_n_uses_window_group_limit(spark):
     plan = _plan(entry.queries()["topn_per_group"](spark, SF))
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_cartesian_when_nothing_can_be_broadcast(spark, name):
+    """At 100 TB the loan-sized tables exceed any broadcast threshold; the
+    plans must then still be shuffle joins, never a cartesian product."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(entry.queries()[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "CartesianProduct" not in plan
