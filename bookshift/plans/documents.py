@@ -9,6 +9,7 @@ applies renames, defaults and date stamps, and nests it with one
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +18,26 @@ from bookshift.functions.jsonio import JSON_OPTS, payload_json, sorted_struct
 from bookshift.functions.scalars import date_text, lookup, normalise_nulls
 from bookshift.functions.temporal import tz_stamp
 from bookshift.operators.joins import merge_chain, merge_null_safe
-from bookshift.operators.nest import nest_field_sets
+from bookshift.operators.nest import FieldSet, nest_field_sets, nest_field_sets_split
 from bookshift.operators.rows import keep_first
 from bookshift.plans import specs
 
 
+class SplitDocuments(NamedTuple):
+    """Documents with hot entities' array elements split out (see
+    ``nest_field_sets_split``): ``documents`` has every entity (``elements_split``
+    marks the hot ones), ``elements`` the hot entities' array elements."""
+    documents: DataFrame
+    elements: DataFrame
+
+
+def _nest(df: DataFrame, keys, field_sets, order_by, null_keys: str, max_elements: int | None):
+    if max_elements is None:
+        return nest_field_sets(df, keys, field_sets, order_by, null_keys)
+    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements)
+    return SplitDocuments(docs, elements)
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add constant columns (B5); ``None`` becomes a typed null double."""
     cols = {}
@@ -43,10 +59,10 @@ def rename_existing(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 def payloads(nested: DataFrame, id_col: str = "id", copies_col: str = "copies",
              exclude: Sequence[str] = ()) -> DataFrame:
     """``(id, copies, payload)``: the document without ``copies`` as JSON."""
-    skip = [copies_col, *exclude]
+    skip = [copies_col, "elements_split", *exclude]
     body_cols = sorted(c for c in nested.columns if c not in skip)
     body = F.struct(*[F.col(f"`{c}`") for c in body_cols])
-    keep = [F.col(id_col).alias("id")] + ([F.col(copies_col)] if copies_col in nested.columns else [])
+    keep = [F.col(id_col).alias("id")] + [F.col(c) for c in (copies_col, "elements_split") if c in nested.columns]
     return nested.select(*keep, F.to_json(body, JSON_OPTS).alias("payload"))
 
 
@@ -59,40 +75,49 @@ def client_staged(applicants: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
-                     null_keys: str = "drop", null_date_text: str | None = "None") -> DataFrame:
+                     null_keys: str = "drop", null_date_text: str | None = "None",
+                     max_elements: int | None = None):
     """K1: one client document per distinct client key tuple.
 
     Birth date becomes text before grouping, so a null date reads ``None``
     and is kept (P11); other null keys drop the row (P2, see
-    ``quarantine_null_keys``).
+    ``quarantine_null_keys``).  With ``max_elements`` the result is a
+    ``SplitDocuments``: clients with more staged rows are not collected
+    into one row.
     """
     master = rename_existing(staged, specs.CLIENT_RENAMES)
     master = master.withColumn("birthDate", date_text("birthDate", null_date_text))
     master = normalise_nulls(master)
-    return nest_field_sets(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys)
+    return _nest(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys, max_elements)
 
 
 # -- K2 --------------------------------------------------------------------------
 
 def group_documents(clients_fetched: DataFrame, role_keys: Mapping[str, str] = specs.DEFAULT_ROLE_KEYS,
-                    order_by: Sequence[str | Column] = ("seq",), strict: bool = True) -> DataFrame:
+                    order_by: Sequence[str | Column] = ("seq",), strict: bool = True,
+                    max_elements: int | None = None):
     """K2: one group per loan: ``groupName`` and ``id`` (both the loan id) and
     ``groupMembers`` = every member ``{clientKey, roles: [{groupRoleNameKey}]}``
     in staged order, unpruned.
 
     ``clients_fetched`` has ``loanid``, ``encodedKey`` (the client's API key)
     and ``application_role``.  An unknown role fails in strict mode (P13).
+    With ``max_elements`` the result is a ``SplitDocuments``.
     """
     role_key = lookup("application_role", role_keys, strict=strict, lower=True, what="role")
-    member = F.struct(F.col("encodedKey").alias("clientKey"),
-                      F.array(F.struct(role_key.alias("groupRoleNameKey"))).alias("roles"))
-    order = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order_by)])
-    members = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), member.alias("m")))),
-                          lambda x: x.getField("m"))
-    return (clients_fetched.where(F.col("loanid").isNotNull())
-            .groupBy(F.col("loanid").alias("id"))
-            .agg(members.alias("groupMembers"))
-            .select(F.col("id").alias("groupName"), "id", "groupMembers"))
+    members = clients_fetched.select(
+        "*", F.col("encodedKey").alias("clientKey"),
+        F.array(F.struct(role_key.alias("groupRoleNameKey"))).alias("roles"))
+    sets = [FieldSet("groupMembers", ["clientKey", "roles"], array=True, prune=False)]
+    nested = _nest(members, ["loanid"], sets, order_by, "drop", max_elements)
+
+    def shape(df: DataFrame) -> DataFrame:
+        extra = ["elements_split"] if "elements_split" in df.columns else []
+        return df.select(F.col("loanid").alias("groupName"), F.col("loanid").alias("id"), "groupMembers", *extra)
+
+    if isinstance(nested, SplitDocuments):
+        return SplitDocuments(shape(nested.documents), nested.elements)
+    return shape(nested)
 
 
 def group_payloads(groups: DataFrame) -> DataFrame:
@@ -115,15 +140,16 @@ def loan_staged(loan_accounts: DataFrame, loan_attributes: DataFrame, funders: D
 
 def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
                    defaults: Mapping[str, object] = specs.LOAN_DEFAULTS, null_keys: str = "drop",
-                   zone: str = "Australia/Sydney") -> DataFrame:
-    """K3: defaults, zone stamps, renames, NaN -> null, then 7 field sets."""
+                   zone: str = "Australia/Sydney", max_elements: int | None = None):
+    """K3: defaults, zone stamps, renames, NaN -> null, then 7 field sets.
+    With ``max_elements`` the result is a ``SplitDocuments``."""
     df = with_defaults(staged, defaults)
     df = stamp_columns(df, specs.LOAN_DATETIME_COLS, zone)
     df = rename_existing(df, specs.LOAN_RENAMES)
     if "funder" in df.columns:
         df = df.drop("funder")
     df = normalise_nulls(df)
-    return nest_field_sets(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys)
+    return _nest(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys, max_elements)
 
 
 # -- K4 --------------------------------------------------------------------------
@@ -131,7 +157,8 @@ def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
 def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
                            fee_keys: Mapping[str, str] = specs.DEFAULT_FEE_KEYS, strict: bool = True,
                            defaults: Mapping[str, object] = specs.DISBURSEMENT_DEFAULTS,
-                           zone: str = "Australia/Sydney", null_keys: str = "drop") -> DataFrame:
+                           zone: str = "Australia/Sydney", null_keys: str = "drop",
+                           max_elements: int | None = None):
     """K4: fee key lookup (exact match), channel default, zone stamps,
     renames, then ``fees`` (array) and ``transactionDetails`` (object); one
     document per key (P8 off: ``copies`` is 1)."""
@@ -147,12 +174,14 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
     df = stamp_columns(df, specs.DISBURSEMENT_DATETIME_COLS, zone)
     df = rename_existing(df, specs.DISBURSEMENT_RENAMES).drop("fee_type")
     df = normalise_nulls(df)
-    nested = nest_field_sets(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep")
+    nested = _nest(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep", max_elements)
+    if isinstance(nested, SplitDocuments):
+        return SplitDocuments(nested.documents.withColumn("copies", F.lit(1).cast("bigint")), nested.elements)
     return nested.withColumn("copies", F.lit(1).cast("bigint"))
 
 
 __all__ = [
-    "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "SplitDocuments", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
     "keep_first", "sorted_struct", "payload_json",
 ]

@@ -56,3 +56,20 @@ def test_group_documents_payload(spark):
         {"clientKey": "key-b", "roles": [{"groupRoleNameKey": "role-key-secondary"}]},
         {"clientKey": "key-a", "roles": [{"groupRoleNameKey": "role-key-primary"}]}]}
     assert len(got[11]["groupMembers"]) == 1
+
+
+def test_disbursement_documents_split_hot_loans(spark):
+    import datetime as dt
+    ts = dt.datetime(2022, 12, 7)
+    rows = [("7", ts, ts, ts, "Brokerage Fee", float(i)) for i in range(5)] + \
+           [("8", ts, ts, ts, "Transaction Fees", 1.0)]
+    staged = spark.createDataFrame(rows, "loanid string, value_date timestamp_ntz, booking_date timestamp_ntz, "
+                                         "first_repayment_date timestamp_ntz, fee_type string, amount double")
+    split = documents.disbursement_documents(staged, ["predefinedFeeKey", "amount"], max_elements=3)
+    docs = {r.id: r for r in split.documents.collect()}
+    assert docs["7"].elements_split and docs["7"].fees is None
+    assert not docs["8"].elements_split and len(docs["8"].fees) == 1
+    els = split.elements.orderBy("order").collect()
+    assert [json.loads(e.element)["amount"] for e in els] == [0.0, 1.0, 2.0, 3.0, 4.0]
+    p = {r.id: r for r in documents.payloads(split.documents).collect()}
+    assert "fees" not in json.loads(p["7"].payload) and p["7"].elements_split
