@@ -107,28 +107,29 @@ def flatten_json(df: DataFrame, col_name: str, keep: list[str] | None = None, se
     return df.select(*keep, *[e.alias(n) for n, e in fields])
 
 
-def flatten_json_long(df: DataFrame, key: str, body_col: str, max_depth: int = 8) -> DataFrame:
-    """Flatten JSON text of unknown shape to long form ``(key, path, value)``.
-
-    Each level is one ``variant_explode_outer`` over the rows (no schema, no
-    driver work); objects give ``a_b`` paths, arrays ``a_0`` paths, leaves
-    are rendered as JSON scalars.  Pivot the result when a wide table is
-    wanted.
+def flatten_json_long(df: DataFrame, key: str, body_col: str, max_depth: int = 8, sep: str = "_") -> DataFrame:
+    """Flatten JSON text of unknown shape to long form ``(key, path, value)``.
+
+    One level per step, ``max_depth`` steps, each a single ``explode_outer``
+    over the previous step (the plan grows linearly with depth): an object
+    is read as ``map<string,string>`` (nested values come back as their JSON
+    text), an array as ``array<string>`` with positions, and a leaf passes
+    through unchanged.  Paths join names and positions with ``sep``
+    (``a_b_0_c``).  Pivot the result when a wide table is wanted.
     """
-    cur = df.select(F.col(key), F.lit("").alias("path"), F.parse_json(F.col(body_col)).alias("v"))
-    leaves = []
+    v = F.col("v")
+    cur = df.select(F.col(key), F.lit("").alias("path"), F.trim(F.col(body_col)).alias("v"))
     for _ in range(max_depth):
-        kind = F.schema_of_variant(F.col("v"))
-        is_nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        leaves.append(cur.where(~is_nested | F.col("v").isNull()))
-        nested = cur.where(is_nested)
-        cur = (nested.select(key, "path", F.expr("variant_explode_outer(v)").alias("pos", "k", "value"))
-               .select(key,
-                       F.concat_ws("_", F.when(F.col("path") != "", F.col("path")),
-                                   F.coalesce(F.col("k"), F.col("pos").cast("string"))).alias("path"),
-                       F.col("value").alias("v")))
-    leaves.append(cur)
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    return out.select(key, "path", F.to_json(F.col("v")).alias("value"))
+        is_obj = v.startswith("{")
+        is_arr = v.startswith("[")
+        entries = (F.when(is_obj, F.transform(F.map_entries(F.from_json(v, "map<string,string>")),
+                                              lambda e: F.struct(e.getField("key").alias("k"),
+                                                                 e.getField("value").alias("value"))))
+                   .when(is_arr, F.transform(F.from_json(v, "array<string>"),
+                                             lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("value"))))
+                   .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("k"), v.alias("value")))))
+        step = cur.select(key, "path", (is_obj | is_arr).alias("nested"), F.explode_outer(entries).alias("e"))
+        child = F.when(F.col("path") == "", F.col("e.k")).otherwise(F.concat(F.col("path"), F.lit(sep), F.col("e.k")))
+        cur = step.select(key, F.when(F.col("nested"), F.coalesce(child, F.col("path"))).otherwise(F.col("path"))
+                          .alias("path"), F.trim(F.col("e.value")).alias("v"))
+    return cur.select(key, "path", v.alias("value"))

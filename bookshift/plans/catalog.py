@@ -1400,3 +1400,17 @@ FROM customer
 def q_scalar_base64(spark, sf):
     c = table(spark, sf, "customer")
     return c.select("c_custkey", scalars.basic_auth(F.col("c_name"), F.col("c_custkey").cast("string")).alias("auth"))
+
+
+@query("json_flatten_long", """
+SELECT event_id AS seq, 'p_k' AS path, CAST(json_extract(props, '$.k') AS VARCHAR) AS value FROM events
+UNION ALL
+SELECT event_id AS seq, 'tags_0' AS path, event_type AS value FROM events
+UNION ALL
+SELECT event_id AS seq, 'tags_1' AS path, CAST(user_id AS VARCHAR) AS value FROM events
+""")
+def q_json_flatten_long(spark, sf):
+    e = table(spark, sf, "events")
+    body = F.concat(F.lit('{"p":'), F.col("props"), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'),
+                    F.col("user_id").cast("string"), F.lit("]}"))
+    return jsonio.flatten_json_long(e.select(F.col("event_id").alias("seq"), body.alias("body")), "seq", "body")

@@ -195,3 +195,11 @@ def test_keep_first_follows_declared_order(spark):
     df = spark.createDataFrame([("a", 3, "z"), ("a", 1, "x"), ("b", 2, "y")], "k string, o int, v string")
     got = {r.k: r.v for r in rows.keep_first(df, ["k"], ["o"]).collect()}
     assert got == {"a": "x", "b": "y"}
+
+
+def test_s18_long_form_without_schema(spark):
+    df = spark.createDataFrame([(1, '{"a":{"b":[1,{"c":2}]},"d":"x"}'), (2, '[true,null]'), (3, '5')],
+                               "seq int, body string")
+    got = sorted((r.seq, r.path, r.value) for r in jsonio.flatten_json_long(df, "seq", "body").collect())
+    assert got == [(1, "a_b_0", "1"), (1, "a_b_1_c", "2"), (1, "d", "x"),
+                   (2, "0", "true"), (2, "1", None), (3, "", "5")]
