@@ -97,7 +97,8 @@ def applicants_by_role(t: Tables) -> DataFrame:
     tuples = (wl.groupBy("applicationid", strip_dashes("wisrcustomerid").alias("sec_id"),
                          F.col("dob").cast("date").alias("sec_birthdate"))
               .agg(F.count_distinct("loanid").alias("n_loans"), F.min("loanid").alias("only_loan")))
-    cond = (pa.applicationid == tuples.applicationid) & (
+    # ``wl.loanid <> pa.loanid`` is never true for a null loan id.
+    cond = (pa.applicationid == tuples.applicationid) & pa.loanid.isNotNull() & (
         (tuples.n_loans > 1) | (tuples.only_loan != pa.loanid))
     secondary = pa.join(tuples, cond).select(
         pa.wisrcustomerid, F.col("sec_id").alias("id"), F.col("sec_birthdate").alias("birthdate"),

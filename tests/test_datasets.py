@@ -22,6 +22,8 @@ def test_applicants_by_role_matches_pairwise_definition(spark):
         _row(3, "B", "z-3"),                                              # sole
         _row(4, "C", "w-4"), _row(5, "C", "w-4"), _row(6, "C", "v-6"),    # one customer on two loans
         _row(7, None, "n-7"),                                             # no application id
+        _row(None, "C", "q-0"),                                           # no loan id
+        _row(8, "D", "p-8"), _row(8, "D", "p-9"),                         # two applicants on one loan
     ]
     got = sorted(tuple(map(str, r)) for r in datasets.applicants_by_role(_wl(spark, rows)).collect())
     # Pairwise definition: every other loan of the same application, projected and de-duplicated.
@@ -29,7 +31,7 @@ def test_applicants_by_role_matches_pairwise_definition(spark):
     for loan, app, cust, dob, *_ in rows:
         expected.add((cust, cust.replace("-", ""), dob, str(loan), "primary"))
         for loan2, app2, cust2, dob2, *_ in rows:
-            if app is not None and app2 == app and loan2 != loan:
+            if app is not None and app2 == app and loan is not None and loan2 is not None and loan2 != loan:
                 expected.add((cust, cust2.replace("-", ""), dob2, str(loan), "secondary"))
     assert got == sorted(expected)
 
