@@ -191,8 +191,8 @@ def duplicate_entities(df: DataFrame, keys: Sequence[str], min_rows: int = 2) ->
 
 def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
                           order_by: Sequence[str | Column], max_elements: int,
-                          copies_col: str = "copies", max_broadcast_keys: int = 1_000_000
-                          ) -> tuple[DataFrame, DataFrame]:
+                          copies_col: str = "copies", max_broadcast_keys: int = 1_000_000,
+                          null_keys: str = "drop", materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """``nest_field_sets`` that never collects a large entity into one row.
 
     Entities with at most ``max_elements`` staged rows are nested as usual.
@@ -208,15 +208,30 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
     has at most ``rows / max_elements`` entries; it is broadcast when a
     capped count shows it under ``max_broadcast_keys``, otherwise the
     semi/anti joins shuffle on the keys, the same partitioning the
-    nesting uses.  Rows with a null key are dropped (P2).
+    nesting uses.  Rows with a null key are dropped (P2) unless
+    ``null_keys="keep"`` (for callers that filtered already).
+
+    With ``materialize`` (default) the staged rows are checkpointed first, so
+    the upstream joins run once; hot entities' rows are then only filtered
+    (broadcast semi join) and projected, never shuffled by their key.
     """
     from bookshift.operators.sizing import broadcast_if_bounded
+    from bookshift.session import checkpoint_dir
 
-    staged = df.where(_keys_not_null(keys))
+    staged = df.where(_keys_not_null(keys)) if null_keys == "drop" else df
+    if materialize:
+        # Counting, splitting and nesting all read the staged rows; they are
+        # written once to the shared checkpoint folder instead of recomputed.
+        checkpoint_dir(staged.sparkSession)
+        staged = staged.checkpoint(eager=True)
     counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = broadcast_if_bounded(counts.where(F.col("__n") > max_elements).select(*keys), max_broadcast_keys)
-    small_rows = staged.join(hot, list(keys), "left_anti")
-    hot_rows = staged.join(hot, list(keys), "left_semi")
+    on = None
+    for k in keys:
+        c = staged[f"`{k}`"].eqNullSafe(hot[f"`{k}`"])
+        on = c if on is None else on & c
+    small_rows = staged.join(hot, on, "left_anti")
+    hot_rows = staged.join(hot, on, "left_semi")
 
     docs_small = nest_field_sets(small_rows, keys, field_sets, order_by, "keep", copies_col)
     objects = [fs for fs in field_sets if not fs.array]

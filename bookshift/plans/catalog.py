@@ -1094,7 +1094,7 @@ _FEE_CASE = ("CASE fee_type WHEN 'Establishment Fee' THEN 'fee-key-establishment
 
 def _disbursement_docs(spark, sf):
     k11 = datasets.disbursement_details(_src(spark, sf, *K11_TABLES))
-    return documents.disbursement_documents(k11, order_by=["predefinedFeeKey", "amount"])
+    return documents.disbursement_documents(k11, order_by=["predefinedFeeKey", "amount"]).documents
 
 
 @query("disbursement_payload", loan_sources.duckdb_ctes(K11_TABLES) + f""", k11 AS ({K11_SQL}),
@@ -1159,8 +1159,9 @@ SELECT id, CAST(COUNT(*) AS BIGINT) AS copies, CAST(COUNT(*) AS BIGINT) AS n_add
 FROM r GROUP BY id, firstName, middleName, lastName, birthDate, mobilePhone, emailAddress
 """)
 def q_client_payload(spark, sf):
-    docs = documents.client_documents(_client_staged(spark, sf), order_by=["loanid", "application_role"])
-    body = F.struct(*[F.col(f"`{c}`") for c in sorted(c for c in docs.columns if c != "copies")])
+    docs = documents.client_documents(_client_staged(spark, sf), order_by=["loanid", "application_role"]).documents
+    body = F.struct(*[F.col(f"`{c}`") for c in sorted(c for c in docs.columns
+                                                      if c not in ("copies", "elements_split"))])
     return docs.select("id", "copies", _size_or_minus1("addresses").alias("n_addresses"),
                        F.to_json(body, jsonio.JSON_OPTS).alias("payload"))
 
@@ -1188,7 +1189,7 @@ def q_group_payload(spark, sf):
                                              F.col("request_id").alias("id"))).alias("body"))
     fetched = requests.response_summary(reqs, answers, body_schema="encodedKey string, id string")
     clients = staged.select("id", "loanid", "application_role").join(fetched.select("id", "encodedKey"), "id")
-    groups = documents.group_documents(clients, order_by=["application_role", "encodedKey"])
+    groups = documents.group_documents(clients, order_by=["application_role", "encodedKey"]).documents
     return documents.group_payloads(groups).join(
         groups.select("id", F.size("groupMembers").cast("bigint").alias("n_members")), "id") \
         .select("id", "n_members", "payload")
@@ -1229,7 +1230,7 @@ def _loan_docs(spark, sf):
     t = _src(spark, sf, *_K3_TABLES)
     staged = documents.loan_staged(datasets.loan_accounts_operational(t), datasets.loan_attributes(t),
                                    _funders(spark, sf), _group_keys(spark, sf), "trial-1")
-    return documents.loan_documents(staged, order_by=_LOAN_ORDER)
+    return documents.loan_documents(staged, order_by=_LOAN_ORDER).documents
 
 
 def _all_null_sql(cols):

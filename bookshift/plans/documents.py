@@ -31,10 +31,15 @@ class SplitDocuments(NamedTuple):
     elements: DataFrame
 
 
+# Entities with more staged rows than this are never collected into one row
+# (see ``nest_field_sets_split``); no API accepts a document that large anyway.
+DEFAULT_MAX_ELEMENTS = 100_000
+
+
 def _nest(df: DataFrame, keys, field_sets, order_by, null_keys: str, max_elements: int | None):
     if max_elements is None:
         return nest_field_sets(df, keys, field_sets, order_by, null_keys)
-    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements)
+    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements, null_keys=null_keys)
     return SplitDocuments(docs, elements)
 
 
@@ -76,14 +81,14 @@ def client_staged(applicants: DataFrame, details: DataFrame) -> DataFrame:
 
 def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
                      null_keys: str = "drop", null_date_text: str | None = "None",
-                     max_elements: int | None = None):
+                     max_elements: int | None = DEFAULT_MAX_ELEMENTS):
     """K1: one client document per distinct client key tuple.
 
     Birth date becomes text before grouping, so a null date reads ``None``
     and is kept (P11); other null keys drop the row (P2, see
-    ``quarantine_null_keys``).  With ``max_elements`` the result is a
-    ``SplitDocuments``: clients with more staged rows are not collected
-    into one row.
+    ``quarantine_null_keys``).  The result is a ``SplitDocuments``: clients
+    with more than ``max_elements`` staged rows are not collected into one
+    row (``max_elements=None`` gives the plain documents DataFrame).
     """
     master = rename_existing(staged, specs.CLIENT_RENAMES)
     master = master.withColumn("birthDate", date_text("birthDate", null_date_text))
@@ -95,14 +100,14 @@ def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
 
 def group_documents(clients_fetched: DataFrame, role_keys: Mapping[str, str] = specs.DEFAULT_ROLE_KEYS,
                     order_by: Sequence[str | Column] = ("seq",), strict: bool = True,
-                    max_elements: int | None = None):
+                    max_elements: int | None = DEFAULT_MAX_ELEMENTS):
     """K2: one group per loan: ``groupName`` and ``id`` (both the loan id) and
     ``groupMembers`` = every member ``{clientKey, roles: [{groupRoleNameKey}]}``
     in staged order, unpruned.
 
     ``clients_fetched`` has ``loanid``, ``encodedKey`` (the client's API key)
     and ``application_role``.  An unknown role fails in strict mode (P13).
-    With ``max_elements`` the result is a ``SplitDocuments``.
+    The result is a ``SplitDocuments`` (plain DataFrame with ``max_elements=None``).
     """
     role_key = lookup("application_role", role_keys, strict=strict, lower=True, what="role")
     members = clients_fetched.select(
@@ -123,7 +128,8 @@ def group_documents(clients_fetched: DataFrame, role_keys: Mapping[str, str] = s
 def group_payloads(groups: DataFrame) -> DataFrame:
     """Group documents as JSON, keys in the order groupName, id, groupMembers."""
     body = F.struct("groupName", "id", "groupMembers")
-    return groups.select("id", F.to_json(body, JSON_OPTS).alias("payload"))
+    extra = ["elements_split"] if "elements_split" in groups.columns else []
+    return groups.select("id", *extra, F.to_json(body, JSON_OPTS).alias("payload"))
 
 
 # -- K3 --------------------------------------------------------------------------
@@ -140,9 +146,9 @@ def loan_staged(loan_accounts: DataFrame, loan_attributes: DataFrame, funders: D
 
 def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
                    defaults: Mapping[str, object] = specs.LOAN_DEFAULTS, null_keys: str = "drop",
-                   zone: str = "Australia/Sydney", max_elements: int | None = None):
+                   zone: str = "Australia/Sydney", max_elements: int | None = DEFAULT_MAX_ELEMENTS):
     """K3: defaults, zone stamps, renames, NaN -> null, then 7 field sets.
-    With ``max_elements`` the result is a ``SplitDocuments``."""
+    The result is a ``SplitDocuments`` (plain DataFrame with ``max_elements=None``)."""
     df = with_defaults(staged, defaults)
     df = stamp_columns(df, specs.LOAN_DATETIME_COLS, zone)
     df = rename_existing(df, specs.LOAN_RENAMES)
@@ -158,7 +164,7 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
                            fee_keys: Mapping[str, str] = specs.DEFAULT_FEE_KEYS, strict: bool = True,
                            defaults: Mapping[str, object] = specs.DISBURSEMENT_DEFAULTS,
                            zone: str = "Australia/Sydney", null_keys: str = "drop",
-                           max_elements: int | None = None):
+                           max_elements: int | None = DEFAULT_MAX_ELEMENTS):
     """K4: fee key lookup (exact match), channel default, zone stamps,
     renames, then ``fees`` (array) and ``transactionDetails`` (object); one
     document per key (P8 off: ``copies`` is 1)."""

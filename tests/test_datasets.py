@@ -51,7 +51,7 @@ def test_joint_pairs_lookup_by_email(spark):
 def test_group_documents_payload(spark):
     fetched = spark.createDataFrame([(10, "key-b", "Secondary"), (10, "key-a", "primary"), (11, "key-c", "primary")],
                                     "loanid bigint, encodedKey string, application_role string")
-    docs = documents.group_documents(fetched, order_by=["application_role", "encodedKey"])
+    docs = documents.group_documents(fetched, order_by=["application_role", "encodedKey"]).documents
     got = {r.id: json.loads(r.payload) for r in documents.group_payloads(docs).collect()}
     # "Secondary" sorts before "primary" (upper case first): staged order, not role order.
     assert got[10] == {"groupName": 10, "id": 10, "groupMembers": [

@@ -93,7 +93,7 @@ def _docs(df):
 def test_client_documents(spark, tables):
     staged = documents.client_staged(datasets.applicants_by_role(tables),
                                      datasets.client_details_operational(tables))
-    got = _docs(documents.client_documents(staged, ["loanid", "application_role"]))
+    got = _docs(documents.client_documents(staged, ["loanid", "application_role"]).documents)
     # Secondary rows carry the other applicant's birth date, which does not
     # match the loan's own borrower, so only the primaries merge.
     assert got == {
@@ -114,7 +114,7 @@ def test_group_documents(spark, tables):
     staged = documents.client_staged(datasets.applicants_by_role(tables),
                                      datasets.client_details_operational(tables))
     fetched = staged.select("loanid", "application_role", F.concat(F.lit("key-"), "id").alias("encodedKey"))
-    groups = documents.group_documents(fetched, order_by=["application_role", "encodedKey"])
+    groups = documents.group_documents(fetched, order_by=["application_role", "encodedKey"]).documents
     got = {r.id: json.loads(r.payload) for r in documents.group_payloads(groups).collect()}
     assert got == {
         1: {"groupName": 1, "id": 1, "groupMembers": [
@@ -129,7 +129,8 @@ def test_loan_document_with_two_one_off_repayments(spark, tables):
     group_keys = spark.createDataFrame([("grp-3", 3)], "accountHolderKey string, loanid bigint")
     staged = documents.loan_staged(datasets.loan_accounts_operational(tables), datasets.loan_attributes(tables),
                                    funders, group_keys, "trial-1")
-    got = _docs(documents.loan_documents(staged, order_by=["adhoc_repayment_date", "adhoc_repayment_amount"]))
+    got = _docs(documents.loan_documents(staged, order_by=["adhoc_repayment_date", "adhoc_repayment_amount"])
+                .documents)
     assert got == {3: ({
         "id": 3, "accountHolderKey": "grp-3", "assignedBranchKey": "branch-1", "accountHolderType": "Group",
         "productTypeKey": "product-key-placeholder", "loanAmount": 5000.0,
@@ -159,7 +160,7 @@ def test_loan_document_with_two_one_off_repayments(spark, tables):
 def test_disbursement_document(spark, tables):
     k11 = datasets.disbursement_details(tables)
     assert k11.count() == 2  # the 'Interest' transaction is not a fee
-    got = _docs(documents.disbursement_documents(k11, ["predefinedFeeKey", "amount"]))
+    got = _docs(documents.disbursement_documents(k11, ["predefinedFeeKey", "amount"]).documents)
     assert got == {"3": ({
         "id": "3", "bookingDate": "2023-01-31T10:00:00+11:00", "valueDate": "2023-01-31T10:00:00+11:00",
         "firstRepaymentDate": "2023-02-28T10:00:00+11:00",

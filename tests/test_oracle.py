@@ -46,5 +46,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["id", "copies", "payload"]
+    assert df.columns == ["id", "copies", "elements_split", "payload"]
     assert df.count() > 0

@@ -13,7 +13,7 @@ SCHEMA = ("loanid string, value_date timestamp_ntz, booking_date timestamp_ntz,
 
 
 def _build(batch):
-    docs = documents.disbursement_documents(batch, order_by=["predefinedFeeKey", "amount"])
+    docs = documents.disbursement_documents(batch, order_by=["predefinedFeeKey", "amount"]).documents
     return requests.disburse_requests(documents.payloads(docs), "payload")
 
 
