@@ -225,7 +225,10 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
         checkpoint_dir(staged.sparkSession)
         staged = staged.checkpoint(eager=True)
     counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = broadcast_if_bounded(counts.where(F.col("__n") > max_elements).select(*keys), max_broadcast_keys)
+    hot = counts.where(F.col("__n") > max_elements).select(*keys)
+    if materialize:
+        hot = hot.checkpoint(eager=True)  # computed once; read by the size check and both joins
+    hot = broadcast_if_bounded(hot, max_broadcast_keys)
     on = None
     for k in keys:
         c = staged[f"`{k}`"].eqNullSafe(hot[f"`{k}`"])
