@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bookshift.functions import jsonio, scalars, temporal
 from bookshift.operators import joins, nest, requests, rows

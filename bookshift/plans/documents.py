@@ -14,12 +14,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.functions.jsonio import JSON_OPTS, payload_json, sorted_struct
+from bookshift.functions.jsonio import JSON_OPTS
 from bookshift.functions.scalars import date_text, lookup, normalise_nulls
 from bookshift.functions.temporal import tz_stamp
 from bookshift.operators.joins import merge_chain, merge_null_safe
 from bookshift.operators.nest import FieldSet, nest_field_sets, nest_field_sets_split
-from bookshift.operators.rows import keep_first
 from bookshift.plans import specs
 
 
@@ -189,5 +188,4 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
 __all__ = [
     "SplitDocuments", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
-    "keep_first", "sorted_struct", "payload_json",
 ]
