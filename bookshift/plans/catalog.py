@@ -1419,3 +1419,49 @@ def q_json_flatten_long(spark, sf):
     body = F.concat(F.lit('{"p":'), F.col("props"), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'),
                     F.col("user_id").cast("string"), F.lit("]}"))
     return jsonio.flatten_json_long(e.select(F.col("event_id").alias("seq"), body.alias("body")), "seq", "body")
+
+
+# =============================================================================
+# Result columns whose pandas form differs between the engines
+# =============================================================================
+# Spark hands timestamps to pandas in nanoseconds and DuckDB in microseconds;
+# DuckDB turns DECIMAL into float64 where Spark gives Decimal objects, and
+# nullable integers into pandas Int32/Int64 where Spark gives float64.  Equal
+# values could then hash differently, so these result columns are cast the
+# same way on both sides: timestamps to text (both engines print
+# 'YYYY-MM-DD HH:MM:SS[.ffffff]'), exact decimals and nullable small integers
+# to DOUBLE (no value changes).
+
+RESULT_CASTS = {
+    "snapshot_as_at": {"startdate": "string", "enddate": "string"},
+    "join_role_playing": {"approved_date": "string", "maturity_date": "string"},
+    "join_existence": {"approved_date": "string"},
+    "topn_per_group": {"o_orderdate": "string"},
+    "scalar_dates": {"first_repayment_date": "string", "second_date": "string"},
+    "tz_stamp": {"ts": "string"},
+    "loan_accounts_operational": {"approved_date": "string", "next_repayment_due_date": "string",
+                                  "adhoc_repayment_date": "string", "maturity_date": "string",
+                                  "recurring_repayment_day": "double"},
+    "disbursement_details": {"value_date": "string", "booking_date": "string", "first_repayment_date": "string"},
+    "scalar_casts_lenient": {"parsed": "string", "name_as_int": "double"},
+    "self_join_residual": {"partner_total": "double"},
+    "nest_object": {"first_d": "double", "first_t": "double"},
+    "nest_split_documents": {"n_lines": "double"},
+    "response_union": {"user_id": "double"},
+}
+_SQL_TYPE = {"string": "VARCHAR", "double": "DOUBLE"}
+
+
+def _cast_columns(fn, casts):
+    def run(spark, sf):
+        return fn(spark, sf).withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+for _name, _casts in RESULT_CASTS.items():
+    QUERIES[_name] = _cast_columns(QUERIES[_name], _casts)
+    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f"CAST({c} AS {_SQL_TYPE[t]}) AS {c}"
+                                                     for c, t in _casts.items()) + ")\n"
+                     f"FROM (\n{ORACLE[_name]}\n) AS _q")
