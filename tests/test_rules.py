@@ -203,3 +203,12 @@ def test_s18_long_form_without_schema(spark):
     got = sorted((r.seq, r.path, r.value) for r in jsonio.flatten_json_long(df, "seq", "body").collect())
     assert got == [(1, "a_b_0", "1"), (1, "a_b_1_c", "2"), (1, "d", "x"),
                    (2, "0", "true"), (2, "1", None), (3, "", "5")]
+
+
+def test_a3_cohort_filters(spark):
+    from bookshift.sources.tables import filter_cohort_ids, semi_join_cohort
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "loanid int, v string")
+    assert filter_cohort_ids(df, "loanid", []).count() == 0          # empty cohort -> empty result
+    assert sorted(r.loanid for r in filter_cohort_ids(df, "loanid", [3, 1]).collect()) == [1, 3]
+    cohort = spark.createDataFrame([(2,), (2,), (3,)], "loanid int")  # duplicates do not multiply rows
+    assert sorted(r.loanid for r in semi_join_cohort(df, cohort, "loanid").collect()) == [2, 3]
