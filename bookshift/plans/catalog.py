@@ -1421,6 +1421,20 @@ def q_json_flatten_long(spark, sf):
     return jsonio.flatten_json_long(e.select(F.col("event_id").alias("seq"), body.alias("body")), "seq", "body")
 
 
+@query("client_match_audit", loan_sources.duckdb_ctes(_K1_TABLES) + f""", k7 AS ({K7_SQL}), k8 AS ({K8_SQL}),
+a AS (SELECT loanid, birthdate, COUNT(*) AS applicant_rows FROM k8 GROUP BY loanid, birthdate),
+b AS (SELECT loanid, birthdate, COUNT(*) AS borrower_rows FROM k7 GROUP BY loanid, birthdate)
+SELECT a.loanid, CAST(a.birthdate AS VARCHAR) AS birthdate, a.applicant_rows, b.borrower_rows,
+       a.applicant_rows * b.borrower_rows AS staged_rows
+FROM a JOIN b ON a.loanid IS NOT DISTINCT FROM b.loanid AND a.birthdate IS NOT DISTINCT FROM b.birthdate
+WHERE a.applicant_rows > 1 OR b.borrower_rows > 1
+""")
+def q_client_match_audit(spark, sf):
+    t = _src(spark, sf, *_K1_TABLES)
+    audit = datasets.client_match_audit(datasets.applicants_by_role(t), datasets.client_details_operational(t))
+    return audit.withColumn("birthdate", F.col("birthdate").cast("string"))
+
+
 # =============================================================================
 # Result columns whose pandas form differs between the engines
 # =============================================================================

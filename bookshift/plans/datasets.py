@@ -276,3 +276,23 @@ def joint_applicant_pairs(wl: DataFrame) -> DataFrame:
     return (pri.join(sec, sec.sec_email == pri.jointapplicantemail)
             .where(F.lower("pri_id") != F.lower("sec_id"))
             .select("loanid", "pri_id", "sec_id").distinct())
+
+
+# -- audit: applicants and borrowers matched on loan id and birth date only ----------------
+
+def client_match_audit(applicants: DataFrame, details: DataFrame) -> DataFrame:
+    """Keys ``(loanid, birthdate)`` where the applicant / borrower merge is not
+    one-to-one.  Applicants (K8) and borrower details (K7) are matched on
+    these two columns only, so two people with one birth date on one loan
+    cross-match; ``staged_rows`` is the number of merged rows the key makes.
+    Both sides are counted with partial aggregates before the (null-safe)
+    join of the counts, so no key's rows are paired up.
+    """
+    from bookshift.operators.joins import merge_null_safe
+
+    keys = ["loanid", "birthdate"]
+    a = applicants.groupBy(*keys).agg(F.count(F.lit(1)).alias("applicant_rows"))
+    b = details.groupBy(*keys).agg(F.count(F.lit(1)).alias("borrower_rows"))
+    m = merge_null_safe(a, b, keys)
+    return (m.where((F.col("applicant_rows") > 1) | (F.col("borrower_rows") > 1))
+            .withColumn("staged_rows", F.col("applicant_rows") * F.col("borrower_rows")))
