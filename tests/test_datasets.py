@@ -75,3 +75,15 @@ def test_disbursement_documents_split_hot_loans(spark):
     assert [json.loads(e.element)["amount"] for e in els] == [0.0, 1.0, 2.0, 3.0, 4.0]
     p = {r.id: r for r in documents.payloads(split.documents).collect()}
     assert "fees" not in json.loads(p["7"].payload) and p["7"].elements_split
+
+
+def test_group_documents_split_hot_groups(spark):
+    fetched = spark.createDataFrame([(10, f"key-{i}", "primary") for i in range(3)] + [(11, "key-x", "primary")],
+                                    "loanid bigint, encodedKey string, application_role string")
+    split = documents.group_documents(fetched, order_by=["encodedKey"], max_elements=2)
+    docs = {r.id: r for r in split.documents.collect()}
+    assert docs[10].elements_split and docs[10].groupMembers is None and docs[10].groupName == 10
+    assert not docs[11].elements_split and len(docs[11].groupMembers) == 1
+    els = [json.loads(r.element) for r in split.elements.orderBy("order").collect()]
+    assert [e["clientKey"] for e in els] == ["key-0", "key-1", "key-2"]
+    assert els[0]["roles"] == [{"groupRoleNameKey": "role-key-primary"}]
