@@ -216,18 +216,17 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
     (broadcast semi join) and projected, never shuffled by their key.
     """
     from bookshift.operators.sizing import broadcast_if_bounded
-    from bookshift.session import checkpoint_dir
+    from bookshift.operators.staging import materialize as materialize_df
 
     staged = df.where(_keys_not_null(keys)) if null_keys == "drop" else df
     if materialize:
         # Counting, splitting and nesting all read the staged rows; they are
         # written once to the shared checkpoint folder instead of recomputed.
-        checkpoint_dir(staged.sparkSession)
-        staged = staged.checkpoint(eager=True)
+        staged = materialize_df(staged, "staged")
     counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.where(F.col("__n") > max_elements).select(*keys)
     if materialize:
-        hot = hot.checkpoint(eager=True)  # computed once; read by the size check and both joins
+        hot = materialize_df(hot, "hot-keys")  # computed once; read by the size check and both joins
     hot = broadcast_if_bounded(hot, max_broadcast_keys)
     on = None
     for k in keys:

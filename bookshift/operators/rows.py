@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookshift.session import checkpoint_dir
+from bookshift.operators.staging import materialize
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -58,19 +58,18 @@ def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq", star
     """Number rows ``start, start+1, ...`` in a total ``order_by`` order.
 
     Rows are range-partitioned and sorted by the order, tagged with their
-    partition and position, and written to the checkpoint folder (so both
+    partition and position, and written to the shared checkpoint folder (so both
     uses below see the same rows, and a lost executor re-reads instead of
     re-sampling).  Per-partition counts (one row per partition) give each
     partition's offset.  Work is spread over all partitions; only the count
     table, whose size is the partition count, is broadcast.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)  # the cluster's shared folder; a local one only when none is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "row-sequence")  # fixes the tags; both uses read the same rows
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__base"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(

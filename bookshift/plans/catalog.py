@@ -1178,9 +1178,8 @@ def q_group_payload(spark, sf):
     # The staged clients feed both the fetch requests and the attachment of
     # the answers; they are written once to the shared checkpoint folder
     # instead of being recomputed by both branches.
-    from bookshift.session import checkpoint_dir
-    checkpoint_dir(spark)
-    staged = _client_staged(spark, sf).checkpoint(eager=True)
+    from bookshift.operators.staging import materialize
+    staged = materialize(_client_staged(spark, sf), "client-staged")
     # Fetch each client once (GET /clients/<id>), then attach the answers by request key.
     reqs = requests.fetch_requests(staged.select("id").distinct(), "id")
     answers = reqs.select("request_id", F.lit(200).alias("status_code"),
