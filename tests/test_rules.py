@@ -212,3 +212,10 @@ def test_a3_cohort_filters(spark):
     assert sorted(r.loanid for r in filter_cohort_ids(df, "loanid", [3, 1]).collect()) == [1, 3]
     cohort = spark.createDataFrame([(2,), (2,), (3,)], "loanid int")  # duplicates do not multiply rows
     assert sorted(r.loanid for r in semi_join_cohort(df, cohort, "loanid").collect()) == [2, 3]
+
+
+def test_s1_strict_and_lenient_int(spark):
+    df = spark.createDataFrame([("12",), ("",)], "t string")
+    assert [r[0] for r in df.select(scalars.to_int("t", lenient=True)).collect()] == [12, None]
+    with pytest.raises(Exception):
+        df.select(scalars.to_int("t")).collect()   # ANSI: '' is not an INT
