@@ -225,27 +225,34 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
         staged = materialize_df(staged, "staged")
     counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.where(F.col("__n") > max_elements).select(*keys)
-    if materialize:
-        hot = materialize_df(hot, "hot-keys")  # computed once; read by the size check and both joins
-    hot = broadcast_if_bounded(hot, max_broadcast_keys)
-    on = None
-    for k in keys:
-        c = staged[f"`{k}`"].eqNullSafe(hot[f"`{k}`"])
-        on = c if on is None else on & c
-    small_rows = staged.join(hot, on, "left_anti")
-    hot_rows = staged.join(hot, on, "left_semi")
-
-    docs_small = nest_field_sets(small_rows, keys, field_sets, order_by, "keep", copies_col)
     objects = [fs for fs in field_sets if not fs.array]
     arrays = [fs for fs in field_sets if fs.array]
-    if objects:
-        docs_hot = nest_field_sets(hot_rows, keys, objects, order_by, "keep", copies_col)
+    no_hot = False
+    if materialize:
+        hot = materialize_df(hot, "hot-keys")  # computed once; read by the size check and both joins
+        no_hot = hot.limit(1).count() == 0    # reads the small written list
+    if no_hot:
+        # The usual case: nothing to split, so no anti / semi joins at all.
+        small_rows, hot_rows = staged, staged.where(F.lit(False))
+        docs = nest_field_sets(staged, keys, field_sets, order_by, "keep", copies_col) \
+            .withColumn("elements_split", F.lit(False))
     else:
-        docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col))
-    docs_hot = docs_hot.withColumns({fs.name: F.lit(None).cast(docs_small.schema[fs.name].dataType)
-                                     for fs in arrays})
-    docs = (docs_small.withColumn("elements_split", F.lit(False))
-            .unionByName(docs_hot.select(*docs_small.columns).withColumn("elements_split", F.lit(True))))
+        hot = broadcast_if_bounded(hot, max_broadcast_keys)
+        on = None
+        for k in keys:
+            c = staged[f"`{k}`"].eqNullSafe(hot[f"`{k}`"])
+            on = c if on is None else on & c
+        small_rows = staged.join(hot, on, "left_anti")
+        hot_rows = staged.join(hot, on, "left_semi")
+        docs_small = nest_field_sets(small_rows, keys, field_sets, order_by, "keep", copies_col)
+        if objects:
+            docs_hot = nest_field_sets(hot_rows, keys, objects, order_by, "keep", copies_col)
+        else:
+            docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col))
+        docs_hot = docs_hot.withColumns({fs.name: F.lit(None).cast(docs_small.schema[fs.name].dataType)
+                                         for fs in arrays})
+        docs = (docs_small.withColumn("elements_split", F.lit(False))
+                .unionByName(docs_hot.select(*docs_small.columns).withColumn("elements_split", F.lit(True))))
 
     types = {f.name: f.dataType for f in staged.schema.fields}
     order = _order_struct(order_by)
@@ -257,6 +264,10 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
         parts.append(hot_rows.select(*[F.col(f"`{k}`") for k in keys], F.lit(fs.name).alias("field_set"),
                                      order.alias("order"),
                                      F.coalesce(F.to_json(elem), F.lit("null")).alias("element")))
+    if not parts:  # no array field sets: nothing is ever split out
+        parts.append(hot_rows.where(F.lit(False)).select(
+            *[F.col(f"`{k}`") for k in keys], F.lit(None).cast("string").alias("field_set"),
+            order.alias("order"), F.lit(None).cast("string").alias("element")))
     elements = parts[0]
     for p in parts[1:]:
         elements = elements.unionByName(p)
