@@ -71,7 +71,8 @@ def role_join(base: DataFrame, base_key: str, table: DataFrame, table_key: str,
 
 
 def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, right_col: str,
-              how: str = "inner", exact: bool = False, max_wild_names: int = 100_000) -> DataFrame:
+              how: str = "inner", exact: bool = False, max_wild_names: int = 100_000,
+              broadcast_left: bool = False) -> DataFrame:
     """Inner join where ``left_col LIKE concat(prefix, right_col)``.
 
     The escape character is ``!`` so a backslash in the prefix is literal;
@@ -93,12 +94,18 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
     by_equality = left.join(plain, left[left_col] == F.concat(F.lit(prefix), plain[right_col]), "inner")
     if exact:
         return by_equality
-    # Wildcard names are rare (the distinct names of a control table); they
-    # are broadcast after a capped count proves them small, so the pattern
-    # test is a broadcast nested-loop join and never a cartesian product.
-    wild = broadcast_if_bounded(right.where(wild_name), max_wild_names)
-    by_pattern = left.join(wild, F.like(left[left_col], F.concat(F.lit(prefix), wild[right_col]),
-                                        F.lit("!")), "inner")
+    # The pattern test is a broadcast nested-loop join, never a cartesian
+    # product: either the wildcard names (rare) or, with ``broadcast_left``,
+    # the texts (a control table) are broadcast after a capped count.
+    wild = right.where(wild_name)
+    if broadcast_left:
+        texts = broadcast_if_bounded(left, max_wild_names)
+        by_pattern = texts.join(wild, F.like(texts[left_col], F.concat(F.lit(prefix), wild[right_col]),
+                                             F.lit("!")), "inner")
+    else:
+        wild = broadcast_if_bounded(wild, max_wild_names)
+        by_pattern = left.join(wild, F.like(left[left_col], F.concat(F.lit(prefix), wild[right_col]),
+                                            F.lit("!")), "inner")
     return by_equality.unionByName(by_pattern)
 
 
@@ -111,7 +118,9 @@ def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: s
     Multiplicities are those of the direct LIKE join.
     """
     names = rows.select(F.col(name_col).alias("__name")).distinct()
-    matched = like_join(details, detail_col, names, prefix, "__name")
+    # ``details`` is the control table: sizing it is a cheap scan, while
+    # sizing the names would run the joins that produce ``rows``.
+    matched = like_join(details, detail_col, names, prefix, "__name", broadcast_left=True)
     return rows.join(matched, rows[name_col] == matched["__name"]).drop("__name")
 
 
