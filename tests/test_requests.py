@@ -43,3 +43,15 @@ def test_split_responses_and_messages(spark):
     approved = rq.outcome_messages(spark.createDataFrame([("4", 200)], "request_id string, status_code int"),
                                    "request_id", "", 200, " is approved").collect()[0]
     assert approved.message == "4 is approved"
+
+
+def test_sink_order_is_global_across_partitions(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 500).select(((F.col("id") * 37) % 500).alias("k"))
+    out = rq.sink_order(df, "k", num_partitions=4)
+    parts = out.select("k", F.spark_partition_id().alias("p")).collect()
+    by_part = {}
+    for r in parts:
+        by_part.setdefault(r.p, []).append(r.k)
+    flat = [k for p in sorted(by_part) for k in by_part[p]]
+    assert flat == sorted(flat) and len(by_part) > 1
