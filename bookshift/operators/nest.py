@@ -32,7 +32,7 @@ entity is needed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,18 +90,27 @@ def _prune_array(elems: Column, fs: FieldSet, types: dict) -> Column:
     return F.when((F.size(pruned) == 1) & pruned.getItem(0).isNull(), F.lit(None)).otherwise(pruned)
 
 
-def _project(rec: Column, fields: Sequence[str]) -> Column:
-    return F.struct(*[rec.getField(f).alias(f) for f in sorted(fields)])
+def _project(rec: Column, fields: Sequence[str], constants: Mapping[str, Column] | None = None) -> Column:
+    constants = constants or {}
+    return F.struct(*[(constants[f] if f in constants else rec.getField(f)).alias(f) for f in sorted(fields)])
 
 
-def _projector(fields: Sequence[str]):
+def _projector(fields: Sequence[str], constants: Mapping[str, Column] | None = None):
     """One-argument lambda for ``transform`` (a second argument would be the index)."""
-    return lambda x: _project(x, fields)
+    return lambda x: _project(x, fields, constants)
+
+
+def _constant_types(df: DataFrame, constants: Mapping[str, Column]) -> dict:
+    """Data types of constant columns, read from a one-row projection's schema (no job)."""
+    if not constants:
+        return {}
+    return {f.name: f.dataType for f in df.select(*[c.alias(n) for n, c in constants.items()]).schema.fields}
 
 
 def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
                     order_by: Sequence[str | Column], null_keys: str = "drop",
-                    copies_col: str | None = "copies") -> DataFrame:
+                    copies_col: str | None = "copies",
+                    constants: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per distinct key tuple: keys + one column per field set (+ copies).
 
     Output columns are the keys in the given order, then the field sets in
@@ -114,22 +123,30 @@ def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[Fie
     projects all of them.  With objects only, ONE ``min_by`` over the
     combined record keeps just the first record per entity.  Either way the
     entity is shuffled once and no field set is joined back.
+
+    ``constants`` maps field or key names to literal Columns (product
+    defaults): they are not carried through the shuffle or the collected
+    records but attached after the aggregation, in the same sorted place.
+    A constant key does not take part in the grouping.
     """
     if null_keys not in ("drop", "keep"):
         raise ValueError("null_keys must be 'drop' or 'keep'")
-    staged = df.where(_keys_not_null(keys)) if null_keys == "drop" else df
+    constants = dict(constants or {})
+    var_keys = [k for k in keys if k not in constants]
+    staged = df.where(_keys_not_null(var_keys)) if null_keys == "drop" and var_keys else df
     types = {f.name: f.dataType for f in staged.schema.fields}
+    types.update(_constant_types(staged, constants))
     order = _order_struct(order_by)
-    fields = sorted({f for fs in field_sets for f in fs.fields})
-    record = F.struct(*[F.col(f"`{f}`").alias(f) for f in fields])
-    group_cols = [F.col(f"`{k}`") for k in keys]
+    fields = sorted({f for fs in field_sets for f in fs.fields} - set(constants))
+    record = F.struct(*([F.col(f"`{f}`").alias(f) for f in fields] or [F.lit(True).alias("__none")]))
+    group_cols = [F.col(f"`{k}`") for k in var_keys]
     sets = sorted(field_sets, key=lambda f: f.name)
     has_array = any(fs.array for fs in sets)
 
     if has_array:
         grouped = staged.groupBy(*group_cols).agg(
             F.collect_list(F.struct(order.alias("o"), record.alias("r"))).alias("__recs"))
-        grouped = grouped.select(*[F.col(f"`{k}`") for k in keys],
+        grouped = grouped.select(*[F.col(f"`{k}`") for k in var_keys],
                                  F.transform(F.array_sort("__recs"), lambda x: x.getField("r")).alias("__recs"))
         first = F.col("__recs").getItem(0)
         copies = F.size("__recs").cast("bigint")
@@ -142,13 +159,14 @@ def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[Fie
     outs = []
     for fs in sets:
         if fs.array:
-            elems = F.transform(F.col("__recs"), _projector(fs.fields))
+            elems = F.transform(F.col("__recs"), _projector(fs.fields, constants))
             outs.append(_prune_array(elems, fs, types).alias(fs.name))
         else:
-            outs.append(_prune_object(_project(first, fs.fields), fs, types).alias(fs.name))
+            outs.append(_prune_object(_project(first, fs.fields, constants), fs, types).alias(fs.name))
     if copies_col:
         outs.append(copies.alias(copies_col))
-    return grouped.select(*[F.col(f"`{k}`") for k in keys], *outs)
+    key_cols = [(constants[k] if k in constants else F.col(f"`{k}`")).alias(k) for k in keys]
+    return grouped.select(*key_cols, *outs)
 
 
 def nest_object(df: DataFrame, keys: Sequence[str], name: str, fields: Sequence[str],
@@ -192,7 +210,8 @@ def duplicate_entities(df: DataFrame, keys: Sequence[str], min_rows: int = 2) ->
 def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
                           order_by: Sequence[str | Column], max_elements: int,
                           copies_col: str = "copies", max_broadcast_keys: int = 1_000_000,
-                          null_keys: str = "drop", materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+                          null_keys: str = "drop", materialize: bool = True,
+                          constants: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """``nest_field_sets`` that never collects a large entity into one row.
 
     Entities with at most ``max_elements`` staged rows are nested as usual.
@@ -218,7 +237,10 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
     from bookshift.operators.sizing import broadcast_if_bounded
     from bookshift.operators.staging import materialize as materialize_df
 
-    staged = df.where(_keys_not_null(keys)) if null_keys == "drop" else df
+    constants = dict(constants or {})
+    user_keys = list(keys)
+    keys = [k for k in user_keys if k not in constants]  # constant keys do not split anything
+    staged = df.where(_keys_not_null(keys)) if null_keys == "drop" and keys else df
     if materialize:
         # Counting, splitting and nesting all read the staged rows; they are
         # written once to the shared checkpoint folder instead of recomputed.
@@ -234,7 +256,7 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
     if no_hot:
         # The usual case: nothing to split, so no anti / semi joins at all.
         small_rows, hot_rows = staged, staged.where(F.lit(False))
-        docs = nest_field_sets(staged, keys, field_sets, order_by, "keep", copies_col) \
+        docs = nest_field_sets(staged, user_keys, field_sets, order_by, "keep", copies_col, constants) \
             .withColumn("elements_split", F.lit(False))
     else:
         hot = broadcast_if_bounded(hot, max_broadcast_keys)
@@ -244,29 +266,32 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
             on = c if on is None else on & c
         small_rows = staged.join(hot, on, "left_anti")
         hot_rows = staged.join(hot, on, "left_semi")
-        docs_small = nest_field_sets(small_rows, keys, field_sets, order_by, "keep", copies_col)
+        docs_small = nest_field_sets(small_rows, user_keys, field_sets, order_by, "keep", copies_col, constants)
         if objects:
-            docs_hot = nest_field_sets(hot_rows, keys, objects, order_by, "keep", copies_col)
+            docs_hot = nest_field_sets(hot_rows, user_keys, objects, order_by, "keep", copies_col, constants)
         else:
-            docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col))
+            docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col)).select(
+                *[(constants[k] if k in constants else F.col(f"`{k}`")).alias(k) for k in user_keys], copies_col)
         docs_hot = docs_hot.withColumns({fs.name: F.lit(None).cast(docs_small.schema[fs.name].dataType)
                                          for fs in arrays})
         docs = (docs_small.withColumn("elements_split", F.lit(False))
                 .unionByName(docs_hot.select(*docs_small.columns).withColumn("elements_split", F.lit(True))))
 
     types = {f.name: f.dataType for f in staged.schema.fields}
+    types.update(_constant_types(staged, constants))
     order = _order_struct(order_by)
     parts = []
+    key_cols = [(constants[k] if k in constants else F.col(f"`{k}`")).alias(k) for k in user_keys]
     for fs in arrays:
-        elem = F.struct(*[F.col(f"`{f}`").alias(f) for f in sorted(fs.fields)])
+        elem = F.struct(*[(constants[f] if f in constants else F.col(f"`{f}`")).alias(f) for f in sorted(fs.fields)])
         if fs.prune:
             elem = F.when(_all_null(elem, fs.fields, True, types), F.lit(None)).otherwise(elem)
-        parts.append(hot_rows.select(*[F.col(f"`{k}`") for k in keys], F.lit(fs.name).alias("field_set"),
+        parts.append(hot_rows.select(*key_cols, F.lit(fs.name).alias("field_set"),
                                      order.alias("order"),
                                      F.coalesce(F.to_json(elem), F.lit("null")).alias("element")))
     if not parts:  # no array field sets: nothing is ever split out
         parts.append(hot_rows.where(F.lit(False)).select(
-            *[F.col(f"`{k}`") for k in keys], F.lit(None).cast("string").alias("field_set"),
+            *key_cols, F.lit(None).cast("string").alias("field_set"),
             order.alias("order"), F.lit(None).cast("string").alias("element")))
     elements = parts[0]
     for p in parts[1:]:

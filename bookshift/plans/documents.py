@@ -35,13 +35,20 @@ class SplitDocuments(NamedTuple):
 DEFAULT_MAX_ELEMENTS = 100_000
 
 
-def _nest(df: DataFrame, keys, field_sets, order_by, null_keys: str, max_elements: int | None):
+def _nest(df: DataFrame, keys, field_sets, order_by, null_keys: str, max_elements: int | None,
+          constants: Mapping[str, Column] | None = None):
     if max_elements is None:
-        return nest_field_sets(df, keys, field_sets, order_by, null_keys)
-    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements, null_keys=null_keys)
+        return nest_field_sets(df, keys, field_sets, order_by, null_keys, constants=constants)
+    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements, null_keys=null_keys,
+                                           constants=constants)
     return SplitDocuments(docs, elements)
 
 
+def constant_columns(defaults: Mapping[str, object]) -> dict[str, Column]:
+    """Default map -> literal Columns (``None`` is a typed null double)."""
+    return {k: (F.lit(None).cast("double") if v is None else F.lit(v)) for k, v in defaults.items()}
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Add constant columns (B5); ``None`` becomes a typed null double."""
     cols = {}
@@ -146,15 +153,17 @@ def loan_staged(loan_accounts: DataFrame, loan_attributes: DataFrame, funders: D
 def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
                    defaults: Mapping[str, object] = specs.LOAN_DEFAULTS, null_keys: str = "drop",
                    zone: str = "Australia/Sydney", max_elements: int | None = DEFAULT_MAX_ELEMENTS):
-    """K3: defaults, zone stamps, renames, NaN -> null, then 7 field sets.
-    The result is a ``SplitDocuments`` (plain DataFrame with ``max_elements=None``)."""
-    df = with_defaults(staged, defaults)
-    df = stamp_columns(df, specs.LOAN_DATETIME_COLS, zone)
+    """K3: zone stamps, renames, NaN -> null, then 7 field sets; the product
+    defaults are constants attached after the aggregation (not carried
+    through the shuffle).  The result is a ``SplitDocuments`` (plain
+    DataFrame with ``max_elements=None``)."""
+    df = stamp_columns(staged, specs.LOAN_DATETIME_COLS, zone)
     df = rename_existing(df, specs.LOAN_RENAMES)
     if "funder" in df.columns:
         df = df.drop("funder")
-    df = normalise_nulls(df)
-    return _nest(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys, max_elements)
+    df = normalise_nulls(df.drop(*[c for c in defaults if c in df.columns]))
+    return _nest(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys, max_elements,
+                 constant_columns(defaults))
 
 
 # -- K4 --------------------------------------------------------------------------
@@ -175,17 +184,17 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
         raw_keys = [k for k, v in specs.DISBURSEMENT_RENAMES.items() if v in specs.DISBURSEMENT_KEYS]
         df = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in raw_keys)))
     df = df.withColumn("predefinedFeeKey", lookup("fee_type", fee_keys, strict=strict, what="fee type"))
-    df = with_defaults(df, defaults)
     df = stamp_columns(df, specs.DISBURSEMENT_DATETIME_COLS, zone)
     df = rename_existing(df, specs.DISBURSEMENT_RENAMES).drop("fee_type")
-    df = normalise_nulls(df)
-    nested = _nest(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep", max_elements)
+    df = normalise_nulls(df.drop(*[c for c in defaults if c in df.columns]))
+    nested = _nest(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep", max_elements,
+                   constant_columns(defaults))
     if isinstance(nested, SplitDocuments):
         return SplitDocuments(nested.documents.withColumn("copies", F.lit(1).cast("bigint")), nested.elements)
     return nested.withColumn("copies", F.lit(1).cast("bigint"))
 
 
 __all__ = [
-    "SplitDocuments", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "SplitDocuments", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
 ]

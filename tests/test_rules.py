@@ -219,3 +219,16 @@ def test_s1_strict_and_lenient_int(spark):
     assert [r[0] for r in df.select(scalars.to_int("t", lenient=True)).collect()] == [12, None]
     with pytest.raises(Exception):
         df.select(scalars.to_int("t")).collect()   # ANSI: '' is not an INT
+
+
+def test_nest_constants_are_attached_after_the_aggregation(spark):
+    df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a")], "id string, seq int, v string")
+    consts = {"kind": F.lit("Group"), "flag": F.lit(False), "plan": F.lit(None).cast("double")}
+    sets = [FieldSet("obj", ["v", "flag", "plan"]), FieldSet("arr", ["v", "kind"], array=True)]
+    out = nest.nest_field_sets(df, ["id", "kind"], sets, ["seq"], constants=consts)
+    assert out.columns == ["id", "kind", "arr", "obj", "copies"]
+    row = out.first()
+    assert row.kind == "Group" and row.obj.asDict() == {"flag": False, "plan": None, "v": "a"}
+    assert [e.asDict() for e in row.arr] == [{"kind": "Group", "v": "a"}, {"kind": "Group", "v": "b"}]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Group" not in plan.split("Exchange")[1] if "Exchange" in plan else True  # not shuffled
