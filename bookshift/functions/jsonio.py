@@ -110,8 +110,9 @@ def flatten_json(df: DataFrame, col_name: str, keep: list[str] | None = None, se
 def flatten_json_long(df: DataFrame, key: str, body_col: str, max_depth: int = 8, sep: str = "_") -> DataFrame:
     """Flatten JSON text of unknown shape to long form ``(key, path, value)``.
 
-    One level per step, ``max_depth`` steps, each a single ``explode_outer``
-    over the previous step (the plan grows linearly with depth): an object
+    One level per step, each a single ``explode_outer`` over the previous step
+    (the plan grows linearly with depth); the number of steps is the largest
+    bracket count of any text, capped at ``max_depth``: an object
     is read as ``map<string,string>`` (nested values come back as their JSON
     text), an array as ``array<string>`` with positions, and a leaf passes
     through unchanged.  Paths join names and positions with ``sep``
@@ -119,7 +120,11 @@ def flatten_json_long(df: DataFrame, key: str, body_col: str, max_depth: int = 8
     """
     v = F.col("v")
     cur = df.select(F.col(key), F.lit("").alias("path"), F.trim(F.col(body_col)).alias("v"))
-    for _ in range(max_depth):
+    # Nesting depth is at most the number of '{' and '[' in a text: one small
+    # aggregate bounds the levels actually needed (an over-estimate is safe).
+    opens = F.length(F.col("v")) - F.length(F.regexp_replace(F.col("v"), r"[\[{]", ""))
+    bound = cur.agg(F.coalesce(F.max(opens), F.lit(0)).alias("d")).first()["d"]
+    for _ in range(min(max_depth, int(bound))):
         is_obj = v.startswith("{")
         is_arr = v.startswith("[")
         entries = (F.when(is_obj, F.transform(F.map_entries(F.from_json(v, "map<string,string>")),
