@@ -38,3 +38,25 @@ def test_handover_writes_one_request_per_document_per_batch(spark):
     assert body["valueDate"] == "2022-12-07T00:00:00+11:00"
     assert body["transactionDetails"] == {"transactionChannelId": "settlement"}
     assert out.select(F.countDistinct("batch_id")).first()[0] == 1
+
+
+def test_handover_picks_up_only_new_files_after_restart(spark):
+    src = tempfile.mkdtemp(prefix="bookshift-src2-")
+    sink = tempfile.mkdtemp(prefix="bookshift-sink2-")
+    ckpt = tempfile.mkdtemp(prefix="bookshift-sckpt2-")
+    ts = dt.datetime(2023, 6, 1)
+    first = [("1", ts, ts, ts, "Brokerage Fee", 1.0)]
+    second = [("2", ts, ts, ts, "Transaction Fees", 2.0), ("3", ts, ts, ts, "Establishment Fee", 3.0)]
+    spark.createDataFrame(first, SCHEMA).write.mode("append").parquet(src)
+    q = handover_stream(spark.readStream.schema(SCHEMA).parquet(src), _build, sink, name="restart1",
+                        checkpoint_location=ckpt)
+    q.awaitTermination(120)
+    spark.createDataFrame(second, SCHEMA).write.mode("append").parquet(src)
+    q = handover_stream(spark.readStream.schema(SCHEMA).parquet(src), _build, sink, name="restart2",
+                        checkpoint_location=ckpt)
+    q.awaitTermination(120)
+    out = spark.read.parquet(sink)
+    got = sorted((r.batch_id, r.request_id) for r in out.collect())
+    assert got == [(0, "1"), (1, "2"), (1, "3")]
+    # winter in Sydney: standard offset
+    assert json.loads(out.where("request_id = '2'").first().body)["valueDate"] == "2023-06-01T00:00:00+10:00"
