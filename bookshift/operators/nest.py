@@ -297,3 +297,25 @@ def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequen
     for p in parts[1:]:
         elements = elements.unionByName(p)
     return docs, elements
+
+
+def quality_report(df: DataFrame, keys: Sequence[str], max_elements: int | None = None) -> DataFrame:
+    """One row describing what nesting ``df`` by ``keys`` will do (Q1, Q4).
+
+    ``staged_rows``, ``null_key_rows`` (dropped by P2), ``entities``,
+    ``entities_with_copies`` (more than one staged row, P8),
+    ``largest_entity_rows`` and ``hot_entities`` (more than ``max_elements``
+    rows, split out by ``nest_field_sets_split``).  One partial aggregate per
+    key, then one global aggregate over the per-key counts; no join.
+    """
+    per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_key.withColumn("is_null", ~_keys_not_null(keys))
+    real = ~F.col("is_null")
+    limit = F.lit(max_elements if max_elements is not None else None).cast("bigint")
+    return per_key.agg(
+        F.sum("n").cast("bigint").alias("staged_rows"),
+        F.coalesce(F.sum(F.when(F.col("is_null"), F.col("n"))), F.lit(0)).cast("bigint").alias("null_key_rows"),
+        F.count(F.when(real, 1)).cast("bigint").alias("entities"),
+        F.count(F.when(real & (F.col("n") > 1), 1)).cast("bigint").alias("entities_with_copies"),
+        F.max(F.when(real, F.col("n"))).cast("bigint").alias("largest_entity_rows"),
+        F.count(F.when(real & (F.col("n") > limit), 1)).cast("bigint").alias("hot_entities"))

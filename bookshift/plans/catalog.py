@@ -1444,6 +1444,27 @@ def q_client_match_audit(spark, sf):
     return audit.withColumn("birthdate", F.col("birthdate").cast("string"))
 
 
+@query("client_quality_report", _CLIENT_STAGED_SQL + """,
+m AS (SELECT id, firstname AS firstName, middlename AS middleName, surname AS lastName,
+             COALESCE(CAST(birthdate AS VARCHAR), 'None') AS birthDate, mobile AS mobilePhone,
+             email AS emailAddress FROM staged),
+per_key AS (SELECT COUNT(*) AS n,
+                   (id IS NULL OR firstName IS NULL OR middleName IS NULL OR lastName IS NULL
+                    OR birthDate IS NULL OR mobilePhone IS NULL OR emailAddress IS NULL) AS is_null
+            FROM m GROUP BY id, firstName, middleName, lastName, birthDate, mobilePhone, emailAddress)
+SELECT CAST(SUM(n) AS BIGINT) AS staged_rows,
+       CAST(COALESCE(SUM(CASE WHEN is_null THEN n END), 0) AS BIGINT) AS null_key_rows,
+       CAST(COUNT(CASE WHEN NOT is_null THEN 1 END) AS BIGINT) AS entities,
+       CAST(COUNT(CASE WHEN NOT is_null AND n > 1 THEN 1 END) AS BIGINT) AS entities_with_copies,
+       CAST(MAX(CASE WHEN NOT is_null THEN n END) AS BIGINT) AS largest_entity_rows,
+       CAST(COUNT(CASE WHEN NOT is_null AND n > 100000 THEN 1 END) AS BIGINT) AS hot_entities
+FROM per_key
+""")
+def q_client_quality_report(spark, sf):
+    master = documents.client_master(_client_staged(spark, sf))
+    return nest.quality_report(master, specs.CLIENT_KEYS, documents.DEFAULT_MAX_ELEMENTS)
+
+
 # =============================================================================
 # Result columns whose pandas form differs between the engines
 # =============================================================================

@@ -85,6 +85,13 @@ def client_staged(applicants: DataFrame, details: DataFrame) -> DataFrame:
     return merge_null_safe(applicants, details, ["loanid", "birthdate"])
 
 
+def client_master(staged: DataFrame, null_date_text: str | None = "None") -> DataFrame:
+    """Client staged rows renamed to document names, birth date as text (P11), NaN -> null."""
+    master = rename_existing(staged, specs.CLIENT_RENAMES)
+    master = master.withColumn("birthDate", date_text("birthDate", null_date_text))
+    return normalise_nulls(master)
+
+
 def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
                      null_keys: str = "drop", null_date_text: str | None = "None",
                      max_elements: int | None = DEFAULT_MAX_ELEMENTS):
@@ -96,9 +103,7 @@ def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
     with more than ``max_elements`` staged rows are not collected into one
     row (``max_elements=None`` gives the plain documents DataFrame).
     """
-    master = rename_existing(staged, specs.CLIENT_RENAMES)
-    master = master.withColumn("birthDate", date_text("birthDate", null_date_text))
-    master = normalise_nulls(master)
+    master = client_master(staged, null_date_text)
     return _nest(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys, max_elements)
 
 
@@ -195,6 +200,6 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
 
 
 __all__ = [
-    "SplitDocuments", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "SplitDocuments", "client_master", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
 ]

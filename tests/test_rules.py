@@ -232,3 +232,11 @@ def test_nest_constants_are_attached_after_the_aggregation(spark):
     assert [e.asDict() for e in row.arr] == [{"kind": "Group", "v": "a"}, {"kind": "Group", "v": "b"}]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Group" not in plan.split("Exchange")[1] if "Exchange" in plan else True  # not shuffled
+
+
+def test_quality_report(spark):
+    rows = [("a", "x", i) for i in range(5)] + [("b", "x", 0), ("c", None, 0), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "k1 string, k2 string, seq int")
+    r = nest.quality_report(df, ["k1", "k2"], max_elements=3).first().asDict()
+    assert r == {"staged_rows": 8, "null_key_rows": 2, "entities": 2, "entities_with_copies": 1,
+                 "largest_entity_rows": 5, "hot_entities": 1}
