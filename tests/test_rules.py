@@ -240,3 +240,10 @@ def test_quality_report(spark):
     r = nest.quality_report(df, ["k1", "k2"], max_elements=3).first().asDict()
     assert r == {"staged_rows": 8, "null_key_rows": 2, "entities": 2, "entities_with_copies": 1,
                  "largest_entity_rows": 5, "hot_entities": 1}
+
+
+def test_a6_list_endpoint_edge_bodies(spark):
+    df = spark.createDataFrame([('[{"encodedKey":"k1","name":"A"}]',), ("[]",), (None,), ("not json",)], "body string")
+    out = jsonio.dimension_from_json_array(df, "body", "encodedKey string, name string",
+                                           {"encodedKey": "encodedKey", "name": "funder"})
+    assert [tuple(r) for r in out.collect()] == [("k1", "A")]
