@@ -1465,6 +1465,25 @@ def q_client_quality_report(spark, sf):
     return nest.quality_report(master, specs.CLIENT_KEYS, documents.DEFAULT_MAX_ELEMENTS)
 
 
+@query("client_quarantine", _CLIENT_STAGED_SQL + """,
+m AS (SELECT id, firstname AS firstName, middlename AS middleName, surname AS lastName,
+             COALESCE(CAST(birthdate AS VARCHAR), 'None') AS birthDate, mobile AS mobilePhone,
+             email AS emailAddress, loanid, application_role FROM staged)
+SELECT id, loanid, application_role,
+       concat_ws(',', CASE WHEN id IS NULL THEN 'id' END, CASE WHEN firstName IS NULL THEN 'firstName' END,
+                 CASE WHEN middleName IS NULL THEN 'middleName' END, CASE WHEN lastName IS NULL THEN 'lastName' END,
+                 CASE WHEN birthDate IS NULL THEN 'birthDate' END,
+                 CASE WHEN mobilePhone IS NULL THEN 'mobilePhone' END,
+                 CASE WHEN emailAddress IS NULL THEN 'emailAddress' END) AS null_keys
+FROM m
+WHERE id IS NULL OR firstName IS NULL OR middleName IS NULL OR lastName IS NULL OR birthDate IS NULL
+   OR mobilePhone IS NULL OR emailAddress IS NULL
+""")
+def q_client_quarantine(spark, sf):
+    q = documents.client_quarantine(_client_staged(spark, sf))
+    return q.select("id", "loanid", "application_role", "null_keys")
+
+
 # =============================================================================
 # Result columns whose pandas form differs between the engines
 # =============================================================================

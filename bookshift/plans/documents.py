@@ -18,7 +18,7 @@ from bookshift.functions.jsonio import JSON_OPTS
 from bookshift.functions.scalars import date_text, lookup, normalise_nulls
 from bookshift.functions.temporal import tz_stamp
 from bookshift.operators.joins import merge_chain, merge_null_safe
-from bookshift.operators.nest import FieldSet, nest_field_sets, nest_field_sets_split
+from bookshift.operators.nest import FieldSet, nest_field_sets, nest_field_sets_split, quarantine_null_keys
 from bookshift.plans import specs
 
 
@@ -92,6 +92,12 @@ def client_master(staged: DataFrame, null_date_text: str | None = "None") -> Dat
     return normalise_nulls(master)
 
 
+def client_quarantine(staged: DataFrame, null_date_text: str | None = "None") -> DataFrame:
+    """Client staged rows that ``client_documents`` leaves out because a key
+    is null (P2: e.g. a missing middle name), with the null key names (Q1)."""
+    return quarantine_null_keys(client_master(staged, null_date_text), specs.CLIENT_KEYS)
+
+
 def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
                      null_keys: str = "drop", null_date_text: str | None = "None",
                      max_elements: int | None = DEFAULT_MAX_ELEMENTS):
@@ -200,6 +206,6 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
 
 
 __all__ = [
-    "SplitDocuments", "client_master", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "SplitDocuments", "client_master", "client_quarantine", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
 ]

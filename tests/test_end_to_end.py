@@ -173,3 +173,13 @@ def test_cohort_and_audit(spark, tables):
     assert datasets.multi_adhoc(tables).collect()[0].asDict() == {"ymr_idlink_foreign": "3", "count_of_pending": 2}
     pairs = sorted(tuple(r) for r in datasets.joint_applicant_pairs(tables["v_c_lap_dbo_wealthx_loan"]).collect())
     assert pairs == [(1, "aa-11", "bb-22"), (2, "bb-22", "aa-11")]
+
+
+def test_client_quarantine_lists_rows_lost_to_null_keys(spark):
+    staged = spark.createDataFrame(
+        [(1, "2000-01-01", "aa", "Ann", None, "Lee", "0400", "a@x", "primary"),
+         (2, "2000-01-02", "bb", "Bob", "J", "Ray", "0411", "b@x", "primary")],
+        "loanid int, birthdate string, id string, firstname string, middlename string, surname string, "
+        "mobile string, email string, application_role string").withColumn("birthdate", F.col("birthdate").cast("date"))
+    q = documents.client_quarantine(staged).collect()
+    assert [(r.id, r.null_keys) for r in q] == [("aa", "middleName")]
