@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, exact_dedup
+from bookshift.llm import chat_format, exact_dedup, near_dedup
 from bookshift.llm.common import table
 
 
@@ -21,9 +21,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 _OP2 = r"""
@@ -74,7 +79,34 @@ select doc_id, max(doc_id) over (partition by norm) as keep_id,
 from d
 """
 
+_OP9 = r"""
+with recursive d as (
+  select doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') as w from documents),
+sh as (
+  select distinct doc_id, unnest(case when len(w) >= 5
+    then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from d),
+size as (select doc_id, count(*) as n from sh group by doc_id),
+links as (
+  select a.doc_id as u, b.doc_id as v
+  from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id
+  join size x on x.doc_id = a.doc_id join size y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n
+  having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach as (
+  select u as doc_id, v as other from links
+  union
+  select r.doc_id, l.v from reach r join links l on l.u = r.other),
+top as (select doc_id, min(other) as other from reach group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(top.other, d.doc_id)) as component_id,
+  d.doc_id = least(d.doc_id, coalesce(top.other, d.doc_id)) as kept
+from d left join size using (doc_id) left join top using (doc_id)
+"""
+
 ORACLE = {
     "op2_chat_format": _OP2,
     "op5_exact_dedup": _OP5,
+    "op9_minhash_near_dedup": _OP9,
 }
