@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, exact_dedup, near_dedup
+from bookshift.llm import chat_format, decontaminate, exact_dedup, near_dedup
 from bookshift.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -26,11 +30,54 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
+_WORDS = (r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+
+_OP1 = r"""
+with d as (select row_number() over () as rid, doc_id, {words} as w from documents),
+b as (select row_number() over () as bid, item_id, {words} as w from benchmark),
+grams as (
+  select item_id, k, unnest(list_transform(range(1, greatest(len(w) - 13, 0) + 2),
+    lambda i: array_to_string(w[i:i + k - 1], ' '))) as g
+  from (select *, least(13, len(w)) as k from b where len(w) > 0)),
+said as (
+  select rid, k, generate_subscripts(s, 1) - 1 as spot, unnest(s) as g from (
+    select rid, k, list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')) as s
+    from d, (select distinct k from grams) where len(w) >= k)),
+hit as (
+  select rid, item_id, spot, said.k from said join (select distinct * from grams) grams
+  on said.g = grams.g and said.k = grams.k),
+covered as (select rid, count(*) as n from (
+  select distinct rid, unnest(range(spot, spot + k)) as pos from hit) group by rid),
+found as (
+  select rid, count(*) as n, string_agg(item_id, ',' order by item_id) as ids
+  from (select distinct rid, cast(item_id as varchar) as item_id from hit) group by rid),
+post as (select rid, unnest(w) as term, generate_subscripts(w, 1) as pos from d),
+held as (select term, count(*) as held from post group by term),
+item_terms as (select distinct bid, item_id, unnest(w) as term from b),
+rare as (
+  select *, count(*) over (partition by bid) as needed from (
+    select t.*, coalesce(held, 0) as held,
+      row_number() over (partition by bid order by coalesce(held, 0), t.term) as place
+    from item_terms t left join held using (term)) where place <= 4),
+seen as (
+  select rid, item_id, needed, count(distinct term) over (
+    partition by rid, bid order by pos range between 31 preceding and current row) as seen
+  from post join rare using (term)),
+near as (select rid, count(distinct item_id) as n from seen where seen = needed group by rid)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(covered.n, 0) as n_hit, coalesce(found.n, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(covered.n, 0) > 0 and 20 * coalesce(covered.n, 0) >= len(w) as contaminated,
+  coalesce(near.n, 0) as n_near
+from d left join covered using (rid) left join found using (rid) left join near using (rid)
+""".replace("{words}", _WORDS)
+
 _OP2 = r"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -106,6 +153,7 @@ from d left join size using (doc_id) left join top using (doc_id)
 """
 
 ORACLE = {
+    "op1_decontamination": _OP1,
     "op2_chat_format": _OP2,
     "op5_exact_dedup": _OP5,
     "op9_minhash_near_dedup": _OP9,
