@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, decontaminate, exact_dedup, near_dedup
+from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, secrets
 from bookshift.llm.common import table
 
 
@@ -21,10 +21,18 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(turns.unionByName(probe))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,7 +40,9 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
+    "op3_license_scan": op3_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
@@ -115,6 +125,54 @@ select conv_id, count(*) as n_turns,
 from y group by conv_id
 """
 
+
+
+def _values(rows: list[tuple]) -> str:
+    said = [", ".join("null" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in r) for r in rows]
+    return "(values " + ", ".join(f"({r})" for r in said) + ")"
+
+
+_OP3 = r"""
+with d as (select row_number() over () as rid, doc_id, {words} as w from documents),
+post as (select rid, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from d),
+phrases(phrase, label, j, word) as {phrases},
+notices(notice, label, key, key_at, j, word) as {notices},
+places as (
+  select rid, phrase, label, pos - j as spot from post join phrases using (word)
+  group by rid, phrase, label, pos - j
+  having count(*) = any_value((select count(*) from phrases p where p.phrase = phrases.phrase))),
+base as (
+  select rid, count(*) as n_base, min(spot) as first_word, max(spot) as last_word,
+    list_sort(list(distinct label)) as labels
+  from places where label is not null group by rid),
+held as (select rid, pos, word from post where word in (select word from notices)),
+rare as (
+  select rid, word from (
+    select rid, word, row_number() over (partition by rid order by df, word) as place
+    from (select distinct rid, word from held)
+    join (select word, count(distinct rid) as df from held group by word) using (word))
+  where place <= {rarest}),
+size as (select notice, label, key, key_at, count(*) as size from notices group by all),
+proposed as (
+  select rid, notice, pos - j as spot from held join rare using (rid, word) join notices using (word)
+  join size using (notice) group by rid, notice, pos - j having count(*) >= least({votes}, any_value(size))),
+keyed as (
+  select distinct p.rid, p.notice, p.spot, size.label, size.size
+  from proposed p join size using (notice)
+  join places k on k.rid = p.rid and k.phrase = size.key and abs(p.spot + key_at - k.spot) <= {slack}),
+found as (
+  select rid, max(stand / size) as cover, list(distinct keyed.label) as labels
+  from (select rid, notice, pos - j as spot, count(*) as stand from held join notices using (word)
+        group by rid, notice, pos - j) join keyed using (rid, notice, spot) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(array_to_string(base.labels, ','), '') as base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))),
+    ','), '') as labels,
+  coalesce(cover, case when n_base > 0 then {phrase} else 0 end) as score
+from d left join base using (rid) left join found using (rid)
+""".format(words=_WORDS, phrases=_values(licenses.rules()[0]), notices=_values(licenses.rules()[1]),
+           rarest=licenses.RAREST, votes=licenses.VOTES, slack=licenses.SLACK, phrase=licenses.PHRASE_SCORE)
+
 _OP5 = """
 with d as (
   select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
@@ -155,6 +213,7 @@ from d left join size using (doc_id) left join top using (doc_id)
 ORACLE = {
     "op1_decontamination": _OP1,
     "op2_chat_format": _OP2,
+    "op3_license_scan": _OP3,
     "op5_exact_dedup": _OP5,
     "op9_minhash_near_dedup": _OP9,
 }
