@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, secrets
+from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, packing, secrets
 from bookshift.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
     "op3_license_scan": op3_license_scan,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
