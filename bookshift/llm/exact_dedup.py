@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.llm.common import small_batches, stage, texts
+from bookshift.llm.common import broadcast_up_to, lower_ascii, small_batches, stage, texts
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTS = ("kind int, part long, owner int, idx int, row long, doc_id long, sha256 string, "
@@ -165,8 +165,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
                      .select("part", "row", "doc_id", "sha256"), "suspects")
 
     # byte verification: only texts of suspects move, one copy of each a task
-    ids = suspects.select("doc_id").distinct()
-    again = pairs.join(ids.withColumnRenamed("doc_id", "sid"), F.col("doc_id").eqNullSafe(F.col("sid")), "left_semi")
+    ids = broadcast_up_to(suspects.select(F.col("doc_id").alias("sid")), suspects.count(), 16)
+    again = pairs.join(ids, F.col("doc_id").eqNullSafe(F.col("sid")), "left_semi")
     equal = (again.select("text").mapInArrow(_normalised, "sha256 string, text binary")
              .groupBy("sha256", "text").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("sha256").agg(F.count(F.lit(1)).alias("texts")))
@@ -204,8 +204,6 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
         return single
     kept = judged.filter("kept").select(F.col("doc_id").alias("kid"), "text_sha256")
     twice = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["sid"]), "left_semi")
-    from bookshift.llm.common import lower_ascii
-
     sha = F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
     same = docs["doc_id"].eqNullSafe(kept["kid"]) & (F.col("__sha") == kept["text_sha256"])
     return single.unionByName(
