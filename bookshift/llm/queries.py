@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, packing, secrets
+from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, packing, quality, secrets, toxicity, warc
 from bookshift.llm.common import table
 
 
@@ -33,6 +33,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -41,14 +49,21 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
     "op3_license_scan": op3_license_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 _WORDS = (r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -189,6 +204,48 @@ select doc_id, max(doc_id) over (partition by norm) as keep_id,
 from d
 """
 
+_OP7 = r"""
+with p as (
+  select page_id, url, html,
+    to_timestamp(1700000000 + page_id % 5000 * 60 + page_id % 97 * 86400) at time zone 'UTC' as first,
+    '"' || md5(coalesce(html, ''))[1:16] || '"' as tag,
+    strftime(to_timestamp(1690000000 + page_id % 1000 * 3600) at time zone 'UTC', '%Y-%m-%d %H:%M:%S') as changed,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i)https?://', '') as u
+  from pages),
+k as (
+  select *, lower(regexp_replace(regexp_extract(u, '^([^/?]*)', 1), '^(?i)(www|m)\.|:(80|443)$', '', 'g'))
+    || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || case when q <> '' then '?' || q else '' end as url_key
+  from (select *, coalesce(array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+    lambda x: x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref)='))), '&'), '') as q from p)),
+r as (
+  select page_id * 4 as id, url_key, first as at_time, case when page_id % 3 <> 1 then tag end as etag, changed,
+    strftime(first, '%Y-%m-%d %H:%M:%S') as said, html from k where page_id % 11 <> 5),
+v as (
+  select page_id * 4 + visit as id, url_key, visit, changed,
+    first + to_seconds(case visit when 1 then 3600 when 2 then 30 * 86400 else 45 * 86400 end
+      - case when page_id % 13 = 7 then 50 * 86400 else 0 end) as at_time,
+    case when visit = 3 then '"changed"' when page_id % 3 = 0 then 'W/' || tag end as etag
+  from k, (values (1), (2), (3)) t(visit)),
+j as (
+  select v.*, r.id as rid, r.etag as retag, r.changed as rchanged, r.html,
+    row_number() over (partition by v.id order by r.at_time desc nulls last, r.id desc nulls last) as place
+  from v left join r on r.url_key = v.url_key and r.at_time < v.at_time),
+o as (
+  select *, case when rid is null then 'no-response'
+    when etag is not null and retag is not null
+      then case when regexp_replace(etag, '^W/', '') = regexp_replace(retag, '^W/', '') then 'resolved' else 'mismatch' end
+    when changed = rchanged then 'resolved' else 'mismatch' end as outcome
+  from j where place = 1)
+select id, url_key, case when outcome = 'resolved' then rid end as response_id, outcome,
+  case when outcome = 'resolved' then 'cache-control=max-age=' || visit || ';content-type=text/html;date='
+    || strftime(at_time, '%Y-%m-%d %H:%M:%S') || coalesce(';etag=' || coalesce(etag, retag), '')
+    || ';last-modified=' || rchanged end as headers,
+  case when outcome = 'resolved' then length(html) end as body_chars,
+  case when outcome = 'resolved' then md5(html) end as body_md5
+from o
+"""
+
 _OP9 = r"""
 with recursive d as (
   select doc_id, list_filter(string_split_regex(
@@ -220,5 +277,6 @@ ORACLE = {
     "op2_chat_format": _OP2,
     "op3_license_scan": _OP3,
     "op5_exact_dedup": _OP5,
+    "op7_warc_revisits": _OP7,
     "op9_minhash_near_dedup": _OP9,
 }

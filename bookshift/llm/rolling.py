@@ -82,3 +82,29 @@ def shingles(text: bytes, width: int = 5) -> np.ndarray:
         if end == len(data):
             return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
         at = back + 1
+
+
+_WORD = np.array([c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 for c in range(256)])
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a text, in order: runs of ASCII letters (A-Z
+    lower-cased), digits and bytes outside ASCII.  Long texts go in pieces cut
+    between words."""
+    data, found, at = text.translate(_LOWER), [], 0
+    while at < len(data):
+        piece = data[at:at + PIECE]
+        inside = _WORD[np.frombuffer(piece, np.uint8)]
+        if at + len(piece) < len(data):
+            gaps = np.flatnonzero(~inside)
+            if not len(gaps):  # one word fills the piece: take the text up to its end
+                rest = np.flatnonzero(~_WORD[np.frombuffer(data, np.uint8, offset=at)])
+                piece = data[at:at + int(rest[0])] if len(rest) else data[at:]
+                inside = np.ones(len(piece), bool)
+            else:
+                piece, inside = piece[:int(gaps[-1]) + 1], inside[:int(gaps[-1]) + 1]
+        at += len(piece)
+        edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+        found.append(range_hashes(piece, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)))
+    return np.concatenate([np.empty(0, np.uint64), *found])
