@@ -207,9 +207,9 @@ from d
 _OP7 = r"""
 with p as (
   select page_id, url, html,
-    to_timestamp(1700000000 + page_id % 5000 * 60 + page_id % 97 * 86400) at time zone 'UTC' as first,
+    1700000000 + page_id % 5000 * 60 + page_id % 97 * 86400 as first,
     '"' || md5(coalesce(html, ''))[1:16] || '"' as tag,
-    strftime(to_timestamp(1690000000 + page_id % 1000 * 3600) at time zone 'UTC', '%Y-%m-%d %H:%M:%S') as changed,
+    cast(1690000000 + page_id % 1000 * 3600 as varchar) as changed,
     regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i)https?://', '') as u
   from pages),
 k as (
@@ -219,11 +219,10 @@ k as (
   from (select *, coalesce(array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
     lambda x: x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref)='))), '&'), '') as q from p)),
 r as (
-  select page_id * 4 as id, url_key, first as at_time, case when page_id % 3 <> 1 then tag end as etag, changed,
-    strftime(first, '%Y-%m-%d %H:%M:%S') as said, html from k where page_id % 11 <> 5),
+  select page_id * 4 as id, url_key, first as at_time, case when page_id % 3 <> 1 then tag end as etag, changed, html from k where page_id % 11 <> 5),
 v as (
   select page_id * 4 + visit as id, url_key, visit, changed,
-    first + to_seconds(case visit when 1 then 3600 when 2 then 30 * 86400 else 45 * 86400 end
+    first + (case visit when 1 then 3600 when 2 then 30 * 86400 else 45 * 86400 end
       - case when page_id % 13 = 7 then 50 * 86400 else 0 end) as at_time,
     case when visit = 3 then '"changed"' when page_id % 3 = 0 then 'W/' || tag end as etag
   from k, (values (1), (2), (3)) t(visit)),
@@ -239,7 +238,7 @@ o as (
   from j where place = 1)
 select id, url_key, case when outcome = 'resolved' then rid end as response_id, outcome,
   case when outcome = 'resolved' then 'cache-control=max-age=' || visit || ';content-type=text/html;date='
-    || strftime(at_time, '%Y-%m-%d %H:%M:%S') || coalesce(';etag=' || coalesce(etag, retag), '')
+    || at_time || coalesce(';etag=' || coalesce(etag, retag), '')
     || ';last-modified=' || rchanged end as headers,
   case when outcome = 'resolved' then length(html) end as body_chars,
   case when outcome = 'resolved' then md5(html) end as body_md5

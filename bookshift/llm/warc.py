@@ -17,7 +17,8 @@ are ordered, the body is joined to a resolved record by the response's id.
 
 Defined results: a null URL, time or id never resolves (``no-key``) and is no
 candidate; of responses at the same time the largest id is the latest, and a
-response at the revisit's own time is not earlier; no earlier response is
+response at the revisit's own time is not earlier; responses that share an id
+are one record; revisits that repeat are answered each; no earlier response is
 ``no-response``, disagreeing or missing validators are ``mismatch``; empty
 tables give empty results; other columns are ignored.
 """
@@ -94,7 +95,7 @@ def resolve(responses: DataFrame, revisits: DataFrame, slice_seconds: int = SLIC
     outcome = (F.when(F.col("key").isNull(), "no-key").when(F.col("seen").isNull(), "no-response")
                .when(agree, "resolved").otherwise("mismatch"))
     judged = here.unionByName(later).unionByName(none).withColumn("outcome", outcome)
-    source = full.select(F.col("id").alias("sid"), F.col("headers").alias("old"), "full_body")
+    source = full.select(F.col("id").alias("sid"), F.col("headers").alias("old"), "full_body").dropDuplicates(["sid"])
     fresh = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("old", lambda k, _: ~F.map_contains_key(fresh, k)), fresh)
     resolved = F.col("outcome") == "resolved"
@@ -112,12 +113,13 @@ def crawl(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     day = F.col("page_id") % 97
     first = F.timestamp_seconds(F.lit(1700000000) + F.col("page_id") % 5000 * 60 + day * 86400)
     tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
-    changed = F.date_format(F.timestamp_seconds(F.lit(1690000000) + F.col("page_id") % 1000 * 3600), "yyyy-MM-dd HH:mm:ss")
+    changed = (F.lit(1690000000) + F.col("page_id") % 1000 * 3600).cast("string")
+    stamp = lambda t: F.unix_timestamp(t).cast("string")  # noqa: E731 - the same text under any session time zone
     responses = pages.select(
         (F.col("page_id") * 4).alias("id"), "url", first.alias("at"),
         F.when(F.col("page_id") % 11 == 5, 404).otherwise(200).alias("status"),
         F.map_filter(F.create_map(
-            F.lit("content-type"), F.lit("text/html"), F.lit("date"), F.date_format(first, "yyyy-MM-dd HH:mm:ss"),
+            F.lit("content-type"), F.lit("text/html"), F.lit("date"), stamp(first),
             F.lit("etag"), F.when(F.col("page_id") % 3 != 1, tag), F.lit("last-modified"), changed),
             lambda _, v: v.isNotNull()).alias("headers"), F.col("html").alias("body"))
     visit = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("visit")
@@ -129,7 +131,7 @@ def crawl(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("visit") == 2, F.concat("url", F.lit("#again"))).otherwise(F.col("url")).alias("url"),
         at.alias("at"),
         F.map_filter(F.create_map(
-            F.lit("date"), F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit("server"), F.lit("edge"),
+            F.lit("date"), stamp(at), F.lit("server"), F.lit("edge"),
             F.lit("etag"), F.when(F.col("visit") == 3, F.lit('"changed"')).when(
                 F.col("page_id") % 3 == 0, F.concat(F.lit("W/"), F.col("tag"))),
             F.lit("last-modified"), F.col("changed"), F.lit("cache-control"), F.concat(F.lit("max-age="), F.col("visit"))),
