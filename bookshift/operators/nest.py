@@ -4,9 +4,10 @@ A *field set* names a group of columns that becomes one attribute of the
 document: an object (the entity's first record) or an array of objects (all
 records, in staged order).  All field sets of a document are built by ONE
 ``groupBy(keys).agg(...)``: no per-field-set aggregate and no re-join of the
-pieces.  Every aggregate used here (``min_by``, ``collect_list``, ``count``)
-has a partial phase, so each map task ships one buffer per entity rather than
-one row per record.
+pieces.  ``min_by`` and ``count`` shrink in the
+map tasks; ``collect_list`` moves every record's bytes once, because the
+document holds them all.  ``document_headers`` and ``document_elements`` give
+the same content uncollected, for entities no row should hold.
 
 Rules kept from the original pipeline (see the P-numbers in the README):
 
@@ -207,115 +208,54 @@ def duplicate_entities(df: DataFrame, keys: Sequence[str], min_rows: int = 2) ->
             .where(F.col("staged_rows") >= min_rows))
 
 
-def nest_field_sets_split(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
-                          order_by: Sequence[str | Column], max_elements: int,
-                          copies_col: str = "copies", max_broadcast_keys: int = 1_000_000,
-                          null_keys: str = "drop", materialize: bool = True,
-                          constants: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``nest_field_sets`` that never collects a large entity into one row.
-
-    Entities with at most ``max_elements`` staged rows are nested as usual.
-    A larger ("hot") entity still gets one document row with its object
-    field sets (partial ``min_by``) and ``copies``, but its array field sets
-    are left null and ``elements_split`` is true; its elements come back in
-    the second DataFrame as ``(keys..., field_set, order, element)`` rows,
-    with ``element`` the element's JSON text (``null`` for a pruned element)
-    and ``order`` the staged-order struct, so a sender can stream them in
-    order.  No step holds a hot entity's records in one task or row.
-
-    Row counts per entity come from a partial aggregate.  The hot-key list
-    has at most ``rows / max_elements`` entries; it is broadcast when a
-    capped count shows it under ``max_broadcast_keys``, otherwise the
-    semi/anti joins shuffle on the keys, the same partitioning the
-    nesting uses.  Rows with a null key are dropped (P2) unless
-    ``null_keys="keep"`` (for callers that filtered already).
-
-    With ``materialize`` (default) the staged rows are checkpointed first, so
-    the upstream joins run once; hot entities' rows are then only filtered
-    (broadcast semi join) and projected, never shuffled by their key.
-    """
-    from bookshift.operators.sizing import broadcast_if_bounded
-    from bookshift.operators.staging import materialize as materialize_df
-
-    constants = dict(constants or {})
-    user_keys = list(keys)
-    keys = [k for k in user_keys if k not in constants]  # constant keys do not split anything
-    staged = df.where(_keys_not_null(keys)) if null_keys == "drop" and keys else df
-    if materialize:
-        # Counting, splitting and nesting all read the staged rows; they are
-        # written once to the shared checkpoint folder instead of recomputed.
-        staged = materialize_df(staged, "staged")
-    counts = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > max_elements).select(*keys)
+def document_headers(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
+                     order_by: Sequence[str | Column], null_keys: str = "drop", copies_col: str = "copies",
+                     constants: Mapping[str, Column] | None = None) -> DataFrame:
+    """Every entity without its arrays: keys, object field sets (first record,
+    partial ``min_by``) and ``copies``.  With ``document_elements`` this is the
+    uncollected form of ``nest_field_sets``, for entities of any size: no task
+    ever holds the records of an entity together."""
     objects = [fs for fs in field_sets if not fs.array]
-    arrays = [fs for fs in field_sets if fs.array]
-    no_hot = False
-    if materialize:
-        hot = materialize_df(hot, "hot-keys")  # computed once; read by the size check and both joins
-        no_hot = hot.limit(1).count() == 0    # reads the small written list
-    if no_hot:
-        # The usual case: nothing to split, so no anti / semi joins at all.
-        small_rows, hot_rows = staged, staged.where(F.lit(False))
-        docs = nest_field_sets(staged, user_keys, field_sets, order_by, "keep", copies_col, constants) \
-            .withColumn("elements_split", F.lit(False))
-    else:
-        hot = broadcast_if_bounded(hot, max_broadcast_keys)
-        on = None
-        for k in keys:
-            c = staged[f"`{k}`"].eqNullSafe(hot[f"`{k}`"])
-            on = c if on is None else on & c
-        small_rows = staged.join(hot, on, "left_anti")
-        hot_rows = staged.join(hot, on, "left_semi")
-        docs_small = nest_field_sets(small_rows, user_keys, field_sets, order_by, "keep", copies_col, constants)
-        if objects:
-            docs_hot = nest_field_sets(hot_rows, user_keys, objects, order_by, "keep", copies_col, constants)
-        else:
-            docs_hot = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies_col)).select(
-                *[(constants[k] if k in constants else F.col(f"`{k}`")).alias(k) for k in user_keys], copies_col)
-        docs_hot = docs_hot.withColumns({fs.name: F.lit(None).cast(docs_small.schema[fs.name].dataType)
-                                         for fs in arrays})
-        docs = (docs_small.withColumn("elements_split", F.lit(False))
-                .unionByName(docs_hot.select(*docs_small.columns).withColumn("elements_split", F.lit(True))))
+    return nest_field_sets(df, keys, objects, order_by, null_keys, copies_col, constants)
 
-    types = {f.name: f.dataType for f in staged.schema.fields}
-    types.update(_constant_types(staged, constants))
-    order = _order_struct(order_by)
-    parts = []
-    key_cols = [(constants[k] if k in constants else F.col(f"`{k}`")).alias(k) for k in user_keys]
-    for fs in arrays:
-        elem = F.struct(*[(constants[f] if f in constants else F.col(f"`{f}`")).alias(f) for f in sorted(fs.fields)])
+
+def document_elements(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
+                      order_by: Sequence[str | Column], null_keys: str = "drop",
+                      constants: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per array element of every entity: ``(keys..., field_set,
+    order, element)``, ``element`` as JSON text (``null`` for a pruned one) and
+    ``order`` the staged-order struct.  A projection; nothing is shuffled."""
+    constants = dict(constants or {})
+    var_keys = [k for k in keys if k not in constants]
+    staged = df.where(_keys_not_null(var_keys)) if null_keys == "drop" and var_keys else df
+    types = {f.name: f.dataType for f in staged.schema.fields} | _constant_types(staged, constants)
+    value = lambda c: constants[c] if c in constants else F.col(f"`{c}`")
+    made = []
+    for fs in (f for f in field_sets if f.array):
+        elem = F.struct(*[value(f).alias(f) for f in sorted(fs.fields)])
         if fs.prune:
             elem = F.when(_all_null(elem, fs.fields, True, types), F.lit(None)).otherwise(elem)
-        parts.append(hot_rows.select(*key_cols, F.lit(fs.name).alias("field_set"),
-                                     order.alias("order"),
-                                     F.coalesce(F.to_json(elem), F.lit("null")).alias("element")))
-    if not parts:  # no array field sets: nothing is ever split out
-        parts.append(hot_rows.where(F.lit(False)).select(
-            *key_cols, F.lit(None).cast("string").alias("field_set"),
-            order.alias("order"), F.lit(None).cast("string").alias("element")))
-    elements = parts[0]
-    for p in parts[1:]:
-        elements = elements.unionByName(p)
-    return docs, elements
-
-
-def quality_report(df: DataFrame, keys: Sequence[str], max_elements: int | None = None) -> DataFrame:
+        made.append(F.struct(F.lit(fs.name).alias("field_set"), _order_struct(order_by).alias("order"),
+                             F.coalesce(F.to_json(elem), F.lit("null")).alias("element")))
+    if not made:
+        raise ValueError("no field set is an array")
+    return staged.select(*[value(k).alias(k) for k in keys], F.inline(F.array(*made)))
+
+
+def quality_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row describing what nesting ``df`` by ``keys`` will do (Q1, Q4).
 
     ``staged_rows``, ``null_key_rows`` (dropped by P2), ``entities``,
-    ``entities_with_copies`` (more than one staged row, P8),
-    ``largest_entity_rows`` and ``hot_entities`` (more than ``max_elements``
-    rows, split out by ``nest_field_sets_split``).  One partial aggregate per
-    key, then one global aggregate over the per-key counts; no join.
+    ``entities_with_copies`` (more than one staged row, P8) and
+    ``largest_entity_rows``.  One partial aggregate per key, then one global
+    aggregate over the per-key counts; no join.
     """
     per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     per_key = per_key.withColumn("is_null", ~_keys_not_null(keys))
     real = ~F.col("is_null")
-    limit = F.lit(max_elements if max_elements is not None else None).cast("bigint")
     return per_key.agg(
         F.sum("n").cast("bigint").alias("staged_rows"),
         F.coalesce(F.sum(F.when(F.col("is_null"), F.col("n"))), F.lit(0)).cast("bigint").alias("null_key_rows"),
         F.count(F.when(real, 1)).cast("bigint").alias("entities"),
         F.count(F.when(real & (F.col("n") > 1), 1)).cast("bigint").alias("entities_with_copies"),
-        F.max(F.when(real, F.col("n"))).cast("bigint").alias("largest_entity_rows"),
-        F.count(F.when(real & (F.col("n") > limit), 1)).cast("bigint").alias("hot_entities"))
+        F.max(F.when(real, F.col("n"))).cast("bigint").alias("largest_entity_rows"))

@@ -17,7 +17,7 @@ from bookshift.functions import jsonio, scalars, temporal
 from bookshift.operators import joins, nest, requests, rows
 from bookshift.operators.nest import FieldSet
 from bookshift.operators.sizing import broadcast_if_bounded
-from bookshift.plans import datasets, documents, specs, standins
+from bookshift.plans import datasets, documents, expected, specs, standins
 from bookshift.plans.standins import table
 from bookshift.sources import tables as sources
 
@@ -869,34 +869,12 @@ def _tz_sql(c: str) -> str:
 K7_TABLES = ["io_keys_masterreference", "io_product_masterreference", "io_link_masterreference",
              "io_client_masterreference", "io_client_typeindividual", "io_client_addressdetail",
              "io_client_contactdetail", "io_control_clientgender", "io_control_clienttitle"]
-K7_SQL = f"""
-WITH loans AS (SELECT ymr_idlink_foreign, ymr_idlink_armnet FROM io_keys_masterreference
-               WHERE ymr_idlink_xfk = '{_SYS}'),
-     borrowers AS (SELECT loans.ymr_idlink_foreign, loans.ymr_idlink_armnet, link.lmr_idlink_cmr AS client
-                   FROM loans
-                   JOIN io_link_masterreference link ON link.lmr_idlink_code_id = loans.ymr_idlink_armnet
-                   JOIN io_client_masterreference cl ON cl.cmr_id = link.lmr_idlink_cmr),
-     contacts AS (SELECT ccd_idlink_cmr AS client, ccd_idlink_xct AS kind, ccd_details AS detail
-                  FROM io_client_contactdetail)
-SELECT CAST(b.ymr_idlink_foreign AS INTEGER) AS loanid, person.cti_firstname AS firstname,
-       person.cti_middlename AS middlename, person.cti_surname AS surname,
-       CAST(person.cti_dob AS DATE) AS birthdate, phone.detail AS mobile, mail.detail AS email,
-       addr.cad_streetname AS line1, addr.cad_city AS city, addr.cad_state AS region, 'Australia' AS country,
-       addr.cad_postcode AS postcode, product.rmr_vedascore AS veda_score, ttl.xcti_detail AS title
-FROM borrowers b
-JOIN io_product_masterreference product ON product.rmr_id = b.ymr_idlink_armnet
-JOIN io_client_typeindividual person ON person.cti_idlink_cmr = b.client
-JOIN io_client_addressdetail addr ON addr.cad_idlink_cmr = b.client
-JOIN contacts phone ON phone.client = b.client AND phone.kind = '{specs.DEFAULT_GUIDS["mobile_contact"]}'
-JOIN contacts mail ON mail.client = b.client AND mail.kind = '{specs.DEFAULT_GUIDS["email_contact"]}'
-LEFT JOIN io_control_clientgender gender ON gender.xcgn_id = person.cti_idlink_xcgn
-LEFT JOIN io_control_clienttitle ttl ON ttl.xcti_id = person.cti_idlink_xct
-"""
+K7_SQL = expected.BORROWERS
 K7_COLS = ("loanid, firstname, middlename, surname, CAST(birthdate AS VARCHAR) AS birthdate, mobile, email, "
            "line1, city, region, country, postcode, veda_score, title")
 
 
-@query("client_details_operational", loan_sources.duckdb_ctes(K7_TABLES) + f", k7 AS ({K7_SQL})\n"
+@query("client_details_operational", f"WITH k7 AS ({K7_SQL})\n"
        f"SELECT {K7_COLS} FROM k7")
 def q_client_details_operational(spark, sf):
     k7 = datasets.client_details_operational(_src(spark, sf, *K7_TABLES))
@@ -904,21 +882,9 @@ def q_client_details_operational(spark, sf):
 
 
 K8_TABLES = ["v_c_lap_dbo_wealthx_loan"]
-K8_SQL = """
-WITH app AS (SELECT loanid, applicationid, wisrcustomerid, CAST(dob AS DATE) AS birthdate
-             FROM v_c_lap_dbo_wealthx_loan)
-SELECT DISTINCT * FROM (
-    SELECT wisrcustomerid, replace(wisrcustomerid, '-', '') AS id, birthdate, loanid,
-           'primary' AS application_role
-    FROM app
-    UNION ALL
-    SELECT me.wisrcustomerid, replace(other.wisrcustomerid, '-', '') AS id, other.birthdate, me.loanid,
-           'secondary' AS application_role
-    FROM app me JOIN app other ON other.applicationid = me.applicationid AND other.loanid <> me.loanid
-) AS roles
-"""
+K8_SQL = expected.APPLICANTS
 
-@query("applicants_by_role", loan_sources.duckdb_ctes(K8_TABLES) + f", k8 AS ({K8_SQL})\n"
+@query("applicants_by_role", f"WITH k8 AS ({K8_SQL})\n"
        "SELECT wisrcustomerid, id, CAST(birthdate AS VARCHAR) AS birthdate, loanid, application_role FROM k8")
 def q_applicants_by_role(spark, sf):
     k8 = datasets.applicants_by_role(_src(spark, sf, *K8_TABLES))
@@ -930,119 +896,39 @@ K9_TABLES = ["io_keys_masterreference", "io_product_masterreference", "io_produc
              "io_control_productratemaster", "io_product_controldate", "io_product_controlrate",
              "io_product_loanmdt", "io_control_statusmaster", "io_task_pending", "io_control_taskmaster",
              "io_product_loantransfer", "io_client_bankdetail"]
-K9_SQL = f"""
-WITH loans AS (SELECT CAST(ymr_idlink_foreign AS INTEGER) AS loanid, ymr_idlink_armnet AS rmr
-               FROM io_keys_masterreference WHERE ymr_idlink_xfk = '{_SYS}'),
-balance AS (SELECT bal.rcb_idlink_rmr AS rmr, bal.rcb_currentvalue AS loan_amount
-            FROM io_product_controlbalance bal
-            JOIN io_control_productbalance kind ON kind.xrbl_id = bal.rcb_idlink_xrbl
-            WHERE kind.xrbl_id = '{specs.DEFAULT_GUIDS["loan_balance"]}'),
-funders AS (SELECT link.lmr_idlink_code_id AS rmr, cl.cmr_name AS funder
-            FROM io_link_masterreference link
-            JOIN io_product_masterreference prod ON prod.rmr_id = link.lmr_idlink_code_id
-            JOIN io_client_masterreference cl ON cl.cmr_id = link.lmr_idlink_cmr
-            JOIN io_control_productratemaster master
-                 ON master.xrrm_detail LIKE 'Direct Money' || chr(92) || 'Provisional Rate' || chr(92) || cl.cmr_name
-                    ESCAPE '!'
-            WHERE link.lmr_idlink_association = '{specs.DEFAULT_GUIDS["funder_link"]}'),
-dated AS (SELECT rcd_idlink_rmr AS rmr, rcd_type AS kind, rcd_currentstart AS at FROM io_product_controldate),
-rates AS (SELECT rcr_idlink_rmr AS rmr, rcr_rate AS interest_rate FROM io_product_controlrate
-          WHERE rcr_type IN (2, 3)),
-terms AS (SELECT rlm_idlink_rmr AS rmr, rlm_term_years * 12 AS loan_term FROM io_product_loanmdt),
-statuses AS (SELECT prod.rmr_id AS rmr, replace(st.xsu_detail, 'Direct Money' || chr(92), '') AS loan_status
-             FROM io_product_masterreference prod JOIN io_control_statusmaster st ON st.xsu_id = prod.rmr_idlink_xsu),
-tasks AS (SELECT t.kpd_id, t.kpd_idlink_code AS rmr, t.kpd_daystart, t.kpd_datenext, m.xtkm_iduser AS user_code
-          FROM io_task_pending t JOIN io_control_taskmaster m ON m.xtkm_id = t.kpd_idlink_xtkm),
-frequency AS (SELECT rmr,
-                     CASE WHEN user_code IN (107, 115) THEN 'Monthly' WHEN user_code IN (114, 116) THEN 'Fortnightly'
-                          WHEN user_code IN (112, 117) THEN 'Weekly' END AS payment_frequency,
-                     kpd_daystart AS recurring_repayment_day
-              FROM tasks WHERE user_code IN (107, 112, 114, 115, 116, 117)),
-scheduled AS (SELECT t.rmr, tr.rdd_idlink_cbd AS account, t.kpd_datenext AS next_repayment_due_date,
-                     tr.rdd_processamount AS repayment_amount
-              FROM tasks t JOIN io_product_loantransfer tr ON tr.rdd_idlink_kpd = t.kpd_id
-              WHERE t.user_code IN (107, 112, 114)),
-one_off AS (SELECT t.rmr, t.kpd_datenext AS adhoc_repayment_date, tr.rdd_processamount AS adhoc_repayment_amount
-            FROM tasks t JOIN io_product_loantransfer tr ON tr.rdd_idlink_kpd = t.kpd_id
-            WHERE t.user_code = 111)
-SELECT l.loanid, f.funder, appr.at AS approved_date, r.interest_rate, tm.loan_term, b.loan_amount,
-       fq.payment_frequency, fq.recurring_repayment_day, st.loan_status, sc.next_repayment_due_date,
-       sc.repayment_amount, oo.adhoc_repayment_date, oo.adhoc_repayment_amount,
-       acct.cbd_accountname AS account_name, acct.cbd_accountbsbno AS account_bsb,
-       acct.cbd_accountnumber AS account_number, mat.at AS maturity_date
-FROM loans l
-JOIN statuses st ON st.rmr = l.rmr
-JOIN balance b ON b.rmr = l.rmr
-JOIN funders f ON f.rmr = l.rmr
-JOIN dated disb ON disb.rmr = l.rmr AND disb.kind = 6
-JOIN dated appr ON appr.rmr = l.rmr AND appr.kind = 2
-JOIN dated mat ON mat.rmr = l.rmr AND mat.kind = 4
-JOIN rates r ON r.rmr = l.rmr
-JOIN terms tm ON tm.rmr = l.rmr
-LEFT JOIN frequency fq ON fq.rmr = l.rmr
-LEFT JOIN scheduled sc ON sc.rmr = l.rmr
-LEFT JOIN one_off oo ON oo.rmr = l.rmr
-LEFT JOIN io_client_bankdetail acct ON acct.cbd_id = sc.account
-"""
+K9_SQL = expected.LOANS
 
 
-@query("loan_accounts_operational", loan_sources.duckdb_ctes(K9_TABLES) + f", k9 AS ({K9_SQL})\n"
+@query("loan_accounts_operational", f"WITH k9 AS ({K9_SQL})\n"
        "SELECT * FROM k9")
 def q_loan_accounts_operational(spark, sf):
     return datasets.loan_accounts_operational(_src(spark, sf, *K9_TABLES))
 
 
 K10_TABLES = ["v_c_lap_dbo_wealthx_loan", "v_c_lap_dbo_tb_loansecurity"]
-K10_SQL = """
-SELECT loans.loanid,
-       CASE loans.issecuredrateloan WHEN 1 THEN 'Secured' ELSE 'Unsecured' END AS rate_type,
-       loans.loanpurpose AS loan_purpose,
-       CASE WHEN sec.issecureloan = 1 THEN 'True' ELSE 'False' END AS is_secure
-FROM v_c_lap_dbo_wealthx_loan loans
-LEFT JOIN v_c_lap_dbo_tb_loansecurity sec ON sec.loanid = loans.loanid
-"""
+K10_SQL = expected.ATTRIBUTES
 
 
-@query("loan_attributes", loan_sources.duckdb_ctes(K10_TABLES) + f", k10 AS ({K10_SQL})\nSELECT * FROM k10")
+@query("loan_attributes", f"WITH k10 AS ({K10_SQL})\nSELECT * FROM k10")
 def q_loan_attributes(spark, sf):
     return datasets.loan_attributes(_src(spark, sf, *K10_TABLES))
 
 
 K11_TABLES = ["io_keys_masterreference", "io_product_transaction", "io_control_transactionmaster",
               "io_product_controldate"]
-K11_SQL = f"""
-WITH fees AS (SELECT xtrm_id, xtrm_idtext AS fee_type FROM io_control_transactionmaster
-              WHERE xtrm_idtext IN ('Brokerage Fee', 'Establishment Fee', 'Transaction Fees')),
-     disbursed AS (SELECT rcd_idlink_rmr AS rmr, rcd_currentstart AS at FROM io_product_controldate
-                   WHERE rcd_type = 6)
-SELECT DISTINCT keys.ymr_idlink_foreign AS loanid, d.at AS value_date, d.at AS booking_date,
-       d.at + INTERVAL 1 MONTH AS first_repayment_date, f.fee_type, tx.rtm_value AS amount
-FROM io_keys_masterreference keys
-JOIN io_product_transaction tx ON tx.rtm_idlink_rmr = keys.ymr_idlink_armnet
-JOIN fees f ON f.xtrm_id = tx.rtm_idlink_xtrm
-JOIN disbursed d ON d.rmr = keys.ymr_idlink_armnet
-WHERE keys.ymr_idlink_xfk = '{_SYS}'
-"""
+K11_SQL = expected.FEES
 
 
-@query("disbursement_details", loan_sources.duckdb_ctes(K11_TABLES) + f", k11 AS ({K11_SQL})\nSELECT * FROM k11")
+@query("disbursement_details", f"WITH k11 AS ({K11_SQL})\nSELECT * FROM k11")
 def q_disbursement_details(spark, sf):
     return datasets.disbursement_details(_src(spark, sf, *K11_TABLES))
 
 
 K6_TABLES = ["io_keys_masterreference", "io_task_pending", "io_control_taskmaster"]
-K6_SQL = f"""
-WITH one_off AS (SELECT t.kpd_id, t.kpd_idlink_code FROM io_task_pending t
-                 JOIN io_control_taskmaster m ON m.xtkm_id = t.kpd_idlink_xtkm WHERE m.xtkm_iduser = 111)
-SELECT keys.ymr_idlink_foreign, COUNT(DISTINCT o.kpd_id) AS count_of_pending
-FROM io_keys_masterreference keys JOIN one_off o ON o.kpd_idlink_code = keys.ymr_idlink_armnet
-WHERE keys.ymr_idlink_xfk = '{_SYS}'
-GROUP BY keys.ymr_idlink_foreign
-HAVING COUNT(DISTINCT o.kpd_id) > 1
-"""
+K6_SQL = expected.SEVERAL_ONE_OFF
 
 
-@query("multi_adhoc_repayment", loan_sources.duckdb_ctes(K6_TABLES) + f", k6 AS ({K6_SQL})\nSELECT * FROM k6")
+@query("multi_adhoc_repayment", f"WITH k6 AS ({K6_SQL})\nSELECT * FROM k6")
 def q_multi_adhoc_repayment(spark, sf):
     return datasets.multi_adhoc(_src(spark, sf, *K6_TABLES))
 
@@ -1051,38 +937,10 @@ K5_TABLES = ["rpt_arm_loanstatus", "v_c_arm_dbo_io_keys_masterreference", "v_c_a
              "v_c_lap_dbo_wealthx_loan"]
 
 
-_K5_SQL = f"""
-WITH tx AS (SELECT CAST(keys.ymr_idlink_foreign AS BIGINT) AS loan_id, COUNT(DISTINCT t.rtm_id) AS count_of_tran
-            FROM v_c_arm_dbo_io_keys_masterreference keys
-            JOIN v_c_arm_dbo_io_product_transaction t ON t.rtm_idlink_rmr = keys.ymr_idlink_armnet
-            WHERE keys.ymr_idlink_xfk = '{_SYS}' AND t.rtm_datee < DATE '{AS_AT}'
-            GROUP BY keys.ymr_idlink_foreign),
-open_loans AS (SELECT s.loan_id, s.loanstatus, s.startdate, tx.count_of_tran
-               FROM rpt_arm_loanstatus s JOIN tx ON tx.loan_id = s.loan_id
-               WHERE DATE '{AS_AT}' BETWEEN s.startdate AND s.enddate AND s.startdate >= DATE '{START_FROM}'),
-sole AS (SELECT o.* FROM open_loans o JOIN v_c_lap_dbo_wealthx_loan w ON w.loanid = o.loan_id
-         WHERE w.isjointapplication = 0),
-pairs AS (SELECT DISTINCT a.loanid, a.wisrcustomerid AS pri_id, b.wisrcustomerid AS sec_id
-          FROM v_c_lap_dbo_wealthx_loan a JOIN v_c_lap_dbo_wealthx_loan b ON b.email = a.jointapplicantemail
-          WHERE a.isjointapplication = 1 AND lower(a.wisrcustomerid) <> lower(b.wisrcustomerid)
-            AND b.wisrcustomerid NOT IN ('', '00000000-0000-0000-0000-000000000000')),
-joint AS (SELECT o.* FROM open_loans o JOIN pairs p ON p.loanid = o.loan_id),
-ranked AS (
-    SELECT 'sole' AS application_type, *,
-           row_number() OVER (PARTITION BY loanstatus ORDER BY count_of_tran ASC NULLS LAST,
-                              startdate DESC NULLS FIRST, loan_id) AS loan_seq FROM sole
-    UNION ALL
-    SELECT 'joint' AS application_type, *,
-           row_number() OVER (PARTITION BY loanstatus ORDER BY count_of_tran ASC NULLS LAST,
-                              startdate DESC NULLS FIRST, loan_id) AS loan_seq FROM joint)
-SELECT application_type, loan_id, chr(39) || CAST(loan_id AS VARCHAR) || chr(39) AS loan_id_str, loanstatus,
-       replace(loanstatus, 'Direct Money' || chr(92), '') AS loan_status, CAST(startdate AS VARCHAR) AS startdate,
-       count_of_tran, loan_seq
-FROM ranked WHERE loan_seq <= 5
-"""
+_K5_SQL = expected.cohort(AS_AT, START_FROM)
 
 
-@query("test_cohort", loan_sources.duckdb_ctes(K5_TABLES) + f", k5 AS ({_K5_SQL})\nSELECT * FROM k5")
+@query("test_cohort", f"WITH k5 AS ({_K5_SQL})\nSELECT * FROM k5")
 def q_test_cohort(spark, sf):
     k5 = datasets.test_cohort(_src(spark, sf, *K5_TABLES), as_at=AS_AT, start_from=START_FROM)
     return k5.withColumn("startdate", F.col("startdate").cast("string")) \
@@ -1103,27 +961,25 @@ _FEE_CASE = ("CASE fee_type WHEN 'Establishment Fee' THEN 'fee-key-establishment
 
 def _disbursement_docs(spark, sf):
     k11 = datasets.disbursement_details(_src(spark, sf, *K11_TABLES))
-    return documents.disbursement_documents(k11, order_by=["predefinedFeeKey", "amount"]).documents
+    return documents.disbursement_documents(k11, order_by=["predefinedFeeKey", "amount"])
 
 
-@query("disbursement_payload", loan_sources.duckdb_ctes(K11_TABLES) + f""", k11 AS ({K11_SQL}),
+_DISBURSEMENT_SQL = f"""WITH k11 AS ({K11_SQL}),
 staged AS (SELECT loanid AS id, {_tz_sql('value_date')} AS valueDate, {_tz_sql('booking_date')} AS bookingDate,
                   {_tz_sql('first_repayment_date')} AS firstRepaymentDate, {_FEE_CASE} AS predefinedFeeKey, amount
-           FROM k11)
-SELECT id, CAST(1 AS BIGINT) AS copies, CAST(COUNT(*) AS BIGINT) AS n_fees,
-       string_agg(predefinedFeeKey, ',' ORDER BY predefinedFeeKey, amount) AS fee_keys,
-       valueDate, firstRepaymentDate, 'settlement' AS channel
-FROM staged GROUP BY id, bookingDate, valueDate, firstRepaymentDate
-""")
-def q_disbursement_payload(spark, sf):
-    d = _disbursement_docs(spark, sf)
-    keys = F.array_join(F.transform("fees", lambda x: F.coalesce(x.getField("predefinedFeeKey"), F.lit("null"))),
-                        ",")
-    return d.select("id", "copies", _size_or_minus1("fees").alias("n_fees"), keys.alias("fee_keys"),
-                    "valueDate", "firstRepaymentDate",
-                    F.col("transactionDetails.transactionChannelId").alias("channel"))
+           FROM k11),
+docs AS (
+SELECT id, CAST(1 AS BIGINT) AS copies,
+       '{{"bookingDate":"' || bookingDate || '","fees":[' ||
+       string_agg('{{"amount":' || CAST(amount AS VARCHAR) || ',"predefinedFeeKey":"' || predefinedFeeKey || '"}}', ','
+                  ORDER BY predefinedFeeKey, amount) ||
+       '],"firstRepaymentDate":"' || firstRepaymentDate || '","id":"' || id ||
+       '","transactionDetails":{{"transactionChannelId":"settlement"}},"valueDate":"' || valueDate || '"}}' AS payload
+FROM staged GROUP BY id, bookingDate, valueDate, firstRepaymentDate)
+"""
 
 
+@query("disbursement_payload", _DISBURSEMENT_SQL + "SELECT * FROM docs")
 def disbursement_payloads(spark, sf):
     """Flagship output: one JSON document per disbursement."""
     return documents.payloads(_disbursement_docs(spark, sf))
@@ -1137,7 +993,7 @@ def _client_staged(spark, sf):
     return documents.client_staged(datasets.applicants_by_role(t), datasets.client_details_operational(t))
 
 
-_CLIENT_STAGED_SQL = (loan_sources.duckdb_ctes(_K1_TABLES) + f""", k7 AS ({K7_SQL}), k8 AS ({K8_SQL}),
+_CLIENT_STAGED_SQL = (f"""WITH k7 AS ({K7_SQL}), k8 AS ({K8_SQL}),
 staged AS (SELECT k8.wisrcustomerid, k8.id, k8.birthdate, k8.loanid, k8.application_role, k7.firstname,
                   k7.middlename, k7.surname, k7.mobile, k7.email, k7.line1, k7.city, k7.region, k7.country,
                   k7.postcode, k7.veda_score, k7.title
@@ -1168,9 +1024,8 @@ SELECT id, CAST(COUNT(*) AS BIGINT) AS copies, CAST(COUNT(*) AS BIGINT) AS n_add
 FROM r GROUP BY id, firstName, middleName, lastName, birthDate, mobilePhone, emailAddress
 """)
 def q_client_payload(spark, sf):
-    docs = documents.client_documents(_client_staged(spark, sf), order_by=["loanid", "application_role"]).documents
-    body = F.struct(*[F.col(f"`{c}`") for c in sorted(c for c in docs.columns
-                                                      if c not in ("copies", "elements_split"))])
+    docs = documents.client_documents(_client_staged(spark, sf), order_by=["loanid", "application_role"])
+    body = F.struct(*[F.col(f"`{c}`") for c in sorted(c for c in docs.columns if c != "copies")])
     return docs.select("id", "copies", _size_or_minus1("addresses").alias("n_addresses"),
                        F.to_json(body, jsonio.JSON_OPTS).alias("payload"))
 
@@ -1185,22 +1040,11 @@ SELECT loanid AS id, CAST(COUNT(*) AS BIGINT) AS n_members,
 FROM staged WHERE loanid IS NOT NULL GROUP BY loanid
 """)
 def q_group_payload(spark, sf):
-    # The staged clients feed both the fetch requests and the attachment of
-    # the answers; they are written once to the shared checkpoint folder
-    # instead of being recomputed by both branches.
-    from bookshift.operators.staging import materialize
-    staged = materialize(_client_staged(spark, sf), "client-staged")
-    # Fetch each client once (GET /clients/<id>), then attach the answers by request key.
-    reqs = requests.fetch_requests(staged.select("id").distinct(), "id")
-    answers = reqs.select("request_id", F.lit(200).alias("status_code"),
-                          F.to_json(F.struct(F.concat(F.lit("key-"), F.col("request_id")).alias("encodedKey"),
-                                             F.col("request_id").alias("id"))).alias("body"))
-    fetched = requests.response_summary(reqs, answers, body_schema="encodedKey string, id string")
-    clients = staged.select("id", "loanid", "application_role").join(fetched.select("id", "encodedKey"), "id")
-    groups = documents.group_documents(clients, order_by=["application_role", "encodedKey"]).documents
-    return documents.group_payloads(groups).join(
-        groups.select("id", F.size("groupMembers").cast("bigint").alias("n_members")), "id") \
-        .select("id", "n_members", "payload")
+    # the answers to "read client" are an input of their own; they are attached by the id asked for
+    answers = jsonio.flatten_json(standins.client_answers(spark, sf).select(
+        jsonio.parse_json_col("body", "encodedKey string, id string").alias("b")), "b")
+    clients = _client_staged(spark, sf).select("id", "loanid", "application_role").join(answers, "id")
+    return documents.group_payloads(documents.group_documents(clients, order_by=["application_role", "encodedKey"]))
 
 
 _K3_TABLES = sorted(set(K9_TABLES + K10_TABLES))
@@ -1238,7 +1082,7 @@ def _loan_docs(spark, sf):
     t = _src(spark, sf, *_K3_TABLES)
     staged = documents.loan_staged(datasets.loan_accounts_operational(t), datasets.loan_attributes(t),
                                    _funders(spark, sf), _group_keys(spark, sf), "trial-1")
-    return documents.loan_documents(staged, order_by=_LOAN_ORDER).documents
+    return documents.loan_documents(staged, order_by=_LOAN_ORDER)
 
 
 def _all_null_sql(cols):
@@ -1249,7 +1093,7 @@ _REP = ["next_due", "payment_frequency", "repayment_amount", "recurring_repaymen
 _ADH = ["adhoc_date", "adhoc_repayment_amount"]
 
 
-@query("loan_payload", loan_sources.duckdb_ctes(_K3_TABLES) + f""", k9 AS ({K9_SQL}), k10 AS ({K10_SQL}),
+@query("loan_payload", f"""WITH k9 AS ({K9_SQL}), k10 AS ({K10_SQL}),
 funders AS (SELECT 'branch-' || CAST(n_nationkey AS VARCHAR) AS encodedKey, n_name AS funder FROM nation),
 grp AS (SELECT 'grp-' || CAST(o_orderkey AS VARCHAR) AS accountHolderKey, o_orderkey AS loanid FROM orders),
 staged AS (SELECT DISTINCT k9.*, k10.rate_type, k10.loan_purpose, k10.is_secure, f.encodedKey, g.accountHolderKey
@@ -1317,47 +1161,33 @@ def loan_payloads(spark, sf):
 
 
 # =============================================================================
-# Hot-entity split of the nesting (scale path)
+# Documents without collecting an entity
 # =============================================================================
 
-_SPLIT_MAX = 4
+_LINE_SETS = [FieldSet("lines", ["l_linenumber", "l_partkey"], array=True),
+              FieldSet("flags", ["l_returnflag", "l_linestatus"])]
 
 
-def _split(spark, sf):
-    l = table(spark, sf, "lineitem")
-    sets = [FieldSet("lines", ["l_linenumber", "l_partkey"], array=True),
-            FieldSet("flags", ["l_returnflag", "l_linestatus"])]
-    return nest.nest_field_sets_split(l, ["l_orderkey"], sets, LSEQ[1:], _SPLIT_MAX)
-
-
-@query("nest_split_documents", f"""
-WITH e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey
-                                        ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn,
-                  COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
-SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS copies, max(n) > {_SPLIT_MAX} AS elements_split,
-       CASE WHEN max(n) > {_SPLIT_MAX} THEN NULL ELSE CAST(COUNT(*) AS BIGINT) END AS n_lines,
-       max(CASE WHEN rn = 1 THEN l_returnflag || l_linestatus END) AS first_flags
-FROM e GROUP BY l_orderkey
+@query("document_headers", """
+SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS copies,
+       min_by(l_returnflag || l_linestatus, {'a': l_linenumber, 'b': l_partkey, 'c': l_suppkey}) AS first_flags
+FROM lineitem GROUP BY l_orderkey
 """)
-def q_nest_split_documents(spark, sf):
-    docs, _ = _split(spark, sf)
-    return docs.select("l_orderkey", "copies", "elements_split",
-                       F.when(F.col("lines").isNull(), F.lit(None)).otherwise(F.size("lines")).cast("bigint")
-                       .alias("n_lines"),
-                       F.concat("flags.l_returnflag", "flags.l_linestatus").alias("first_flags"))
+def q_document_headers(spark, sf):
+    d = nest.document_headers(table(spark, sf, "lineitem"), ["l_orderkey"], _LINE_SETS, LSEQ[1:])
+    return d.select("l_orderkey", "copies", F.concat("flags.l_returnflag", "flags.l_linestatus").alias("first_flags"))
 
 
-@query("nest_split_elements", f"""
-WITH e AS (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+@query("document_elements", """
 SELECT l_orderkey, 'lines' AS field_set, l_linenumber, l_partkey, l_suppkey,
-       '{{"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || '}}'
+       '{"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || '}'
        AS element
-FROM e WHERE n > {_SPLIT_MAX}
+FROM lineitem
 """)
-def q_nest_split_elements(spark, sf):
-    _, elements = _split(spark, sf)
-    return elements.select("l_orderkey", "field_set", F.col("order.o0").alias("l_linenumber"),
-                           F.col("order.o1").alias("l_partkey"), F.col("order.o2").alias("l_suppkey"), "element")
+def q_document_elements(spark, sf):
+    e = nest.document_elements(table(spark, sf, "lineitem"), ["l_orderkey"], _LINE_SETS, LSEQ[1:])
+    return e.select("l_orderkey", "field_set", F.col("order.o0").alias("l_linenumber"),
+                    F.col("order.o1").alias("l_partkey"), F.col("order.o2").alias("l_suppkey"), "element")
 
 
 # =============================================================================
@@ -1430,7 +1260,7 @@ def q_json_flatten_long(spark, sf):
     return jsonio.flatten_json_long(e.select(F.col("event_id").alias("seq"), body.alias("body")), "seq", "body")
 
 
-@query("client_match_audit", loan_sources.duckdb_ctes(_K1_TABLES) + f""", k7 AS ({K7_SQL}), k8 AS ({K8_SQL}),
+@query("client_match_audit", f"""WITH k7 AS ({K7_SQL}), k8 AS ({K8_SQL}),
 a AS (SELECT loanid, birthdate, COUNT(*) AS applicant_rows FROM k8 GROUP BY loanid, birthdate),
 b AS (SELECT loanid, birthdate, COUNT(*) AS borrower_rows FROM k7 GROUP BY loanid, birthdate)
 SELECT a.loanid, CAST(a.birthdate AS VARCHAR) AS birthdate, a.applicant_rows, b.borrower_rows,
@@ -1456,13 +1286,12 @@ SELECT CAST(SUM(n) AS BIGINT) AS staged_rows,
        CAST(COALESCE(SUM(CASE WHEN is_null THEN n END), 0) AS BIGINT) AS null_key_rows,
        CAST(COUNT(CASE WHEN NOT is_null THEN 1 END) AS BIGINT) AS entities,
        CAST(COUNT(CASE WHEN NOT is_null AND n > 1 THEN 1 END) AS BIGINT) AS entities_with_copies,
-       CAST(MAX(CASE WHEN NOT is_null THEN n END) AS BIGINT) AS largest_entity_rows,
-       CAST(COUNT(CASE WHEN NOT is_null AND n > 100000 THEN 1 END) AS BIGINT) AS hot_entities
+       CAST(MAX(CASE WHEN NOT is_null THEN n END) AS BIGINT) AS largest_entity_rows
 FROM per_key
 """)
 def q_client_quality_report(spark, sf):
     master = documents.client_master(_client_staged(spark, sf))
-    return nest.quality_report(master, specs.CLIENT_KEYS, documents.DEFAULT_MAX_ELEMENTS)
+    return nest.quality_report(master, specs.CLIENT_KEYS)
 
 
 @query("client_quarantine", _CLIENT_STAGED_SQL + """,
@@ -1509,7 +1338,6 @@ RESULT_CASTS = {
     "scalar_casts_lenient": {"parsed": "string", "name_as_int": "double"},
     "self_join_residual": {"partner_total": "double"},
     "nest_object": {"first_d": "double", "first_t": "double"},
-    "nest_split_documents": {"n_lines": "double"},
     "response_union": {"user_id": "double"},
 }
 _SQL_TYPE = {"string": "VARCHAR", "double": "DOUBLE"}

@@ -9,8 +9,6 @@ applies renames, defaults and date stamps, and nests it with one
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,32 +16,10 @@ from bookshift.functions.jsonio import JSON_OPTS
 from bookshift.functions.scalars import date_text, lookup, normalise_nulls
 from bookshift.functions.temporal import tz_stamp
 from bookshift.operators.joins import merge_chain, merge_null_safe
-from bookshift.operators.nest import FieldSet, nest_field_sets, nest_field_sets_split, quarantine_null_keys
+from bookshift.operators.nest import FieldSet, nest_field_sets, quarantine_null_keys
 from bookshift.plans import specs
 
 
-class SplitDocuments(NamedTuple):
-    """Documents with hot entities' array elements split out (see
-    ``nest_field_sets_split``): ``documents`` has every entity (``elements_split``
-    marks the hot ones), ``elements`` the hot entities' array elements."""
-    documents: DataFrame
-    elements: DataFrame
-
-
-# Entities with more staged rows than this are never collected into one row
-# (see ``nest_field_sets_split``); no API accepts a document that large anyway.
-DEFAULT_MAX_ELEMENTS = 100_000
-
-
-def _nest(df: DataFrame, keys, field_sets, order_by, null_keys: str, max_elements: int | None,
-          constants: Mapping[str, Column] | None = None):
-    if max_elements is None:
-        return nest_field_sets(df, keys, field_sets, order_by, null_keys, constants=constants)
-    docs, elements = nest_field_sets_split(df, keys, field_sets, order_by, max_elements, null_keys=null_keys,
-                                           constants=constants)
-    return SplitDocuments(docs, elements)
-
-
 def constant_columns(defaults: Mapping[str, object]) -> dict[str, Column]:
     """Default map -> literal Columns (``None`` is a typed null double)."""
     return {k: (F.lit(None).cast("double") if v is None else F.lit(v)) for k, v in defaults.items()}
@@ -70,10 +46,10 @@ def rename_existing(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 def payloads(nested: DataFrame, id_col: str = "id", copies_col: str = "copies",
              exclude: Sequence[str] = ()) -> DataFrame:
     """``(id, copies, payload)``: the document without ``copies`` as JSON."""
-    skip = [copies_col, "elements_split", *exclude]
+    skip = [copies_col, *exclude]
     body_cols = sorted(c for c in nested.columns if c not in skip)
     body = F.struct(*[F.col(f"`{c}`") for c in body_cols])
-    keep = [F.col(id_col).alias("id")] + [F.col(c) for c in (copies_col, "elements_split") if c in nested.columns]
+    keep = [F.col(id_col).alias("id")] + [F.col(c) for c in (copies_col,) if c in nested.columns]
     return nested.select(*keep, F.to_json(body, JSON_OPTS).alias("payload"))
 
 
@@ -99,54 +75,41 @@ def client_quarantine(staged: DataFrame, null_date_text: str | None = "None") ->
 
 
 def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
-                     null_keys: str = "drop", null_date_text: str | None = "None",
-                     max_elements: int | None = DEFAULT_MAX_ELEMENTS):
+                     null_keys: str = "drop", null_date_text: str | None = "None") -> DataFrame:
     """K1: one client document per distinct client key tuple.
 
     Birth date becomes text before grouping, so a null date reads ``None``
     and is kept (P11); other null keys drop the row (P2, see
-    ``quarantine_null_keys``).  The result is a ``SplitDocuments``: clients
-    with more than ``max_elements`` staged rows are not collected into one
-    row (``max_elements=None`` gives the plain documents DataFrame).
+    ``quarantine_null_keys``).
     """
     master = client_master(staged, null_date_text)
-    return _nest(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys, max_elements)
+    return nest_field_sets(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys)
 
 
 # -- K2 --------------------------------------------------------------------------
 
 def group_documents(clients_fetched: DataFrame, role_keys: Mapping[str, str] = specs.DEFAULT_ROLE_KEYS,
-                    order_by: Sequence[str | Column] = ("seq",), strict: bool = True,
-                    max_elements: int | None = DEFAULT_MAX_ELEMENTS):
+                    order_by: Sequence[str | Column] = ("seq",), strict: bool = True) -> DataFrame:
     """K2: one group per loan: ``groupName`` and ``id`` (both the loan id) and
     ``groupMembers`` = every member ``{clientKey, roles: [{groupRoleNameKey}]}``
     in staged order, unpruned.
 
     ``clients_fetched`` has ``loanid``, ``encodedKey`` (the client's API key)
     and ``application_role``.  An unknown role fails in strict mode (P13).
-    The result is a ``SplitDocuments`` (plain DataFrame with ``max_elements=None``).
     """
     role_key = lookup("application_role", role_keys, strict=strict, lower=True, what="role")
     members = clients_fetched.select(
         "*", F.col("encodedKey").alias("clientKey"),
         F.array(F.struct(role_key.alias("groupRoleNameKey"))).alias("roles"))
     sets = [FieldSet("groupMembers", ["clientKey", "roles"], array=True, prune=False)]
-    nested = _nest(members, ["loanid"], sets, order_by, "drop", max_elements)
-
-    def shape(df: DataFrame) -> DataFrame:
-        extra = ["elements_split"] if "elements_split" in df.columns else []
-        return df.select(F.col("loanid").alias("groupName"), F.col("loanid").alias("id"), "groupMembers", *extra)
-
-    if isinstance(nested, SplitDocuments):
-        return SplitDocuments(shape(nested.documents), nested.elements)
-    return shape(nested)
+    nested = nest_field_sets(members, ["loanid"], sets, order_by, "drop")
+    return nested.select(F.col("loanid").alias("groupName"), F.col("loanid").alias("id"), "groupMembers")
 
 
 def group_payloads(groups: DataFrame) -> DataFrame:
     """Group documents as JSON, keys in the order groupName, id, groupMembers."""
     body = F.struct("groupName", "id", "groupMembers")
-    extra = ["elements_split"] if "elements_split" in groups.columns else []
-    return groups.select("id", *extra, F.to_json(body, JSON_OPTS).alias("payload"))
+    return groups.select("id", F.size("groupMembers").cast("bigint").alias("n_members"), F.to_json(body, JSON_OPTS).alias("payload"))
 
 
 # -- K3 --------------------------------------------------------------------------
@@ -163,18 +126,17 @@ def loan_staged(loan_accounts: DataFrame, loan_attributes: DataFrame, funders: D
 
 def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
                    defaults: Mapping[str, object] = specs.LOAN_DEFAULTS, null_keys: str = "drop",
-                   zone: str = "Australia/Sydney", max_elements: int | None = DEFAULT_MAX_ELEMENTS):
+                   zone: str = "Australia/Sydney") -> DataFrame:
     """K3: zone stamps, renames, NaN -> null, then 7 field sets; the product
     defaults are constants attached after the aggregation (not carried
-    through the shuffle).  The result is a ``SplitDocuments`` (plain
-    DataFrame with ``max_elements=None``)."""
+    through the shuffle)."""
     df = stamp_columns(staged, specs.LOAN_DATETIME_COLS, zone)
     df = rename_existing(df, specs.LOAN_RENAMES)
     if "funder" in df.columns:
         df = df.drop("funder")
     df = normalise_nulls(df.drop(*[c for c in defaults if c in df.columns]))
-    return _nest(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys, max_elements,
-                 constant_columns(defaults))
+    return nest_field_sets(df, specs.LOAN_KEYS, specs.LOAN_FIELD_SETS, order_by, null_keys,
+                           constants=constant_columns(defaults))
 
 
 # -- K4 --------------------------------------------------------------------------
@@ -182,8 +144,7 @@ def loan_documents(staged: DataFrame, order_by: Sequence[str | Column],
 def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
                            fee_keys: Mapping[str, str] = specs.DEFAULT_FEE_KEYS, strict: bool = True,
                            defaults: Mapping[str, object] = specs.DISBURSEMENT_DEFAULTS,
-                           zone: str = "Australia/Sydney", null_keys: str = "drop",
-                           max_elements: int | None = DEFAULT_MAX_ELEMENTS):
+                           zone: str = "Australia/Sydney", null_keys: str = "drop") -> DataFrame:
     """K4: fee key lookup (exact match), channel default, zone stamps,
     renames, then ``fees`` (array) and ``transactionDetails`` (object); one
     document per key (P8 off: ``copies`` is 1)."""
@@ -198,14 +159,12 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
     df = stamp_columns(df, specs.DISBURSEMENT_DATETIME_COLS, zone)
     df = rename_existing(df, specs.DISBURSEMENT_RENAMES).drop("fee_type")
     df = normalise_nulls(df.drop(*[c for c in defaults if c in df.columns]))
-    nested = _nest(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep", max_elements,
-                   constant_columns(defaults))
-    if isinstance(nested, SplitDocuments):
-        return SplitDocuments(nested.documents.withColumn("copies", F.lit(1).cast("bigint")), nested.elements)
+    nested = nest_field_sets(df, specs.DISBURSEMENT_KEYS, specs.DISBURSEMENT_FIELD_SETS, order_by, "keep",
+                             constants=constant_columns(defaults))
     return nested.withColumn("copies", F.lit(1).cast("bigint"))
 
 
 __all__ = [
-    "SplitDocuments", "client_master", "client_quarantine", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "client_master", "client_quarantine", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
 ]

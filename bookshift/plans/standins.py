@@ -72,3 +72,11 @@ FROM orders
 def lineitem_seq_cols() -> list[str]:
     """A total staged order for lineitem rows: (orderkey, linenumber) is not unique."""
     return ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def client_answers(spark, sf_dir):
+    """Answers to "read client", one JSON body per customer."""
+    key = F.col("c_custkey").cast("string")
+    body = F.to_json(F.struct(F.concat(F.lit("key-c"), key).alias("encodedKey"), F.concat(F.lit("c"), key).alias("id")))
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), key).alias("request_id"),
+                                                   F.lit(200).alias("status_code"), body.alias("body"))

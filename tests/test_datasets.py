@@ -51,7 +51,7 @@ def test_joint_pairs_lookup_by_email(spark):
 def test_group_documents_payload(spark):
     fetched = spark.createDataFrame([(10, "key-b", "Secondary"), (10, "key-a", "primary"), (11, "key-c", "primary")],
                                     "loanid bigint, encodedKey string, application_role string")
-    docs = documents.group_documents(fetched, order_by=["application_role", "encodedKey"]).documents
+    docs = documents.group_documents(fetched, order_by=["application_role", "encodedKey"])
     got = {r.id: json.loads(r.payload) for r in documents.group_payloads(docs).collect()}
     # "Secondary" sorts before "primary" (upper case first): staged order, not role order.
     assert got[10] == {"groupName": 10, "id": 10, "groupMembers": [
@@ -60,30 +60,20 @@ def test_group_documents_payload(spark):
     assert len(got[11]["groupMembers"]) == 1
 
 
-def test_disbursement_documents_split_hot_loans(spark):
+def test_documents_hold_every_element_of_a_large_entity(spark):
     import datetime as dt
     ts = dt.datetime(2022, 12, 7)
-    rows = [("7", ts, ts, ts, "Brokerage Fee", float(i)) for i in range(5)] + \
+    rows = [("7", ts, ts, ts, "Brokerage Fee", float(i)) for i in range(5000)] + \
            [("8", ts, ts, ts, "Transaction Fees", 1.0)]
     staged = spark.createDataFrame(rows, "loanid string, value_date timestamp_ntz, booking_date timestamp_ntz, "
                                          "first_repayment_date timestamp_ntz, fee_type string, amount double")
-    split = documents.disbursement_documents(staged, ["predefinedFeeKey", "amount"], max_elements=3)
-    docs = {r.id: r for r in split.documents.collect()}
-    assert docs["7"].elements_split and docs["7"].fees is None
-    assert not docs["8"].elements_split and len(docs["8"].fees) == 1
-    els = split.elements.orderBy("order").collect()
-    assert [json.loads(e.element)["amount"] for e in els] == [0.0, 1.0, 2.0, 3.0, 4.0]
-    p = {r.id: r for r in documents.payloads(split.documents).collect()}
-    assert "fees" not in json.loads(p["7"].payload) and p["7"].elements_split
-
-
-def test_group_documents_split_hot_groups(spark):
-    fetched = spark.createDataFrame([(10, f"key-{i}", "primary") for i in range(3)] + [(11, "key-x", "primary")],
+    got = {r.id: json.loads(r.payload)
+           for r in documents.payloads(documents.disbursement_documents(staged, ["predefinedFeeKey", "amount"])).collect()}
+    assert [f["amount"] for f in got["7"]["fees"]] == [float(i) for i in range(5000)] and len(got["8"]["fees"]) == 1
+
+    fetched = spark.createDataFrame([(10, f"key-{i:05}", "primary") for i in range(3000)] + [(11, "key-x", "primary")],
                                     "loanid bigint, encodedKey string, application_role string")
-    split = documents.group_documents(fetched, order_by=["encodedKey"], max_elements=2)
-    docs = {r.id: r for r in split.documents.collect()}
-    assert docs[10].elements_split and docs[10].groupMembers is None and docs[10].groupName == 10
-    assert not docs[11].elements_split and len(docs[11].groupMembers) == 1
-    els = [json.loads(r.element) for r in split.elements.orderBy("order").collect()]
-    assert [e["clientKey"] for e in els] == ["key-0", "key-1", "key-2"]
-    assert els[0]["roles"] == [{"groupRoleNameKey": "role-key-primary"}]
+    groups = {r.id: r for r in documents.group_payloads(documents.group_documents(fetched, order_by=["encodedKey"])).collect()}
+    assert groups[10].n_members == 3000 and groups[11].n_members == 1
+    members = json.loads(groups[10].payload)["groupMembers"]
+    assert members[0]["clientKey"] == "key-00000" and members[-1]["roles"] == [{"groupRoleNameKey": "role-key-primary"}]

@@ -50,17 +50,22 @@ def test_nest_properties(spark, rows):
         assert no_nulls(body)
 
 
-def test_entity_with_a_third_of_all_rows_is_split_not_collected(spark):
+def test_entity_with_a_third_of_all_rows(spark):
     from pyspark.sql import functions as F
     n = 30_000
     rows = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),  # key 0 holds a third
         F.col("id").alias("seq"), (F.col("id") % 7).alias("v"))
     sets = [FieldSet("items", ["v"], array=True), FieldSet("first", ["seq"])]
-    docs, elements = nest.nest_field_sets_split(rows, ["k"], sets, ["seq"], max_elements=1_000)
-    hot = docs.where("elements_split").collect()
-    assert [(r.k, r.copies, r.items, r.first.seq) for r in hot] == [(0, n // 3, None, 0)]
-    assert docs.count() == 1 + (n - n // 3)
-    assert elements.count() == n // 3
-    firsts = elements.orderBy("order").limit(3).collect()
+    whole = nest.nest_field_sets(rows, ["k"], sets, ["seq"])
+    hot = whole.where("k = 0").first()
+    assert (hot.copies, hot.first.seq) == (n // 3, 0)
+    assert [e.v for e in hot["items"]] == [i % 7 for i in range(0, n, 3)]
+    assert whole.count() == 1 + (n - n // 3)
+    headers = nest.document_headers(rows, ["k"], sets, ["seq"])
+    assert headers.columns == ["k", "first", "copies"] and headers.where("k = 0").first().copies == n // 3
+    elements = nest.document_elements(rows, ["k"], sets, ["seq"])
+    assert elements.count() == n and elements.where("k = 0").count() == n // 3
+    firsts = elements.where("k = 0").orderBy("order").limit(3).collect()
     assert [json.loads(e.element)["v"] for e in firsts] == [0, 3 % 7, 6 % 7]
+    assert "Exchange" not in elements._jdf.queryExecution().executedPlan().toString()
