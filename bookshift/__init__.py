@@ -5,7 +5,7 @@ disbursements, stamps dates with a time zone, nests rows into one JSON document
 per entity and turns the documents into request tables for a target banking
 API.  Everything is native DataFrame / Spark SQL expressions; no Python UDFs.
 
-Sub-packages:
+Sub-packages (``llm``, when installed, adds training-data operators):
 
 * ``sources``    table loading, cohort filters, API response tables
 * ``functions``  column functions (casts, strings, dates, time-zone stamp, JSON)
@@ -13,9 +13,8 @@ Sub-packages:
                  top-N, request tables)
 * ``plans``      named datasets (client / group / loan / disbursement documents,
                  source queries) and the query catalog used by the checks
-* ``streaming``  micro-batch hand-over of document batches
 """
 
-from bookshift.session import get_session, checkpoint_dir
+from bookshift.session import get_session
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session"]

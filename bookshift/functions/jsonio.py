@@ -51,7 +51,8 @@ def dimension_from_json_array(df: DataFrame, body_col: str, element_schema: T.St
 
     ``select`` maps element field -> output column name.  The array is split
     into rows with ``inline``, so each response row is processed by its own
-    task and nothing is collected.
+    task and nothing is collected.  Bodies that are no JSON give no rows here;
+    ``unparsed_bodies`` lists them.
     """
     if isinstance(element_schema, str):
         element_schema = T.StructType.fromDDL(element_schema)
@@ -60,46 +61,59 @@ def dimension_from_json_array(df: DataFrame, body_col: str, element_schema: T.St
     return rows.select(*[F.col(k).alias(v) for k, v in select.items()])
 
 
-def _flatten_fields(dtype: T.DataType, path: list[str], expr: Column, array_sizes: dict, sep: str):
+def unparsed_bodies(df: DataFrame, body_col: str) -> DataFrame:
+    """Rows whose body is not JSON (or holds a key twice): the quarantine of
+    the readers in this module."""
+    body = F.col(f"`{body_col}`")
+    return df.where(body.isNotNull() & F.try_parse_json(body).isNull())
+
+
+def _flatten_fields(dtype: T.DataType, path: list[str], kind: tuple, expr: Column, sizes: dict, sep: str):
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:
-            yield from _flatten_fields(f.dataType, path + [f.name], expr.getField(f.name), array_sizes, sep)
+            yield from _flatten_fields(f.dataType, path + [f.name], kind + (f.name,), expr.getField(f.name), sizes, sep)
     elif isinstance(dtype, T.ArrayType):
-        n = array_sizes.get(sep.join(path), 0)
-        for i in range(n):
-            yield from _flatten_fields(dtype.elementType, path + [str(i)], F.get(expr, i), array_sizes, sep)
+        for i in range(sizes.get(kind, 0)):
+            yield from _flatten_fields(dtype.elementType, path + [str(i)], kind + (None,), F.get(expr, i), sizes, sep)
+    elif isinstance(dtype, T.MapType):
+        raise ValueError(f"{sep.join(path)} is a map: its keys are data; use flatten_json_long")
     else:
         yield sep.join(path), expr
 
 
-def _array_paths(dtype: T.DataType, path: list[str], expr: Column, sep: str):
-    """(path, size expression) for every array reachable through structs only."""
+def _array_sizes(dtype: T.DataType, kind: tuple, over):
+    """(array, largest size) for every array; ``over(f)`` is the largest of
+    ``f`` over all values found at this place of a row."""
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:
-            yield from _array_paths(f.dataType, path + [f.name], expr.getField(f.name), sep)
+            yield from _array_sizes(f.dataType, kind + (f.name,),
+                                    lambda g, n=f.name: over(lambda v: g(v.getField(n))))
     elif isinstance(dtype, T.ArrayType):
-        yield sep.join(path), F.size(expr)
+        yield kind, over(F.size)
+        yield from _array_sizes(dtype.elementType, kind + (None,),
+                                lambda g: over(lambda v: F.array_max(F.transform(v, lambda e: g(e)))))
 
 
 def flatten_json(df: DataFrame, col_name: str, keep: list[str] | None = None, sep: str = "_",
                  prefix: bool = False) -> DataFrame:
-    """Flatten a struct column to ``a_b_0_c`` columns.
-
-    Arrays become one column per index up to the largest size seen; the sizes
-    come from one small aggregate (one number per array path), not from
-    collecting rows.  Arrays nested inside arrays are kept whole.  With
-    ``prefix`` the column name is put in front of every path.
+    """Flatten a struct column to ``a_b_0_c`` columns (S18), arrays inside
+    arrays included.
+
+    Arrays become one column per index up to the largest size seen anywhere;
+    the sizes come from one aggregate (one number per array of the schema), not
+    from collecting rows.  With ``prefix`` the column name is put in front of
+    every path.  Names that clash are an error; ``flatten_json_long`` keeps
+    both.
     """
     keep = keep or []
     dtype = df.schema[col_name].dataType
     base = [col_name] if prefix else []
-    sizes_expr = list(_array_paths(dtype, base, F.col(col_name), sep))
-    array_sizes = {}
-    if sizes_expr:
-        row = df.agg(*[F.coalesce(F.max(e), F.lit(0)).alias(f"s{i}")
-                       for i, (_, e) in enumerate(sizes_expr)]).first()
-        array_sizes = {p: max(int(row[f"s{i}"]), 0) for i, (p, _) in enumerate(sizes_expr)}
-    fields = list(_flatten_fields(dtype, base, F.col(col_name), array_sizes, sep))
+    arrays = list(_array_sizes(dtype, tuple(base), lambda f: f(F.col(f"`{col_name}`"))))
+    sizes = {}
+    if arrays:
+        row = df.agg(*[F.coalesce(F.max(size), F.lit(0)) for _, size in arrays]).first()
+        sizes = {kind: max(int(row[i]), 0) for i, (kind, _) in enumerate(arrays)}
+    fields = list(_flatten_fields(dtype, base, tuple(base), F.col(f"`{col_name}`"), sizes, sep))
     names = [n for n, _ in fields]
     clash = {n for n in names if names.count(n) > 1} | (set(names) & set(keep))
     if clash:
@@ -107,34 +121,43 @@ def flatten_json(df: DataFrame, col_name: str, keep: list[str] | None = None, se
     return df.select(*keep, *[e.alias(n) for n, e in fields])
 
 
-def flatten_json_long(df: DataFrame, key: str, body_col: str, max_depth: int = 8, sep: str = "_") -> DataFrame:
-    """Flatten JSON text of unknown shape to long form ``(key, path, value)``.
-
-    One level per step, each a single ``explode_outer`` over the previous step
-    (the plan grows linearly with depth); the number of steps is the largest
-    bracket count of any text, capped at ``max_depth``: an object
-    is read as ``map<string,string>`` (nested values come back as their JSON
-    text), an array as ``array<string>`` with positions, and a leaf passes
-    through unchanged.  Paths join names and positions with ``sep``
-    (``a_b_0_c``).  Pivot the result when a wide table is wanted.
+def _depth(body: Column) -> Column:
+    """Levels of nesting of a JSON text: brackets outside strings."""
+    bare = F.regexp_replace(F.regexp_replace(body, r'"(?:[^"\\\\]|\\\\.)*"', ""), r"[^\[\]{}]", "")
+    step = lambda acc, c: F.struct(
+        (acc["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("now"),
+        F.greatest(acc["most"], acc["now"] + 1).alias("most"))
+    marks = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, ""))
+    return F.aggregate(F.filter(marks, lambda c: c != ""),
+                       F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+
+
+def flatten_json_long(df: DataFrame, key: str, body_col: str, sep: str = "_") -> DataFrame:
+    """Flatten JSON text of any shape and depth to long form ``(key, path,
+    value)`` (S18).
+
+    Bodies are parsed once, as variants; types, not the look of a text, decide
+    what is taken apart.  One level per step, each a single ``explode`` over
+    the previous one, as many as the deepest body has (one aggregate).  Paths
+    join names and positions with ``sep`` (``a_b_0_c``).  Text leaves keep
+    their text, other leaves are JSON text, a JSON null is null; an empty
+    object or array is a leaf (``{}``, ``[]``).  Bodies that do not parse
+    give no rows; see ``unparsed_bodies``.  Pivot the result when a wide table
+    is wanted.
     """
-    v = F.col("v")
-    cur = df.select(F.col(key), F.lit("").alias("path"), F.trim(F.col(body_col)).alias("v"))
-    # Nesting depth is at most the number of '{' and '[' in a text: one small
-    # aggregate bounds the levels actually needed (an over-estimate is safe).
-    opens = F.length(F.col("v")) - F.length(F.regexp_replace(F.col("v"), r"[\[{]", ""))
-    bound = cur.agg(F.coalesce(F.max(opens), F.lit(0)).alias("d")).first()["d"]
-    for _ in range(min(max_depth, int(bound))):
-        is_obj = v.startswith("{")
-        is_arr = v.startswith("[")
-        entries = (F.when(is_obj, F.transform(F.map_entries(F.from_json(v, "map<string,string>")),
-                                              lambda e: F.struct(e.getField("key").alias("k"),
-                                                                 e.getField("value").alias("value"))))
-                   .when(is_arr, F.transform(F.from_json(v, "array<string>"),
-                                             lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("value"))))
-                   .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("k"), v.alias("value")))))
-        step = cur.select(key, "path", (is_obj | is_arr).alias("nested"), F.explode_outer(entries).alias("e"))
-        child = F.when(F.col("path") == "", F.col("e.k")).otherwise(F.concat(F.col("path"), F.lit(sep), F.col("e.k")))
-        cur = step.select(key, F.when(F.col("nested"), F.coalesce(child, F.col("path"))).otherwise(F.col("path"))
-                          .alias("path"), F.trim(F.col("e.value")).alias("v"))
-    return cur.select(key, "path", v.alias("value"))
+    parsed = df.select(F.col(f"`{key}`").alias(key), F.try_parse_json(F.col(f"`{body_col}`")).alias("v"),
+                       _depth(F.col(f"`{body_col}`")).alias("levels")).where("v is not null")
+    levels = parsed.agg(F.max("levels")).first()[0] or 0
+    now = parsed.select(key, F.lit(None).cast("string").alias("path"), "v")
+    for _ in range(levels):
+        kind = F.schema_of_variant("v")
+        fields = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
+        items = F.try_variant_get("v", "$", "array<variant>")
+        named = F.transform(fields, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+        placed = F.transform(items, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("v")))
+        leaf = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("v").alias("v")))
+        parts = (F.when(kind.startswith("OBJECT") & (F.size(fields) > 0), named)
+                 .when(kind.startswith("ARRAY") & (F.size(items) > 0), placed).otherwise(leaf))
+        now = now.select(key, "path", F.explode(parts).alias("e")).select(
+            key, F.concat_ws(sep, "path", "e.k").alias("path"), F.col("e.v").alias("v"))
+    return now.select(key, F.coalesce("path", F.lit("")).alias("path"), F.col("v").cast("string").alias("value"))

@@ -1,20 +1,17 @@
 """Join building blocks.
 
 All are equi-joins the planner can hash-partition (or broadcast when a side
-is small and checked), so no nested-loop or cartesian plan appears unless a
-theta join is asked for explicitly (``like_join`` with ``exact=False``).
+is small), the LIKE join included, so no nested-loop or cartesian plan appears.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.operators.sizing import broadcast_if_bounded
-
-
 
 def merge_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
                     suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
@@ -70,58 +67,83 @@ def role_join(base: DataFrame, base_key: str, table: DataFrame, table_key: str,
     return out
 
 
+_WILD = r"[%_\[]"
+
+
+def _like_regex(prefix: str, name: Column) -> Column:
+    """Regular expression of the T-SQL pattern ``prefix + name``: ``%``, ``_``
+    and ``[..]`` classes in the name are wildcards, everything else (a
+    backslash, ``!``) is itself; the prefix is literal."""
+    text = F.regexp_replace(name, r"([\\.+*?${}()|])", r"\\$1")
+    text = F.regexp_replace(text, r"(?<!\[)\^", r"\\^")
+    text = F.regexp_replace(text, r"\[(?![^\]]+\])", r"\\[")  # an unclosed bracket is itself
+    text = F.replace(F.replace(text, F.lit("%"), F.lit(".*")), F.lit("_"), F.lit("."))
+    return F.concat(F.lit("(?s)^" + re.escape(prefix)), text, F.lit("$"))
+
+
 def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, right_col: str,
-              how: str = "inner", exact: bool = False, max_wild_names: int = 100_000,
-              broadcast_left: bool = False) -> DataFrame:
+              how: str = "inner") -> DataFrame:
     """Inner join where ``left_col LIKE concat(prefix, right_col)``.
 
-    The escape character is ``!`` so a backslash in the prefix is literal;
-    ``%`` and ``_`` inside names stay wildcards, as in SQL Server.
-
-    A pattern without wildcard (or escape) characters matches only its own
-    text, so those right rows are joined by equality: a hash join.  Only
-    the right rows whose names hold a wildcard need a pattern test, done as
-    a nested-loop join against a broadcast of those rows (at most
-    ``max_wild_names``, checked).  ``exact=True``
-    asserts there are no wildcard names.  Use it on distinct names and join
-    the matches back by equality when the name side is large (see
-    ``like_matches``).
+    ``%``, ``_`` and ``[..]`` inside names are wildcards, as in T-SQL; there is
+    no escape character, and a null name reads as an empty one.
+
+    A pattern without wildcards matches only its own text, so those rows are
+    joined by equality.  A pattern with wildcards can only match texts that
+    begin with what stands before its first wildcard: texts are listed by
+    each of their beginnings (from the prefix on), joined to that head by
+    equality, and tested row by row after that.  Both are equi-joins, at any
+    size.  Use it on distinct texts and names and join the matches back by
+    equality when either side is large (see ``like_matches``).
     """
     if how != "inner":
         raise ValueError("like_join supports inner joins")
-    wild_name = right[right_col].rlike("[%_!]")
-    plain = right.where(~wild_name)
-    by_equality = left.join(plain, left[left_col] == F.concat(F.lit(prefix), plain[right_col]), "inner")
-    if exact:
-        return by_equality
-    # The pattern test is a broadcast nested-loop join, never a cartesian
-    # product: either the wildcard names (rare) or, with ``broadcast_left``,
-    # the texts (a control table) are broadcast after a capped count.
-    wild = right.where(wild_name)
-    if broadcast_left:
-        texts = broadcast_if_bounded(left, max_wild_names)
-        by_pattern = texts.join(wild, F.like(texts[left_col], F.concat(F.lit(prefix), wild[right_col]),
-                                             F.lit("!")), "inner")
-    else:
-        wild = broadcast_if_bounded(wild, max_wild_names)
-        by_pattern = left.join(wild, F.like(left[left_col], F.concat(F.lit(prefix), wild[right_col]),
-                                            F.lit("!")), "inner")
+    name = F.coalesce(F.col(f"`{right_col}`"), F.lit(""))
+    plain = right.where(~name.rlike(_WILD)).withColumn("__text", F.concat(F.lit(prefix), name))
+    by_equality = left.join(plain, left[left_col] == plain["__text"]).drop("__text")
+    head = F.concat(F.lit(prefix), F.regexp_extract(name, r"(?s)^([^%_\[]*)", 1))
+    wild = (right.where(name.rlike(_WILD)).withColumn("__head", head)
+            .withColumn("__regex", _like_regex(prefix, name)))
+    text = F.col(f"`{left_col}`")
+    begins = left.where(text.startswith(prefix)).withColumn("__begin", F.explode(F.transform(
+        F.sequence(F.lit(len(prefix)), F.char_length(text)), lambda n: F.substring(text, F.lit(1), n))))
+    by_pattern = begins.join(wild, (begins["__begin"] == wild["__head"]) & F.rlike(begins[left_col], wild["__regex"])) \
+        .drop("__begin", "__head", "__regex")
     return by_equality.unionByName(by_pattern)
 
 
 def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: str, name_col: str) -> DataFrame:
     """``rows`` joined to every ``details`` row whose text is LIKE prefix + name.
 
-    The pattern test runs once per distinct name (a small set: funder or
-    product names), and the matches are joined back to the rows by
-    equality, so the large side only takes part in a hash join.
-    Multiplicities are those of the direct LIKE join.
+    The pattern test runs once per distinct name (funder or product names),
+    and the matches are joined back to the rows by equality, so the large
+    side only takes part in a hash join.  Multiplicities are those of the
+    direct LIKE join.
     """
     names = rows.select(F.col(name_col).alias("__name")).distinct()
-    # ``details`` is the control table: sizing it is a cheap scan, while
-    # sizing the names would run the joins that produce ``rows``.
-    matched = like_join(details, detail_col, names, prefix, "__name", broadcast_left=True)
-    return rows.join(matched, rows[name_col] == matched["__name"]).drop("__name")
+    matched = like_join(details, detail_col, names, prefix, "__name")
+    return rows.join(matched, rows[name_col].eqNullSafe(matched["__name"])).drop("__name")
+
+
+def others_in_group(df: DataFrame, group: str, key: str, value: str, count_name: str, total_name: str) -> DataFrame:
+    """``df`` joined to the rows of the same ``group`` with another
+    ``key``, summed up per (key, group): how many there are and the total of
+    their ``value``.
+
+    The rows are added up by key first; what the others hold is the group's
+    sums less the key's own, so no key's rows are paired with another's.  As
+    in the join, a row stands once for each of its key's rows, a null group
+    or key has no partners, keys without partners have no row, and the total
+    is null where no partner has a value.
+    """
+    own = (df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).groupBy(group, key)
+           .agg(F.count(F.lit(1)).alias("__n"), F.count(value).alias("__v"),
+                F.coalesce(F.sum(value), F.lit(0)).alias("__s")))
+    whole = own.groupBy(group).agg(F.sum("__n").alias("__gn"), F.sum("__v").alias("__gv"), F.sum("__s").alias("__gs"))
+    others = F.col("__gn") - F.col("__n")
+    total = F.when(F.col("__gv") > F.col("__v"), (F.col("__gs") - F.col("__s")) * F.col("__n"))
+    return (own.join(whole, group).where(others > 0)
+            .select(key, group, (others * F.col("__n")).alias(count_name), total.alias(total_name)))
 
 
 def join_by_seq(left: DataFrame, right: DataFrame, seq: str = "seq", how: str = "inner",

@@ -59,17 +59,17 @@ def state_change_requests(ids: DataFrame, id_col: str, body: str = APPROVE_BODY,
                       F.lit(body).alias("body"))
 
 
-def disburse_requests(payloads: DataFrame, body_col: str = "payload",
+def disburse_requests(payloads: DataFrame, id_col: str = "id", body_col: str = "payload",
                       base_url: str = DEFAULT_BASE_URL) -> DataFrame:
-    """Disburse each loan; the url takes the ``id`` inside the document."""
-    loan_id = F.get_json_object(_c(body_col), "$.id")
+    """Disburse each loan; ``id_col`` is the document's loan id."""
+    loan_id = _c(id_col).cast("string")
     return payloads.select(loan_id.alias("request_id"), F.lit("POST").alias("method"),
                            F.concat(F.lit(base_url + LOANS_PATH), loan_id, F.lit(DISBURSE_SUFFIX)).alias("url"),
                            _c(body_col).alias("body"))
 
 
 def fetch_requests(ids: DataFrame, id_col: str, base_url: str = DEFAULT_BASE_URL, path: str = CLIENTS_PATH,
-                   details_level: str = "FULL", limit: int = 1000) -> DataFrame:
+                   details_level: str = "Full", limit: int = 1000) -> DataFrame:
     """One GET per id with details level and page limit as query string (A5, O3)."""
     return ids.select(_c(id_col).cast("string").alias("request_id"), F.lit("GET").alias("method"),
                       F.concat(F.lit(base_url + path), _c(id_col).cast("string"),
@@ -110,6 +110,17 @@ def split_responses(responses: DataFrame, ok_codes: tuple[int, ...] = (200, 201,
     return responses.where(ok), failed
 
 
+def fetch_result(asked: DataFrame, responses: DataFrame, body_schema: str, key: str = "request_id",
+                 ok_codes: tuple[int, ...] = (200, 201, 204)) -> DataFrame:
+    """One row per requested id, with the columns of ``asked`` (its order
+    column among them), the status code and the body's fields (A5).  A read
+    that failed or was never answered keeps its row with null fields;
+    ``split_responses`` gives the failed answers themselves."""
+    body = F.when(F.col("status_code").isin(list(ok_codes)), F.from_json("body", body_schema))
+    answers = responses.select(key, "status_code", body.alias("__b"))
+    return asked.join(answers, key, "left").select(*asked.columns, "status_code", "__b.*")
+
+
 def union_flattened(*frames: DataFrame) -> DataFrame:
     """Row-concatenate flattened answers whose columns differ (U3); missing
     columns become null."""

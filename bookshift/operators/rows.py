@@ -17,8 +17,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bookshift.operators.staging import materialize
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -54,26 +54,34 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Colu
 
 
 def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq", start: int = 0,
-                 num_partitions: int | None = None) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Number rows ``start, start+1, ...`` in a total ``order_by`` order.
 
-    Rows are range-partitioned and sorted by the order, tagged with their
-    partition and position, and written to the shared checkpoint folder (so both
-    uses below see the same rows, and a lost executor re-reads instead of
-    re-sampling).  Per-partition counts (one row per partition) give each
-    partition's offset.  Work is spread over all partitions; only the count
-    table, whose size is the partition count, is broadcast.
+    Quantiles of the first order column cut it into ranges of about equal
+    size (one aggregate, a summary of fixed size).  Rows are numbered within
+    their range, and a range's first number is the row count of the ranges
+    before it; both read ``df`` itself, nothing is written.  The order
+    column must be numeric, a date or a timestamp; nulls come first, as in the
+    sort.  Ranges cannot cut through rows that share a value of it, so lead
+    with a column that is close to unique.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged, "row-sequence")  # fixes the tags; both uses read the same rows
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__base"))
-    offsets = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    out = ranged.join(F.broadcast(offsets.select("__pid", "__off", "__base")), "__pid")
-    seq = (F.lit(start) + F.col("__off") + F.col("__mid") - F.col("__base")).cast("bigint")
-    return out.select(seq.alias(name), *[F.col(f"`{c}`") for c in df.columns])
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col(f"`{order_by[0]}`")
+    kind = df.schema[order_by[0]].dataType
+    if isinstance(kind, T.DateType):
+        first = F.unix_date(first)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        first = F.unix_micros(first.cast("timestamp"))
+    cuts = df.agg(F.percentile_approx(first, [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    bounds = F.lit(sorted(set(cuts))) if cuts else F.array().cast(T.ArrayType(T.DoubleType()))
+    # ranges below the value's own: how many cuts are at or under it
+    ranged = df.withColumn("__range", F.when(first.isNull(), F.lit(-1)).otherwise(
+        F.size(F.filter(bounds, lambda c: c <= first))))
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))  # at most ``buckets`` + 1 rows
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order_by)) - 1
+    out = ranged.withColumn("__place", place).join(F.broadcast(offsets), "__range")
+    return out.select((F.lit(start) + F.col("__off") + F.col("__place")).cast("bigint").alias(name),
+                      *[F.col(f"`{c}`") for c in df.columns])

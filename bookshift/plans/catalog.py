@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from bookshift.functions import jsonio, scalars, temporal
 from bookshift.operators import joins, nest, requests, rows
 from bookshift.operators.nest import FieldSet
-from bookshift.operators.sizing import broadcast_if_bounded
-from bookshift.plans import datasets, documents, expected, specs, standins
+from bookshift.plans import datasets, documents, expected, flows, specs, standins
 from bookshift.plans.standins import table
 from bookshift.sources import tables as sources
 
@@ -162,8 +161,8 @@ def q_join_inner_chain(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     # nation and region are fixed-size control tables (25 and 5 rows).
-    n = broadcast_if_bounded(table(spark, sf, "nation"), fixed=True)
-    r = broadcast_if_bounded(table(spark, sf, "region"), fixed=True)
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
     j = (l.join(o, o.o_orderkey == l.l_orderkey).join(c, c.c_custkey == o.o_custkey)
          .join(n, n.n_nationkey == c.c_nationkey).join(r, r.r_regionkey == n.n_regionkey))
     return j.select(*LSEQ, "o_custkey", "c_name", "n_name", "r_name")
@@ -286,7 +285,8 @@ def q_like_column_join(spark, sf):
     names = (o.select(F.col("o_orderpriority").alias("name"))
              .union(o.select(F.concat(F.substring("o_orderpriority", 1, 2), F.lit("%")).alias("name")))
              .distinct())
-    return joins.like_join(rates, "detail", names, "Rate\\", "name").select("o_orderkey", "name")
+    matched = joins.like_join(rates.select("detail").distinct(), "detail", names, "Rate\\", "name")
+    return rates.join(matched, "detail").select("o_orderkey", "name")
 
 
 @query("self_join_residual", """
@@ -296,15 +296,10 @@ FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o
 GROUP BY a.o_orderkey, a.o_custkey
 """)
 def q_self_join_residual(spark, sf):
-    # Self-join on the customer with an unequal order key, aggregated per order.
-    # Partners are never paired up: group totals minus the row itself give
-    # the same numbers with one aggregate and one join on the key.
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey",
                                           F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
-    g = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("total"))
-    j = o.join(g, "o_custkey").where(F.col("n") > 1)
-    return j.select("o_orderkey", "o_custkey", (F.col("n") - 1).alias("n_partners"),
-                    (F.col("total") - F.col("price")).cast("decimal(18,2)").alias("partner_total"))
+    out = joins.others_in_group(o, "o_custkey", "o_orderkey", "price", "n_partners", "partner_total")
+    return out.withColumn("partner_total", F.col("partner_total").cast("decimal(18,2)"))
 
 
 @query("self_join_joint", f"""
@@ -821,23 +816,9 @@ def q_requests_state_change(spark, sf):
     return requests.state_change_requests(o, "o_orderkey", requests.APPROVE_BODY)
 
 
-@query("requests_disburse", f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS request_id, 'POST' AS method,
-       '{_BASE}/loans/' || CAST(o_orderkey AS VARCHAR) || '/disbursement-transactions' AS url,
-       '{{"amount":' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || ',"id":"' ||
-       CAST(o_orderkey AS VARCHAR) || '"}}' AS body
-FROM orders
-""")
-def q_requests_disburse(spark, sf):
-    o = table(spark, sf, "orders").select(F.floor("o_totalprice").cast("bigint").alias("amount"),
-                                          F.col("o_orderkey").cast("string").alias("id"))
-    p = jsonio.payload_json(o, [], "payload")
-    return requests.disburse_requests(p, "payload")
-
-
 @query("requests_fetch", f"""
 SELECT CAST(c_custkey AS VARCHAR) AS request_id, 'GET' AS method,
-       '{_BASE}/clients/' || CAST(c_custkey AS VARCHAR) || '?detailsLevel=FULL&limit=1000' AS url,
+       '{_BASE}/clients/' || CAST(c_custkey AS VARCHAR) || '?detailsLevel=Full&limit=1000' AS url,
        CAST(NULL AS VARCHAR) AS body
 FROM customer
 """)
@@ -985,6 +966,20 @@ def disbursement_payloads(spark, sf):
     return documents.payloads(_disbursement_docs(spark, sf))
 
 
+@query("requests_disburse", _DISBURSEMENT_SQL + f"""
+SELECT id AS request_id, 'POST' AS method, '{_BASE}/loans/' || id || '/disbursement-transactions' AS url, payload AS body
+FROM docs
+""")
+def q_requests_disburse(spark, sf):
+    return requests.disburse_requests(disbursement_payloads(spark, sf))
+
+
+def _client_answers(spark, sf):
+    """Answers to "read client" as (encodedKey, id)."""
+    return jsonio.flatten_json(standins.client_answers(spark, sf).select(
+        jsonio.parse_json_col("body", "encodedKey string, id string").alias("b")), "b")
+
+
 _K1_TABLES = sorted(set(K7_TABLES + K8_TABLES))
 
 
@@ -1041,9 +1036,7 @@ FROM staged WHERE loanid IS NOT NULL GROUP BY loanid
 """)
 def q_group_payload(spark, sf):
     # the answers to "read client" are an input of their own; they are attached by the id asked for
-    answers = jsonio.flatten_json(standins.client_answers(spark, sf).select(
-        jsonio.parse_json_col("body", "encodedKey string, id string").alias("b")), "b")
-    clients = _client_staged(spark, sf).select("id", "loanid", "application_role").join(answers, "id")
+    clients = _client_staged(spark, sf).select("id", "loanid", "application_role").join(_client_answers(spark, sf), "id")
     return documents.group_payloads(documents.group_documents(clients, order_by=["application_role", "encodedKey"]))
 
 
@@ -1085,79 +1078,174 @@ def _loan_docs(spark, sf):
     return documents.loan_documents(staged, order_by=_LOAN_ORDER)
 
 
-def _all_null_sql(cols):
-    return " AND ".join(f"{c} IS NULL" for c in cols)
-
-
-_REP = ["next_due", "payment_frequency", "repayment_amount", "recurring_repayment_day"]
-_ADH = ["adhoc_date", "adhoc_repayment_amount"]
-
-
-@query("loan_payload", f"""WITH k9 AS ({K9_SQL}), k10 AS ({K10_SQL}),
-funders AS (SELECT 'branch-' || CAST(n_nationkey AS VARCHAR) AS encodedKey, n_name AS funder FROM nation),
-grp AS (SELECT 'grp-' || CAST(o_orderkey AS VARCHAR) AS accountHolderKey, o_orderkey AS loanid FROM orders),
-staged AS (SELECT DISTINCT k9.*, k10.rate_type, k10.loan_purpose, k10.is_secure, f.encodedKey, g.accountHolderKey
-           FROM k9 JOIN k10 ON k9.loanid IS NOT DISTINCT FROM k10.loanid
-                   JOIN funders f ON k9.funder IS NOT DISTINCT FROM f.funder
-                   JOIN grp g ON k9.loanid IS NOT DISTINCT FROM g.loanid),
-s AS (SELECT loanid AS id, accountHolderKey, encodedKey AS assignedBranchKey, loan_amount AS loanAmount,
-             {_tz_sql('approved_date')} AS approved_date, {_tz_sql('next_repayment_due_date')} AS next_due,
-             payment_frequency, recurring_repayment_day, repayment_amount,
-             {_tz_sql('adhoc_repayment_date')} AS adhoc_date, adhoc_repayment_amount, is_secure, interest_rate,
-             account_name, account_number, account_bsb, loan_status
-      FROM staged),
-r AS (SELECT *, row_number() OVER (PARTITION BY id, accountHolderKey, assignedBranchKey, loanAmount
-                                   ORDER BY {_LOAN_ORDER_SQL}) AS rn
-      FROM s WHERE id IS NOT NULL AND accountHolderKey IS NOT NULL AND assignedBranchKey IS NOT NULL
-               AND loanAmount IS NOT NULL),
-g AS (SELECT id, COUNT(*) AS copies, bool_and({_all_null_sql(_REP)}) AS rep_null,
-             bool_and({_all_null_sql(_ADH)}) AS adh_null,
-             string_agg(CASE WHEN {_all_null_sql(_REP)} THEN 'null'
-                             ELSE COALESCE(CAST(recurring_repayment_day AS VARCHAR), '~') || ':' ||
-                                  COALESCE(payment_frequency, '~') || ':' || COALESCE(next_due, '~') END, ','
-                        ORDER BY {_LOAN_ORDER_SQL}) AS rep_text,
-             string_agg(CASE WHEN {_all_null_sql(_ADH)} THEN 'null' ELSE COALESCE(adhoc_date, '~') END, ','
-                        ORDER BY {_LOAN_ORDER_SQL}) AS adh_text,
-             max(CASE WHEN rn = 1 THEN approved_date END) AS approved_date,
-             max(CASE WHEN rn = 1 THEN is_secure END) AS is_secure,
-             max(CASE WHEN rn = 1 THEN interest_rate END) AS interest_rate,
-             max(CASE WHEN rn = 1 THEN account_name END) AS account_name,
-             max(CASE WHEN rn = 1 THEN loan_status END) AS loan_status
-      FROM r GROUP BY id, accountHolderKey, assignedBranchKey, loanAmount)
-SELECT id, copies,
-       CAST(CASE WHEN copies = 1 AND rep_null THEN -1 ELSE copies END AS BIGINT) AS n_repayments,
-       CASE WHEN copies = 1 AND rep_null THEN NULL ELSE rep_text END AS repayments_text,
-       CAST(CASE WHEN copies = 1 AND adh_null THEN -1 ELSE copies END AS BIGINT) AS n_adhoc,
-       CASE WHEN copies = 1 AND adh_null THEN NULL ELSE adh_text END AS adhoc_text,
-       approved_date, is_secure, interest_rate, account_name, loan_status
-FROM g
+def _json_sql(fields):
+    """DuckDB text of a JSON object: ``name -> (sql, kind)``, kind t(ext), n(umber) or j(son); null fields are left out."""
+    said = {"t": "'\"' || {0} || '\"'", "n": "CAST({0} AS VARCHAR)", "j": "{0}"}
+    return "('{' || concat_ws(',', " + ", ".join(
+        f"CASE WHEN {v} IS NOT NULL THEN '\"{k}\":' || {said[kind].format(v)} END"
+        for k, (v, kind) in sorted(fields.items())) + ") || '}')"
+
+
+def _constant_json(defaults, names):
+    return {k: (f"'{jsonio_text(defaults[k])}'", "j") for k in names if defaults[k] is not None}
+
+
+def jsonio_text(value):
+    import json
+    return json.dumps(value)
+
+
+_REPAYMENT = {"next_repayment_due_date": ("next_due", "t"), "payment_frequency": ("payment_frequency", "t"),
+              "recurring_repayment_day": ("recurring_repayment_day", "n"), "repayment_amount": ("repayment_amount", "n")}
+_ADHOC = {"adhoc_repayment_amount": ("adhoc_repayment_amount", "n"), "adhoc_repayment_date": ("adhoc_date", "t")}
+_BANK = {k: (k, "t") for k in ("account_bsb", "account_name", "account_number")}
+_DETAILS = {k: (k, "t") for k in ("approved_date", "is_secure", "loan_purpose", "loan_status", "maturity_date",
+                                  "rate_type")} | {"test_group": ("'trial-1'", "t")}
+_SETS = {fs.name: fs for fs in specs.LOAN_FIELD_SETS}
+
+
+def _settings(name, **own):
+    constants = [f for f in _SETS[name].fields if f in specs.LOAN_DEFAULTS]
+    return _json_sql({**_constant_json(specs.LOAN_DEFAULTS, constants), **own})
+
+
+_FIRST = ["approved_date", "is_secure", "loan_purpose", "loan_status", "maturity_date", "rate_type", "interest_rate",
+          "loan_term", "account_bsb", "account_name", "account_number"]
+_LOAN_SQL = f"""WITH k9 AS ({K9_SQL}), k10 AS ({K10_SQL}),
+staged AS (SELECT DISTINCT k9.*, k10.rate_type, k10.loan_purpose, k10.is_secure,
+                  'branch-' || CAST(n_nationkey AS VARCHAR) AS branch, 'grp-' || CAST(k9.loanid AS VARCHAR) AS holder
+           FROM k9 JOIN k10 ON k9.loanid = k10.loanid JOIN nation ON n_name = k9.funder),
+s AS (SELECT * REPLACE ({_tz_sql('approved_date')} AS approved_date, {_tz_sql('maturity_date')} AS maturity_date),
+             {_tz_sql('next_repayment_due_date')} AS next_due, {_tz_sql('adhoc_repayment_date')} AS adhoc_date FROM staged),
+r AS (SELECT *, row_number() OVER (PARTITION BY loanid ORDER BY {_LOAN_ORDER_SQL}) AS rn,
+             {_json_sql(_REPAYMENT)} AS repayment, {_json_sql(_ADHOC)} AS adhoc FROM s),
+g AS (SELECT loanid, holder, branch, loan_amount, COUNT(*) AS copies,
+             list(CASE WHEN repayment = '{{}}' THEN 'null' ELSE repayment END ORDER BY rn) AS repayments,
+             list(CASE WHEN adhoc = '{{}}' THEN 'null' ELSE adhoc END ORDER BY rn) AS adhocs,
+             {", ".join(f"max(CASE WHEN rn = 1 THEN {c} END) AS {c}" for c in _FIRST)}
+      FROM r GROUP BY loanid, holder, branch, loan_amount),
+parts AS (SELECT *, CASE WHEN repayments <> ['null'] THEN '[' || array_to_string(repayments, ',') || ']' END AS rep,
+                 CASE WHEN adhocs <> ['null'] THEN '[' || array_to_string(adhocs, ',') || ']' END AS adh,
+                 nullif({_json_sql(_BANK)}, '{{}}') AS bank, {_json_sql(_DETAILS)} AS details,
+                 {_settings("interestSettings", interestRate=("interest_rate", "n"))} AS interest,
+                 {_settings("redrawSettings")} AS redraw,
+                 {_settings("scheduleSettings", repaymentInstallments=("loan_term", "n"))} AS schedule FROM g),
+docs AS (SELECT loanid AS id, copies, {_json_sql({
+    "_additional_loan_details": ("details", "j"), "_adhoc_repayment_details": ("adh", "j"),
+    "_customer_bank_account_details": ("bank", "j"), "_repayment_details": ("rep", "j"),
+    "accountHolderKey": ("holder", "t"), "accountHolderType": ("'Group'", "t"), "assignedBranchKey": ("branch", "t"),
+    "id": ("loanid", "n"), "interestSettings": ("interest", "j"), "loanAmount": ("loan_amount", "n"),
+    "productTypeKey": ("'product-key-placeholder'", "t"), "redrawSettings": ("redraw", "j"),
+    "scheduleSettings": ("schedule", "j")})} AS payload FROM parts)
+"""
+
+
+@query("loan_payload", _LOAN_SQL + "SELECT * FROM docs")
+def loan_payloads(spark, sf):
+    return documents.payloads(_loan_docs(spark, sf))
+
+
+# =============================================================================
+# From a cohort to requests
+# =============================================================================
+
+_COHORT_SQL = "SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 3"
+
+
+def _cohort(spark, sf):
+    """A caller's list of loan ids."""
+    return table(spark, sf, "orders").where(F.col("o_orderkey") % 10 == 3).select(F.col("o_orderkey").alias("loanid"))
+
+
+@query("loan_payload_cohort", _LOAN_SQL + f"SELECT * FROM docs WHERE id IN ({_COHORT_SQL})")
+def q_loan_payload_cohort(spark, sf):
+    staged = flows.loans(_src(spark, sf, *_K3_TABLES), _cohort(spark, sf), _funders(spark, sf), _group_keys(spark, sf),
+                         "trial-1")
+    return documents.payloads(documents.loan_documents(staged, order_by=_LOAN_ORDER))
+
+
+def _posts(sql, path, keep="true"):
+    return (f"SELECT CAST(id AS VARCHAR) AS request_id, 'POST' AS method, '{_BASE}{path}' AS url, payload AS body "
+            f"FROM ({sql}) WHERE {keep}")
+
+
+@query("client_requests", _posts(ORACLE["client_payload"].replace(
+    "FROM staged)", f"FROM staged WHERE loanid IN ({_COHORT_SQL}))"), "/clients/"))
+def q_client_requests(spark, sf):
+    staged = flows.clients(_src(spark, sf, *_K1_TABLES), _cohort(spark, sf))
+    docs = documents.payloads(documents.client_documents(staged, order_by=["loanid", "application_role"]))
+    return requests.create_requests(docs, "id")
+
+
+@query("group_requests", _posts(ORACLE["group_payload"], "/groups", f"id IN ({_COHORT_SQL})"))
+def q_group_requests(spark, sf):
+    staged = flows.clients(_src(spark, sf, *_K1_TABLES), _cohort(spark, sf))
+    clients = staged.select("id", "loanid", "application_role").join(_client_answers(spark, sf), "id")
+    groups = documents.group_documents(clients, order_by=["application_role", "encodedKey"])
+    return requests.create_requests(documents.group_payloads(groups), "id", path=requests.GROUPS_PATH)
+
+
+@query("loan_requests", _posts(_LOAN_SQL + "SELECT * FROM docs", "/loans/"))
+def q_loan_requests(spark, sf):
+    return requests.create_requests(loan_payloads(spark, sf), "id", path=requests.LOANS_PATH)
+
+
+@query("disbursement_requests", _DISBURSEMENT_SQL + f"""
+SELECT id AS request_id, 'POST' AS method, '{_BASE}/loans/' || id || '/disbursement-transactions' AS url, payload AS body
+FROM docs WHERE CAST(id AS BIGINT) IN ({_COHORT_SQL})
 """)
-def q_loan_payload(spark, sf):
-    d = _loan_docs(spark, sf)
+def q_disbursement_requests(spark, sf):
+    fees = flows.disbursements(_src(spark, sf, *K11_TABLES), _cohort(spark, sf))
+    docs = documents.payloads(documents.disbursement_documents(fees, order_by=["predefinedFeeKey", "amount"]))
+    return requests.disburse_requests(docs)
 
-    def rep(x):
-        return F.when(x.isNull(), F.lit("null")).otherwise(F.concat_ws(":", *[
-            F.coalesce(x.getField(f).cast("string"), F.lit("~"))
-            for f in ["recurring_repayment_day", "payment_frequency", "next_repayment_due_date"]]))
 
-    def adh(x):
-        return F.when(x.isNull(), F.lit("null")).otherwise(
-            F.coalesce(x.getField("adhoc_repayment_date"), F.lit("~")))
+@query("disbursements_in_key_order", _DISBURSEMENT_SQL + "SELECT id, payload FROM docs ORDER BY id")
+def q_disbursements_in_key_order(spark, sf):
+    return requests.sink_order(disbursement_payloads(spark, sf).select("id", "payload"), "id")
 
-    return d.select(
-        "id", "copies", _size_or_minus1("_repayment_details").alias("n_repayments"),
-        F.array_join(F.transform("_repayment_details", rep), ",").alias("repayments_text"),
-        _size_or_minus1("_adhoc_repayment_details").alias("n_adhoc"),
-        F.array_join(F.transform("_adhoc_repayment_details", adh), ",").alias("adhoc_text"),
-        F.col("_additional_loan_details.approved_date").alias("approved_date"),
-        F.col("_additional_loan_details.is_secure").alias("is_secure"),
-        F.col("interestSettings.interestRate").alias("interest_rate"),
-        F.col("_customer_bank_account_details.account_name").alias("account_name"),
-        F.col("_additional_loan_details.loan_status").alias("loan_status"))
 
+@query("client_documents_expanded", "WITH d AS (" + ORACLE["client_payload"] + """)
+SELECT id, payload FROM (SELECT id, payload, unnest(range(copies)) FROM d)
+""")
+def q_client_documents_expanded(spark, sf):
+    return nest.expand_copies(q_client_payload(spark, sf)).select("id", "payload")
 
-def loan_payloads(spark, sf):
-    return documents.payloads(_loan_docs(spark, sf))
+
+@query("fetch_result", f"""
+SELECT row_number() OVER (ORDER BY c_custkey DESC) - 1 AS seq, 'c' || CAST(c_custkey AS VARCHAR) AS request_id,
+       CASE WHEN c_custkey % 9 = 4 THEN NULL WHEN c_custkey % 9 = 5 THEN 404 ELSE 200 END AS status_code,
+       CASE WHEN c_custkey % 9 NOT IN (4, 5) THEN 'key-c' || CAST(c_custkey AS VARCHAR) END AS encodedKey
+FROM customer
+""")
+def q_fetch_result(spark, sf):
+    asked = table(spark, sf, "customer").select((-F.col("c_custkey")).alias("o"),
+                                                F.concat(F.lit("c"), F.col("c_custkey")).alias("request_id"))
+    number = F.substring("request_id", 2, 20).cast("bigint") % 9
+    answers = (standins.client_answers(spark, sf).where(number != 4)
+               .withColumn("status_code", F.when(number == 5, 404).otherwise(F.col("status_code"))))
+    asked = rows.row_sequence(asked, ["o"], "seq")
+    return requests.fetch_result(asked, answers, "encodedKey string").select("seq", "request_id", "status_code", "encodedKey")
+
+
+@query("requests_undo_approve", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS request_id, 'POST' AS method,
+       '{_BASE}/loans/' || CAST(o_orderkey AS VARCHAR) || ':changeState' AS url,
+       '{requests.UNDO_APPROVE_BODY}' AS body
+FROM orders
+""")
+def q_requests_undo_approve(spark, sf):
+    return requests.state_change_requests(table(spark, sf, "orders"), "o_orderkey", requests.UNDO_APPROVE_BODY)
+
+
+@query("state_change_messages", f"""
+SELECT CAST(event_id AS VARCHAR) AS request_id, {_STATUS_SQL} AS status_code,
+       CASE WHEN {_STATUS_SQL} = 200 THEN 'Loan ' || CAST(event_id AS VARCHAR) || ' is approved'
+            ELSE CAST(event_id AS VARCHAR) || {_REASON_SQL.format(c=_STATUS_SQL)} END AS message
+FROM events
+""")
+def q_state_change_messages(spark, sf):
+    return requests.outcome_messages(_responses(spark, sf), "request_id", "Loan ", 200, " is approved")
 
 
 # =============================================================================
@@ -1210,13 +1298,13 @@ SELECT event_id AS seq, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NU
 FROM events WHERE event_type = 'click'
 UNION ALL
 SELECT event_id AS seq, CAST(json_extract(props, '$.k') AS BIGINT) AS k, user_id
-FROM events WHERE event_type = 'view'
+FROM events WHERE event_type <> 'click'
 """)
 def q_response_union(spark, sf):
     e = table(spark, sf, "events")
     clicks = jsonio.flatten_json(e.where(F.col("event_type") == "click").select(
         F.col("event_id").alias("seq"), F.from_json("props", "k bigint").alias("b")), "b", keep=["seq"])
-    views = jsonio.flatten_json(e.where(F.col("event_type") == "view").select(
+    views = jsonio.flatten_json(e.where(F.col("event_type") != "click").select(
         F.col("event_id").alias("seq"), F.from_json(F.concat(F.lit('{"user_id":'), F.col("user_id").cast("string"),
                                                              F.lit(',"k":'), F.get_json_object("props", "$.k"),
                                                              F.lit("}")), "k bigint, user_id bigint").alias("b")),

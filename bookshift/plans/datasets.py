@@ -6,9 +6,8 @@ schema prefix), and returns a lazy DataFrame.  The SQL's joins, filters and
 projections are written with the DataFrame API; Catalyst pushes the constant
 filters into the scans and prunes columns.
 
-Control tables (type masters, status master, title list) are small and of
-bounded size; they are left to the planner, which broadcasts them after AQE
-measures them.
+Control tables (type masters, status master, title list) are small; the planner
+broadcasts them by their measured bytes.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bookshift.functions.scalars import case_in_lists, iff, remove_text, strip_dashes, to_int
 from bookshift.functions.temporal import add_months_keep_time, years_to_months
@@ -106,6 +106,29 @@ def applicants_by_role(t: Tables) -> DataFrame:
     return primary.union(secondary).distinct()
 
 
+def _side_by_side(df: DataFrame, key: str, sides: Mapping[str, tuple], outer: bool) -> DataFrame:
+    """Several joins of one table to ``key``, from one pass over it.
+
+    Each side is (condition, struct or array of structs of the row's
+    columns): its rows per key are gathered, then laid out against the rows
+    of the other sides, as one join per side would.  With ``outer`` a side
+    without rows gives nulls, else it drops the key.
+    """
+    kinds = {name: df.select(value.alias("v")).schema["v"].dataType for name, (_, value) in sides.items()}
+    gathered = []
+    for name, (test, value) in sides.items():
+        rows = F.collect_list(F.when(test, value))
+        gathered.append((F.flatten(rows) if isinstance(kinds[name], T.ArrayType) else rows).alias(f"__{name}"))
+    out = df.groupBy(key).agg(*gathered)
+    done = [key]
+    for name in sides:
+        rest = [f"__{n}" for n in list(sides)[list(sides).index(name) + 1:]]
+        inline = F.inline_outer(f"__{name}") if outer else F.inline(f"__{name}")
+        out = out.select(*done, *rest, inline)
+        done = [c for c in out.columns if c not in rest]
+    return out
+
+
 # -- K9 loan accounts -----------------------------------------------------------------
 
 def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None) -> DataFrame:
@@ -122,14 +145,13 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
     # Funder name LIKE pattern: names without wildcards join by equality (hash join).
     funder = like_matches(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
                           "cmr_name").select("f_code", F.col("cmr_name").alias("funder"))
-    dates = t["io_product_controldate"]
-
-    def date_of(kind: int, name: str) -> DataFrame:
-        return dates.where(F.col("rcd_type") == kind).select(
-            F.col("rcd_idlink_rmr").alias(f"{name}_rmr"), F.col("rcd_currentstart").alias(name))
-
-    disb, appr, mat = date_of(specs.DATE_TYPE_DISBURSEMENT, "disb"), date_of(
-        specs.DATE_TYPE_APPROVED, "approved_date"), date_of(specs.DATE_TYPE_MATURITY, "maturity_date")
+    # The three dates of a loan in one pass; a kind of date a loan has several
+    # times multiplies its rows, one it lacks drops them, as separate joins do.
+    kinds = {specs.DATE_TYPE_DISBURSEMENT: "disb", specs.DATE_TYPE_APPROVED: "approved_date",
+             specs.DATE_TYPE_MATURITY: "maturity_date"}
+    dates = _side_by_side(t["io_product_controldate"].where(F.col("rcd_type").isin(list(kinds))), "rcd_idlink_rmr",
+                          {name: (F.col("rcd_type") == kind, F.struct(F.col("rcd_currentstart").alias(name)))
+                           for kind, name in kinds.items()}, outer=False)
     rate = t["io_product_controlrate"].where(F.col("rcr_type").isin(specs.RATE_TYPES_BORROWER)).select(
         F.col("rcr_idlink_rmr").alias("rate_rmr"), F.col("rcr_rate").alias("interest_rate"))
     mdt = t["io_product_loanmdt"].select(F.col("rlm_idlink_rmr").alias("mdt_rmr"),
@@ -139,49 +161,45 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
     tp = t["io_task_pending"]
     tm = t["io_control_taskmaster"]
     plt = t["io_product_loantransfer"]
-    freq = (tp.join(tm.where(F.col("xtkm_iduser").isin(specs.TASK_USERS_RECURRING)), F.col("xtkm_id") == F.col(
-        "kpd_idlink_xtkm"))
-            .select(F.col("kpd_idlink_code").alias("freq_code"),
-                    case_in_lists("xtkm_iduser", specs.TASK_USERS_FREQUENCY).alias("payment_frequency"),
-                    F.col("kpd_daystart").alias("recurring_repayment_day")))
     cbd = t["io_client_bankdetail"].select("cbd_id", "cbd_accountname", "cbd_accountbsbno", "cbd_accountnumber")
-    # The bank account hangs off the scheduled transfer, so it is joined here,
-    # before the loan join: the same rows and multiplicities as joining it
-    # last, without re-shuffling the wide loan rows on the account key.
-    sched = (tp.join(tm.where(F.col("xtkm_iduser").isin(specs.TASK_USERS_SCHEDULED)),
-                     F.col("xtkm_id") == F.col("kpd_idlink_xtkm"))
-             .join(plt, plt.rdd_idlink_kpd == tp.kpd_id)
-             .select(F.col("kpd_idlink_code").alias("sched_code"), "rdd_idlink_cbd",
-                     F.col("kpd_datenext").alias("next_repayment_due_date"),
-                     F.col("rdd_processamount").alias("repayment_amount"))
-             .join(cbd, F.col("cbd_id") == F.col("rdd_idlink_cbd"), "left"))
-    oneoff = (tp.join(tm.where(F.col("xtkm_iduser") == specs.TASK_USER_ONE_OFF),
-                      F.col("xtkm_id") == F.col("kpd_idlink_xtkm"))
-              .join(plt, plt.rdd_idlink_kpd == tp.kpd_id)
-              .select(F.col("kpd_idlink_code").alias("oneoff_code"),
-                      F.col("kpd_datenext").alias("adhoc_repayment_date"),
-                      F.col("rdd_processamount").alias("adhoc_repayment_amount")))
+    # Tasks meet their type, transfer and bank account once; a loan's recurring,
+    # scheduled and one-off tasks then stand beside each other.
+    user = F.col("xtkm_iduser")
+    wanted = sorted({*specs.TASK_USERS_RECURRING, *specs.TASK_USERS_SCHEDULED, specs.TASK_USER_ONE_OFF})
+    tasks = (tp.join(tm.where(user.isin(wanted)), F.col("xtkm_id") == F.col("kpd_idlink_xtkm"))
+             .select(F.col("kpd_idlink_code").alias("code"), "kpd_id", "kpd_daystart", "kpd_datenext", "xtkm_iduser"))
+    moved = (plt.join(cbd, F.col("cbd_id") == F.col("rdd_idlink_cbd"), "left")
+             .groupBy("rdd_idlink_kpd").agg(F.collect_list(F.struct(
+                 "rdd_processamount", "cbd_accountname", "cbd_accountbsbno", "cbd_accountnumber")).alias("transfers")))
+    per_task = tasks.join(moved, F.col("rdd_idlink_kpd") == F.col("kpd_id"), "left")
+    transfer = lambda *pick: F.transform("transfers", lambda x: F.struct(
+        F.col("kpd_datenext").alias(pick[0]), x["rdd_processamount"].alias(pick[1]),
+        *[x[c].alias(n) for c, n in pick[2:]]))
+    account = [("cbd_accountname", "account_name"), ("cbd_accountbsbno", "account_bsb"),
+               ("cbd_accountnumber", "account_number")]
+    loan_tasks = _side_by_side(per_task, "code", {
+        "regular": (user.isin(specs.TASK_USERS_RECURRING), F.struct(
+            case_in_lists("xtkm_iduser", specs.TASK_USERS_FREQUENCY).alias("payment_frequency"),
+            F.col("kpd_daystart").alias("recurring_repayment_day"))),
+        "scheduled": (user.isin(specs.TASK_USERS_SCHEDULED),
+                      transfer("next_repayment_due_date", "repayment_amount", *account)),
+        "one_off": (user == specs.TASK_USER_ONE_OFF, transfer("adhoc_repayment_date", "adhoc_repayment_amount")),
+    }, outer=True)
     armnet = F.col("ymr_idlink_armnet")
     j = (km.join(pm, pm.rmr_id == armnet)
          .join(pcb, pcb.rcb_idlink_rmr == armnet)
          .join(cpb, cpb.xrbl_id == pcb.rcb_idlink_xrbl)
          .join(funder, F.col("f_code") == armnet)
-         .join(disb, F.col("disb_rmr") == armnet)
-         .join(appr, F.col("approved_date_rmr") == armnet)
-         .join(mat, F.col("maturity_date_rmr") == armnet)
+         .join(dates, F.col("rcd_idlink_rmr") == armnet)
          .join(rate, F.col("rate_rmr") == armnet)
          .join(mdt, F.col("mdt_rmr") == armnet)
          .join(status, status.xsu_id == pm.rmr_idlink_xsu)
-         .join(freq, F.col("freq_code") == armnet, "left")
-         .join(sched, F.col("sched_code") == armnet, "left")
-         .join(oneoff, F.col("oneoff_code") == armnet, "left"))
+         .join(loan_tasks, F.col("code") == armnet, "left"))
     return j.select(
         to_int("ymr_idlink_foreign").alias("loanid"), "funder", "approved_date", "interest_rate", "loan_term",
         F.col("rcb_currentvalue").alias("loan_amount"), "payment_frequency", "recurring_repayment_day",
         "loan_status", "next_repayment_due_date", "repayment_amount", "adhoc_repayment_date",
-        "adhoc_repayment_amount", F.col("cbd_accountname").alias("account_name"),
-        F.col("cbd_accountbsbno").alias("account_bsb"), F.col("cbd_accountnumber").alias("account_number"),
-        "maturity_date")
+        "adhoc_repayment_amount", "account_name", "account_bsb", "account_number", "maturity_date")
 
 
 # -- K10 loan attributes ---------------------------------------------------------------
@@ -235,31 +253,27 @@ def test_cohort(t: Tables, as_at: str = "2022-12-07", start_from: str = "2022-08
     """Up to ``per_status`` sole and ``per_status`` joint loans per status,
     fewest transactions first, then latest start (nulls last / first
     written out, loan id as tie-break); tagged and united."""
-    ls = t["rpt_arm_loanstatus"]
-    km = t["v_c_arm_dbo_io_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
-    pt = t["v_c_arm_dbo_io_product_transaction"].where(F.col("rtm_datee") < F.lit(as_at).cast("date"))
-    arm = (km.join(pt, pt.rtm_idlink_rmr == km.ymr_idlink_armnet)
-           .groupBy("ymr_idlink_foreign").agg(F.count_distinct("rtm_id").alias("count_of_tran")))
+    day = F.lit(as_at).cast("date")
+    open_loans = t["rpt_arm_loanstatus"].where(day.between(F.col("startdate"), F.col("enddate"))
+                                               & (F.col("startdate") >= F.lit(start_from).cast("date")))
     wl = t["v_c_lap_dbo_wealthx_loan"]
-    base = (ls.where(F.lit(as_at).cast("date").between(F.col("startdate"), F.col("enddate"))
-                     & (F.col("startdate") >= F.lit(start_from).cast("date")))
-            .join(arm, arm.ymr_idlink_foreign.cast("bigint") == ls.loan_id))
-    sole = base.join(wl.where(F.col("isjointapplication") == 0).select(F.col("loanid").alias("wl_loanid")),
-                     F.col("wl_loanid") == F.col("loan_id"))
-    joint_pairs = joint_applicant_pairs(wl)
-    joint = base.join(joint_pairs.select(F.col("loanid").alias("j_loanid")), F.col("j_loanid") == F.col("loan_id"))
-
-    def branch(df: DataFrame, tag: str) -> DataFrame:
-        shaped = df.select(
-            F.lit(tag).alias("application_type"), "loan_id",
-            F.concat(F.lit("'"), F.col("loan_id").cast("string"), F.lit("'")).alias("loan_id_str"),
-            "loanstatus", remove_text("loanstatus", specs.STATUS_PREFIX).alias("loan_status"),
-            "startdate", "count_of_tran")
-        return top_n_per_group(shaped, ["loanstatus"],
-                               [F.col("count_of_tran").asc_nulls_last(), F.col("startdate").desc_nulls_first(),
-                                F.col("loan_id").asc()], per_status, "loan_seq")
-
-    return branch(sole, "sole").unionByName(branch(joint, "joint"))
+    kinds = (wl.where(F.col("isjointapplication") == 0).select("loanid", F.lit("sole").alias("application_type"))
+             .unionByName(joint_applicant_pairs(wl).select("loanid", F.lit("joint").alias("application_type"))))
+    base = open_loans.join(kinds, F.col("loanid") == F.col("loan_id"))
+    # the few loans of the report pick the transactions that are counted
+    km = (t["v_c_arm_dbo_io_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
+          .select(F.col("ymr_idlink_foreign").cast("bigint").alias("tran_loan"), "ymr_idlink_armnet"))
+    known = km.join(open_loans.select("loan_id"), F.col("loan_id") == F.col("tran_loan"), "left_semi")
+    pt = t["v_c_arm_dbo_io_product_transaction"].where(F.col("rtm_datee") < day)
+    counted = (known.join(pt, F.col("rtm_idlink_rmr") == F.col("ymr_idlink_armnet"))
+               .groupBy("tran_loan").agg(F.count_distinct("rtm_id").alias("count_of_tran")))
+    shaped = base.join(counted, F.col("tran_loan") == F.col("loan_id")).select(
+        "application_type", "loan_id",
+        F.concat(F.lit("'"), F.col("loan_id").cast("string"), F.lit("'")).alias("loan_id_str"),
+        "loanstatus", remove_text("loanstatus", specs.STATUS_PREFIX).alias("loan_status"), "startdate", "count_of_tran")
+    return top_n_per_group(shaped, ["application_type", "loanstatus"],
+                           [F.col("count_of_tran").asc_nulls_last(), F.col("startdate").desc_nulls_first(),
+                            F.col("loan_id").asc()], per_status, "loan_seq")
 
 
 def joint_applicant_pairs(wl: DataFrame) -> DataFrame:

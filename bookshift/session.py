@@ -8,16 +8,10 @@ The settings below are the ones that matter at scale:
 * ``autoBroadcastJoinThreshold`` stays a byte bound: the planner only
   broadcasts a side whose estimated size is under it, and AQE re-checks with
   the real size after each stage.
-* The checkpoint folder is read from the cluster's ``spark.checkpoint.dir``
-  when an operator needs it; a local default is set only for a local master
-  without one (tests).
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -50,26 +44,3 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    A local temporary folder is created only when the setting is missing and
-    the master is local (tests, local runs).  On a cluster a missing setting
-    is an error: a machine-local folder would not survive a lost executor.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        sc = None
-    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
-    if not current:
-        master = sc.master if sc else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's file system)")
-        current = tempfile.mkdtemp(prefix="bookshift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return current

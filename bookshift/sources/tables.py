@@ -8,24 +8,42 @@ a large table is not pulled through one connection.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.operators.sizing import broadcast_if_bounded
 
 
 def load_tables(spark: SparkSession, source: str | Mapping[str, str], names: Iterable[str],
-                fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Return ``{name: DataFrame}`` for ``names``.
-
-    ``source`` is a folder (``{source}/{name}.{fmt}``) or a mapping of
-    name -> path.
+                fmt: str = "parquet", options: Mapping[str, str] | None = None,
+                queries: Mapping[str, str] | None = None, split: Mapping[str, Split] | None = None
+                ) -> dict[str, DataFrame]:
+    """Return ``{name: DataFrame}`` for ``names`` from files, a database or a
+    connector.
+
+    * files (``fmt`` parquet, csv, ...): ``source`` is a folder
+      (``{source}/{name}.{fmt}``) or a mapping of name -> path;
+    * ``fmt="jdbc"``: ``source`` is the url, or a mapping of name -> url;
+      ``split`` names the tables read in ranges;
+    * any other ``fmt`` with ``options`` (a warehouse connector): the table
+      name, or its query, goes into the ``dbtable`` / ``query`` option.
+
+    ``queries`` gives the statement sent to the database instead of the
+    whole table, e.g. one with the cohort's filter in it.
     """
     out = {}
     for name in names:
-        path = source[name] if isinstance(source, Mapping) else f"{source}/{name}.{fmt}"
-        out[name] = spark.read.format(fmt).load(path)
+        place = source[name] if isinstance(source, Mapping) else source
+        statement = (queries or {}).get(name)
+        if fmt == "jdbc":
+            out[name] = read_jdbc(spark, place, name, statement, (split or {}).get(name), options)
+        elif options is not None:
+            reader = spark.read.format(fmt).options(**{**options, **({"query": statement} if statement else {"dbtable": name})})
+            out[name] = reader.load()
+        else:
+            path = place if isinstance(source, Mapping) else f"{source}/{name}.{fmt}"
+            out[name] = spark.read.format(fmt).load(path)
     return out
 
 
@@ -33,23 +51,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, num_partitions: int = 64,
-              properties: Mapping[str, str] | None = None) -> DataFrame:
-    """Read one database table (A1 operational system, A2 warehouse view).
+class Split(NamedTuple):
+    """A read in ranges of ``column`` from ``lower`` to ``upper``, one task each."""
+    column: str
+    lower: int | str
+    upper: int | str
+    parts: int = 64
+
+
+def jdbc_options(url: str, table: str, query: str | None = None, split: Split | None = None,
+                 properties: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Reader options for one table or query.  A query that is read in ranges
+    becomes a derived table, as Spark does not split the ``query`` option."""
+    out = {"url": url, **(properties or {})}
+    if split is None:
+        out |= {"query": query} if query else {"dbtable": table}
+    else:
+        if split.lower is None or split.upper is None:
+            raise ValueError(f"{table}: a split read needs both bounds of {split.column}")
+        out |= {"dbtable": f"({query}) q" if query else table, "partitionColumn": split.column,
+                "lowerBound": str(split.lower), "upperBound": str(split.upper), "numPartitions": str(split.parts)}
+    return out
 
-    With ``partition_column`` the read is split into ``num_partitions``
-    range queries, one per task; without it Spark uses a single connection,
-    which is only right for small control tables.
-    """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", str(lower)).option("upperBound", str(upper))
-                  .option("numPartitions", str(num_partitions)))
-    return reader.load()
+
+def read_jdbc(spark: SparkSession, url: str, table: str, query: str | None = None, split: Split | None = None,
+              properties: Mapping[str, str] | None = None) -> DataFrame:
+    """Read one database table (A1 operational system, A2 warehouse view), or
+    a query on it.  Without ``split`` Spark uses a single connection, which is
+    right for control tables and for queries that return little."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, query, split, properties)).load()
 
 
 def filter_cohort_ids(df: DataFrame, key: str | Column, ids: Iterable) -> DataFrame:
@@ -66,13 +96,10 @@ def filter_cohort_ids(df: DataFrame, key: str | Column, ids: Iterable) -> DataFr
     return df.where(k.isin(ids))
 
 
-def semi_join_cohort(df: DataFrame, cohort: DataFrame, on: str | list[str],
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def semi_join_cohort(df: DataFrame, cohort: DataFrame, on: str | list[str]) -> DataFrame:
     """Keep rows whose key appears in a cohort table.
 
-    Duplicates in the cohort do not multiply rows (left semi).  The cohort is
-    broadcast only after its row count is checked against the bound;
-    otherwise the planner shuffles both sides on the key.
+    Duplicates in the cohort do not multiply rows (left semi).  The planner
+    broadcasts the cohort if its bytes allow, else shuffles both sides.
     """
-    cohort_keys = cohort.select(*([on] if isinstance(on, str) else on))
-    return df.join(broadcast_if_bounded(cohort_keys, max_broadcast_rows), on=on, how="left_semi")
+    return df.join(cohort.select(*([on] if isinstance(on, str) else on)), on=on, how="left_semi")

@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bookshift.plans.catalog import ORACLE, QUERIES
 from tools.oracle_check import TABLES, key, norm
 
 SF = os.environ.get("BOOKSHIFT_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -25,15 +26,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    rel = con.execute(entry.oracle_sql()[name])
+    rel = con.execute(ORACLE[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(sdf.columns) == sorted(dcols)
     order = [dcols.index(c) for c in sdf.columns]

@@ -3,9 +3,9 @@ filters and column pruning reaching the scan."""
 
 import pytest
 
-import __spark_entry__ as entry
 from bookshift.operators import nest
 from bookshift.operators.nest import FieldSet
+from bookshift.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,11 +14,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_and_no_cartesian(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_nest_is_one_aggregate_shuffle(spark):
@@ -31,25 +31,44 @@ def test_nest_is_one_aggregate_shuffle(spark):
 
 
 def test_filter_and_projection_reach_the_scan(spark):
-    df = entry.queries()["scan_cohort_filter"](spark, SF)
+    df = QUERIES["scan_cohort_filter"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)" in plan
     assert "o_orderdate" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
 def test_top_n_uses_window_group_limit(spark):
-    plan = _plan(entry.queries()["topn_per_group"](spark, SF))
+    plan = _plan(QUERIES["topn_per_group"](spark, SF))
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_when_nothing_can_be_broadcast(spark, name):
     """At 100 TB the loan-sized tables exceed any broadcast threshold; the
     plans must then still be shuffle joins, never a cartesian product."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(entry.queries()[name](spark, SF))
+        plan = _plan(QUERIES[name](spark, SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["client_payload", "group_payload", "loan_payload", "disbursement_payload"])
+def test_documents_write_nothing(spark, name):
+    import glob
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = glob.glob(f"{folder}/*")
+    QUERIES[name](spark, SF).limit(1).collect()
+    assert glob.glob(f"{folder}/*") == before
+
+
+def test_group_documents_nest_once(spark):
+    plan = _plan(QUERIES["group_payload"](spark, SF))
+    assert plan.count("ObjectHashAggregate") == 2 and plan.count("collect_list") >= 2
+
+
+def test_loan_accounts_read_tasks_transfers_and_dates_once(spark):
+    plan = _plan(QUERIES["loan_accounts_operational"](spark, SF))
+    assert plan.count("FileScan") < 20

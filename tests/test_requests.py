@@ -15,8 +15,8 @@ def test_request_tables(spark):
     assert json.loads(undo.body)["action"] == "Undo_Approve"
     fetch = rq.fetch_requests(ids, "id", base, rq.CLIENTS_PATH, "FULL", 1000).collect()[0]
     assert fetch.method == "GET" and fetch.url == base + "/clients/7?detailsLevel=FULL&limit=1000"
-    docs = spark.createDataFrame([('{"id":"9","x":1}',)], "payload string")
-    disb = rq.disburse_requests(docs, "payload", base).collect()[0]
+    docs = spark.createDataFrame([("9", '{"id":"9","x":1}')], "id string, payload string")
+    disb = rq.disburse_requests(docs, "id", "payload", base).collect()[0]
     assert disb.request_id == "9" and disb.url == base + "/loans/9/disbursement-transactions"
     create = rq.create_requests(spark.createDataFrame([(5, "{}")], "id int, payload string"), "id",
                                 base_url=base, path=rq.GROUPS_PATH).collect()[0]

@@ -186,7 +186,7 @@ def test_f8_like_join_wildcards_and_backslash(spark):
 
 def test_row_sequence_is_dense_and_ordered(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    out = rows.row_sequence(df, ["k"], "seq", start=5, num_partitions=4).orderBy("seq").collect()
+    out = rows.row_sequence(df, ["k"], "seq", start=5, buckets=4).orderBy("seq").collect()
     assert [r.seq for r in out] == list(range(5, 1005))
     assert [r.k for r in out] == sorted(r.k for r in out)
 
@@ -247,3 +247,80 @@ def test_a6_list_endpoint_edge_bodies(spark):
     out = jsonio.dimension_from_json_array(df, "body", "encodedKey string, name string",
                                            {"encodedKey": "encodedKey", "name": "funder"})
     assert [tuple(r) for r in out.collect()] == [("k1", "A")]
+
+
+def test_a6_bodies_that_are_no_json_are_listed(spark):
+    df = spark.createDataFrame([(1, "[]"), (2, None), (3, "not json"), (4, '{"a":1,"a":2}')], "id int, body string")
+    assert sorted(r.id for r in jsonio.unparsed_bodies(df, "body").collect()) == [3, 4]
+
+
+def test_s18_arrays_in_arrays(spark):
+    schema = "groupMembers array<struct<clientKey: string, roles: array<struct<groupRoleNameKey: string>>>>, m array<array<int>>"
+    body = ('{"groupMembers":[{"clientKey":"a","roles":[{"groupRoleNameKey":"r1"}]},'
+            '{"clientKey":"b","roles":[{"groupRoleNameKey":"r2"},{"groupRoleNameKey":"r3"}]}],"m":[[1],[2,3]]}')
+    df = spark.createDataFrame([(body,), ('{"m":null}',)], "body string").select(F.from_json("body", schema).alias("j"))
+    out = jsonio.flatten_json(df, "j")
+    got = out.where("groupMembers_0_clientKey = 'a'").first().asDict()
+    assert got["groupMembers_0_roles_0_groupRoleNameKey"] == "r1" and got["groupMembers_0_roles_1_groupRoleNameKey"] is None
+    assert got["groupMembers_1_roles_1_groupRoleNameKey"] == "r3" and (got["m_0_0"], got["m_0_1"], got["m_1_1"]) == (1, None, 3)
+    assert out.count() == 2
+
+
+def test_s18_long_form_keeps_every_leaf(spark):
+    deep = "1"
+    for _ in range(10):
+        deep = '{"k":' + deep + "}"
+    rows_ = [(1, deep), (2, '{"notes":"[draft] call back","a":"[1,2]","p":"  padded  ","e":{},"f":[],"n":null}'),
+             (3, '{"groupMembers":[{"roles":[{"groupRoleNameKey":"x"}]}]}'), (4, "broken {"), (5, None),
+             (6, '{"q":"brace } in \\" text {[","t":true,"d":1.5}')]
+    df = spark.createDataFrame(rows_, "seq int, body string")
+    got = {(r.seq, r.path): r.value for r in jsonio.flatten_json_long(df, "seq", "body").collect()}
+    assert got == {(1, "_".join("k" * 10)): "1", (2, "notes"): "[draft] call back", (2, "a"): "[1,2]",
+                   (2, "p"): "  padded  ", (2, "e"): "{}", (2, "f"): "[]", (2, "n"): None,
+                   (3, "groupMembers_0_roles_0_groupRoleNameKey"): "x",
+                   (6, "q"): 'brace } in " text {[', (6, "t"): "true", (6, "d"): "1.5"}
+
+
+def test_f8_like_names_with_special_characters(spark):
+    details = spark.createDataFrame([("P\\a!b",), ("P\\abc",), ("P\\axc",), ("P\\",), ("P\\[x",), ("P\\1.5",), ("P\\1x5",),
+                                     (None,)], "d string")
+    names = spark.createDataFrame([("a!%",), ("a[bx]c",), (None,), ("a[^b]c",), ("[x",), ("1.5%",)], "name string")
+    got = sorted(((r.d, r.name) for r in joins.like_join(details, "d", names, "P\\", "name").collect()), key=str)
+    assert got == sorted([("P\\a!b", "a!%"), ("P\\abc", "a[bx]c"), ("P\\axc", "a[bx]c"), ("P\\", None),
+                          ("P\\axc", "a[^b]c"), ("P\\[x", "[x"), ("P\\1.5", "1.5%")], key=str)
+
+
+def test_j9_repeated_keys_and_null_values(spark):
+    df = spark.createDataFrame([(1, 1, 10), (1, 1, 20), (1, 2, None), (2, 3, 5), (None, 4, 1), (None, 5, 1), (3, 6, None),
+                                (3, 7, None)], "cust int, k int, price int")
+    got = {r.k: (r.n, r.total) for r in joins.others_in_group(df, "cust", "k", "price", "n", "total").collect()}
+    df.createOrReplaceTempView("j9")
+    want = {r.k: (r.n, r.total) for r in spark.sql(
+        "SELECT a.k, count(*) AS n, sum(b.price) AS total FROM j9 a JOIN j9 b ON a.cust = b.cust AND a.k <> b.k "
+        "GROUP BY a.k, a.cust").collect()}
+    assert got == want == {1: (2, None), 2: (2, 30), 6: (1, None), 7: (1, None)}
+
+
+def test_row_sequence_with_nulls_and_ties(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (5, 1), (5, 0), (1, 9)] * 1, "a int, b int")
+    got = [(r.seq, r.a, r.b) for r in rows.row_sequence(df, ["a", "b"], "seq", buckets=3).orderBy("seq").collect()]
+    assert got == [(0, None, 1), (1, None, 2), (2, 1, 9), (3, 5, 0), (4, 5, 1)]
+    assert rows.row_sequence(df.where("false"), ["a", "b"]).count() == 0
+
+
+def test_database_options():
+    from bookshift.sources.tables import Split, jdbc_options
+    assert jdbc_options("u", "t") == {"url": "u", "dbtable": "t"}
+    assert jdbc_options("u", "t", "select 1") == {"url": "u", "query": "select 1"}
+    split = jdbc_options("u", "t", "select * from t where id in (1)", Split("id", 1, 9, 4), {"user": "x"})
+    assert split == {"url": "u", "user": "x", "dbtable": "(select * from t where id in (1)) q", "partitionColumn": "id",
+                     "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
+    with pytest.raises(ValueError):
+        jdbc_options("u", "t", None, Split("id", None, 9))
+
+
+def test_load_tables_routes(spark, tmp_path):
+    from bookshift.sources.tables import load_tables
+    spark.range(3).write.parquet(f"{tmp_path}/a.parquet")
+    assert load_tables(spark, str(tmp_path), ["a"])["a"].count() == 3
+    assert load_tables(spark, {"a": f"{tmp_path}/a.parquet"}, ["a"])["a"].count() == 3
