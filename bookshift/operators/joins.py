@@ -88,39 +88,38 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
     ``%``, ``_`` and ``[..]`` inside names are wildcards, as in T-SQL; there is
     no escape character, and a null name reads as an empty one.
 
-    A pattern without wildcards matches only its own text, so those rows are
-    joined by equality.  A pattern with wildcards can only match texts that
-    begin with what stands before its first wildcard: texts are listed by
-    each of their beginnings (from the prefix on), joined to that head by
-    equality, and tested row by row after that.  Both are equi-joins, at any
-    size.  Use it on distinct texts and names and join the matches back by
-    equality when either side is large (see ``like_matches``).
+    A pattern can only match texts that begin with what stands before its
+    first wildcard (all of it, without one): texts are listed by each of
+    their beginnings (from the prefix on) and joined to that head by equality;
+    what is left of the pattern is tested on the joined rows.  It is an
+    equi-join at any size.  Use it on distinct texts and names and join the
+    matches back by equality when either side is large (see ``like_matches``).
     """
     if how != "inner":
         raise ValueError("like_join supports inner joins")
     name = F.coalesce(F.col(f"`{right_col}`"), F.lit(""))
-    plain = right.where(~name.rlike(_WILD)).withColumn("__text", F.concat(F.lit(prefix), name))
-    by_equality = left.join(plain, left[left_col] == plain["__text"]).drop("__text")
-    head = F.concat(F.lit(prefix), F.regexp_extract(name, r"(?s)^([^%_\[]*)", 1))
-    wild = (right.where(name.rlike(_WILD)).withColumn("__head", head)
-            .withColumn("__regex", _like_regex(prefix, name)))
+    heads = right.withColumns({
+        "__head": F.concat(F.lit(prefix), F.regexp_extract(name, r"(?s)^([^%_\[]*)", 1)),
+        "__regex": F.when(name.rlike(_WILD), _like_regex(prefix, name))})  # null: no wildcard
     text = F.col(f"`{left_col}`")
     begins = left.where(text.startswith(prefix)).withColumn("__begin", F.explode(F.transform(
         F.sequence(F.lit(len(prefix)), F.char_length(text)), lambda n: F.substring(text, F.lit(1), n))))
-    by_pattern = begins.join(wild, (begins["__begin"] == wild["__head"]) & F.rlike(begins[left_col], wild["__regex"])) \
-        .drop("__begin", "__head", "__regex")
-    return by_equality.unionByName(by_pattern)
+    rest = F.when(heads["__regex"].isNull(), begins["__begin"] == begins[left_col]).otherwise(
+        F.rlike(begins[left_col], heads["__regex"]))
+    return begins.join(heads, (begins["__begin"] == heads["__head"]) & rest).drop("__begin", "__head", "__regex")
 
 
-def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: str, name_col: str) -> DataFrame:
+def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: str, name_col: str,
+                 names: DataFrame | None = None) -> DataFrame:
     """``rows`` joined to every ``details`` row whose text is LIKE prefix + name.
 
     The pattern test runs once per distinct name (funder or product names),
     and the matches are joined back to the rows by equality, so the large
-    side only takes part in a hash join.  Multiplicities are those of the
-    direct LIKE join.
+    side only takes part in a hash join.  ``names`` is a table that holds
+    every name of ``rows`` (in ``name_col``), if there is one cheaper to
+    read.  Multiplicities are those of the direct LIKE join.
     """
-    names = rows.select(F.col(name_col).alias("__name")).distinct()
+    names = (rows if names is None else names).select(F.col(name_col).alias("__name")).distinct()
     matched = like_join(details, detail_col, names, prefix, "__name")
     return rows.join(matched, rows[name_col].eqNullSafe(matched["__name"])).drop("__name")
 

@@ -142,9 +142,9 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
     links = (lm.join(pm.select(F.col("rmr_id").alias("f_rmr")), F.col("f_rmr") == lm.lmr_idlink_code_id)
              .join(cm.select(F.col("cmr_id").alias("f_cmr"), "cmr_name"), F.col("f_cmr") == lm.lmr_idlink_cmr)
              .select(F.col("lmr_idlink_code_id").alias("f_code"), "cmr_name"))
-    # Funder name LIKE pattern: names without wildcards join by equality (hash join).
+    # Funder name LIKE pattern, tested once per distinct name.
     funder = like_matches(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
-                          "cmr_name").select("f_code", F.col("cmr_name").alias("funder"))
+                          "cmr_name", names=cm).select("f_code", F.col("cmr_name").alias("funder"))
     # The three dates of a loan in one pass; a kind of date a loan has several
     # times multiplies its rows, one it lacks drops them, as separate joins do.
     kinds = {specs.DATE_TYPE_DISBURSEMENT: "disb", specs.DATE_TYPE_APPROVED: "approved_date",
