@@ -1,8 +1,8 @@
 """Source datasets K5-K11 on the operational and application schemas.
 
 Each builder takes ``t``, a mapping of table name -> DataFrame (see
-``sources.tables.load_tables``; table names as in the source systems without
-schema prefix), and returns a lazy DataFrame.  The SQL's joins, filters and
+``sources.tables.load_tables``, whose ``source`` mapping gives the tables' places
+in the source systems), and returns a lazy DataFrame.  The SQL's joins, filters and
 projections are written with the DataFrame API; Catalyst pushes the constant
 filters into the scans and prunes columns.
 
@@ -90,18 +90,18 @@ def applicants_by_role(t: Tables) -> DataFrame:
     application except a tuple carried only by itself.  Each joined row is
     an output row, so the join is never larger than the result.
     """
-    wl = t["v_c_lap_dbo_wealthx_loan"]
-    pa = wl.select("wisrcustomerid", "applicationid", F.col("dob").cast("date").alias("birthdate"), "loanid")
-    primary = pa.select("wisrcustomerid", strip_dashes("wisrcustomerid").alias("id"), "birthdate", "loanid",
+    wl = t["application_loans"]
+    pa = wl.select("customerid", "applicationid", F.col("dob").cast("date").alias("birthdate"), "loanid")
+    primary = pa.select("customerid", strip_dashes("customerid").alias("id"), "birthdate", "loanid",
                         F.lit("primary").alias("application_role"))
-    tuples = (wl.groupBy("applicationid", strip_dashes("wisrcustomerid").alias("sec_id"),
+    tuples = (wl.groupBy("applicationid", strip_dashes("customerid").alias("sec_id"),
                          F.col("dob").cast("date").alias("sec_birthdate"))
               .agg(F.count_distinct("loanid").alias("n_loans"), F.min("loanid").alias("only_loan")))
     # ``wl.loanid <> pa.loanid`` is never true for a null loan id.
     cond = (pa.applicationid == tuples.applicationid) & pa.loanid.isNotNull() & (
         (tuples.n_loans > 1) | (tuples.only_loan != pa.loanid))
     secondary = pa.join(tuples, cond).select(
-        pa.wisrcustomerid, F.col("sec_id").alias("id"), F.col("sec_birthdate").alias("birthdate"),
+        pa.customerid, F.col("sec_id").alias("id"), F.col("sec_birthdate").alias("birthdate"),
         pa.loanid, F.lit("secondary").alias("application_role"))
     return primary.union(secondary).distinct()
 
@@ -131,7 +131,9 @@ def _side_by_side(df: DataFrame, key: str, sides: Mapping[str, tuple], outer: bo
 
 # -- K9 loan accounts -----------------------------------------------------------------
 
-def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None) -> DataFrame:
+def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None,
+                              status_prefix: str = specs.STATUS_PREFIX,
+                              rate_prefix: str = specs.RATE_MASTER_PREFIX) -> DataFrame:
     km = t["io_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
     pm = t["io_product_masterreference"]
     pcb = t["io_product_controlbalance"]
@@ -143,7 +145,7 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
              .join(cm.select(F.col("cmr_id").alias("f_cmr"), "cmr_name"), F.col("f_cmr") == lm.lmr_idlink_cmr)
              .select(F.col("lmr_idlink_code_id").alias("f_code"), "cmr_name"))
     # Funder name LIKE pattern, tested once per distinct name.
-    funder = like_matches(rate_master.select("xrrm_detail"), "xrrm_detail", links, specs.RATE_MASTER_PREFIX,
+    funder = like_matches(rate_master.select("xrrm_detail"), "xrrm_detail", links, rate_prefix,
                           "cmr_name", names=cm).select("f_code", F.col("cmr_name").alias("funder"))
     # The three dates of a loan in one pass; a kind of date a loan has several
     # times multiplies its rows, one it lacks drops them, as separate joins do.
@@ -156,7 +158,7 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
         F.col("rcr_idlink_rmr").alias("rate_rmr"), F.col("rcr_rate").alias("interest_rate"))
     mdt = t["io_product_loanmdt"].select(F.col("rlm_idlink_rmr").alias("mdt_rmr"),
                                          years_to_months("rlm_term_years").alias("loan_term"))
-    status = t["io_control_statusmaster"].select("xsu_id", remove_text("xsu_detail", specs.STATUS_PREFIX)
+    status = t["io_control_statusmaster"].select("xsu_id", remove_text("xsu_detail", status_prefix)
                                                  .alias("loan_status"))
     tp = t["io_task_pending"]
     tm = t["io_control_taskmaster"]
@@ -205,8 +207,8 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None)
 # -- K10 loan attributes ---------------------------------------------------------------
 
 def loan_attributes(t: Tables) -> DataFrame:
-    wl = t["v_c_lap_dbo_wealthx_loan"]
-    ls = t["v_c_lap_dbo_tb_loansecurity"].select(F.col("loanid").alias("ls_loanid"), "issecureloan")
+    wl = t["application_loans"]
+    ls = t["application_security"].select(F.col("loanid").alias("ls_loanid"), "issecureloan")
     j = wl.join(ls, ls.ls_loanid == wl.loanid, "left")
     return j.select(wl.loanid,
                     iff(F.col("issecuredrateloan") == 1, "Secured", "Unsecured").alias("rate_type"),
@@ -249,28 +251,28 @@ def multi_adhoc(t: Tables, guids: Mapping[str, str] | None = None) -> DataFrame:
 # -- K5 test cohort ----------------------------------------------------------------------------
 
 def test_cohort(t: Tables, as_at: str = "2022-12-07", start_from: str = "2022-08-01", per_status: int = 5,
-                guids: Mapping[str, str] | None = None) -> DataFrame:
+                guids: Mapping[str, str] | None = None, status_prefix: str = specs.STATUS_PREFIX) -> DataFrame:
     """Up to ``per_status`` sole and ``per_status`` joint loans per status,
     fewest transactions first, then latest start (nulls last / first
     written out, loan id as tie-break); tagged and united."""
     day = F.lit(as_at).cast("date")
-    open_loans = t["rpt_arm_loanstatus"].where(day.between(F.col("startdate"), F.col("enddate"))
+    open_loans = t["loan_status_report"].where(day.between(F.col("startdate"), F.col("enddate"))
                                                & (F.col("startdate") >= F.lit(start_from).cast("date")))
-    wl = t["v_c_lap_dbo_wealthx_loan"]
+    wl = t["application_loans"]
     kinds = (wl.where(F.col("isjointapplication") == 0).select("loanid", F.lit("sole").alias("application_type"))
              .unionByName(joint_applicant_pairs(wl).select("loanid", F.lit("joint").alias("application_type"))))
     base = open_loans.join(kinds, F.col("loanid") == F.col("loan_id"))
     # the few loans of the report pick the transactions that are counted
-    km = (t["v_c_arm_dbo_io_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
+    km = (t["warehouse_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
           .select(F.col("ymr_idlink_foreign").cast("bigint").alias("tran_loan"), "ymr_idlink_armnet"))
     known = km.join(open_loans.select("loan_id"), F.col("loan_id") == F.col("tran_loan"), "left_semi")
-    pt = t["v_c_arm_dbo_io_product_transaction"].where(F.col("rtm_datee") < day)
+    pt = t["warehouse_product_transaction"].where(F.col("rtm_datee") < day)
     counted = (known.join(pt, F.col("rtm_idlink_rmr") == F.col("ymr_idlink_armnet"))
                .groupBy("tran_loan").agg(F.count_distinct("rtm_id").alias("count_of_tran")))
     shaped = base.join(counted, F.col("tran_loan") == F.col("loan_id")).select(
         "application_type", "loan_id",
         F.concat(F.lit("'"), F.col("loan_id").cast("string"), F.lit("'")).alias("loan_id_str"),
-        "loanstatus", remove_text("loanstatus", specs.STATUS_PREFIX).alias("loan_status"), "startdate", "count_of_tran")
+        "loanstatus", remove_text("loanstatus", status_prefix).alias("loan_status"), "startdate", "count_of_tran")
     return top_n_per_group(shaped, ["application_type", "loanstatus"],
                            [F.col("count_of_tran").asc_nulls_last(), F.col("startdate").desc_nulls_first(),
                             F.col("loan_id").asc()], per_status, "loan_seq")
@@ -283,10 +285,10 @@ def joint_applicant_pairs(wl: DataFrame) -> DataFrame:
     reduced to distinct (email, id): the output only reads those, so
     duplicates there would only multiply rows the DISTINCT removes.
     """
-    sec = (wl.where((F.col("wisrcustomerid") != "") & (F.col("wisrcustomerid") != specs.ZERO_GUID))
-           .select(F.col("email").alias("sec_email"), F.col("wisrcustomerid").alias("sec_id")).distinct())
+    sec = (wl.where((F.col("customerid") != "") & (F.col("customerid") != specs.ZERO_GUID))
+           .select(F.col("email").alias("sec_email"), F.col("customerid").alias("sec_id")).distinct())
     pri = wl.where(F.col("isjointapplication") == 1).select(
-        "loanid", F.col("wisrcustomerid").alias("pri_id"), "jointapplicantemail")
+        "loanid", F.col("customerid").alias("pri_id"), "jointapplicantemail")
     return (pri.join(sec, sec.sec_email == pri.jointapplicantemail)
             .where(F.lower("pri_id") != F.lower("sec_id"))
             .select("loanid", "pri_id", "sec_id").distinct())

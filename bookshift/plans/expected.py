@@ -26,7 +26,7 @@ WHERE c_custkey = o_custkey AND n_nationkey = c_nationkey AND r_regionkey = n_re
 
 #: a loan is the secondary loan of each other loan of its customer
 APPLICANTS = f"""
-SELECT 'c-' || CAST(o_custkey AS VARCHAR) AS wisrcustomerid, 'c' || CAST(o_custkey AS VARCHAR) AS id,
+SELECT 'c-' || CAST(o_custkey AS VARCHAR) AS customerid, 'c' || CAST(o_custkey AS VARCHAR) AS id,
        {_BORN} AS birthdate, o_orderkey AS loanid, unnest(
            CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN ['primary', 'secondary'] ELSE ['primary'] END)
        AS application_role
@@ -92,7 +92,7 @@ def cohort(as_at: str, start_from: str, per_status: int = 5) -> str:
     joint = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
     return f"""
 SELECT application_type, o_orderkey AS loan_id, '''' || CAST(o_orderkey AS VARCHAR) || '''' AS loan_id_str,
-       'Direct Money' || chr(92) || loan_status AS loanstatus, loan_status, CAST(started AS VARCHAR) AS startdate,
+       'Lender' || chr(92) || loan_status AS loanstatus, loan_status, CAST(started AS VARCHAR) AS startdate,
        n AS count_of_tran, place AS loan_seq
 FROM (SELECT *, row_number() OVER (PARTITION BY application_type, loan_status ORDER BY n, started DESC, o_orderkey) AS place
       FROM (SELECT *, CASE WHEN {joint} THEN 'joint' ELSE 'sole' END AS application_type, {_STATUS} AS loan_status,

@@ -17,7 +17,7 @@ from bookshift.plans import datasets, documents
 #: tables that name loans: their loan id column
 LOAN_ID = {
     "io_keys_masterreference": "ymr_idlink_foreign",
-    "v_c_lap_dbo_tb_loansecurity": "loanid",
+    "application_security": "loanid",
 }
 
 

@@ -93,7 +93,7 @@ SELECT DISTINCT CASE WHEN o_orderstatus = 'F' THEN '{G["loan_balance"]}' ELSE 'g
        AS xrbl_id
 FROM {{orders}}""",
     "io_control_productratemaster": """
-SELECT 'Direct Money' || chr(92) || 'Provisional Rate' || chr(92) || n_name AS xrrm_detail FROM {nation}""",
+SELECT 'Lender' || chr(92) || 'Provisional Rate' || chr(92) || n_name AS xrrm_detail FROM {nation}""",
     "io_product_controldate": """
 SELECT 'rmr-' || CAST(o_orderkey AS STRING) AS rcd_idlink_rmr, 6 AS rcd_type, o_orderdate AS rcd_currentstart
 FROM {orders}
@@ -114,7 +114,7 @@ SELECT 'rmr-' || CAST(o_orderkey AS STRING) AS rlm_idlink_rmr,
 FROM {orders}""",
     "io_control_statusmaster": """
 SELECT DISTINCT 'xsu-' || o_orderstatus AS xsu_id,
-       'Direct Money' || chr(92) || CASE o_orderstatus WHEN 'F' THEN 'Finalised' WHEN 'O' THEN 'Open'
+       'Lender' || chr(92) || CASE o_orderstatus WHEN 'F' THEN 'Finalised' WHEN 'O' THEN 'Open'
                                 ELSE 'Pending' END AS xsu_detail
 FROM {orders}""",
     "io_task_pending": f"""
@@ -145,9 +145,9 @@ SELECT DISTINCT 'xtrm-' || l_returnflag AS xtrm_id,
                          ELSE 'Brokerage Fee' END AS xtrm_idtext
 FROM {lineitem}""",
     # -- application warehouse -------------------------------------------------
-    "v_c_lap_dbo_wealthx_loan": """
+    "application_loans": """
 SELECT o_orderkey AS loanid, 'app-' || CAST(o_custkey AS STRING) AS applicationid,
-       'c-' || CAST(o_custkey AS STRING) AS wisrcustomerid,
+       'c-' || CAST(o_custkey AS STRING) AS customerid,
        CAST(DATE '1960-01-01' + c_nationkey AS STRING) AS dob,
        'c' || CAST(o_custkey AS STRING) || '@mail.example' AS email,
        'c' || CAST(o_custkey + 1 AS STRING) || '@mail.example' AS jointapplicantemail,
@@ -155,21 +155,21 @@ SELECT o_orderkey AS loanid, 'app-' || CAST(o_custkey AS STRING) AS applicationi
        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS issecuredrateloan,
        o_orderpriority AS loanpurpose
 FROM {orders} JOIN {customer} ON c_custkey = o_custkey""",
-    "v_c_lap_dbo_tb_loansecurity": """
+    "application_security": """
 SELECT CASE WHEN o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS loanid,
        CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 ELSE NULL END AS issecureloan
 FROM {orders}""",
-    "rpt_arm_loanstatus": """
+    "loan_status_report": """
 SELECT o_orderkey AS loan_id,
-       'Direct Money' || chr(92) || CASE o_orderstatus WHEN 'F' THEN 'Finalised' WHEN 'O' THEN 'Open'
+       'Lender' || chr(92) || CASE o_orderstatus WHEN 'F' THEN 'Finalised' WHEN 'O' THEN 'Open'
                                 ELSE 'Pending' END AS loanstatus,
        CAST(o_orderdate AS DATE) AS startdate,
        CAST(o_orderdate + INTERVAL '90' DAY AS DATE) AS enddate
 FROM {orders}""",
 }
 # The warehouse's copies of the operational tables.
-SOURCES["v_c_arm_dbo_io_keys_masterreference"] = SOURCES["io_keys_masterreference"]
-SOURCES["v_c_arm_dbo_io_product_transaction"] = SOURCES["io_product_transaction"]
+SOURCES["warehouse_keys_masterreference"] = SOURCES["io_keys_masterreference"]
+SOURCES["warehouse_product_transaction"] = SOURCES["io_product_transaction"]
 
 
 def source_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:

@@ -19,6 +19,7 @@ CLIENT_RENAMES = {
     "mobile": "mobilePhone",
     "email": "emailAddress",
     "birthdate": "birthDate",
+    "customerid": "wisrcustomerid",
 }
 CLIENT_KEYS = ["id", "firstName", "middleName", "lastName", "birthDate", "mobilePhone", "emailAddress"]
 CLIENT_FIELD_SETS = [
@@ -128,8 +129,8 @@ TASK_USERS_FREQUENCY = [
 TASK_USERS_RECURRING = [107, 112, 114, 115, 116, 117]
 TASK_USERS_SCHEDULED = [107, 112, 114]
 TASK_USER_ONE_OFF = 111
-STATUS_PREFIX = "Direct Money\\"
-RATE_MASTER_PREFIX = "Direct Money\\Provisional Rate\\"
+STATUS_PREFIX = "Lender\\"
+RATE_MASTER_PREFIX = "Lender\\Provisional Rate\\"
 
 # Placeholder link-type GUIDs (parameters in practice).
 DEFAULT_GUIDS = {

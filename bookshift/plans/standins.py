@@ -31,7 +31,7 @@ def application_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("o_orderkey").alias("loanid"),
         F.col("o_custkey").alias("applicationid"),
-        F.concat(F.lit("c-"), F.col("o_custkey").cast("string")).alias("wisrcustomerid"),
+        F.concat(F.lit("c-"), F.col("o_custkey").cast("string")).alias("customerid"),
         F.date_add(F.lit("1960-01-01").cast("date"), F.col("c_nationkey")).alias("dob"),
         F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@mail.example")).alias("email"),
         F.concat(F.lit("c"), (F.col("o_custkey") + 1).cast("string"), F.lit("@mail.example"))
@@ -43,7 +43,7 @@ def application_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 APPLICATION_VIEW_SQL = """
 SELECT o_orderkey AS loanid, o_custkey AS applicationid,
-       'c-' || CAST(o_custkey AS VARCHAR) AS wisrcustomerid,
+       'c-' || CAST(o_custkey AS VARCHAR) AS customerid,
        DATE '1960-01-01' + c_nationkey AS dob,
        'c' || CAST(o_custkey AS VARCHAR) || '@mail.example' AS email,
        'c' || CAST(o_custkey + 1 AS VARCHAR) || '@mail.example' AS jointapplicantemail,
@@ -57,13 +57,13 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 def loan_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("loan_id"),
-                    F.concat(F.lit("Direct Money\\"), F.col("o_orderstatus")).alias("loanstatus"),
+                    F.concat(F.lit("Lender\\"), F.col("o_orderstatus")).alias("loanstatus"),
                     F.col("o_orderdate").alias("startdate"),
                     (F.col("o_orderdate") + F.expr("INTERVAL 90 DAYS")).alias("enddate"))
 
 
 LOAN_STATUS_SQL = """
-SELECT o_orderkey AS loan_id, 'Direct Money\\' || o_orderstatus AS loanstatus,
+SELECT o_orderkey AS loan_id, 'Lender\\' || o_orderstatus AS loanstatus,
        o_orderdate AS startdate, o_orderdate + INTERVAL 90 DAY AS enddate
 FROM orders
 """

@@ -4,12 +4,12 @@ import json
 
 from bookshift.plans import datasets, documents
 
-WL = ("loanid bigint, applicationid string, wisrcustomerid string, dob string, email string, "
+WL = ("loanid bigint, applicationid string, customerid string, dob string, email string, "
       "jointapplicantemail string, isjointapplication int, issecuredrateloan int, loanpurpose string")
 
 
 def _wl(spark, rows):
-    return {"v_c_lap_dbo_wealthx_loan": spark.createDataFrame(rows, WL)}
+    return {"application_loans": spark.createDataFrame(rows, WL)}
 
 
 def _row(loan, app, cust, dob="1980-01-01", email=None, joint_email=None, joint=0):
@@ -43,7 +43,7 @@ def test_joint_pairs_lookup_by_email(spark):
         _row(3, "B", "y-2", email="y@mail"),                          # same applicant again: no extra pair
         _row(4, "C", "X-1", email="x2@mail", joint_email="x@mail", joint=1),  # same id ignoring case
     ]
-    got = sorted(tuple(r) for r in datasets.joint_applicant_pairs(_wl(spark, rows)["v_c_lap_dbo_wealthx_loan"])
+    got = sorted(tuple(r) for r in datasets.joint_applicant_pairs(_wl(spark, rows)["application_loans"])
                  .collect())
     assert got == [(1, "x-1", "y-2"), (2, "y-2", "x-1")]
 

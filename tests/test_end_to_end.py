@@ -51,7 +51,7 @@ def tables(spark):
     t["io_product_controlbalance"] = _t(spark, [("r3", G["loan_balance"], 5000.0), ("r3", "other", 1.0)],
                                         "rcb_idlink_rmr string, rcb_idlink_xrbl string, rcb_currentvalue double")
     t["io_control_productbalance"] = _t(spark, [(G["loan_balance"],), ("other",)], "xrbl_id string")
-    t["io_control_productratemaster"] = _t(spark, [("Direct Money\\Provisional Rate\\Acme Capital",)],
+    t["io_control_productratemaster"] = _t(spark, [("Lender\\Provisional Rate\\Acme Capital",)],
                                            "xrrm_detail string")
     t["io_product_controldate"] = _t(spark, [("r3", 6, D(2023, 1, 31, 10)), ("r3", 2, D(2023, 1, 20, 9)),
                                              ("r3", 4, D(2028, 1, 31))],
@@ -59,7 +59,7 @@ def tables(spark):
     t["io_product_controlrate"] = _t(spark, [("r3", 2, 0.0899), ("r3", 7, 0.5)],
                                      "rcr_idlink_rmr string, rcr_type int, rcr_rate double")
     t["io_product_loanmdt"] = _t(spark, [("r3", 5)], "rlm_idlink_rmr string, rlm_term_years int")
-    t["io_control_statusmaster"] = _t(spark, [("s1", "Direct Money\\Active")], "xsu_id string, xsu_detail string")
+    t["io_control_statusmaster"] = _t(spark, [("s1", "Lender\\Active")], "xsu_id string, xsu_detail string")
     t["io_task_pending"] = _t(spark, [("k1", "r3", "m111", 0, D(2023, 3, 1)), ("k2", "r3", "m111", 0, D(2023, 4, 1))],
                               "kpd_id string, kpd_idlink_code string, kpd_idlink_xtkm string, kpd_daystart int, "
                               "kpd_datenext timestamp_ntz")
@@ -76,13 +76,13 @@ def tables(spark):
                                      "rtm_datee date")
     t["io_control_transactionmaster"] = _t(spark, [("x1", "Establishment Fee"), ("x2", "Brokerage Fee"),
                                                    ("x9", "Interest")], "xtrm_id string, xtrm_idtext string")
-    t["v_c_lap_dbo_wealthx_loan"] = _t(spark, [
+    t["application_loans"] = _t(spark, [
         (1, "APP", "aa-11", "1980-01-02", "ann@x", "bob@x", 1, 0, "Car"),
         (2, "APP", "bb-22", "1982-03-04", "bob@x", "ann@x", 1, 0, "Car"),
         (3, "APP3", "cc-33", "1975-05-05", "cat@x", None, 0, 1, "Boat")],
-        "loanid bigint, applicationid string, wisrcustomerid string, dob string, email string, "
+        "loanid bigint, applicationid string, customerid string, dob string, email string, "
         "jointapplicantemail string, isjointapplication int, issecuredrateloan int, loanpurpose string")
-    t["v_c_lap_dbo_tb_loansecurity"] = _t(spark, [(3, 1)], "loanid bigint, issecureloan int")
+    t["application_security"] = _t(spark, [(3, 1)], "loanid bigint, issecureloan int")
     return t
 
 
@@ -170,7 +170,7 @@ def test_disbursement_document(spark, tables):
 
 def test_cohort_and_audit(spark, tables):
     assert datasets.multi_adhoc(tables).collect()[0].asDict() == {"ymr_idlink_foreign": "3", "count_of_pending": 2}
-    pairs = sorted(tuple(r) for r in datasets.joint_applicant_pairs(tables["v_c_lap_dbo_wealthx_loan"]).collect())
+    pairs = sorted(tuple(r) for r in datasets.joint_applicant_pairs(tables["application_loans"]).collect())
     assert pairs == [(1, "aa-11", "bb-22"), (2, "bb-22", "aa-11")]
 
 
