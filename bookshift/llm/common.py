@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import string
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the Arrow batch size of the session for whole-text batches."""
+    """Prepare a session for functions on batches of whole texts: lower its
+    Arrow batch size, and let Python workers find this package where the driver
+    found it (a package shipped with the job is found before that)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), home)))
 
 
 def shared_folder(spark: SparkSession) -> str:
