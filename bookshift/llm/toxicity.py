@@ -8,12 +8,12 @@ of a scorer g is
 
 where the second term estimates the risk on clean documents and is kept from
 going negative (when it does, the step climbs back out of it).  The scorer is
-linear over hashed words and word pairs of the whole text, the loss logistic,
-so the sigmoid of its output estimates the probability of the toxic class.
+linear over the distinct words of the whole text (by 64-bit hash), the loss
+logistic, so the sigmoid of its output estimates the probability of the class.
 
 Fitting uses at most ``POSITIVES`` and ``UNLABELLED`` documents, drawn by a
 hash of ``doc_id`` from the rows that are not held out; their features are made
-in tasks, the driver receives bucket numbers and values only.  The prior is
+in tasks, the driver receives hashes only.  The prior is
 the toxic share of the labels that may be learnt from.  Scoring goes over
 every whole text, task by task, without a shuffle.
 
@@ -37,9 +37,9 @@ from bookshift.llm.rolling import word_hashes
 
 POSITIVES = 3000
 UNLABELLED = 9000
-BUCKETS = 1 << 17
-STEPS = 120
-SPARSITY = 3e-3
+STEPS = 80
+SPARSITY = 1.1
+PICKED = 0.1
 LEAST_SEEN = 5
 THRESHOLD = 0.3
 
@@ -49,84 +49,89 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the distinct words of a text, and their values."""
-    h = word_hashes(text)
-    if not len(h):
-        return np.empty(0, np.uint32), np.empty(0, np.float32)
-    bucket = np.unique((h >> np.uint64(40)).astype(np.uint32) % np.uint32(BUCKETS))
-    return bucket, np.ones(len(bucket), np.float32)
+def features(text: bytes) -> np.ndarray:
+    """Hashes of the distinct words of a text."""
+    return np.unique(word_hashes(text))
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        made = [features(t) for t in texts(b.column(0))]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x.tobytes() for x, _ in made], pa.binary()), pa.array([v.tobytes() for _, v in made], pa.binary()),
-             b.column(1)], names=["buckets", "values", "positive"])
+        yield pa.RecordBatch.from_arrays([pa.array([features(t).tobytes() for t in texts(b.column(0))], pa.binary()),
+                                          b.column(1)], names=["hashes", "positive"])
 
 
-class Rows:
-    """Sparse rows with fast products."""
-
-    def __init__(self, made: list[tuple[np.ndarray, np.ndarray]]):
-        self.size = np.array([len(x) for x, _ in made], np.int64)
-        self.ends = np.cumsum(self.size)
-        self.bucket = np.concatenate([np.empty(0, np.uint32), *(x for x, _ in made)]).astype(np.int64)
-        self.value = np.concatenate([np.empty(0, np.float32), *(v for _, v in made)])
-
-    def own(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.size)), self.size)
+def _numbered(sets: list[np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(row, word number) of every known word of every set, and the number of rows."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    found = np.concatenate([np.empty(0, np.uint64), *sets])
+    at = np.minimum(np.searchsorted(words, found), len(words) - 1)
+    known = words[at] == found
+    return rows[known], at[known], len(sets)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(positive: Rows, unlabelled: Rows, prior: float, steps: int = STEPS,
-        sparsity: float = SPARSITY) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated proximal gradient steps on the
-    non-negative risk with an L1 penalty (most words say nothing)."""
-    both = [(d.own(), d.bucket, d.value, len(d.size)) for d in (positive, unlabelled)]
-    seen = np.bincount(positive.bucket, minlength=BUCKETS) >= LEAST_SEEN
-    start = np.zeros(BUCKETS + 1)
-    start[-1] = np.log(prior / (1 - prior))
-    w, ahead, pace = start.copy(), start.copy(), 1.0
+def _descend(both: list[tuple], prior: float, allowed: np.ndarray, sparsity: float, steps: int) -> np.ndarray:
+    """Accelerated proximal gradient steps on the non-negative risk with an
+    L1 penalty, over the allowed words; the last weight is the bias."""
+    size = len(allowed)
+    w = np.zeros(size + 1)
+    w[-1] = np.log(prior / (1 - prior))
+    ahead, pace = w.copy(), 1.0
     # a step for each word by its own curvature bound: rare words move far, common ones little
-    own, bucket, value, n = both[1]
-    heavy = 1 + np.bincount(own, value, n)
-    bend = np.append(np.bincount(bucket, value * heavy[own], BUCKETS), heavy.sum()) / (4 * n)
+    rows, word, n = both[1]
+    heavy = 1 + np.bincount(rows, allowed[word].astype(float), n)
+    bend = np.append(np.bincount(word, heavy[rows], size), heavy.sum()) / (4 * n)
     rate = 1 / np.maximum(bend, 1e-3)
     for _ in range(steps):
-        zp, zu = (np.bincount(own, v * ahead[b], n) + ahead[-1] for own, b, v, n in both)
+        zp, zu = (np.bincount(r, ahead[x], n) + ahead[-1] for r, x, n in both)
         clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         if clean >= 0:
             gp, gu = np.full(len(zp), -prior / len(zp)), _sigmoid(zu) / len(zu)
         else:  # the clean risk is overfitted below zero: step back up
             gp, gu = prior * _sigmoid(zp) / len(zp), -_sigmoid(zu) / len(zu)
-        grad = sum(np.bincount(b, v * g[own], BUCKETS + 1) for (own, b, v, _), g in zip(both, (gp, gu)))
+        grad = sum(np.bincount(x, g[r], size + 1) for (r, x, _), g in zip(both, (gp, gu)))
         grad[-1] = gp.sum() + gu.sum()
         new = ahead - rate * grad
         body = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate[:-1] * sparsity, 0)
-        new[:-1] = np.where(seen, body, 0)
+        new[:-1] = np.where(allowed, body, 0)
         after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = new + (pace - 1) / after * (new - w)
         w, pace = new, after
-    return w[:-1].astype(np.float32), float(w[-1])
+    return w
 
 
 class Model:
-    """Weights of the words and a bias; scores batches of texts."""
+    """Sorted word hashes with their weights, and a bias."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, words: np.ndarray, weights: np.ndarray, bias: float):
+        self.words, self.weights, self.bias = words, weights, bias
 
     def score(self, column) -> np.ndarray:
-        out = np.empty(len(column))
-        for i, text in enumerate(texts(column)):
-            bucket, value = features(text)
-            out[i] = value @ self.weights[bucket] if len(bucket) else 0.0
-        return _sigmoid(out + self.bias)
+        sets = [features(t) for t in texts(column)]
+        if not len(self.words):
+            return np.full(len(sets), _sigmoid(np.array(self.bias)))
+        rows, word, n = _numbered(sets, self.words)
+        return _sigmoid(np.bincount(rows, self.weights[word], n) + self.bias)
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
+        sparsity: float = SPARSITY) -> Model:
+    """The words are those of at least ``LEAST_SEEN`` positives.  The penalty
+    follows the noise in a word's share among ``n`` positives, ``prior /
+    sqrt(n)``: it picks the words that speak; a second descent over these
+    alone takes its shrinkage back."""
+    words, seen = np.unique(np.concatenate(positive), return_counts=True)
+    words = words[seen >= LEAST_SEEN]
+    if not len(words):
+        return Model(words, np.empty(0), float(np.log(prior / (1 - prior))))
+    both = [_numbered(sets, words) for sets in (positive, unlabelled)]
+    noise = sparsity * prior / np.sqrt(len(positive))
+    speak = np.abs(_descend(both, prior, np.ones(len(words), bool), noise, steps)[:-1]) > PICKED
+    w = _descend(both, prior, speak, noise / 10, steps)
+    return Model(words[speak], w[:-1][speak], float(w[-1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
@@ -138,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
              .groupBy("lid").agg(F.max("toxic").alias("toxic")))
     prior = marks.agg(F.avg("toxic")).first()[0]
     if not prior:
-        return Model(np.zeros(BUCKETS, np.float32), -30.0)
+        return Model(np.empty(0, np.uint64), np.empty(0), -30.0)
     ids = docs.select(F.col("doc_id").cast("long").alias("did")).filter(
         F.col("did").isNotNull() & ~held_out(F.col("did"))).distinct()
     known = ids.join(marks.filter("toxic = 1"), F.col("did") == F.col("lid"), "left")
@@ -147,13 +152,13 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
         drawn(known.filter("lid is null").select("did", F.lit(False).alias("positive")), unlabelled))
     made = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .join(F.broadcast(sample), F.col("doc_id") == F.col("did")).select("text", "positive")
-            .mapInArrow(_featurise, "buckets binary, values binary, positive boolean"))
+            .mapInArrow(_featurise, "hashes binary, positive boolean"))
     sides: dict[bool, list] = {True: [], False: []}
     for r in made.toLocalIterator():
-        sides[r["positive"]].append((np.frombuffer(r["buckets"], np.uint32), np.frombuffer(r["values"], np.float32)))
+        sides[r["positive"]].append(np.frombuffer(r["hashes"], np.uint64))
     if not sides[True] or not sides[False]:
-        return Model(np.zeros(BUCKETS, np.float32), -30.0)
-    return Model(*fit(Rows(sides[True]), Rows(sides[False]), min(float(prior), 0.99)))
+        return Model(np.empty(0, np.uint64), np.empty(0), -30.0)
+    return fit(sides[True], sides[False], min(float(prior), 0.99))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
