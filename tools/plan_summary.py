@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from bookshift.plans.catalog import QUERIES  # noqa: E402
 from bookshift.session import get_session  # noqa: E402
 
 OPS = ["SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
@@ -41,10 +41,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plans\n")
     print(f"Generated by `tools/plan_summary.py` on `{sf}` (AQE off, static plans). 'no broadcast' sets "
-          "`spark.sql.autoBroadcastJoinThreshold=-1`; only explicit, size-checked broadcasts remain.\n")
+          "`spark.sql.autoBroadcastJoinThreshold=-1`; only the row offsets of `row_sequence` are still broadcast.\n")
     print("| query | local plan | no broadcast |")
     print("| --- | --- | --- |")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         local = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
