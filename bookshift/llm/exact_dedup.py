@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from bookshift.llm.common import broadcast_up_to, lower_ascii, small_batches, stage, texts
 
+#: rows a task hands back at once
+ROWS_OUT = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTS = ("kind int, part long, owner int, idx int, row long, doc_id long, sha256 string, "
           "rice int, hashes int, gaps binary, repeated binary")
@@ -89,31 +91,36 @@ def _fingerprints(owners: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids, digests = [], []
+        ids, digests = [], bytearray()
         for b in batches:
             ids.append(b.column(0).cast(pa.int64()))
-            digests += [hashlib.sha256(normalise(t)).digest() for t in texts(b.column(1))]
-        n = len(digests)
+            for t in texts(b.column(1)):
+                digests += hashlib.sha256(normalise(t)).digest()
+        n = len(digests) // 32
         if not n:
             return
-        h = np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64)
+        h = np.ascontiguousarray(np.frombuffer(digests, np.uint8).reshape(n, 32)[:, :8]).view(">u8")[:, 0].astype(np.uint64)
         uniq, place, times = np.unique(h, return_inverse=True, return_counts=True)
         owner_of = (uniq // np.uint64(width)).astype(np.int32)
         present, first = np.unique(owner_of, return_index=True)
         last = np.append(first[1:], len(uniq))
         start_of = np.zeros(owners, np.int64)
         start_of[present] = first
-        owner = owner_of[place]
+        owner, doc_ids = owner_of[place], pa.concat_arrays(ids)
+        idx = (place - start_of[owner]).astype(np.int32)
         null = lambda kind, m: pa.nulls(m, kind)
         schema = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("owner", pa.int32()), ("idx", pa.int32()),
                             ("row", pa.int64()), ("doc_id", pa.int64()), ("sha256", pa.string()), ("rice", pa.int32()),
                             ("hashes", pa.int32()), ("gaps", pa.binary()), ("repeated", pa.binary())])
         full = lambda value, m, kind: pa.array(np.full(m, value), kind)
-        yield pa.RecordBatch.from_arrays(
-            [full(0, n, pa.int32()), full(part, n, pa.int64()), pa.array(owner, pa.int32()),
-             pa.array((place - start_of[owner]).astype(np.int32)), pa.array(np.arange(n)),
-             pa.concat_arrays(ids), pa.array([d.hex() for d in digests]),
-             null(pa.int32(), n), null(pa.int32(), n), null(pa.binary(), n), null(pa.binary(), n)], schema=schema)
+        for x in range(0, n, ROWS_OUT):
+            y = min(n, x + ROWS_OUT)
+            m = y - x
+            yield pa.RecordBatch.from_arrays(
+                [full(0, m, pa.int32()), full(part, m, pa.int64()), pa.array(owner[x:y], pa.int32()),
+                 pa.array(idx[x:y]), pa.array(np.arange(x, y)), doc_ids[x:y],
+                 pa.array([digests[32 * i:32 * i + 32].hex() for i in range(x, y)], pa.string()),
+                 null(pa.int32(), m), null(pa.int32(), m), null(pa.binary(), m), null(pa.binary(), m)], schema=schema)
         lists = []
         for o, a, z in zip(present.tolist(), first.tolist(), last.tolist()):
             rest = uniq[a:z] - np.uint64(o * width)
@@ -154,7 +161,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     group_size, kept, text_sha256."""
     spark = docs.sparkSession
     small_batches(spark)
-    owners = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    owners = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     facts = stage(pairs.mapInArrow(_fingerprints(owners), _FACTS), "fingerprints", partition_by="kind")
     rows = facts.filter("kind = 0").select("part", "owner", "idx", "row", "doc_id", "sha256")
