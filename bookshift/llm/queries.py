@@ -184,7 +184,8 @@ found as (
   select rid, max(stand / size) as cover, list(distinct keyed.label) as labels
   from (select rid, notice, pos - j as spot, count(*) as stand from held join notices using (word)
         group by rid, notice, pos - j) join keyed using (rid, notice, spot) group by rid)
-select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
+  cast(first_word as double) as first_word, cast(last_word as double) as last_word, -- as pandas holds longs with nulls
   coalesce(array_to_string(base.labels, ','), '') as base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))),
     ','), '') as labels,
@@ -236,11 +237,11 @@ o as (
       then case when regexp_replace(etag, '^W/', '') = regexp_replace(retag, '^W/', '') then 'resolved' else 'mismatch' end
     when changed = rchanged then 'resolved' else 'mismatch' end as outcome
   from j where place = 1)
-select id, url_key, case when outcome = 'resolved' then rid end as response_id, outcome,
+select id, url_key, case when outcome = 'resolved' then rid else -1 end as response_id, outcome,
   case when outcome = 'resolved' then 'cache-control=max-age=' || visit || ';content-type=text/html;date='
     || at_time || coalesce(';etag=' || coalesce(etag, retag), '')
     || ';last-modified=' || rchanged end as headers,
-  case when outcome = 'resolved' then length(html) end as body_chars,
+  case when outcome = 'resolved' then coalesce(length(html), -1) else -1 end as body_chars,
   case when outcome = 'resolved' then md5(html) end as body_md5
 from o
 """

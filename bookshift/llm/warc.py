@@ -140,9 +140,9 @@ def crawl(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """Columns of the registered query."""
+    """Columns of the registered query; -1 stands for no response."""
     headers = F.array_join(F.transform(F.array_sort(F.map_entries("headers")),
                                        lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
     return resolve(*crawl(pages)).select(
-        "id", "url_key", "response_id", "outcome", headers.alias("headers"),
-        F.char_length("body").cast("long").alias("body_chars"), F.md5("body").alias("body_md5"))
+        "id", "url_key", F.coalesce("response_id", F.lit(-1)).alias("response_id"), "outcome", headers.alias("headers"),
+        F.coalesce(F.char_length("body"), F.lit(-1)).cast("long").alias("body_chars"), F.md5("body").alias("body_md5"))
