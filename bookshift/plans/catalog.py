@@ -1427,6 +1427,7 @@ RESULT_CASTS = {
     "self_join_residual": {"partner_total": "double"},
     "nest_object": {"first_d": "double", "first_t": "double"},
     "response_union": {"user_id": "double"},
+    "fetch_result": {"status_code": "double"},
 }
 _SQL_TYPE = {"string": "VARCHAR", "double": "DOUBLE"}
 
