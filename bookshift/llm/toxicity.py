@@ -38,7 +38,10 @@ from bookshift.llm.rolling import word_hashes
 POSITIVES = 3000
 UNLABELLED = 9000
 STEPS = 80
-SPARSITY = 1.1
+#: penalties that validation chooses from, in standard errors of a word's share
+SPARSITY = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0)
+#: one fitting row in so many validates the penalty
+VALIDATE = 4
 PICKED = 0.1
 LEAST_SEEN = 5
 THRESHOLD = 0.3
@@ -73,9 +76,10 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _descend(both: list[tuple], prior: float, allowed: np.ndarray, sparsity: float, steps: int) -> np.ndarray:
+def _descend(both: list[tuple], prior: float, allowed: np.ndarray, sparsity: np.ndarray, steps: int) -> np.ndarray:
     """Accelerated proximal gradient steps on the non-negative risk with an
-    L1 penalty, over the allowed words; the last weight is the bias."""
+    L1 penalty for each word, over the allowed words; the last weight is the
+    bias."""
     size = len(allowed)
     w = np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
@@ -109,31 +113,55 @@ class Model:
     def __init__(self, words: np.ndarray, weights: np.ndarray, bias: float):
         self.words, self.weights, self.bias = words, weights, bias
 
-    def score(self, column) -> np.ndarray:
-        sets = [features(t) for t in texts(column)]
+    def output(self, sets: list[np.ndarray]) -> np.ndarray:
         if not len(self.words):
-            return np.full(len(sets), _sigmoid(np.array(self.bias)))
+            return np.full(len(sets), self.bias)
         rows, word, n = _numbered(sets, self.words)
-        return _sigmoid(np.bincount(rows, self.weights[word], n) + self.bias)
+        return np.bincount(rows, self.weights[word], n) + self.bias
 
+    def score(self, column) -> np.ndarray:
+        return _sigmoid(self.output([features(t) for t in texts(column)]))
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
-        sparsity: float = SPARSITY) -> Model:
+
+def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int, sparsity: float) -> Model:
     """The words are those of at least ``LEAST_SEEN`` positives.  The penalty
-    follows the noise in a word's share among ``n`` positives, ``prior /
-    sqrt(n)``: it picks the words that speak; a second descent over these
-    alone takes its shrinkage back."""
+    of a word follows the noise in its own share among ``n`` positives, ``prior
+    * sqrt(share * (1 - share) / n)``, so a rare word needs as many standard
+    errors as a common one: it picks the words that speak; a second descent
+    over these alone takes its shrinkage back."""
     words, seen = np.unique(np.concatenate(positive), return_counts=True)
     words = words[seen >= LEAST_SEEN]
     if not len(words):
         return Model(words, np.empty(0), float(np.log(prior / (1 - prior))))
     both = [_numbered(sets, words) for sets in (positive, unlabelled)]
-    noise = sparsity * prior / np.sqrt(len(positive))
+    held = sum(np.bincount(word, minlength=len(words)) for _, word, _ in both)
+    share = held / (len(positive) + len(unlabelled))
+    noise = sparsity * prior * np.sqrt(share * (1 - share) / len(positive))
     speak = np.abs(_descend(both, prior, np.ones(len(words), bool), noise, steps)[:-1]) > PICKED
     w = _descend(both, prior, speak, noise / 10, steps)
     return Model(words[speak], w[:-1][speak], float(w[-1]))
 
 
+def _risk(model: Model, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> float:
+    """Non-negative risk with the logistic loss."""
+    zp, zu = (model.output(sets) for sets in (positive, unlabelled))
+    clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, clean))
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS,
+        sparsity: tuple[float, ...] = SPARSITY) -> Model:
+    """Fit with the penalty that has the least risk on every ``VALIDATE``-th
+    row when fitted on the others; the final model is fitted on all rows."""
+    def risk(scale: float) -> float:
+        kept = [[s for k, s in enumerate(sets) if k % VALIDATE] for sets in (positive, unlabelled)]
+        return _risk(_fit(*kept, prior, steps, scale), positive[::VALIDATE], unlabelled[::VALIDATE], prior)
+
+    if min(len(positive), len(unlabelled)) <= VALIDATE:
+        return _fit(positive, unlabelled, prior, steps, sparsity[-1])
+    return _fit(positive, unlabelled, prior, steps, min(sparsity, key=risk))
+
+
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fit on rows that are not held out; labels are read as "confirmed toxic"
     or nothing."""
