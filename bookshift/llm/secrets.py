@@ -11,8 +11,8 @@ reported whatever they cost, with their cost beside them.
 The work is per document: one scan, no shuffle, memory of one Arrow batch.
 
 Defined results: null and empty texts have no spans; a pattern's matches are
-leftmost and do not overlap within their kind; a costed value that overlaps an
-``assign`` span is that span; every input row gives one row, also where
+leftmost and do not overlap within their kind; a costed value inside an
+``assign`` span is that span, one that goes on beyond it is reported as well; every input row gives one row, also where
 ``doc_id`` is null or repeats; an empty table gives no rows; other columns are
 ignored.
 """
@@ -37,7 +37,7 @@ ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")   # same as 20+ of AKIA[A-Z0-9]+: runs are maximal
 HEX = re.compile(rb"[0-9a-f]{24,}")          # likewise
 CONTEXT = re.compile(
-    rb"""(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[ _-]?key|auth[ _-]?key|login[ _-]?key|pin)"""
+    rb"""(?i:(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[ _-]?key|auth[ _-]?key|login[ _-]?key|pin)"""
     rb"""["']?[\x20\t]*(?:[:=]|=>|->|\bis\b)[\x20\t]*)["']?([^\s"'<>,;]{6,})""")
 
 # Words that guessing tools try first, most common first.
@@ -130,8 +130,9 @@ def find(text: bytes) -> list[tuple[str, int, int, bool, float]]:
     found += [("hex", *m.span(), True, m[0]) for m in HEX.finditer(text)]
     for m in CONTEXT.finditer(text):
         a, z = m.span(1)
-        if not any(s < z and a < e for s, e in taken):
-            found.append(("guess", a, z, False, m[1].rstrip(b".!?)]}")))
+        value = m[1].rstrip(b".!?)]}")
+        if not any(s <= a and a + len(value) <= e for s, e in taken):
+            found.append(("guess", a, z, False, value))
     order = {"assign": 0, "access": 1, "hex": 2, "guess": 3}
     costed = [(k, a, a + len(v) if k == "guess" else z, base, guess_cost(v.decode(errors="replace"), 40.0))
               for k, a, z, base, v in found]

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from bookshift.llm import toxicity
+from bookshift.llm import secrets, toxicity
 
 
 def test_toxicity_learns_rare_words():
@@ -34,3 +34,12 @@ def test_toxicity_recall_by_language(spark):
         clean = [r["predicted"] for r in judged if r["toxic"] == 0 and r["lang"] == lang]
         assert sum(toxic) / len(toxic) > 0.5, lang
         assert sum(clean) / len(clean) < 0.05, lang
+
+
+def test_secret_whole_value_and_prefixed_words():
+    spans = lambda t: [(k, t[a:z]) for k, a, z, *_ in secrets.find(t)]
+    assert spans(b"password: abcdef!X9#kQ2vLp") == [("assign", b"password: abcdef"), ("guess", b"abcdef!X9#kQ2vLp")]
+    assert spans(b"password: abcdefX9kQ2vLp.") == [("assign", b"password: abcdefX9kQ2vLp.")]
+    for word in (b"DB_PASSWORD=", b"DB_PWD=", b"MYSQL_PWD=", b"USER_PIN=", b"db2pwd="):
+        assert spans(word + b"Tr!v0x#92kQ") == [("guess", b"Tr!v0x#92kQ")]
+    assert spans(b"spin: Tr!v0x#92kQ") == []
