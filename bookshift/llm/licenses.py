@@ -1,11 +1,11 @@
 """License scans with a positional rare-token index.
 
 The words of a few licence notices and phrases form the vocabulary; the corpus
-index holds their postings (see ``decontaminate.build_index``).  A file's
-``RAREST`` rarest licence words by document frequency (highest IDF; function
-words are no licence words) are looked up in the notices' postings: word
-position minus place in the notice proposes where the notice may begin, and
-places with enough agreeing words are scored by the share of the notice's
+index holds their postings (see ``decontaminate.build_index``).  Every licence
+word of a file (function words are no licence words) that belongs to a notice
+whose key phrase stands in the file is looked up in that notice's postings:
+word position minus place in the notice proposes where the notice may begin,
+and places with enough agreeing words are scored by the share of the notice's
 licence words that stand there.  A notice counts only if its mandatory key
 phrase stands at its place, give or take ``SLACK`` words.
 
@@ -21,11 +21,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from bookshift.llm.common import broadcast_up_to, stage
 from bookshift.llm.decontaminate import build_index
 
+#: of the SQL statement only: it looks up that many words of a file
 RAREST = 12
 VOTES = 3
 SLACK = 3
@@ -121,23 +121,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
     licence = F.broadcast(notices.select("tid", "term").distinct())
     held = stage(index.postings.join(licence, "tid").select("rid", "pos", "tid", "term"), "licence-words")
-    frequency = held.select("tid", "rid").distinct().groupBy("tid").agg(F.count(F.lit(1)).alias("df"))
-    rare = (held.select("rid", "tid", "term").distinct().join(F.broadcast(frequency), "tid")
-            .withColumn("place", F.row_number().over(W.partitionBy("rid").orderBy("df", "term")))
-            .filter(F.col("place") <= RAREST).select("rid", "tid"))
     lookups = F.broadcast(notices.select("notice", "j", "tid"))
     align = ["rid", "notice", "at"]
     size = notices.groupBy("notice", "label", "key", "key_at").agg(F.count(F.lit(1)).alias("size"))
-    proposed = (held.join(rare, ["rid", "tid"]).join(lookups, "tid")
-                .groupBy("rid", "notice", (F.col("pos") - F.col("j")).alias("at")).agg(F.count(F.lit(1)).alias("votes"))
-                .join(F.broadcast(size), "notice").filter(F.col("votes") >= F.least(F.lit(VOTES), F.col("size"))))
-    keyed = stage(proposed.join(places.select("rid", F.col("phrase").alias("key"), F.col("at").alias("key_pos")), ["rid", "key"])
-                  .filter(F.abs(F.col("at") + F.col("key_at") - F.col("key_pos")) <= SLACK)
-                  .select(*align, "label", "size").distinct(), "keyed")
-    rids = keyed.select("rid").distinct()
+    # a key phrase proposes the few places around it; all of a notice's words vote there
+    begins = F.col("key_pos") - F.col("key_at")
+    likely = (places.select("rid", F.col("phrase").alias("key"), F.col("at").alias("key_pos")).join(F.broadcast(size), "key")
+              .select("rid", "notice", "label", "size", F.explode(F.sequence(begins - SLACK, begins + SLACK)).alias("at")))
+    likely = stage(likely.distinct(), "likely")
+    rids = likely.select("rid").distinct()
     words_there = held.join(broadcast_up_to(rids, rids.count(), 16), "rid", "left_semi").join(lookups, "tid")
     found = (words_there.groupBy("rid", "notice", (F.col("pos") - F.col("j")).alias("at"))
-             .agg(F.count(F.lit(1)).alias("stand")).join(keyed, align)
+             .agg(F.count(F.lit(1)).alias("stand")).join(likely, align)
+             .filter(F.col("stand") >= F.least(F.lit(VOTES), F.col("size")))
              .groupBy("rid").agg(F.max(F.col("stand") / F.col("size")).alias("cover"),
                                  F.collect_set("label").alias("added")))
     none = F.array().cast("array<string>")

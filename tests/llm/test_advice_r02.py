@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from bookshift.llm import secrets, toxicity
+from bookshift.llm import licenses, secrets, toxicity
 
 
 def test_toxicity_learns_rare_words():
@@ -36,6 +36,18 @@ def test_toxicity_recall_by_language(spark):
         assert sum(clean) / len(clean) < 0.05, lang
 
 
+def test_license_every_notice_of_a_file(spark):
+    """A file with all notices in a row gives all their labels; common notice
+    words elsewhere take no places away."""
+    notices = [t for _, _, t in licenses.NOTICES]
+    rows = [(1, " filler ".join(notices)), (2, notices[0] + " filler " + notices[-1])]
+    rows += [(10 + k, "copyright reserved rights " + "by cc licensed") for k in range(20)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["labels"] == ",".join(sorted({label for label, _, _ in licenses.NOTICES}))
+    assert got[2]["labels"] == "mit,proprietary"
+    assert got[10]["labels"] == ""
+
+
 def test_secret_whole_value_and_prefixed_words():
     spans = lambda t: [(k, t[a:z]) for k, a, z, *_ in secrets.find(t)]
     assert spans(b"password: abcdef!X9#kQ2vLp") == [("assign", b"password: abcdef"), ("guess", b"abcdef!X9#kQ2vLp")]
