@@ -69,6 +69,42 @@ def broadcast_up_to(df: DataFrame, rows: int, row_bytes: int, max_bytes: int = 3
     return F.broadcast(df) if rows * row_bytes <= max_bytes else df
 
 
+#: A join key that holds more than one in so many rows is split.
+SHARES = 1000
+
+
+def hot_keys(held: DataFrame, on: list[str], rows: str, total: int) -> DataFrame:
+    """Keys of ``held`` (one row a key, ``rows`` rows of ``total`` on the
+    joined side) that hold over ``1 / SHARES`` of all rows, with the number of
+    shares to split them into.  There are fewer than ``SHARES`` such keys and
+    fewer than ``2 * SHARES`` shares at any size."""
+    return held.filter(F.col(rows) * SHARES > total).select(
+        *on, F.ceil(F.col(rows) * SHARES / F.lit(max(total, 1))).cast("int").alias("__shares"))
+
+
+def split_rows(df: DataFrame, hot: DataFrame, on: list[str], by: list[str]) -> DataFrame:
+    """``df`` with a ``__share`` column: rows of a hot key are dealt out by ``by``."""
+    marked = df.join(F.broadcast(hot), on, "left")
+    return marked.withColumn("__share", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__shares")), F.lit(0))
+                             .cast("int")).drop("__shares")
+
+
+def repeat_rows(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    """The other side of :func:`split_rows`: a row of a hot key once a share."""
+    marked = df.join(F.broadcast(hot), on, "left")
+    return marked.withColumn("__share", F.explode(F.sequence(F.lit(0), F.coalesce("__shares", F.lit(1)) - 1))).drop("__shares")
+
+
+#: ASCII white space; what stands between it is a word here.
+BLANKS = r"[\x20\x09-\x0D]+"
+
+
+def blank_words(text: Column) -> Column:
+    """Array of what stands between ASCII white space, unchanged; null text
+    gives an empty array."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS, -1), "")
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

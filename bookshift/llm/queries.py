@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookshift.llm import chat_format, decontaminate, exact_dedup, licenses, near_dedup, packing, quality, secrets, toxicity, warc
+from bookshift.llm import (chat_format, decontaminate, exact_dedup, filter_audit, licenses, near_dedup, packing, quality, secrets,
+                           spelling, substring_dedup, toxicity, warc)
 from bookshift.llm.common import table
 
 
@@ -53,6 +54,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -64,6 +77,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 _WORDS = (r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -272,6 +288,112 @@ select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(top.othe
 from d left join size using (doc_id) left join top using (doc_id)
 """
 
+_BLANK_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_OP11 = r"""
+with d as (select row_number() over () as rid, doc_id, {words} as w from documents),
+grams as (
+  select rid, doc_id, unnest(g) as g, generate_subscripts(g, 1) as spot from (
+    select rid, doc_id, list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' ')) as g
+    from d where len(w) >= 20)),
+least as (select g, min(doc_id) as doc_id from grams group by g),
+later as (
+  select rid, spot from (
+    select rid, spot, grams.doc_id, least.doc_id as least, min(spot) over (partition by rid, grams.g) as first
+    from grams join least on grams.g = least.g) where first < spot or least < doc_id),
+gone as (select distinct rid, unnest(range(spot, spot + 20)) as pos from later),
+said as (select rid, unnest(w) as word, generate_subscripts(w, 1) as pos from d),
+kept as (
+  select rid, string_agg(word, ' ' order by pos) as text, count(*) as n
+  from said anti join gone using (rid, pos) group by rid)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (rid)
+""".format(words=_BLANK_WORDS)
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+_OP12 = r"""
+with recursive runs as (
+  select id, run, count(*) as n from (
+    select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as run
+    from documents) group by id, run),
+checked as (
+  select run, n, xor(list_reduce(list_concat([4294967295::bigint], bytes),
+    lambda c, b: xor(c // 256, {table}[1 + (xor(c, b) & 255)])), 4294967295) as h
+  from (select run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: case
+    when unicode(c) < 128 then [unicode(c)::bigint]
+    else [(192 + unicode(c) // 64)::bigint, (128 + unicode(c) % 64)::bigint] end)) as bytes from runs)),
+vocab as (
+  select word, cast(sum(n) as bigint) as n from (
+    select n, case when h % 97 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word from checked)
+  where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (
+  select word, n, unnest(range(1, length(word) + 1)) as pos, word[1:pos - 1] || word[pos + 1:] as rest from vocab),
+near as (
+  select a.word, b.word as other, b.n from cut a join cut b on a.rest = b.rest and a.pos = b.pos and a.word <> b.word
+  union select a.word, b.word, b.n from cut a join vocab b on a.rest = b.word
+  union select b.word, a.word, a.n from cut a join vocab b on a.rest = b.word),
+best as (
+  select word, count(*) as n_near, first(other order by n desc, other) as other, max(n) as other_n from near group by word),
+told as (
+  select v.word, v.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * v.n then other end as form,
+    case when other_n >= 2 * v.n then other_n end as form_n
+  from vocab v left join best using (word)),
+steps as (
+  select word, word as at_word, 0 as far from told
+  union all
+  select s.word, t.form, far + 1 from steps s join told t on t.word = s.at_word where t.form is not null),
+roots as (select word, arg_max(at_word, far) as root from steps group by word)
+select word, form, root, n, n_near, cast(form_n as double) as form_n -- as pandas holds longs with nulls
+from told join roots using (word)
+""".replace("{table}", str(_crc_table()))
+
+_OP13 = r"""
+with recursive d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, {words} as w from documents),
+f as (
+  select d.doc_id, part, list_filter([
+    case when len(w) < 200 then 'A' end, case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' end,
+    case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) then 'C' end,
+    case when regexp_matches(text, '[#$%&*|]') then 'D' end, case when d.doc_id > least then 'E' end],
+    lambda x: x is not null) as fails,
+    d.doc_id in (select doc_id from labels where quality = 1 and doc_id is not null) as good,
+    d.doc_id in (select doc_id from labels where toxic = 1 and doc_id is not null) as toxic
+  from d join (select text, min(doc_id) as least from d group by text) using (text)),
+orders as (
+  select letter as filter_order from (select unnest(['A', 'B', 'C', 'D', 'E']) as letter)
+  union all
+  select filter_order || letter from orders, (select unnest(['A', 'B', 'C', 'D', 'E']) as letter)
+  where not contains(filter_order, letter)),
+steps as (
+  select filter_order, step, filter_order[step] as letter, string_split(filter_order[1:step - 1], '') as before
+  from orders, (select unnest(range(1, 6)) as step) where length(filter_order) = 5),
+counted as (select part, fails, good, toxic, count(*) as n from f group by all),
+told as (
+  select part, filter_order, step, letter,
+    sum(case when not list_has_any(fails, before) and not list_contains(fails, letter) then n else 0 end) as kept,
+    sum(case when not list_has_any(fails, before) and list_contains(fails, letter) then n else 0 end) as removed,
+    sum(case when list_has_any(fails, before) and list_contains(fails, letter) then n else 0 end) as redundant,
+    sum(case when fails = [letter] then n else 0 end) as unique_fails,
+    sum(case when good and not list_has_any(fails, before) and list_contains(fails, letter) then n else 0 end) as good_lost,
+    sum(case when toxic and not list_has_any(fails, before) and list_contains(fails, letter) then n else 0 end) as toxic_lost
+  from counted, steps group by part, filter_order, step, letter)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+  cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from told
+""".format(words=_BLANK_WORDS)
+
 ORACLE = {
     "op1_decontamination": _OP1,
     "op2_chat_format": _OP2,
@@ -279,4 +401,7 @@ ORACLE = {
     "op5_exact_dedup": _OP5,
     "op7_warc_revisits": _OP7,
     "op9_minhash_near_dedup": _OP9,
+    "op11_substring_dedup": _OP11,
+    "op12_spelling_variants": _OP12,
+    "op13_filter_interactions": _OP13,
 }
