@@ -5,17 +5,16 @@
    and repetition.  Words that differ by one replaced code point have the same
    length and vectors at Hamming distance two; by one inserted or deleted
    code point, lengths one apart and distance one.  The letters are dealt into
-   ``PARTS`` parts of about equal use, so each part holds some places of the
-   vector.  At distance ``k`` two vectors agree on all but ``k`` parts at most:
-   every choice of ``PARTS - k`` parts is enumerated, and a word's letters in
-   the chosen parts are an exact signature.
-3. A signature also names the lengths it stands for, and one half of the word:
-   a single edit leaves the first or the second half as it was.  That keeps
-   lists short where few letters are in use; the lists are complete all the
-   same, so no pair is lost.
+   three parts of about equal use, so each part holds some places of the
+   vector.  At distance two one of the three parts is equal; at distance one
+   the first part is, or the other two are.  A word's letters in those parts
+   are its exact signatures, enumerated for each size.
+3. Many words are made of the same letters, so a signature also names a third
+   of the word that is left out: one edit leaves the other two as they were,
+   counted from the start before it and from the end behind it.  That splits
+   long lists, and no pair is lost by it.
 4. Words with equal signatures are joined by equality, and the edit distance
-   is tested within the join: only true pairs leave it, once each after a
-   distinct.
+   is tested within the join: only true pairs leave it.
 5. A word's form is its near word of largest count; roots are found by
    doubling the steps along the forms, which at least double in count.
 
@@ -27,8 +26,6 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +38,7 @@ MIN_LENGTH = 5
 MIN_COUNT = 3
 #: a form stands so many times as often as the word, at least
 RATIO = 2
-PARTS = 5
+PARTS = 3
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -70,35 +67,36 @@ def letter_parts(words: DataFrame, parts: int = PARTS) -> list[str]:
 
 
 def signatures(words: DataFrame, parts: list[str]) -> DataFrame:
-    """(key, role, word, n): the exact signatures of every word.  Role 0 meets
-    words of its own length; roles 1 and 2 are the shorter and the longer word
-    of a pair."""
-    of = F.split("word", "")
-    within = [F.array_join(F.array_sort(F.filter(of, lambda c, p=p: F.lit(p).contains(c))), "") for p in parts]
-    n = len(parts)
-
-    def signed(role: int, size: Column, differ: int) -> list[Column]:
-        half = F.floor(size / 2).cast("int")
-        halves = (F.concat(F.lit("<"), F.substring("word", F.lit(1), half)),
-                  F.concat(F.lit(">"), F.substring("word", F.char_length("word") - (size - half) + 1, size - half)))
-        return [F.struct(F.xxhash64(F.lit(differ), F.lit(k), size, text, *[F.col("within")[i] for i in chosen]).alias("key"),
-                         F.lit(role).alias("role"))
-                for k, chosen in enumerate(combinations(range(n), n - differ)) for text in halves]
-
-    size = F.char_length("word")
-    every = [*signed(0, size, 2), *signed(1, size, 1), *signed(2, size - 1, 1)]
-    return words.select("word", "n", F.array(*within).alias("within")).select("word", "n", F.inline(F.array(*every)))
-
-
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b, a_n, b_n): pairs of words one edit apart, each once."""
+    """(key, word, n): the exact signatures of every word, among words of its
+    length, as the shorter and as the longer word of a pair."""
+    ordered = F.array_join(F.sort_array(F.split("word", "")), "")
+    within = [F.translate(ordered, "".join(p for p in parts if p != own), "").alias(f"p{k}") for k, own in enumerate(parts)]
+    length = F.char_length("word")
+
+    def signed(kind: str, size: Column, chosen: list[list[int]]) -> list[Column]:
+        one, two = F.floor(size / 3).cast("int"), F.floor(size * 2 / 3).cast("int")
+        start = lambda n: F.substring("word", F.lit(1), n)
+        end = lambda n: F.substring("word", length - n + 1, n)
+        left = [[end(size - one)], [start(one), end(size - two)], [start(two)]]  # without the first, second, last third
+        return [F.xxhash64(F.lit(f"{kind}{i}{k}"), size, *kept, *[F.col(f"p{p}") for p in of])
+                for i, kept in enumerate(left) for k, of in enumerate(chosen)]
+
+    same, apart = [[0], [1], [2]], [[0], [1, 2]]
+    keys = F.array(*signed("s", length, same), *signed("d", length, apart), *signed("d", length - 1, apart))
+    return words.select("word", "n", *within).select(F.explode(keys).alias("key"), "word", "n")
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """(word, near): the words one edit away from each word that has any, as
+    an array of (n, other).  A word of ``w`` letters has at most some 90
+    (2 w + 1) of them, by the alphabet."""
     signed = signatures(words, letter_parts(words))
-    left = signed.filter("role < 2").select("key", F.col("word").alias("a"), F.col("n").alias("a_n"), "role")
-    right = signed.filter("role <> 1").select(F.col("key").alias("same"), F.col("word").alias("b"), F.col("n").alias("b_n"),
-                                              F.col("role").alias("other"))
-    meet = (F.col("key") == F.col("same")) & (((F.col("role") == 0) & (F.col("other") == 0) & (F.col("a") < F.col("b")))
-                                              | ((F.col("role") == 1) & (F.col("other") == 2)))
-    return (left.join(right, meet & (F.levenshtein("a", "b", 1) == 1)).select("a", "b", "a_n", "b_n").distinct())
+    a, b = signed.alias("a"), signed.alias("b")
+    longer = F.expr("char_length(a.word) < char_length(b.word) or (char_length(a.word) = char_length(b.word) and a.word < b.word)")
+    met = a.join(b, F.expr("a.key = b.key") & longer & (F.levenshtein("a.word", "b.word", 1) == 1)).select(
+        F.inline(F.array(F.struct(F.col("a.word").alias("word"), F.struct(F.col("b.n").alias("n"), F.col("b.word").alias("other")).alias("near")),
+                         F.struct(F.col("b.word").alias("word"), F.struct(F.col("a.n").alias("n"), F.col("a.word").alias("other")).alias("near")))))
+    return met.groupBy("word").agg(F.collect_set("near").alias("near"))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -118,13 +116,10 @@ def _roots(forms: DataFrame) -> DataFrame:
 def variants(docs: DataFrame) -> DataFrame:
     """One row per word: word, form, root, n, n_near, form_n."""
     words = stage(vocabulary(docs), "vocabulary")
-    pairs = stage(near_pairs(words), "near")
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("b_n").alias("other_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("a_n").alias("other_n")))
-    best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
-                                    F.min(F.struct((-F.col("other_n")).alias("minus"), "other")).alias("best"))
-    known = F.col("best.other").isNotNull() & (-F.col("best.minus") >= RATIO * F.col("n"))
-    told = stage(words.join(best, "word", "left").select(
+    best = F.array_min(F.transform("near", lambda x: F.struct((-x["n"]).alias("minus"), x["other"].alias("other"))))
+    near = near_words(words).select("word", F.size("near").cast("long").alias("n_near"), best.alias("best"))
+    known = F.col("best").isNotNull() & (-F.col("best.minus") >= RATIO * F.col("n"))
+    told = stage(words.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(known, F.col("best.other")).alias("form"),
         F.when(known, -F.col("best.minus")).cast("long").alias("form_n")), "variants")
     roots = _roots(told.filter("form is not null").select("word", "form"))
