@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -43,7 +43,7 @@ ONE_IN = 20
 
 
 class Index(NamedTuple):
-    postings: DataFrame  # rid, doc_id, tid, pos; tid 0 marks the end of a document
+    postings: DataFrame  # rid, doc_id, tid, pos, said; tid 0 marks the end of a document and has its text's hash
     terms: DataFrame     # term, tid, held (postings of the term)
     items: DataFrame     # bid, item_id, w (words)
 
@@ -52,6 +52,11 @@ def _small(df: DataFrame, row_bytes: int) -> DataFrame:
     return broadcast_up_to(df, df.count(), row_bytes)
 
 
+def _print(text: Column) -> Column:
+    """64 bits that tell the texts of one ``doc_id`` apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
     """Index the corpus words that occur in the benchmark."""
     items = stage(benchmark.select("item_id", words(F.col("text").cast("string")).alias("w")).filter("size(w) > 0")
@@ -60,10 +65,12 @@ def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
                        .withColumn("tid", F.monotonically_increasing_id() + 1), "terms")
     spark = docs.sparkSession
     listed = vocabulary.unionByName(spark.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("tid")))
-    said = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("w"))
+    said = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("w"),
+                        _print(F.col("text")).alias("said"))
             .withColumn("rid", F.monotonically_increasing_id())
-            .select("rid", "doc_id", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term")))
-    postings = stage(said.join(_small(listed, 64), "term").select("tid", "rid", "pos", "doc_id")
+            .select("rid", "doc_id", "said", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term")))
+    postings = stage(said.join(_small(listed, 64), "term")
+                     .select("tid", "rid", "pos", "doc_id", F.when(F.col("tid") == 0, F.col("said")).alias("said"))
                      .sortWithinPartitions("tid", "rid", "pos"), "postings")
     held = postings.groupBy("tid").agg(F.count(F.lit(1)).alias("held"))
     terms = stage(vocabulary.join(held, "tid", "left").select("term", "tid", F.coalesce("held", F.lit(0)).alias("held")),
@@ -144,6 +151,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     """One row per input row: doc_id, n_words, n_hit (words inside an
     occurrence of a window), n_items, items_sha256, contaminated, n_near
     (items in proximity)."""
+    return _judged(docs, benchmark, width).drop("said")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     index = build_index(docs, benchmark)
     hits = (phrase_matches(index, width).groupBy("rid")
             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"),
@@ -152,9 +163,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     near = proximity_matches(index).groupBy("rid").agg(
         F.count_distinct(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("near"))
     n_hit = F.coalesce("hit", F.lit(0)).cast("long")
-    return (index.postings.filter("tid = 0").select("rid", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    return (index.postings.filter("tid = 0").select("rid", "doc_id", "said", F.col("pos").cast("long").alias("n_words"))
             .join(hits, "rid", "left").join(near, "rid", "left")
-            .select("doc_id", "n_words", n_hit.alias("n_hit"),
+            .select("doc_id", "said", "n_words", n_hit.alias("n_hit"),
                     F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
                     ((n_hit > 0) & (ONE_IN * n_hit >= F.col("n_words"))).alias("contaminated"),
@@ -162,8 +173,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents, all columns kept.  Rows that
-    share the ``doc_id`` of a contaminated row go with it."""
-    gone = stage(contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("gone_id")).distinct(),
-                 "contaminated")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """``docs`` without contaminated documents, all columns kept.  Rows go by
+    ``doc_id`` and text: a clean row that shares the ``doc_id`` of a
+    contaminated one, or has none either, stays."""
+    gone = stage(_judged(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("said").alias("__said"))
+                 .distinct(), "contaminated")
+    return docs.join(_small(gone, 24), docs["doc_id"].eqNullSafe(gone["__id"]) & (_print(docs["text"]) == gone["__said"]), "left_anti")

@@ -10,24 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.llm.common import stage
+from bookshift.llm.common import hot_keys, repeat_rows, split_rows, stage
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """``edges(u, v)`` with ``m``, the smallest node around ``u``.  The edges of
+    a node that has a large share of them are split into shares."""
+    around = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("held"))
+    hot = hot_keys(around, ["u"], "held", total)
+    return split_rows(edges, hot, ["u"], ["v"]).join(repeat_rows(around.select("u", "m"), hot, ["u"]), ["u", "__share"]).select("u", "v", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every neighbour above ``u`` points to the smallest node around ``u``."""
-    both = edges.union(edges.select("v", "u"))
-    around = _least(both).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(around, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    both = _with_least(edges.union(edges.select("v", "u")), 2 * total)
+    return both.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every neighbour below ``u``, and ``u``, point to the smallest of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    joined = down.join(_least(down), "u")
+    joined = _with_least(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), total)
     return (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
 
@@ -36,13 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     """``edges(u, v)`` of longs -> (node, label): every node that has an edge,
     with the smallest node of its component."""
     now = stage(edges.filter("u <> v").select("u", "v"), "edges")
-    before = None
-    while True:
-        now = stage(_small_star(_large_star(now)), "stars")
+    before, total = None, now.count()
+    while total:
+        now = stage(_small_star(_large_star(now, total), total), "stars")
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if mark == before or mark[0] == 0:
+        if mark == before:
             break
-        before = mark
+        before, total = mark, mark[0]
     tops = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         tops.select("node", F.col("node").alias("label")))

@@ -77,10 +77,10 @@ def test_golomb_rice_round_trip():
         assert (exact_dedup.rice_decode(k, n, data) == gaps).all()
 
 
-def near_brute(texts):
+def near_brute(texts, percent=85):
     sets = [(i, shingle_set(t)) for i, t in texts]
     label = {n: i for n, (i, _) in enumerate(sets)}
-    linked = lambda a, b: a and b and 100 * len(a & b) >= 85 * len(a | b)
+    linked = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
     ids = [n for n, (i, s) in enumerate(sets) if i is not None and s]
     for _ in ids:
         for a in ids:

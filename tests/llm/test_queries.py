@@ -68,7 +68,7 @@ def test_pipeline_against_brute_force(spark):
     clean = [i for i, s in zip(order, model.score(pa.array([texts[i] for i in order]))) if s < toxicity.THRESHOLD]
     last = {plain(texts[i]): i for i in clean}
     kept = sorted(last.values())
-    kept = [i for i, _, c in near_brute([(i, texts[i]) for i in kept]) if i == c]
+    kept = [i for i, _, c in near_brute([(i, texts[i]) for i in kept], 80) if i == c]
     items = [w for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() for w in [words(r["text"])] if w]
     grams = {tuple(w[a:a + 13]) for w in items for a in range(max(len(w) - 13, 0) + 1)}
     sizes = {len(g) for g in grams}
