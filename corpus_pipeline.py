@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from bookshift.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 from bookshift.llm.common import stage, table
 
+#: least similarity of near copies, in a hundred
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
@@ -24,7 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
