@@ -10,15 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.llm.common import hot_keys, repeat_rows, split_rows, stage
+from bookshift.llm.common import SHARES, stage
 
 
 def _with_least(edges: DataFrame, total: int) -> DataFrame:
-    """``edges(u, v)`` with ``m``, the smallest node around ``u``.  The edges of
-    a node that has a large share of them are split into shares."""
+    """``edges(u, v)`` with ``m``, the smallest node around ``u``.  Nodes that
+    have more than one in ``SHARES`` of the edges (at most ``SHARES`` nodes) are
+    looked up in a broadcast, and their edges dealt out by ``v``."""
     around = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("held"))
-    hot = hot_keys(around, ["u"], "held", total)
-    return split_rows(edges, hot, ["u"], ["v"]).join(repeat_rows(around.select("u", "m"), hot, ["u"]), ["u", "__share"]).select("u", "v", "m")
+    hubs = around.filter(F.col("held") * SHARES > total).select("u", F.col("m").alias("hub"))
+    marked = edges.join(F.broadcast(hubs), "u", "left").withColumn(
+        "deal", F.when(F.col("hub").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("v"), F.lit(SHARES))))
+    met = marked.join(around.select("u", "m", F.lit(0).cast("long").alias("deal")), ["u", "deal"], "left")
+    return met.select("u", "v", F.coalesce("hub", "m").alias("m"))
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
