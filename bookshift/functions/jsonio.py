@@ -121,43 +121,110 @@ def flatten_json(df: DataFrame, col_name: str, keep: list[str] | None = None, se
     return df.select(*keep, *[e.alias(n) for n, e in fields])
 
 
-def _depth(body: Column) -> Column:
-    """Levels of nesting of a JSON text: brackets outside strings."""
-    bare = F.regexp_replace(F.regexp_replace(body, r'"(?:[^"\\\\]|\\\\.)*"', ""), r"[^\[\]{}]", "")
-    step = lambda acc, c: F.struct(
-        (acc["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("now"),
-        F.greatest(acc["most"], acc["now"] + 1).alias("most"))
-    marks = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, ""))
-    return F.aggregate(F.filter(marks, lambda c: c != ""),
-                       F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+#: One JSON token: a text (escapes included), a bracket or comma, or a bare value.
+_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},]|[^\s\[\]{},:"]+'
+#: Leaves gathered at a time while a body is read.
+_LEAF_CHUNK = 256
+
+
+def json_leaves(body: str | Column, sep: str = "_") -> Column:
+    """Leaves of a JSON text as ``array<struct<path, token>>``, null for a text
+    that does not parse.
+
+    One fold over the text's tokens: the state is the stack of open brackets
+    with the name or position reached in each, so the expression is the same
+    for every depth and shape, and a body is read once whatever it holds.
+    Leaves are gathered in chunks, so a long body is not copied per leaf.
+    """
+    body = F.col(f"`{body}`") if isinstance(body, str) else body
+    leaf = "struct<path:string,token:string>"
+
+    def step(acc, t):
+        kinds, at = acc["kinds"], acc["at"]
+        in_object = kinds.endswith("{")
+        opens, closes, comma = t.isin("{", "["), t.isin("}", "]"), t == ","
+        names = in_object & acc["awaits"] & t.startswith('"')
+        outer = F.slice(at, 1, F.size(at) - 1)
+        name = F.when(t.contains("\\"), F.parse_json(t).cast("string")).otherwise(
+            F.substring(t, F.lit(2), F.char_length(t) - 2))
+        now_at = (F.when(opens, F.array_append(at, F.when(t == "[", "0").otherwise("")))
+                  .when(closes, outer)
+                  .when(comma & ~in_object, F.array_append(outer, (F.element_at(at, -1).cast("int") + 1).cast("string")))
+                  .when(names, F.array_append(outer, name)).otherwise(at))
+        empty = closes & acc["fresh"]
+        found = F.when(empty, F.struct(F.array_join(outer, sep).alias("path"), F.concat(F.right(kinds, F.lit(1)), t).alias("token"))) \
+            .when(~(opens | closes | comma | names), F.struct(F.array_join(at, sep).alias("path"), t.alias("token")))
+        full = F.size(acc["now"]) >= _LEAF_CHUNK
+        return F.struct(
+            F.when(opens, F.concat(kinds, t)).when(closes, F.substring(kinds, F.lit(1), F.char_length(kinds) - 1))
+            .otherwise(kinds).alias("kinds"),
+            now_at.alias("at"), ((t == "{") | (comma & in_object)).alias("awaits"), opens.alias("fresh"),
+            F.when(found.isNull(), acc["now"]).when(full, F.array(found)).otherwise(F.array_append(acc["now"], found)).alias("now"),
+            F.when(found.isNotNull() & full, F.array_append(acc["done"], acc["now"])).otherwise(acc["done"]).alias("done"))
+
+    start = F.struct(F.lit("").alias("kinds"), F.array().cast("array<string>").alias("at"), F.lit(False).alias("awaits"),
+                     F.lit(False).alias("fresh"), F.array().cast(f"array<{leaf}>").alias("now"),
+                     F.array().cast(f"array<array<{leaf}>>").alias("done"))
+    whole = lambda acc: F.flatten(F.array_append(acc["done"], acc["now"]))
+    return F.when(F.try_parse_json(body).isNotNull(),
+                  F.aggregate(F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(0)), start, step, whole))
+
+
+def _leaf_text(token: Column) -> Column:
+    """Text leaves without quotes and escapes, null for a JSON null."""
+    return F.when(token.isin("{}", "[]"), token).otherwise(F.parse_json(token).cast("string"))
 
 
 def flatten_json_long(df: DataFrame, key: str, body_col: str, sep: str = "_") -> DataFrame:
     """Flatten JSON text of any shape and depth to long form ``(key, path,
     value)`` (S18).
 
-    Bodies are parsed once, as variants; types, not the look of a text, decide
-    what is taken apart.  One level per step, each a single ``explode`` over
-    the previous one, as many as the deepest body has (one aggregate).  Paths
-    join names and positions with ``sep`` (``a_b_0_c``).  Text leaves keep
-    their text, other leaves are JSON text, a JSON null is null; an empty
-    object or array is a leaf (``{}``, ``[]``).  Bodies that do not parse
-    give no rows; see ``unparsed_bodies``.  Pivot the result when a wide table
-    is wanted.
+    One projection (see ``json_leaves``): nothing is read while the plan is
+    built, and the plan is the same for every depth.  Types, not the look of a
+    text, decide what is taken apart.  Paths join names and positions with
+    ``sep`` (``a_b_0_c``).  Text leaves keep their text, other leaves are JSON
+    text, a JSON null is null; an empty object or array is a leaf (``{}``,
+    ``[]``).  Bodies that do not parse give no rows; see ``unparsed_bodies``.
+    ``flatten_undeclared`` gives a wide table.
     """
-    parsed = df.select(F.col(f"`{key}`").alias(key), F.try_parse_json(F.col(f"`{body_col}`")).alias("v"),
-                       _depth(F.col(f"`{body_col}`")).alias("levels")).where("v is not null")
-    levels = parsed.agg(F.max("levels")).first()[0] or 0
-    now = parsed.select(key, F.lit(None).cast("string").alias("path"), "v")
-    for _ in range(levels):
-        kind = F.schema_of_variant("v")
-        fields = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
-        items = F.try_variant_get("v", "$", "array<variant>")
-        named = F.transform(fields, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
-        placed = F.transform(items, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("v")))
-        leaf = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("v").alias("v")))
-        parts = (F.when(kind.startswith("OBJECT") & (F.size(fields) > 0), named)
-                 .when(kind.startswith("ARRAY") & (F.size(items) > 0), placed).otherwise(leaf))
-        now = now.select(key, "path", F.explode(parts).alias("e")).select(
-            key, F.concat_ws(sep, "path", "e.k").alias("path"), F.col("e.v").alias("v"))
-    return now.select(key, F.coalesce("path", F.lit("")).alias("path"), F.col("v").cast("string").alias("value"))
+    leaves = df.select(F.col(f"`{key}`").alias(key), F.explode(json_leaves(body_col, sep)).alias("leaf"))
+    return leaves.select(key, F.col("leaf.path").alias("path"), _leaf_text(F.col("leaf.token")).alias("value"))
+
+
+def answer_columns(df: DataFrame, body_col: str, sep: str = "_") -> dict[str, str]:
+    """The one schema of all bodies of a column: flattened path -> type, by
+    path (U3).
+
+    One aggregate over the bodies' leaves brings one row per path to the
+    driver.  A path that is always whole numbers is ``bigint``, numbers are
+    ``double``, true / false is ``boolean``; anything else, mixed kinds
+    included, is ``string``.
+    """
+    token = F.col("leaf.token")
+    kind = (F.when(token == "null", F.lit(None)).when(token.isin("true", "false"), "boolean")
+            .when(token.rlike(r"^-?\d{1,18}$"), "bigint").when(token.rlike(r"^-?\d"), "double").otherwise("string"))
+    found = (df.select(F.explode(json_leaves(body_col, sep)).alias("leaf"))
+             .groupBy(F.col("leaf.path").alias("path")).agg(F.collect_set(kind).alias("kinds")).collect())
+    one = lambda kinds: kinds[0] if len(kinds) == 1 else "double" if set(kinds) == {"bigint", "double"} else "string"
+    return {r["path"]: one(r["kinds"]) for r in sorted(found, key=lambda r: r["path"])}
+
+
+def flatten_undeclared(df: DataFrame, body_col: str, keep: list[str] | None = None, sep: str = "_",
+                       columns: dict[str, str] | None = None, prefix: str = "") -> DataFrame:
+    """JSON text of undeclared shapes -> one wide row per row, a column for
+    every path met in any body (S18, A13, U3).
+
+    ``columns`` is the schema of ``answer_columns``; left out, it is taken from
+    ``df`` itself, which reads the bodies one time more.  A body that lacks a
+    path, or does not parse, has null there.  ``prefix`` goes in front of the
+    path names; names that clash with ``keep`` are an error.
+    """
+    keep = keep or []
+    columns = answer_columns(df, body_col, sep) if columns is None else columns
+    clash = {prefix + p for p in columns} & set(keep)
+    if clash:
+        raise ValueError(f"flattened names clash: {sorted(clash)}; give a prefix")
+    rows = df.select(*[F.col(f"`{c}`").alias(c) for c in keep], json_leaves(body_col, sep).alias("__leaves"))
+    at = lambda p: _leaf_text(F.get(F.filter("__leaves", lambda x: x["path"] == F.lit(p)), F.lit(0))["token"])
+    return rows.select(*[F.col(f"`{c}`") for c in keep],
+                       *[at(p).cast(t).alias(prefix + p or "value") for p, t in columns.items()])

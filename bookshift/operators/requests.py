@@ -15,6 +15,8 @@ from http import HTTPStatus
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bookshift.functions.jsonio import answer_columns, flatten_undeclared
+
 # Placeholder API address and paths of the target system.
 DEFAULT_BASE_URL = "https://banking-api.example/api"
 CLIENTS_PATH = "/clients/"
@@ -84,12 +86,16 @@ def http_reason(code: str | Column) -> Column:
 
 
 def response_summary(requests: DataFrame, responses: DataFrame, body_schema: str | None = None,
-                     key: str = "request_id") -> DataFrame:
+                     key: str = "request_id", flatten: bool = False, columns: dict[str, str] | None = None,
+                     prefix: str = "") -> DataFrame:
     """Requests joined to their responses: status text, status code, body.
 
-    With ``body_schema`` the body is parsed and its fields become columns
-    (S18 for one level; use ``flatten_json`` for deeper shapes).  A request
-    with no response keeps a null status (left join).
+    With ``body_schema`` the body is parsed and its fields become columns.
+    With ``flatten`` bodies of undeclared and differing shapes become a column
+    for every path met in any answer (``errors_0_errorCode``): the schema of
+    all answers is found by one aggregate, or given as ``columns`` (see
+    ``answer_columns``).  A request with no response keeps a null status (left
+    join).
     """
     joined = requests.join(responses.withColumnRenamed("body", "response_body"), key, "left")
     out = joined.select(key, http_reason("status_code").alias("status"), F.col("status_code"),
@@ -97,6 +103,9 @@ def response_summary(requests: DataFrame, responses: DataFrame, body_schema: str
     if body_schema:
         parsed = F.from_json(F.col("response_body"), body_schema)
         out = out.select("*", parsed.alias("__b")).select(key, "status", "status_code", "__b.*")
+    elif flatten:
+        columns = answer_columns(responses, "body") if columns is None else columns
+        out = flatten_undeclared(out, "response_body", [key, "status", "status_code"], columns=columns, prefix=prefix)
     return out
 
 
