@@ -13,13 +13,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: A key with more than one in so many rows of its side is split by ``spread``.
+SHARES = 200
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key hash, shares) of the keys that hold over ``1 / SHARES`` of the rows.
+
+    A frequent-items sketch over the keys' hashes: one aggregate with a
+    partial phase and a state of fixed size.  At most ``SHARES`` keys come out,
+    so the result may always be broadcast.  Null keys count as a key.
+    """
+    key = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    sketch = df.agg(F.call_function("approx_top_k", key, F.lit(SHARES), F.lit(50 * SHARES)).alias("top"), F.count(F.lit(1)).alias("rows"))
+    return (sketch.select("rows", F.inline("top")).where(F.col("count") * SHARES > F.col("rows"))
+            .select(F.col("item").alias("key"), F.ceil(F.col("count") * SHARES / F.col("rows")).cast("int").alias("shares")))
+
+
+def spread(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str], how: str = "inner"
+           ) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
+    """Both sides of an equi-join with hot keys split, and the pairs of extra
+    columns to join by as well.
+
+    The rows of a key that is hot on the left are dealt into shares, and the
+    right rows of that key are repeated once a share; likewise the other way
+    round.  Every pair of rows meets exactly once, in one of the key's tasks.
+    In a left join only left keys are split (repeating left rows would repeat
+    those without a partner).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("only inner and left joins can be spread")
+    hot = hot_keys(left, left_on).withColumnsRenamed({"key": "__hot", "shares": "__ls"}).withColumn("__rs", F.lit(1))
+    if how == "inner":
+        hot = (hot.unionByName(hot_keys(right, right_on).select(F.col("key").alias("__hot"), F.lit(1).alias("__ls"),
+                                                                F.col("shares").alias("__rs")))
+               .groupBy("__hot").agg(F.max("__ls").alias("__ls"), F.max("__rs").alias("__rs")))
+
+    def dealt(df: DataFrame, keys: Sequence[str], own: str, other: str, side: str) -> DataFrame:
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        marked = df.withColumn("__key", F.xxhash64(*[F.col(f"`{k}`") for k in keys])).join(
+            F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
+        many = lambda c: F.coalesce(F.col(c), F.lit(1))
+        # the row's hash is the key's as well: mixed once more, so shares do not follow the partitions
+        share = F.pmod(F.xxhash64(row, F.lit(side)), many(own)).cast("int")
+        return (marked.withColumn(f"__{side}_own", share)
+                .withColumn(f"__{side}_met", F.explode(F.sequence(F.lit(0), many(other) - 1)))
+                .drop("__key", "__hot", "__ls", "__rs"))
+
+    return (dealt(left, left_on, "__ls", "__rs", "l"), dealt(right, right_on, "__rs", "__ls", "r"),
+            [("__l_own", "__r_met"), ("__l_met", "__r_own")])
+
+
 def merge_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                    suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+                    suffixes: tuple[str, str] = ("_x", "_y"), spread_hot: bool = False) -> DataFrame:
     """Join on ``on`` where null keys match each other.
 
     ``eqNullSafe`` still plans as a hash / sort-merge join.  Key columns
     appear once (from the left, or the right when the left is null).
-    Other clashing names get ``suffixes``.
+    Other clashing names get ``suffixes``.  With ``spread_hot`` keys that hold a
+    large share of a side (all rows without a key, say) are split over tasks
+    (see ``spread``).
     """
     on = list(on)
     l_other = [c for c in left.columns if c not in on]
@@ -29,10 +82,15 @@ def merge_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     rsel = [F.col(f"`{c}`").alias(c + suffixes[1] if c in clash else c) for c in r_other]
     L = left.select(*[F.col(f"`{k}`").alias(f"__l_{k}") for k in on], *lsel)
     R = right.select(*[F.col(f"`{k}`").alias(f"__r_{k}") for k in on], *rsel)
+    shares = []
+    if spread_hot:
+        L, R, shares = spread(L, R, [f"__l_{k}" for k in on], [f"__r_{k}" for k in on], how)
     cond = None
     for k in on:
         c = F.col(f"__l_{k}").eqNullSafe(F.col(f"__r_{k}"))
         cond = c if cond is None else cond & c
+    for a, b in shares:
+        cond = cond & (F.col(a) == F.col(b))
     j = L.join(R, cond, how)
     keys = [F.coalesce(F.col(f"__l_{k}"), F.col(f"__r_{k}")).alias(k) if how in ("right", "full", "outer")
             else F.col(f"__l_{k}").alias(k) for k in on]
@@ -68,6 +126,9 @@ def role_join(base: DataFrame, base_key: str, table: DataFrame, table_key: str,
 
 
 _WILD = r"[%_\[]"
+#: Code points of the pieces of text that LIKE patterns are looked up by: a
+#: pattern takes the greatest width that its longest literal piece has.
+_WIDTHS = (0, 1, 2, 3, 5, 8)
 
 
 def _like_regex(prefix: str, name: Column) -> Column:
@@ -81,6 +142,48 @@ def _like_regex(prefix: str, name: Column) -> Column:
     return F.concat(F.lit("(?s)^" + re.escape(prefix)), text, F.lit("$"))
 
 
+def _grams(text: Column, width: Column) -> Column:
+    """Hashes of all substrings of ``width`` code points; of width 0 the empty one."""
+    none = F.array().cast("array<bigint>")
+    return F.when(width > F.char_length(text), none).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.char_length(text) - width + 1, F.lit(1))),
+        lambda i: F.xxhash64(F.substring(text, i, width))))
+
+
+def _whole(text: Column) -> Column:
+    return F.array(F.xxhash64(F.lit("="), text))
+
+
+def _pattern_grams(prefix: str, name: Column) -> Column:
+    """What every text that fits the pattern is listed by: the whole pattern, if
+    it has no wildcard, else the substrings of its literal pieces (between
+    wildcards), as wide as the longest piece allows."""
+    pieces = F.transform(F.split(name, r"%|_|\[[^\]]+\]", -1),
+                         lambda p, i: F.when(i == 0, F.concat(F.lit(prefix), p)).otherwise(p))
+    longest = F.array_max(F.transform(pieces, F.char_length))
+    width = F.array_max(F.filter(F.lit(list(_WIDTHS)), lambda w: w <= longest))
+    within = F.array_distinct(F.flatten(F.transform(pieces, lambda p: _grams(p, width))))
+    return F.when(name.rlike(_WILD), within).otherwise(_whole(F.concat(F.lit(prefix), name)))
+
+
+def _like_met(left: DataFrame, left_col: str, names: DataFrame, prefix: str) -> DataFrame:
+    """``left`` with a ``__like_name`` column: each row once for each distinct
+    name of ``names(__like_name)`` whose pattern its text fits."""
+    text, name = F.col(f"`{left_col}`"), F.col("__like_name")
+    texts = left.where(text.startswith(prefix)).select(text.alias("__text")).distinct()
+    least = max(w for w in _WIDTHS if w <= len(prefix))  # a pattern's longest piece holds the prefix
+    listed = texts.select(F.xxhash64("__text").alias("__id"), F.explode(F.array_distinct(F.concat(
+        _whole(F.col("__text")), *[_grams(F.col("__text"), F.lit(w)) for w in _WIDTHS if w >= least]))).alias("gram")
+    ).hint("merge")  # far more rows than estimated
+    held = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = (names.distinct().select(name, F.explode(_pattern_grams(prefix, name)).alias("gram")).hint("merge")
+              .join(held, "gram", "left").groupBy("__like_name")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram"))["gram"].alias("gram")))
+    near = listed.join(rarest, "gram").select("__id", "__like_name").distinct()
+    fits = F.when(name.rlike(_WILD), F.rlike(text, _like_regex(prefix, name))).otherwise(text == F.concat(F.lit(prefix), name))
+    return left.join(near, F.xxhash64(text) == F.col("__id")).where(fits).drop("__id")
+
+
 def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, right_col: str,
               how: str = "inner") -> DataFrame:
     """Inner join where ``left_col LIKE concat(prefix, right_col)``.
@@ -88,25 +191,20 @@ def like_join(left: DataFrame, left_col: str, right: DataFrame, prefix: str, rig
     ``%``, ``_`` and ``[..]`` inside names are wildcards, as in T-SQL; there is
     no escape character, and a null name reads as an empty one.
 
-    A pattern can only match texts that begin with what stands before its
-    first wildcard (all of it, without one): texts are listed by each of
-    their beginnings (from the prefix on) and joined to that head by equality;
-    what is left of the pattern is tested on the joined rows.  It is an
-    equi-join at any size.  Use it on distinct texts and names and join the
-    matches back by equality when either side is large (see ``like_matches``).
+    Patterns, those with a leading wildcard included, go through an index of
+    q-grams: each distinct text is listed by its substrings of the widths in
+    ``_WIDTHS`` and as a whole (by hashes, the text itself is not repeated).  A
+    pattern without wildcards is looked up as a whole, any other by the rarest
+    substring among its literal pieces, as wide as they allow; the texts found
+    there are tested by the pattern.  A pattern without any literal piece has
+    the empty substring and meets every text.  All joins are equi-joins, at any
+    size.
     """
     if how != "inner":
         raise ValueError("like_join supports inner joins")
-    name = F.coalesce(F.col(f"`{right_col}`"), F.lit(""))
-    heads = right.withColumns({
-        "__head": F.concat(F.lit(prefix), F.regexp_extract(name, r"(?s)^([^%_\[]*)", 1)),
-        "__regex": F.when(name.rlike(_WILD), _like_regex(prefix, name))})  # null: no wildcard
-    text = F.col(f"`{left_col}`")
-    begins = left.where(text.startswith(prefix)).withColumn("__begin", F.explode(F.transform(
-        F.sequence(F.lit(len(prefix)), F.char_length(text)), lambda n: F.substring(text, F.lit(1), n))))
-    rest = F.when(heads["__regex"].isNull(), begins["__begin"] == begins[left_col]).otherwise(
-        F.rlike(begins[left_col], heads["__regex"]))
-    return begins.join(heads, (begins["__begin"] == heads["__head"]) & rest).drop("__begin", "__head", "__regex")
+    read = lambda df, c: F.coalesce(df[c], F.lit(""))
+    met = _like_met(left, left_col, right.select(read(right, right_col).alias("__like_name")), prefix)
+    return met.join(right, read(right, right_col) == F.col("__like_name")).drop("__like_name")
 
 
 def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: str, name_col: str,
@@ -119,9 +217,9 @@ def like_matches(details: DataFrame, detail_col: str, rows: DataFrame, prefix: s
     every name of ``rows`` (in ``name_col``), if there is one cheaper to
     read.  Multiplicities are those of the direct LIKE join.
     """
-    names = (rows if names is None else names).select(F.col(name_col).alias("__name")).distinct()
-    matched = like_join(details, detail_col, names, prefix, "__name")
-    return rows.join(matched, rows[name_col].eqNullSafe(matched["__name"])).drop("__name")
+    source = rows if names is None else names
+    matched = _like_met(details, detail_col, source.select(F.coalesce(F.col(name_col), F.lit("")).alias("__like_name")), prefix)
+    return rows.join(matched, F.coalesce(rows[name_col], F.lit("")) == matched["__like_name"]).drop("__like_name")
 
 
 def others_in_group(df: DataFrame, group: str, key: str, value: str, count_name: str, total_name: str) -> DataFrame:

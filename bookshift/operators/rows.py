@@ -53,35 +53,77 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Colu
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
+#: Sampled rows for each range.
+_SAMPLE = 100
+
+
+def _plain(kind: T.DataType):
+    """(to, back): a column of a type as a value the driver can hold exactly,
+    and the literal it comes back as."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros, lambda v: F.timestamp_micros(F.lit(v).cast("bigint"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date, lambda v: F.date_from_unix_date(F.lit(v).cast("int"))
+    if isinstance(kind, (T.TimestampNTZType, T.DecimalType)):
+        return lambda c: c.cast("string"), lambda v: F.lit(v).cast(kind)
+    if isinstance(kind, T.BinaryType):
+        return F.hex, lambda v: F.unhex(F.lit(v))
+    return lambda c: c, lambda v: F.lit(v).cast(kind)
+
+
+def range_cuts(df: DataFrame, order_by: Sequence[str], ranges: int) -> list[list[Column]]:
+    """Splitters that cut ``df`` into ``ranges`` ranges of about equal size in
+    the order of all columns of ``order_by``.
+
+    They are taken from an even sample (``_SAMPLE`` rows a range, the least of a
+    random number: a partial top-k, whatever the number of rows), so a leading
+    value that many rows share is cut by the columns after it.  Every type
+    that can be sorted will do; nulls come first.
+    """
+    ways = [_plain(df.schema[c].dataType) for c in order_by]
+    sample = (df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order_by)], F.rand(17).alias("r"))
+              .orderBy("r").limit(ranges * _SAMPLE))
+    keys = [f"k{i}" for i in range(len(order_by))]
+    found = sample.orderBy(*keys).select(*[to(F.col(k)).alias(k) for k, (to, _) in zip(keys, ways)]).collect()
+    cuts = list(dict.fromkeys(tuple(found[len(found) * i // ranges]) for i in range(1, ranges))) if found else []
+    return [[back(v) for v, (_, back) in zip(cut, ways)] for cut in cuts]
+
+
+def range_of(order_by: Sequence[str], cuts: list[list[Column]]) -> Column:
+    """The number of a row's range: how many cuts are at or below it, counted
+    over blocks first and then within one, so a row is compared with about
+    ``2 * sqrt(cuts)`` of them."""
+    if not cuts:
+        return F.lit(0)
+    names = [f"c{i}" for i in range(len(order_by))]
+    key = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(order_by, names)])
+    literal = lambda cut: F.struct(*[v.alias(n) for v, n in zip(cut, names)])
+    step = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    at_or_below = lambda of: F.size(F.filter(of, lambda c: c <= key))
+    block = at_or_below(F.array(*[literal(b[0]) for b in blocks]))
+    within = F.get(F.array(*[F.array(*[literal(c) for c in b]) for b in blocks]), block - 1)
+    return F.when(block == 0, 0).otherwise((block - 1) * step + at_or_below(within))
+
+
 def row_sequence(df: DataFrame, order_by: Sequence[str], name: str = "seq", start: int = 0,
                  buckets: int | None = None) -> DataFrame:
     """Number rows ``start, start+1, ...`` in a total ``order_by`` order.
 
-    Quantiles of the first order column cut it into ranges of about equal
-    size (one aggregate, a summary of fixed size).  Rows are numbered within
-    their range, and a range's first number is the row count of the ranges
-    before it; both read ``df`` itself, nothing is written.  The order
-    column must be numeric, a date or a timestamp; nulls come first, as in the
-    sort.  Ranges cannot cut through rows that share a value of it, so lead
-    with a column that is close to unique.
+    Splitters over all order columns (``range_cuts``, one sampling job) cut the
+    rows into ranges of about equal size, one partition each; rows are numbered
+    within their range, and a range's first number is the row count of the
+    ranges before it.  Both read ``df`` itself, nothing is written.  Rows that
+    share the leading value are cut by the columns after it; nulls come first.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col(f"`{order_by[0]}`")
-    kind = df.schema[order_by[0]].dataType
-    if isinstance(kind, T.DateType):
-        first = F.unix_date(first)
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        first = F.unix_micros(first.cast("timestamp"))
-    cuts = df.agg(F.percentile_approx(first, [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    bounds = F.lit(sorted(set(cuts))) if cuts else F.array().cast(T.ArrayType(T.DoubleType()))
-    # ranges below the value's own: how many cuts are at or under it
-    ranged = df.withColumn("__range", F.when(first.isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(bounds, lambda c: c <= first))))
+    ranged = df.withColumn("__range", range_of(order_by, range_cuts(df, order_by, n)))
     counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))  # at most ``buckets`` + 1 rows
-    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order_by)) - 1
-    out = ranged.withColumn("__place", place).join(F.broadcast(offsets), "__range")
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))  # at most ``buckets`` rows
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*[F.col(f"`{c}`") for c in order_by])) - 1
+    # every range has an offset; a left join keeps the range number from being worked out once more for a null test
+    out = ranged.repartitionById(n, "__range").withColumn("__place", place).join(F.broadcast(offsets), "__range", "left")
     return out.select((F.lit(start) + F.col("__off") + F.col("__place")).cast("bigint").alias(name),
                       *[F.col(f"`{c}`") for c in df.columns])
