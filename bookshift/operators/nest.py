@@ -33,13 +33,16 @@ entity is needed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bookshift.operators.rows import range_cuts, range_of
+
 
 @dataclass(frozen=True)
 class FieldSet:
@@ -242,6 +245,80 @@ def document_elements(df: DataFrame, keys: Sequence[str], field_sets: Sequence[F
     return staged.select(*[value(k).alias(k) for k in keys], F.inline(F.array(*made)))
 
 
+def document_chunks(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet],
+                    order_by: Sequence[str | Column], budget: int, null_keys: str = "drop",
+                    constants: Mapping[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
+    """The arrays of every entity as JSON text in numbered continuation rows of
+    about ``budget`` bytes: ``(keys..., field_set, chunk, n_elements, text)``.
+
+    The texts of an entity's chunks, in order, concatenate to the JSON of the
+    array that ``nest_field_sets`` builds (a pruned ``[null]`` has no chunk).
+    A row holds the elements that begin within its ``budget`` bytes, so an
+    entity of any size is never in one row.  The bytes before an element are a
+    prefix sum in two steps: within ranges cut by keys, field set and order
+    (an entity is cut wherever it is large), then over the ranges of an entity.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    elements = document_elements(df, keys, field_sets, order_by, null_keys, constants)
+    orders = [f.name for f in elements.schema["order"].dataType.fields]
+    flat = elements.select(*[F.col(f"`{k}`") for k in keys], "field_set", *[F.col(f"order.{o}").alias(f"__{o}") for o in orders], "element")
+    by = [*keys, "field_set", *[f"__{o}" for o in orders]]
+    ranged = (flat.withColumn("__range", range_of(by, range_cuts(flat, by, n)))
+              .withColumn("__bytes", F.octet_length("element") + 1))
+    entity = [*keys, "field_set"]
+    per = ranged.groupBy("__range", *entity).agg(F.sum("__bytes").alias("__b"), F.count(F.lit(1)).alias("__n"))
+    ahead = Window.partitionBy(*entity).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("__range", *entity, F.coalesce(F.sum("__b").over(ahead), F.lit(0)).alias("__b0"),
+                     F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__n0"),
+                     F.sum("__n").over(Window.partitionBy(*entity)).alias("__all"))  # a row for each range of an entity
+    inner = Window.partitionBy("__range", *entity).orderBy(*[f"__{o}" for o in orders])
+    before = inner.rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("__b1", F.coalesce(F.sum("__bytes").over(before), F.lit(0))).withColumn(
+        "__n1", F.row_number().over(inner))
+    same = F.col("x.__range") == F.col("y.__range")
+    for c in entity:
+        same = same & F.col(f"x.`{c}`").eqNullSafe(F.col(f"y.`{c}`"))
+    met = placed.alias("x").join(per.alias("y"), same).select(
+        "x.*", F.floor((F.col("__b0") + F.col("__b1")) / budget).cast("int").alias("chunk"),
+        (F.col("__n0") + F.col("__n1") == 1).alias("first"), (F.col("__n0") + F.col("__n1") == F.col("__all")).alias("last"))
+    pruned = [fs.name for fs in field_sets if fs.array and fs.prune]
+    alone = F.col("first") & F.col("last") & (F.col("element") == "null") & F.col("field_set").isin(pruned)
+    texts = met.where(~alone).groupBy(*entity, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct(*[f"__{o}" for o in orders], "element"))).alias("es"),
+        F.max("first").alias("first"), F.max("last").alias("last"))
+    joined = F.array_join(F.transform("es", lambda e: e["element"]), ",")
+    return texts.select(*[F.col(f"`{c}`") for c in entity], "chunk", F.size("es").cast("long").alias("n_elements"),
+                        F.concat(F.when(F.col("first"), "[").otherwise(","), joined, F.when(F.col("last"), "]").otherwise("")).alias("text"))
+
+
+class QualityCounts:
+    """Counts that ride along with the write of nested documents (Q1, Q4): what
+    ``quality_report`` says, from the same execution.  ``counts()`` waits for
+    the first action on the documents."""
+
+    def __init__(self, name: str = "nest"):
+        self.staged = Observation(f"{name}-staged-{uuid.uuid4().hex}")
+        self.nested = Observation(f"{name}-nested-{uuid.uuid4().hex}")
+
+    def counts(self) -> dict[str, int | None]:
+        return {**self.staged.get, **self.nested.get}
+
+
+def nest_counted(df: DataFrame, keys: Sequence[str], field_sets: Sequence[FieldSet], order_by: Sequence[str | Column],
+                 name: str = "nest", **options) -> tuple[DataFrame, QualityCounts]:
+    """``nest_field_sets`` (null keys dropped), and its quality counts: staged
+    rows, rows dropped for a null key, entities, entities with several rows and
+    the rows of the largest.  The sources are read once, by the action that
+    writes the documents."""
+    said = QualityCounts(name)
+    staged = df.observe(said.staged, F.count(F.lit(1)).alias("staged_rows"),
+                        F.count_if(~_keys_not_null([k for k in keys if k in df.columns])).alias("null_key_rows"))
+    nested = nest_field_sets(staged, keys, field_sets, order_by, null_keys="drop", copies_col="copies", **options)
+    return nested.observe(said.nested, F.count(F.lit(1)).alias("entities"), F.count_if(F.col("copies") > 1).alias("entities_with_copies"),
+                          F.max("copies").alias("largest_entity_rows")), said
+
+
 def quality_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row describing what nesting ``df`` by ``keys`` will do (Q1, Q4).
 

@@ -16,11 +16,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bookshift.functions.scalars import case_in_lists, iff, remove_text, strip_dashes, to_int
 from bookshift.functions.temporal import add_months_keep_time, years_to_months
-from bookshift.operators.joins import like_matches
+from bookshift.operators.joins import like_matches, spread
+from bookshift.operators.product import beside
 from bookshift.operators.rows import top_n_per_group
 from bookshift.plans import specs
 
@@ -106,34 +106,15 @@ def applicants_by_role(t: Tables) -> DataFrame:
     return primary.union(secondary).distinct()
 
 
-def _side_by_side(df: DataFrame, key: str, sides: Mapping[str, tuple], outer: bool) -> DataFrame:
-    """Several joins of one table to ``key``, from one pass over it.
-
-    Each side is (condition, struct or array of structs of the row's
-    columns): its rows per key are gathered, then laid out against the rows
-    of the other sides, as one join per side would.  With ``outer`` a side
-    without rows gives nulls, else it drops the key.
-    """
-    kinds = {name: df.select(value.alias("v")).schema["v"].dataType for name, (_, value) in sides.items()}
-    gathered = []
-    for name, (test, value) in sides.items():
-        rows = F.collect_list(F.when(test, value))
-        gathered.append((F.flatten(rows) if isinstance(kinds[name], T.ArrayType) else rows).alias(f"__{name}"))
-    out = df.groupBy(key).agg(*gathered)
-    done = [key]
-    for name in sides:
-        rest = [f"__{n}" for n in list(sides)[list(sides).index(name) + 1:]]
-        inline = F.inline_outer(f"__{name}") if outer else F.inline(f"__{name}")
-        out = out.select(*done, *rest, inline)
-        done = [c for c in out.columns if c not in rest]
-    return out
-
-
 # -- K9 loan accounts -----------------------------------------------------------------
 
 def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None,
                               status_prefix: str = specs.STATUS_PREFIX,
-                              rate_prefix: str = specs.RATE_MASTER_PREFIX) -> DataFrame:
+                              rate_prefix: str = specs.RATE_MASTER_PREFIX, block_rows: int | None = None) -> DataFrame:
+    """Loan accounts with their dates and their recurring, scheduled and one-off
+    tasks side by side.  With ``block_rows`` a loan's tasks are laid out in
+    blocks of about that many rows (``product.beside``), for loans whose tasks
+    no single row should hold."""
     km = t["io_keys_masterreference"].where(F.col("ymr_idlink_xfk") == _g(guids, "system_link"))
     pm = t["io_product_masterreference"]
     pcb = t["io_product_controlbalance"]
@@ -151,9 +132,9 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None,
     # times multiplies its rows, one it lacks drops them, as separate joins do.
     kinds = {specs.DATE_TYPE_DISBURSEMENT: "disb", specs.DATE_TYPE_APPROVED: "approved_date",
              specs.DATE_TYPE_MATURITY: "maturity_date"}
-    dates = _side_by_side(t["io_product_controldate"].where(F.col("rcd_type").isin(list(kinds))), "rcd_idlink_rmr",
+    dates = beside(t["io_product_controldate"].where(F.col("rcd_type").isin(list(kinds))), "rcd_idlink_rmr",
                           {name: (F.col("rcd_type") == kind, F.struct(F.col("rcd_currentstart").alias(name)))
-                           for kind, name in kinds.items()}, outer=False)
+                           for kind, name in kinds.items()}, outer=False, block_rows=block_rows)
     rate = t["io_product_controlrate"].where(F.col("rcr_type").isin(specs.RATE_TYPES_BORROWER)).select(
         F.col("rcr_idlink_rmr").alias("rate_rmr"), F.col("rcr_rate").alias("interest_rate"))
     mdt = t["io_product_loanmdt"].select(F.col("rlm_idlink_rmr").alias("mdt_rmr"),
@@ -179,14 +160,14 @@ def loan_accounts_operational(t: Tables, guids: Mapping[str, str] | None = None,
         *[x[c].alias(n) for c, n in pick[2:]]))
     account = [("cbd_accountname", "account_name"), ("cbd_accountbsbno", "account_bsb"),
                ("cbd_accountnumber", "account_number")]
-    loan_tasks = _side_by_side(per_task, "code", {
+    loan_tasks = beside(per_task, "code", {
         "regular": (user.isin(specs.TASK_USERS_RECURRING), F.struct(
             case_in_lists("xtkm_iduser", specs.TASK_USERS_FREQUENCY).alias("payment_frequency"),
             F.col("kpd_daystart").alias("recurring_repayment_day"))),
         "scheduled": (user.isin(specs.TASK_USERS_SCHEDULED),
                       transfer("next_repayment_due_date", "repayment_amount", *account)),
         "one_off": (user == specs.TASK_USER_ONE_OFF, transfer("adhoc_repayment_date", "adhoc_repayment_amount")),
-    }, outer=True)
+    }, outer=True, block_rows=block_rows)
     armnet = F.col("ymr_idlink_armnet")
     j = (km.join(pm, pm.rmr_id == armnet)
          .join(pcb, pcb.rcb_idlink_rmr == armnet)
@@ -278,18 +259,25 @@ def test_cohort(t: Tables, as_at: str = "2022-12-07", start_from: str = "2022-08
                             F.col("loan_id").asc()], per_status, "loan_seq")
 
 
-def joint_applicant_pairs(wl: DataFrame) -> DataFrame:
+def joint_applicant_pairs(wl: DataFrame, spread_hot: bool = False) -> DataFrame:
     """Distinct (loan, primary id, secondary id) of joint applications.
 
     The joint applicant is found by e-mail.  The looked-up side is first
     reduced to distinct (email, id): the output only reads those, so
-    duplicates there would only multiply rows the DISTINCT removes.
+    duplicates there would only multiply rows the DISTINCT removes.  With
+    ``spread_hot`` an e-mail that a large share of the loans name is split over
+    tasks (``joins.spread``).
     """
     sec = (wl.where((F.col("customerid") != "") & (F.col("customerid") != specs.ZERO_GUID))
            .select(F.col("email").alias("sec_email"), F.col("customerid").alias("sec_id")).distinct())
     pri = wl.where(F.col("isjointapplication") == 1).select(
         "loanid", F.col("customerid").alias("pri_id"), "jointapplicantemail")
-    return (pri.join(sec, sec.sec_email == pri.jointapplicantemail)
+    met = F.col("sec_email") == F.col("jointapplicantemail")
+    if spread_hot:
+        pri, sec, shares = spread(pri, sec, ["jointapplicantemail"], ["sec_email"])
+        for a, b in shares:
+            met = met & (F.col(a) == F.col(b))
+    return (pri.join(sec, met)
             .where(F.lower("pri_id") != F.lower("sec_id"))
             .select("loanid", "pri_id", "sec_id").distinct())
 

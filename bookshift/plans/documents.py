@@ -16,7 +16,7 @@ from bookshift.functions.jsonio import JSON_OPTS
 from bookshift.functions.scalars import date_text, lookup, normalise_nulls
 from bookshift.functions.temporal import tz_stamp
 from bookshift.operators.joins import merge_chain, merge_null_safe
-from bookshift.operators.nest import FieldSet, nest_field_sets, quarantine_null_keys
+from bookshift.operators.nest import FieldSet, QualityCounts, nest_counted, nest_field_sets, quarantine_null_keys
 from bookshift.plans import specs
 
 
@@ -86,6 +86,13 @@ def client_documents(staged: DataFrame, order_by: Sequence[str | Column],
     return nest_field_sets(master, specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, null_keys)
 
 
+def client_documents_counted(staged: DataFrame, order_by: Sequence[str | Column],
+                             null_date_text: str | None = "None") -> tuple[DataFrame, QualityCounts]:
+    """K1 with its quality counts (rows without a key, entities with several
+    rows) from the execution that writes the documents."""
+    return nest_counted(client_master(staged, null_date_text), specs.CLIENT_KEYS, specs.CLIENT_FIELD_SETS, order_by, "client")
+
+
 # -- K2 --------------------------------------------------------------------------
 
 def group_documents(clients_fetched: DataFrame, role_keys: Mapping[str, str] = specs.DEFAULT_ROLE_KEYS,
@@ -165,6 +172,6 @@ def disbursement_documents(staged: DataFrame, order_by: Sequence[str | Column],
 
 
 __all__ = [
-    "client_master", "client_quarantine", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents",
+    "client_master", "client_quarantine", "constant_columns", "with_defaults", "stamp_columns", "rename_existing", "payloads", "client_staged", "client_documents", "client_documents_counted",
     "group_documents", "group_payloads", "loan_staged", "loan_documents", "disbursement_documents",
 ]
