@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bookshift.functions import jsonio, scalars, temporal
 from bookshift.operators import joins, nest, requests, rows
 from bookshift.operators.nest import FieldSet
-from bookshift.plans import datasets, documents, expected, flows, specs, standins
+from bookshift.plans import datasets, documents, expected, flows, registry, specs, standins
 from bookshift.plans.standins import table
 from bookshift.sources import tables as sources
 
@@ -711,6 +711,35 @@ def q_response_summary(spark, sf):
     return requests.response_summary(reqs, resp, body_schema="k bigint")
 
 
+_ANSWER_SQL = f"""
+SELECT CAST(event_id AS VARCHAR) AS request_id, {_REASON_SQL.format(c=_STATUS_SQL)} AS status,
+       {_STATUS_SQL} AS status_code,
+       CASE WHEN event_type <> 'error' THEN user_id END AS client_id,
+       CASE WHEN event_type <> 'error' THEN 'key-' || CAST(event_id AS VARCHAR) END AS "encodedKey",
+       CASE WHEN event_type = 'error' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS "errors_0_errorCode",
+       CASE WHEN event_type = 'error' THEN 'no "' || event_type || '"' END AS "errors_0_errorReason",
+       CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN user_id END AS "errors_1_errorCode"
+FROM events
+"""
+
+
+@query("response_summary_undeclared", _ANSWER_SQL)
+def q_response_summary_undeclared(spark, sf):
+    """Answers whose shapes are not declared: entities, or one or two errors."""
+    resp = _responses(spark, sf)
+    errors = F.to_json(F.struct(F.array_compact(F.array(
+        F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("errorCode"),
+                 F.concat(F.lit('no "'), "event_type", F.lit('"')).alias("errorReason")),
+        F.when(F.col("user_id") % 2 == 0, F.struct(F.col("user_id").alias("errorCode"), F.lit(None).cast("string").alias("errorReason")))))
+        .alias("errors")))
+    entity = F.to_json(F.struct(F.concat(F.lit("key-"), F.col("event_id").cast("string")).alias("encodedKey"),
+                                F.struct(F.col("user_id").alias("id")).alias("client")))
+    body = F.when(F.col("event_type") == "error", errors).otherwise(entity)
+    answers = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("request_id"), body.alias("body")).join(
+        resp.select("request_id", "status_code"), "request_id")
+    return requests.response_summary(requests.fetch_requests(table(spark, sf, "events"), "event_id"), answers, flatten=True)
+
+
 @query("outcome_messages", """
 SELECT event_id, CASE WHEN event_type = 'error' THEN 404 ELSE 204 END AS status_code,
        CASE WHEN event_type = 'error' THEN CAST(event_id AS VARCHAR) || 'Not Found'
@@ -847,9 +876,7 @@ def _tz_sql(c: str) -> str:
             f"lpad(CAST(abs({m}) % 60 AS VARCHAR), 2, '0') END")
 
 
-K7_TABLES = ["io_keys_masterreference", "io_product_masterreference", "io_link_masterreference",
-             "io_client_masterreference", "io_client_typeindividual", "io_client_addressdetail",
-             "io_client_contactdetail", "io_control_clientgender", "io_control_clienttitle"]
+K7_TABLES = registry.needs("client_details_operational")
 K7_SQL = expected.BORROWERS
 K7_COLS = ("loanid, firstname, middlename, surname, CAST(birthdate AS VARCHAR) AS birthdate, mobile, email, "
            "line1, city, region, country, postcode, veda_score, title")
@@ -858,64 +885,73 @@ K7_COLS = ("loanid, firstname, middlename, surname, CAST(birthdate AS VARCHAR) A
 @query("client_details_operational", f"WITH k7 AS ({K7_SQL})\n"
        f"SELECT {K7_COLS} FROM k7")
 def q_client_details_operational(spark, sf):
-    k7 = datasets.client_details_operational(_src(spark, sf, *K7_TABLES))
+    k7 = registry.build("client_details_operational", _src(spark, sf, *K7_TABLES))
     return k7.withColumn("birthdate", F.col("birthdate").cast("string"))
 
 
-K8_TABLES = ["application_loans"]
+K8_TABLES = registry.needs("applicants_by_role")
 K8_SQL = expected.APPLICANTS
 
 @query("applicants_by_role", f"WITH k8 AS ({K8_SQL})\n"
        "SELECT customerid, id, CAST(birthdate AS VARCHAR) AS birthdate, loanid, application_role FROM k8")
 def q_applicants_by_role(spark, sf):
-    k8 = datasets.applicants_by_role(_src(spark, sf, *K8_TABLES))
+    k8 = registry.build("applicants_by_role", _src(spark, sf, *K8_TABLES))
     return k8.withColumn("birthdate", F.col("birthdate").cast("string"))
 
 
-K9_TABLES = ["io_keys_masterreference", "io_product_masterreference", "io_product_controlbalance",
-             "io_control_productbalance", "io_link_masterreference", "io_client_masterreference",
-             "io_control_productratemaster", "io_product_controldate", "io_product_controlrate",
-             "io_product_loanmdt", "io_control_statusmaster", "io_task_pending", "io_control_taskmaster",
-             "io_product_loantransfer", "io_client_bankdetail"]
+K9_TABLES = registry.needs("loan_accounts_operational")
 K9_SQL = expected.LOANS
 
 
 @query("loan_accounts_operational", f"WITH k9 AS ({K9_SQL})\n"
        "SELECT * FROM k9")
 def q_loan_accounts_operational(spark, sf):
-    return datasets.loan_accounts_operational(_src(spark, sf, *K9_TABLES))
+    return registry.build("loan_accounts_operational", _src(spark, sf, *K9_TABLES))
 
 
-K10_TABLES = ["application_loans", "application_security"]
+@query("loan_accounts_blocks", f"WITH k9 AS ({K9_SQL})\n"
+       "SELECT * FROM k9")
+def q_loan_accounts_blocks(spark, sf):
+    """K9 with every loan that has two rows of a kind laid out block by block."""
+    return registry.build("loan_accounts_operational", _src(spark, sf, *K9_TABLES), block_rows=1)
+
+
+K10_TABLES = registry.needs("loan_attributes")
 K10_SQL = expected.ATTRIBUTES
 
 
 @query("loan_attributes", f"WITH k10 AS ({K10_SQL})\nSELECT * FROM k10")
 def q_loan_attributes(spark, sf):
-    return datasets.loan_attributes(_src(spark, sf, *K10_TABLES))
+    return registry.build("loan_attributes", _src(spark, sf, *K10_TABLES))
+
 
+@query("named_query_cohort", f"WITH k10 AS ({K10_SQL})\n"
+       "SELECT * FROM k10 WHERE loanid IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def q_named_query_cohort(spark, sf):
+    cohort = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey")
+    name = "loan_attributes"
+    return registry.with_cohort(name, _src(spark, sf, *registry.needs(name)), cohort)
 
-K11_TABLES = ["io_keys_masterreference", "io_product_transaction", "io_control_transactionmaster",
-              "io_product_controldate"]
+
+K11_TABLES = registry.needs("disbursement_details")
 K11_SQL = expected.FEES
 
 
 @query("disbursement_details", f"WITH k11 AS ({K11_SQL})\nSELECT * FROM k11")
 def q_disbursement_details(spark, sf):
-    return datasets.disbursement_details(_src(spark, sf, *K11_TABLES))
+    return registry.build("disbursement_details", _src(spark, sf, *K11_TABLES))
 
 
-K6_TABLES = ["io_keys_masterreference", "io_task_pending", "io_control_taskmaster"]
+K6_TABLES = registry.needs("multi_adhoc")
 K6_SQL = expected.SEVERAL_ONE_OFF
 
 
 @query("multi_adhoc_repayment", f"WITH k6 AS ({K6_SQL})\nSELECT * FROM k6")
 def q_multi_adhoc_repayment(spark, sf):
-    return datasets.multi_adhoc(_src(spark, sf, *K6_TABLES))
+    return registry.build("multi_adhoc", _src(spark, sf, *K6_TABLES))
 
 
-K5_TABLES = ["loan_status_report", "warehouse_keys_masterreference", "warehouse_product_transaction",
-             "application_loans"]
+K5_TABLES = registry.needs("test_cohort")
 
 
 _K5_SQL = expected.cohort(AS_AT, START_FROM)
@@ -923,7 +959,7 @@ _K5_SQL = expected.cohort(AS_AT, START_FROM)
 
 @query("test_cohort", f"WITH k5 AS ({_K5_SQL})\nSELECT * FROM k5")
 def q_test_cohort(spark, sf):
-    k5 = datasets.test_cohort(_src(spark, sf, *K5_TABLES), as_at=AS_AT, start_from=START_FROM)
+    k5 = registry.build("test_cohort", _src(spark, sf, *K5_TABLES), as_at=AS_AT, start_from=START_FROM)
     return k5.withColumn("startdate", F.col("startdate").cast("string")) \
         .withColumn("loan_seq", F.col("loan_seq").cast("bigint"))
 
@@ -941,7 +977,7 @@ _FEE_CASE = ("CASE fee_type WHEN 'Establishment Fee' THEN 'fee-key-establishment
 
 
 def _disbursement_docs(spark, sf):
-    k11 = datasets.disbursement_details(_src(spark, sf, *K11_TABLES))
+    k11 = registry.build("disbursement_details", _src(spark, sf, *K11_TABLES))
     return documents.disbursement_documents(k11, order_by=["predefinedFeeKey", "amount"])
 
 
@@ -1149,12 +1185,12 @@ def loan_payloads(spark, sf):
 # From a cohort to requests
 # =============================================================================
 
-_COHORT_SQL = "SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 3"
+_COHORT_SQL = "SELECT o_orderkey FROM orders"
 
 
 def _cohort(spark, sf):
-    """A caller's list of loan ids."""
-    return table(spark, sf, "orders").where(F.col("o_orderkey") % 10 == 3).select(F.col("o_orderkey").alias("loanid"))
+    """A caller's list of loan ids: every loan of the book."""
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("loanid"))
 
 
 @query("loan_payload_cohort", _LOAN_SQL + f"SELECT * FROM docs WHERE id IN ({_COHORT_SQL})")
@@ -1278,6 +1314,26 @@ def q_document_elements(spark, sf):
                     F.col("order.o1").alias("l_partkey"), F.col("order.o2").alias("l_suppkey"), "element")
 
 
+_CHUNK_BYTES = 64
+
+
+@query("document_chunks", f"""
+WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  '{{"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || '}}' AS element
+           FROM lineitem),
+w AS (SELECT *, row_number() OVER o AS place, COUNT(*) OVER (PARTITION BY l_orderkey) AS n,
+             CAST(floor(coalesce(sum(strlen(element) + 1) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                        / {_CHUNK_BYTES}) AS INTEGER) AS chunk
+      FROM e WINDOW o AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))
+SELECT l_orderkey, 'lines' AS field_set, chunk, COUNT(*) AS n_elements,
+       CASE WHEN min(place) = 1 THEN '[' ELSE ',' END || string_agg(element, ',' ORDER BY place)
+       || CASE WHEN max(place) = max(n) THEN ']' ELSE '' END AS text
+FROM w GROUP BY l_orderkey, chunk
+""")
+def q_document_chunks(spark, sf):
+    return nest.document_chunks(table(spark, sf, "lineitem"), ["l_orderkey"], _LINE_SETS, LSEQ[1:], _CHUNK_BYTES)
+
+
 # =============================================================================
 # Failed reads, differing response shapes, lenient casts, auth text
 # =============================================================================
@@ -1422,11 +1478,15 @@ RESULT_CASTS = {
     "loan_accounts_operational": {"approved_date": "string", "next_repayment_due_date": "string",
                                   "adhoc_repayment_date": "string", "maturity_date": "string",
                                   "recurring_repayment_day": "double"},
+    "loan_accounts_blocks": {"approved_date": "string", "next_repayment_due_date": "string",
+                             "adhoc_repayment_date": "string", "maturity_date": "string",
+                             "recurring_repayment_day": "double"},
     "disbursement_details": {"value_date": "string", "booking_date": "string", "first_repayment_date": "string"},
     "scalar_casts_lenient": {"parsed": "string", "name_as_int": "double"},
     "self_join_residual": {"partner_total": "double"},
     "nest_object": {"first_d": "double", "first_t": "double"},
     "response_union": {"user_id": "double"},
+    "response_summary_undeclared": {c: "double" for c in ("client_id", "errors_0_errorCode", "errors_1_errorCode")},
     "fetch_result": {"status_code": "double"},
 }
 _SQL_TYPE = {"string": "VARCHAR", "double": "DOUBLE"}
@@ -1442,6 +1502,6 @@ def _cast_columns(fn, casts):
 
 for _name, _casts in RESULT_CASTS.items():
     QUERIES[_name] = _cast_columns(QUERIES[_name], _casts)
-    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f"CAST({c} AS {_SQL_TYPE[t]}) AS {c}"
+    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f'CAST("{c}" AS {_SQL_TYPE[t]}) AS "{c}"'
                                                      for c, t in _casts.items()) + ")\n"
                      f"FROM (\n{ORACLE[_name]}\n) AS _q")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -75,13 +75,69 @@ def jdbc_options(url: str, table: str, query: str | None = None, split: Split |
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, query: str | None = None, split: Split | None = None,
-              properties: Mapping[str, str] | None = None) -> DataFrame:
+              properties: Mapping[str, str] | None = None, predicates: list[str] | None = None) -> DataFrame:
     """Read one database table (A1 operational system, A2 warehouse view), or
     a query on it.  Without ``split`` Spark uses a single connection, which is
-    right for control tables and for queries that return little."""
+    right for control tables and for queries that return little.
+
+    ``split`` cuts the span of a column evenly; ``predicates`` (see
+    ``range_predicates``, ``cohort_predicates``) cut it where the rows are, one
+    connection and task each, so skewed ids give even slices."""
+    if predicates is not None:
+        if split is not None:
+            raise ValueError(f"{table}: give split or predicates, not both")
+        source = f"({query}) q" if query else table
+        return spark.read.jdbc(url, source, predicates=predicates, properties=dict(properties or {}))
     return spark.read.format("jdbc").options(**jdbc_options(url, table, query, split, properties)).load()
 
 
+def key_cuts(keys: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list[int]:
+    """At most ``2 * parts`` values that cut the rows of ``keys`` into slices of
+    about equal size, or smaller: quantiles of the integer ``column``, one
+    aggregate with a state of fixed size.  A value that fills slices by itself
+    is cut off on both sides."""
+    if parts < 2:
+        return []
+    at = F.percentile_approx(F.col(f"`{column}`").cast("bigint"), [i / parts for i in range(1, parts)], accuracy)
+    found = keys.agg(at).first()[0] or []
+    return sorted(set(found) | {v + 1 for v in found if found.count(v) > 1})
+
+
+def range_predicates(column: str, cuts: Iterable) -> list[str]:
+    """Predicates that cover every key once, one for each slice between the
+    cuts; rows without a key are in the first slice."""
+    cuts = list(cuts)
+    if not cuts:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    inner = [f"{column} >= {a} AND {column} < {z}" for a, z in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def cohort_predicates(cohort: DataFrame, key: str, column: str, parts: int) -> list[str]:
+    """At most ``parts`` range predicates that a database can answer from an
+    index on ``column``; they hold every id of the cohort and leave its widest
+    gaps unread.
+
+    The ids are cut into slices of equal count, a few times ``parts``; each
+    gives its smallest and largest id and its widest gap, and of the spans on
+    both sides of the gaps the nearest neighbours are put together until
+    ``parts`` are left.  The rows read are still to be joined with the cohort
+    (``semi_join_cohort``).  An empty cohort asks for nothing."""
+    ids = cohort.select(F.col(f"`{key}`").cast("bigint").alias("k")).where("k is not null").distinct()
+    cuts = key_cuts(ids, "k", 8 * parts)
+    number = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("k"))) if cuts else F.lit(0)
+    sliced = ids.withColumn("s", number).withColumn("prior", F.lag("k").over(Window.partitionBy("s").orderBy("k")))
+    gap = F.max(F.struct((F.col("k") - F.col("prior")).alias("width"), "prior", "k")).alias("gap")
+    spans = []
+    for r in sliced.groupBy("s").agg(F.min("k").alias("a"), F.max("k").alias("z"), gap).orderBy("s").collect():
+        at = r["gap"]
+        spans += [(r["a"], r["z"])] if at["prior"] is None else [(r["a"], at["prior"]), (at["k"], r["z"])]
+    while len(spans) > parts:
+        k = min(range(len(spans) - 1), key=lambda i: spans[i + 1][0] - spans[i][1])
+        spans[k:k + 2] = [(spans[k][0], spans[k + 1][1])]
+    return [f"{column} = {a}" if a == z else f"{column} BETWEEN {a} AND {z}" for a, z in spans] or ["1 = 0"]
+
+
 def filter_cohort_ids(df: DataFrame, key: str | Column, ids: Iterable) -> DataFrame:
     """Keep rows whose key is in a caller's id list.
 
