@@ -20,8 +20,10 @@ def _with_least(edges: DataFrame, total: int) -> DataFrame:
     around = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("held"))
     hubs = around.filter(F.col("held") * SHARES > total).select("u", F.col("m").alias("hub"))
     marked = edges.join(F.broadcast(hubs), "u", "left").withColumn(
-        "deal", F.when(F.col("hub").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("v"), F.lit(SHARES))))
-    met = marked.join(around.select("u", "m", F.lit(0).cast("long").alias("deal")), ["u", "deal"], "left")
+        "deal", F.when(F.col("hub").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("v"), F.lit(SHARES))).cast("long"))
+    # a hub's own row has a deal that no edge has (and no constant, which would drop out of the join's keys)
+    others = around.select("u", "m", F.when(F.col("held") * SHARES > total, F.lit(-1)).otherwise(0).cast("long").alias("deal"))
+    met = marked.join(others, ["u", "deal"], "left")
     return met.select("u", "v", F.coalesce("hub", "m").alias("m"))
 
 
