@@ -11,7 +11,8 @@
    A text with very many copies costs an owner one entry a task.
 3. Rows whose bit is set are suspects.  Only their texts are read again and
    shuffled, grouped by the text's bytes (partial sums first, so a task sends
-   one copy of each text), which decides equality; hash collisions stay apart.
+   one copy of each text), which decides equality: texts that share the 64 bits
+   stay apart, and two texts that shared a whole SHA-256 would stop the job.
 
 Defined results: null text counts as empty and empty texts are equal to each
 other; of rows that also share the largest ``doc_id`` exactly one is kept; a
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookshift.llm.common import broadcast_up_to, lower_ascii, small_batches, stage, texts
+from bookshift.llm.common import broadcast_up_to, hot_keys, lower_ascii, repeat_rows, small_batches, split_rows, stage, texts
 
 #: rows a task hands back at once
 ROWS_OUT = 1 << 16
@@ -177,14 +178,17 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     equal = (again.select("text").mapInArrow(_normalised, "sha256 string, text binary")
              .groupBy("sha256", "text").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("sha256").agg(F.count(F.lit(1)).alias("texts")))
-    groups = (suspects.groupBy("sha256")
-              .agg(F.max(F.struct("doc_id", "part", "row")).alias("keep"), F.count(F.lit(1)).alias("size"))
-              .filter("size > 1").join(equal, "sha256")
-              .select(F.col("sha256").alias("g"), "size",
-                      F.when(F.col("texts") == 1, F.col("keep")).otherwise(
-                          F.raise_error(F.lit("different texts share a SHA-256"))).alias("keep")))
+    found = (suspects.groupBy("sha256")
+             .agg(F.max(F.struct("doc_id", "part", "row")).alias("keep"), F.count(F.lit(1)).alias("size"))
+             .filter("size > 1").join(equal, "sha256"))
+    groups = stage(found.select(F.col("sha256").alias("g"), "size",
+                                F.when(F.col("texts") == 1, F.col("keep")).otherwise(
+                                    F.raise_error(F.lit("different texts share a SHA-256"))).alias("keep")), "copies")
     alone = F.col("keep").isNull()
-    return (rows.join(groups, F.col("sha256") == F.col("g"), "left")
+    # a text that holds a large share of the rows is split over tasks
+    hot = hot_keys(groups, ["g"], "size", rows.count())
+    dealt = split_rows(rows.withColumn("g", F.col("sha256")), hot, ["g"], ["part", "row"])
+    return (dealt.join(repeat_rows(groups, hot, ["g"]), ["g", "__share"], "left")
             .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
                     F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
                     (alone | (F.struct("part", "row") == F.struct("keep.part", "keep.row"))).alias("kept"),
