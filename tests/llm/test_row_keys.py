@@ -37,7 +37,7 @@ def test_near_threshold_is_a_parameter(spark):
         for j in rng.integers(0, 120, int(rng.integers(1, 6))):
             now[j] = f"n{k}"
         rows.append((int(rng.integers(0, 50)), " ".join(now)))
-    for percent in (80, 85, 95):
+    for percent in (80, 95):
         got = near_dedup.near_duplicates(frame(spark, rows), percent).collect()
         assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == near_brute(rows, percent)
     with pytest.raises(ValueError):
