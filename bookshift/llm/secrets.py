@@ -3,8 +3,10 @@ costly to guess.
 
 A value that follows a credential word (``pwd: x``, ``passphrase is x``, ...)
 is cut into words, dates, repeats, keyboard walks, sequences and brute-force
-characters; dynamic programming finds the cheapest cut, as log10 of the
-guesses an attacker needs.  Values of at least ``MIN_COST`` are secrets; a
+characters; dynamic programming over every place and length of each kind of
+piece finds the cheapest cut, as log10 of the guesses an attacker needs.  A
+quoted value goes to its closing quote on the line, blanks and commas
+included; any other ends at a blank, quote, comma, semicolon, ``<`` or ``>``.  Values of at least ``MIN_COST`` are secrets; a
 placeholder such as ``password: changeme1`` is not.  The fixed patterns are
 reported whatever they cost, with their cost beside them.
 
@@ -38,7 +40,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")   # same as 20+ of AKIA[A-Z0-9]+: run
 HEX = re.compile(rb"[0-9a-f]{24,}")          # likewise
 CONTEXT = re.compile(
     rb"""(?i:(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[ _-]?key|auth[ _-]?key|login[ _-]?key|pin)"""
-    rb"""["']?[\x20\t]*(?:[:=]|=>|->|\bis\b)[\x20\t]*)["']?([^\s"'<>,;]{6,})""")
+    rb"""["']?[\x20\t]*(?:[:=]|=>|->|\bis\b)[\x20\t]*)"""
+    rb"""(?:"((?:[^"\\\r\n]|\\.){6,})"|'((?:[^'\\\r\n]|\\.){6,})'|["']?([^\s"'<>,;]{6,}))""")
 
 # Words that guessing tools try first, most common first.
 COMMON = """password pass admin welcome login letmein monkey dragon master love secret hello shadow sunshine princess
@@ -55,61 +58,57 @@ LEET = str.maketrans("@4301!$57", "aaeolisst")
 KEYS = {c: (x + y / 2, y) for y, row in enumerate(("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./"))
         for x, c in enumerate(row)}
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?[01]?\d[-/.]?[0-3]?\d|[0-3]?\d[-/.][01]?\d[-/.](?:19|20)?\d\d|(?:19|20)\d\d")
+DATE_LENGTHS = range(4, 11)
+#: Repeats, sequences and walks of the guess model are this long at most; a
+#: longer run is several of them.
+LONGEST_RUN = 64
 
 
 def _brute(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def _runs(v: str) -> dict[int, list[tuple[int, float]]]:
-    """Repeats, sequences and keyboard walks: by start, (end, cost) of every
-    run of three or more characters."""
-    found: dict[int, list[tuple[int, float]]] = {}
-    low = v.lower()
-    for kind in ("repeat", "sequence", "walk"):
-        i = 0
-        while i + 1 < len(v):
-            step, turns, last, j = None, 0, None, i
-            while j + 1 < len(v):
-                a, z = low[j], low[j + 1]
-                if kind == "walk":
-                    p, q = KEYS.get(a), KEYS.get(z)
-                    if not p or not q or a == z or abs(p[0] - q[0]) > 1 or abs(p[1] - q[1]) > 1:
-                        break
-                    move = (q[0] - p[0], q[1] - p[1])
-                    turns += move != last
-                    last = move
-                else:
-                    d = ord(z) - ord(a)
-                    if kind == "repeat" and d or kind == "sequence" and (abs(d) != 1 or step not in (None, d)):
-                        break
-                    step = d
-                j += 1
-            n = j - i + 1
-            if n >= 3:
-                cost = {"repeat": _brute(v[i]), "sequence": math.log10(52), "walk": math.log10(47) + 0.6 * turns}[kind]
-                found.setdefault(i, []).append((j + 1, cost + math.log10(n)))
-            i = max(j, i + 1)
-    return found
+def _runs(v: str, low: str, i: int) -> Iterator[tuple[int, float]]:
+    """(end, cost) of every repeat, sequence and keyboard walk of three or more
+    characters that starts at ``i``."""
+    last = min(len(v), i + LONGEST_RUN)
+    repeat = low[i + 1:i + 2] == low[i]
+    step = None if repeat or i + 1 >= len(v) else ord(low[i + 1]) - ord(low[i])
+    if repeat or step in (1, -1):
+        base = _brute(v[i]) if repeat else math.log10(52)
+        j = i + 1
+        while j < last and ord(low[j]) - ord(low[j - 1]) == (0 if repeat else step):
+            j += 1
+            if j - i >= 3:
+                yield j, base + math.log10(j - i)
+    turns, way, j = 0, None, i + 1
+    while j < last:
+        p, q = KEYS.get(low[j - 1]), KEYS.get(low[j])
+        if not p or not q or p == q or abs(p[0] - q[0]) > 1 or abs(p[1] - q[1]) > 1:
+            break
+        move = (q[0] - p[0], q[1] - p[1])
+        turns, way, j = turns + (move != way), move, j + 1
+        if j - i >= 3:
+            yield j, math.log10(47) + 0.6 * turns + math.log10(j - i)
 
 
 def guess_cost(value: str, enough: float = math.inf) -> float:
     """log10 of the guesses of the cheapest cut.  Costs only add up, so the
     search ends as soon as every cut has come to ``enough``."""
-    plain, runs = value.lower().translate(LEET), _runs(value)
-    dates = {m.start(): m.end() for m in DATE.finditer(value)}
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    plain = low.translate(LEET)
     best = [math.inf] * (len(value) + 1)
     best[0] = 0.0
     reach = 0  # furthest cut that is open
     for i in range(len(value)):
         here = best[i]
-        steps = [(i + 1, _brute(value[i])), *runs.get(i, ())]
-        if i in dates:
-            steps.append((dates[i], math.log10(366 * 120)))
+        steps = [(i + 1, _brute(value[i])), *_runs(value, low, i)]
+        if value[i].isdigit():
+            steps += [(i + n, math.log10(366 * 120)) for n in DATE_LENGTHS
+                      if i + n <= len(value) and DATE.fullmatch(value, i, i + n)]
         for j in range(i + 2, min(len(value), i + LONGEST) + 1):
             if (cost := WORDS.get(plain[i:j])) is not None:
-                said = value[i:j]
-                steps.append((j, cost + 0.3 * (said != said.lower()) + 0.3 * (said.lower() != plain[i:j])))
+                steps.append((j, cost + 0.3 * (value[i:j] != low[i:j]) + 0.3 * (low[i:j] != plain[i:j])))
         for j, cost in steps:
             best[j] = min(best[j], here + cost)
             reach = max(reach, j)
@@ -129,8 +128,8 @@ def find(text: bytes) -> list[tuple[str, int, int, bool, float]]:
     found += [("access", *m.span(), True, m[0]) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span(), True, m[0]) for m in HEX.finditer(text)]
     for m in CONTEXT.finditer(text):
-        a, z = m.span(1)
-        value = m[1].rstrip(b".!?)]}")
+        a, z = m.span(m.lastindex)
+        value = m[m.lastindex] if m.lastindex < 3 else m[3].rstrip(b".!?)]}")
         if not any(s <= a and a + len(value) <= e for s, e in taken):
             found.append(("guess", a, z, False, value))
     order = {"assign": 0, "access": 1, "hex": 2, "guess": 3}
