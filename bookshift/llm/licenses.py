@@ -1,13 +1,15 @@
 """License scans with a positional rare-token index.
 
 The words of a few licence notices and phrases form the vocabulary; the corpus
-index holds their postings (see ``decontaminate.build_index``).  Every licence
-word of a file (function words are no licence words) that belongs to a notice
-whose key phrase stands in the file is looked up in that notice's postings:
-word position minus place in the notice proposes where the notice may begin,
-and places with enough agreeing words are scored by the share of the notice's
-licence words that stand there.  A notice counts only if its mandatory key
-phrase stands at its place, give or take ``SLACK`` words.
+index holds their postings (see ``decontaminate.build_index``).  The licence
+words of a notice (function words are none) are ranked by how many files hold
+them.  A notice stands where enough of its licence words agree on where it
+begins; of ``size`` words ``votes`` must agree, so one of any ``size - votes +
+1`` does: only that many, those of highest IDF, are looked up.  Their places
+in the files less their places in the notice propose where it may begin.  A
+proposal counts only if the notice's mandatory key phrase stands at its place,
+give or take ``SLACK`` words; then all its words vote, and the score is the
+share that stands there.  No proposal is cut, for a file or for a notice.
 
 DataFrame expressions only; the notices are a fixed, small table.
 
@@ -19,15 +21,18 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from bookshift.llm.common import broadcast_up_to, stage
+from bookshift.llm.common import stage
 from bookshift.llm.decontaminate import build_index
 
-#: of the SQL statement only: it looks up that many words of a file
-RAREST = 12
+#: of the licence words of a notice so many must agree, and such a share
 VOTES = 3
+SHARE = 0.3
 SLACK = 3
 #: score of a file that has a base phrase but no notice
 PHRASE_SCORE = 0.5
@@ -59,8 +64,9 @@ NOTICES = [
      "granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl", "mozilla public license",
      "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "licensed under cc by", "licensed under cc by 4 0"),
+    ("cc-by", "licensed under cc by 4", "licensed under cc by 4 0"),
     ("cc-by-nc", "licensed under cc by nc", "licensed under cc by nc 4 0"),
+    ("cc-by-sa", "licensed under cc by sa", "licensed under cc by sa 4 0"),
     ("unlicense", "unencumbered software released into the public domain",
      "this is free and unencumbered software released into the public domain"),
     ("proprietary", "all rights reserved", "copyright all rights reserved"),
@@ -73,8 +79,8 @@ FUNCTION_WORDS = ("a all and any are as at at be by can for forms free from in i
 
 def rules() -> tuple[list[tuple], list[tuple]]:
     """(phrases, notices) as rows: (phrase, label or null, place, word) of base
-    and key phrases; (notice, label, key phrase, key place, place, word) of
-    licence words."""
+    and key phrases; (notice, label, key phrase, key place, size, votes, place,
+    word) of licence words."""
     keys = [k for _, k, _ in NOTICES]
     texts = [t for _, t in PHRASES]
     labels = {t: label for label, t in PHRASES}
@@ -85,7 +91,9 @@ def rules() -> tuple[list[tuple], list[tuple]]:
         place = next(i for i in range(len(said)) if said[i:i + len(want)] == want or i == len(said) - 1)
         if said[place:place + len(want)] != want:
             raise ValueError(f"the key phrase {key!r} is not in its notice")
-        notices += [(n, label, key, place, j, w) for j, w in enumerate(said) if w not in FUNCTION_WORDS]
+        own = [(j, w) for j, w in enumerate(said) if w not in FUNCTION_WORDS]
+        votes = max(min(VOTES, len(own)), math.ceil(SHARE * len(own)))
+        notices += [(n, label, key, place, len(own), votes, j, w) for j, w in own]
     return phrases, notices
 
 
@@ -107,7 +115,7 @@ def scan(docs: DataFrame) -> DataFrame:
     terms = index.terms.select("term", "tid")
     phrases = F.broadcast(_rows(spark, phrase_rows, "phrase string, label string, j int, word string")
                           .join(terms, F.col("word") == F.col("term")).select("phrase", "label", "j", "tid"))
-    notices = stage(_rows(spark, notice_rows, "notice int, label string, key string, key_at int, j int, word string")
+    notices = stage(_rows(spark, notice_rows, "notice int, label string, key string, key_at int, size int, votes int, j int, word string")
                     .join(terms, F.col("word") == F.col("term")).drop("word"), "notices")
     length = {t: len(t.split()) for t, *_ in phrase_rows}
     n_of = F.element_at(F.create_map(*[F.lit(x) for kv in length.items() for x in kv]), F.col("phrase"))
@@ -121,19 +129,21 @@ def scan(docs: DataFrame) -> DataFrame:
 
     licence = F.broadcast(notices.select("tid", "term").distinct())
     held = stage(index.postings.join(licence, "tid").select("rid", "pos", "tid", "term"), "licence-words")
-    lookups = F.broadcast(notices.select("notice", "j", "tid"))
+    files = held.select("tid", "rid").distinct().groupBy("tid").agg(F.count(F.lit(1)).alias("df"))
+    rank = F.row_number().over(W.partitionBy("notice").orderBy(F.coalesce("df", F.lit(0)), "term", "j"))
+    rare = F.broadcast(notices.join(files, "tid", "left").withColumn("rank", rank)
+                       .filter(F.col("rank") <= F.col("size") - F.col("votes") + 1).select("notice", "j", "tid"))
     align = ["rid", "notice", "at"]
-    size = notices.groupBy("notice", "label", "key", "key_at").agg(F.count(F.lit(1)).alias("size"))
-    # a key phrase proposes the few places around it; all of a notice's words vote there
-    begins = F.col("key_pos") - F.col("key_at")
-    likely = (places.select("rid", F.col("phrase").alias("key"), F.col("at").alias("key_pos")).join(F.broadcast(size), "key")
-              .select("rid", "notice", "label", "size", F.explode(F.sequence(begins - SLACK, begins + SLACK)).alias("at")))
-    likely = stage(likely.distinct(), "likely")
-    rids = likely.select("rid").distinct()
-    words_there = held.join(broadcast_up_to(rids, rids.count(), 16), "rid", "left_semi").join(lookups, "tid")
-    found = (words_there.groupBy("rid", "notice", (F.col("pos") - F.col("j")).alias("at"))
-             .agg(F.count(F.lit(1)).alias("stand")).join(likely, align)
-             .filter(F.col("stand") >= F.least(F.lit(VOTES), F.col("size")))
+    proposed = (held.join(rare, "tid").select("rid", "notice", (F.col("pos") - F.col("j")).alias("at")).distinct()
+                .join(F.broadcast(notices.select("notice", "label", "key", "key_at", "size", "votes").distinct()), "notice"))
+    keys = places.select(F.col("rid").alias("key_rid"), "phrase", F.col("at").alias("key_pos"))
+    keyed = proposed.join(keys, (F.col("rid") == F.col("key_rid")) & (F.col("key") == F.col("phrase"))
+                          & (F.abs(F.col("at") + F.col("key_at") - F.col("key_pos")) <= SLACK), "left_semi")
+    likely = stage(keyed.select(*align, "label", "size", "votes"), "likely")
+    words_there = held.join(F.broadcast(notices.select("notice", "j", "tid")), "tid")
+    found = (words_there.join(likely.select("rid").distinct(), "rid", "left_semi")
+             .groupBy("rid", "notice", (F.col("pos") - F.col("j")).alias("at"))
+             .agg(F.count(F.lit(1)).alias("stand")).join(likely, align).filter("stand >= votes")
              .groupBy("rid").agg(F.max(F.col("stand") / F.col("size")).alias("cover"),
                                  F.collect_set("label").alias("added")))
     none = F.array().cast("array<string>")

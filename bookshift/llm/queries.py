@@ -172,7 +172,7 @@ _OP3 = r"""
 with d as (select row_number() over () as rid, doc_id, {words} as w from documents),
 post as (select rid, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from d),
 phrases(phrase, label, j, word) as {phrases},
-notices(notice, label, key, key_at, j, word) as {notices},
+notices(notice, label, key, key_at, size, votes, j, word) as {notices},
 places as (
   select rid, phrase, label, pos - j as spot from post join phrases using (word)
   group by rid, phrase, label, pos - j
@@ -183,23 +183,19 @@ base as (
   from places where label is not null group by rid),
 held as (select rid, pos, word from post where word in (select word from notices)),
 rare as (
-  select rid, word from (
-    select rid, word, row_number() over (partition by rid order by df, word) as place
-    from (select distinct rid, word from held)
-    join (select word, count(distinct rid) as df from held group by word) using (word))
-  where place <= {rarest}),
-size as (select notice, label, key, key_at, count(*) as size from notices group by all),
-proposed as (
-  select rid, notice, pos - j as spot from held join rare using (rid, word) join notices using (word)
-  join size using (notice) group by rid, notice, pos - j having count(*) >= least({votes}, any_value(size))),
+  select notice, j, word from (
+    select notices.*, row_number() over (partition by notice order by df, word, j) as place
+    from notices join (select word, count(distinct rid) as df from held group by word) using (word))
+  where place <= size - votes + 1),
+proposed as (select distinct rid, notice, pos - j as spot from held join rare using (word)),
 keyed as (
-  select distinct p.rid, p.notice, p.spot, size.label, size.size
-  from proposed p join size using (notice)
-  join places k on k.rid = p.rid and k.phrase = size.key and abs(p.spot + key_at - k.spot) <= {slack}),
+  select distinct p.rid, p.notice, p.spot, n.label, n.size, n.votes
+  from proposed p join (select distinct notice, label, key, key_at, size, votes from notices) n using (notice)
+  join places k on k.rid = p.rid and k.phrase = n.key and abs(p.spot + n.key_at - k.spot) <= {slack}),
 found as (
   select rid, max(stand / size) as cover, list(distinct keyed.label) as labels
   from (select rid, notice, pos - j as spot, count(*) as stand from held join notices using (word)
-        group by rid, notice, pos - j) join keyed using (rid, notice, spot) group by rid)
+        group by rid, notice, pos - j) join keyed using (rid, notice, spot) where stand >= votes group by rid)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
   cast(first_word as double) as first_word, cast(last_word as double) as last_word, -- as pandas holds longs with nulls
   coalesce(array_to_string(base.labels, ','), '') as base_labels,
@@ -208,7 +204,7 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
   coalesce(cover, case when n_base > 0 then {phrase} else 0 end) as score
 from d left join base using (rid) left join found using (rid)
 """.format(words=_WORDS, phrases=_values(licenses.rules()[0]), notices=_values(licenses.rules()[1]),
-           rarest=licenses.RAREST, votes=licenses.VOTES, slack=licenses.SLACK, phrase=licenses.PHRASE_SCORE)
+           slack=licenses.SLACK, phrase=licenses.PHRASE_SCORE)
 
 _OP5 = """
 with d as (
