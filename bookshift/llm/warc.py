@@ -13,12 +13,18 @@ the last response forward.  A canonical URL may hold any share of the records,
 so it is not one group: records are cut by (URL, slice of time), each group
 carries forward within itself, and the few last responses of the slices are
 carried from slice to slice.  Bodies stay out of it: only keys and validators
-are ordered, the body is joined to a resolved record by the response's id.
+are ordered, the body is joined to a resolved record by all that names its
+response: id, URL, time and validators.  The judged revisits are written once,
+without bodies; a response that many of them name is then split over tasks, and
+revisits that resolve to nothing stay out of that join.
 
 Defined results: a null URL, time or id never resolves (``no-key``) and is no
 candidate; of responses at the same time the largest id is the latest, and a
 response at the revisit's own time is not earlier; responses that share an id
-are one record; revisits that repeat are answered each; no earlier response is
+are told apart by URL, time and validators (of those alike in URL, time and id
+the largest validators count, of those alike in these too the largest headers
+and body), so a body always is that of the response whose validators were
+compared; revisits that repeat are answered each; no earlier response is
 ``no-response``, disagreeing or missing validators are ``mismatch``; empty
 tables give empty results; other columns are ignored.
 """
@@ -29,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from bookshift.llm.common import hot_keys, repeat_rows, split_rows, stage
+
 #: Header fields that a 304 answer may update (RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 #: seconds of a slice of time
@@ -56,16 +64,17 @@ def resolve(responses: DataFrame, revisits: DataFrame, slice_seconds: int = SLIC
     url, at, headers)``, headers as maps with lower-case names -> one row per
     revisit: id, url_key, response_id, outcome (resolved, mismatch,
     no-response, no-key), headers, body."""
-    def keyed(df: DataFrame) -> DataFrame:
+    def keyed(df: DataFrame, *more: str) -> DataFrame:
         key = canonical_url(F.col("url"))
         return df.select("id", F.when(F.col("at").isNotNull() & F.col("id").isNotNull() & (key != ""), key).alias("key"),
                          "at", F.element_at("headers", "etag").alias("etag"),
-                         F.element_at("headers", "last-modified").alias("modified"), "headers")
+                         F.element_at("headers", "last-modified").alias("modified"), "headers", *more)
 
     full = responses.filter("status = 200").withColumnRenamed("body", "full_body")
     known = keyed(full).filter("key is not null").select(
         "key", "at", F.lit(1).alias("side"), F.col("id").alias("rid"), F.struct(
-            F.col("id").alias("rid"), F.col("etag").alias("retag"), F.col("modified").alias("rmodified")).alias("last"),
+            F.col("id").alias("rid"), F.col("etag").alias("retag"), F.col("modified").alias("rmodified"),
+            F.col("at").alias("rat")).alias("last"),
         F.lit(None).cast("map<string,string>").alias("headers"), F.lit(None).cast("string").alias("etag"),
         F.lit(None).cast("string").alias("modified"))
     asked = keyed(revisits)
@@ -76,7 +85,7 @@ def resolve(responses: DataFrame, revisits: DataFrame, slice_seconds: int = SLIC
     both = open_.unionByName(known).withColumn("slice", F.floor(F.unix_timestamp("at") / slice_seconds))
     ends = (both.filter("side = 1").groupBy("key", "slice").agg(F.max(F.struct("at", "rid", "last"))["last"].alias("end"))
             .withColumn("next", F.lead("slice").over(W.partitionBy("key").orderBy("slice"))))
-    within = W.partitionBy("key", "slice").orderBy("at", "side", "rid")
+    within = W.partitionBy("key", "slice").orderBy("at", "side", "rid", "last")
     carried = both.withColumn("seen", F.last("last", ignorenulls=True).over(within)).filter("side = 0")
     here = carried.filter("seen is not null").select("key", "rid", "headers", "etag", "modified", "seen")
     # nothing earlier in its own slice: the end of the latest slice before
@@ -94,15 +103,31 @@ def resolve(responses: DataFrame, revisits: DataFrame, slice_seconds: int = SLIC
         F.coalesce(F.col("modified") == F.col("seen.rmodified"), F.lit(False)))
     outcome = (F.when(F.col("key").isNull(), "no-key").when(F.col("seen").isNull(), "no-response")
                .when(agree, "resolved").otherwise("mismatch"))
-    judged = here.unionByName(later).unionByName(none).withColumn("outcome", outcome)
-    source = full.select(F.col("id").alias("sid"), F.col("headers").alias("old"), "full_body").dropDuplicates(["sid"])
+    judged = stage(here.unionByName(later).unionByName(none).withColumn("outcome", outcome), "judged")
+    found = judged.filter("outcome = 'resolved'").select("*", F.col("seen.rid").alias("sid"))
+    # the response that gave the validators gives headers and body
+    source = (keyed(full, "full_body").filter("key is not null")
+              .groupBy(F.col("key").alias("skey"), F.col("id").alias("sid"), "at", "etag", "modified")
+              .agg(F.max(F.struct(F.array_sort(F.map_entries("headers")).alias("entries"), "full_body")).alias("full"))
+              .select("skey", "sid", F.col("at").alias("sat"), F.col("etag").alias("setag"),
+                      F.col("modified").alias("smodified"), F.map_from_entries("full.entries").alias("old"), "full.full_body"))
+    # a response that many revisits name is dealt out by revisit
+    held = found.groupBy("sid").agg(F.count(F.lit(1)).alias("held"))
+    hot = hot_keys(held, ["sid"], "held", judged.count())
+    same = ((F.col("key") == F.col("skey")) & (F.col("seen.rat") == F.col("sat"))
+            & F.col("seen.retag").eqNullSafe(F.col("setag")) & F.col("seen.rmodified").eqNullSafe(F.col("smodified")))
+    left = split_rows(found, hot, ["sid"], ["rid"])
+    right = repeat_rows(source, hot, ["sid"])
+    both = left.join(right, (left["sid"] == right["sid"]) & (left["__share"] == right["__share"]) & same, "left")
     fresh = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("old", lambda k, _: ~F.map_contains_key(fresh, k)), fresh)
-    resolved = F.col("outcome") == "resolved"
-    return (judged.join(source, resolved & (F.col("seen.rid") == F.col("sid")), "left")
-            .select(F.col("rid").alias("id"), F.col("key").alias("url_key"),
-                    F.when(resolved, F.col("seen.rid")).alias("response_id"), "outcome",
-                    F.when(resolved, merged).alias("headers"), F.when(resolved, F.col("full_body")).alias("body")))
+    resolved = both.select(F.col("rid").alias("id"), F.col("key").alias("url_key"), left["sid"].alias("response_id"), "outcome",
+                           merged.alias("headers"), F.col("full_body").alias("body"))
+    rest = judged.filter("outcome <> 'resolved'").select(
+        F.col("rid").alias("id"), F.col("key").alias("url_key"), F.lit(None).cast(resolved.schema["response_id"].dataType).alias(
+            "response_id"), "outcome", F.lit(None).cast("map<string,string>").alias("headers"),
+        F.lit(None).cast("string").alias("body"))
+    return resolved.unionByName(rest)
 
 
 def crawl(pages: DataFrame) -> tuple[DataFrame, DataFrame]:

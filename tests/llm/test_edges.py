@@ -329,3 +329,26 @@ def test_warc_edges(spark):
     assert [got[i]["outcome"] for i in (13, 14, 15, 16, 17)] == ["mismatch", "no-response", "no-key", "mismatch", "no-response"]
     none = warc.resolve(stamped(responses).filter("false"), stamped(revisits).filter("false"))
     assert none.count() == 0
+
+
+def test_warc_responses_that_share_an_id(spark):
+    """The body is that of the response whose validators were compared, also
+    where ids clash, one response is asked for by most, and texts are long."""
+    head = "map<string,string>"
+    at = F.timestamp_seconds(F.col("s") + 1700000000)
+    raw = [(1, "a.com/x", 0, 200, {"etag": '"1"'}, "body one"), (1, "a.com/x", 10, 200, {"etag": '"2"'}, "body two"),
+           (1, "b.com", 10, 200, {"etag": '"3"'}, "elsewhere"), (1, "a.com/x", 10, 200, {"etag": '"0"'}, "smaller tag"),
+           (7, "c.com", 0, 200, {"etag": '"7"', "x": "a"}, "first"), (7, "c.com", 0, 200, {"etag": '"7"', "x": "b"}, "second"),
+           (8, "d.com", 0, 200, {"last-modified": "m"}, "long " * 400_000)]
+    responses = spark.createDataFrame(raw, f"id long, url string, s long, status int, headers {head}, body string")
+    asked = [(10, "a.com/x", 5, {"etag": '"1"'}), (11, "a.com/x", 20, {"etag": '"2"'}), (12, "b.com", 20, {"etag": '"3"'}),
+             (13, "c.com", 20, {"etag": '"7"'}), (14, "d.com", 9, {"last-modified": "m"}), (15, "a.com/x", 20, {"etag": '"0"'})]
+    asked += [(100 + k, "a.com/x", 30 + k, {"etag": '"2"'}) for k in range(3000)]
+    revisits = spark.createDataFrame(asked, f"id long, url string, s long, headers {head}")
+    extra = lambda df: df.withColumn("at", at).drop("s").withColumns(  # noqa: E731 - names that the operator uses itself
+        {"key": F.lit("k"), "sid": F.lit(1), "__share": F.lit(2), "seen": F.lit("s")})
+    got = {r["id"]: r for r in rows_of(warc.resolve(extra(responses), extra(revisits)))}
+    assert len(got) == len(asked)
+    assert [got[i]["body"] for i in (10, 11, 12, 13)] == ["body one", "body two", "elsewhere", "second"]
+    assert got[13]["headers"]["x"] == "b" and len(got[14]["body"]) == 2_000_000 and got[15]["outcome"] == "mismatch"
+    assert {got[100 + k]["body"] for k in range(3000)} == {"body two"}
