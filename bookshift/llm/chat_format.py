@@ -1,21 +1,31 @@
 """Chat formatting in budgeted windows.
 
-A conversation becomes one or more training windows.  Prefix sums of the turn
-tokens deal the turns to spans: with ``room`` = budget - system tokens, a turn
-belongs to span ``prefix before it div (room / 2)``, so spans are cut at turn
-boundaries only and a span of turns no longer than half the room fits it.
+A conversation becomes one or more training windows, cut at turn boundaries
+only.  With ``room`` = budget - system tokens, a window takes the next turns as
+long as the sum of their tokens stays within the room (from the second window
+on, within the room less what is set aside for history: ``history`` tokens, at
+most half the room).  A turn that does not fit any more opens the next window,
+so a window is over budget only if one turn of its own is longer than the room
+(or the system turn alone fills the budget).
 Every window opens with the conversation's system turn, then repeats the last
-turns of the span before (at most ``history`` tokens and never more than the
-room left), then holds its own turns.  The loss mask marks the text of the
-window's own assistant turns, so a repeated answer is never trained on twice.
+turns before its own (at most ``history`` tokens and never more than the room
+left; prefix sums say which), then holds its own turns.  The loss mask marks
+the text of the window's own assistant turns, so a repeated answer is never
+trained on twice.
+
+Tokens are counted by ``tokens``, by default the UTF-8 bytes of the formatted
+turn: no byte-level tokenizer gives more tokens than bytes, so a window within
+the budget is within it for all of them.  Pass a column of real counts to fill
+windows further.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``.  In roles and texts ``%``,
 ``<`` and ``[`` (and line breaks in roles) are percent-escaped, so neither
 these control strings nor foreign ones (``</s>``, ``[INST]``) can be forged,
 and ``unescape`` gives the text back exactly.
 
-Everything is DataFrame expressions and window functions; all windows share
-the partitioning by conversation, so the turns are shuffled once.
+Everything is DataFrame expressions and window functions.  The cuts of a
+conversation are one fold over its token counts (numbers only, no texts); each
+turn finds its window among the cuts by bisection.
 
 Defined results: a null text or role is empty; turns that share a turn number
 are ordered by role, then text (repeated rows stay repeated turns); a null
@@ -48,8 +58,30 @@ def unescape(text: Column) -> Column:
 
 
 def _tokens(piece: Column) -> Column:
-    """Token estimate of a formatted turn: four UTF-8 bytes a token."""
-    return F.ceil(F.octet_length(piece) / F.lit(4)).cast("long")
+    """Upper bound of the tokens of a formatted turn: its UTF-8 bytes."""
+    return F.octet_length(piece).cast("long")
+
+
+def _cuts(costs: Column) -> Column:
+    """First positions of the windows, from an ordered array of (pos, cost,
+    system, room, spare) of one conversation."""
+    def deal(acc: Column, t: Column) -> Column:
+        limit = t["room"] - F.when(F.size(acc["starts"]) > 1, t["spare"]).otherwise(0)
+        fits = t["system"] | (acc["used"] == 0) | (acc["used"] + t["cost"] <= limit)
+        return F.struct(
+            F.when(t["system"], acc["used"]).when(fits, acc["used"] + t["cost"]).otherwise(t["cost"]).alias("used"),
+            F.when(fits, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(t["pos"]))).alias("starts"))
+
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.array(F.lit(1)).alias("starts"))
+    return F.aggregate(costs, start, deal)["starts"]
+
+
+def _window_of(starts: Column, pos: Column) -> Column:
+    """Number of the last window that starts at or before ``pos``, by bisection."""
+    def step(k: Column, by: Column) -> Column:
+        return F.when((k + by <= F.size(starts)) & (F.get(starts, k + by - 1) <= pos), k + by).otherwise(k)
+
+    return F.aggregate(F.array(*(F.lit(1 << b) for b in range(29, -1, -1))), F.lit(0), step) - 1
 
 
 def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
@@ -72,10 +104,12 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     spent = F.when(F.col("system"), F.lit(0)).otherwise(F.col("cost"))
     sys_cost = F.sum(F.when(F.col("system"), F.col("cost")).otherwise(F.lit(0))).over(conv)
     t = (t.withColumn("room", F.greatest(F.lit(budget) - sys_cost, F.lit(2)))
-         .withColumn("before", F.sum(spent).over(order.rowsBetween(W.unboundedPreceding, 0)) - spent)
-         .withColumn("span", F.floor(F.col("before") / F.floor(F.col("room") / 2))))
-    # dense numbers: a long turn can jump over spans
-    t = t.withColumn("window", F.dense_rank().over(conv.orderBy("span")) - 1).drop("span")
+         .withColumn("spare", F.least(F.lit(history).cast("long"), F.floor(F.col("room") / 2)))
+         .withColumn("before", F.sum(spent).over(order.rowsBetween(W.unboundedPreceding, 0)) - spent))
+    cuts = t.groupBy(F.col("conv_id").alias("cut_id")).agg(
+        _cuts(F.sort_array(F.collect_list(F.struct("pos", "cost", "system", "room", "spare")))).alias("starts"))
+    t = (t.join(cuts, F.col("conv_id").eqNullSafe(F.col("cut_id")))
+         .withColumn("window", _window_of(F.col("starts"), F.col("pos"))).drop("cut_id", "starts", "spare"))
     after = conv.orderBy("window").rangeBetween(1, 1)
     t = (t.withColumn("next_own", F.sum(spent).over(after))
          .withColumn("next_start", F.min("before").over(after))

@@ -125,7 +125,7 @@ from d left join covered using (rid) left join found using (rid) left join near
 """.replace("{words}", _WORDS)
 
 _OP2 = r"""
-with c as (
+with recursive c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
@@ -134,14 +134,21 @@ p as (
     || chr(10) || replace(replace(replace(text, '%', '%25'), '<', '%3C'), '[', '%5B') || '<|im_end|>' || chr(10) as piece,
     row_number() over (partition by conv_id order by turn, role, text) as pos from c),
 q as (
-  select *, cast(ceil(strlen(piece) / 4.0) as bigint) as cost, pos = 1 and role = 'system' as is_system from p),
+  select *, cast(strlen(piece) as bigint) as cost, pos = 1 and role = 'system' as is_system from p),
 r as (
   select *, case when is_system then 0 else cost end as spent,
     greatest(1024 - sum(case when is_system then cost else 0 end) over (partition by conv_id), 2) as room from q),
 s as (
   select *, sum(spent) over (partition by conv_id order by pos) - spent as before from r),
+deal as (
+  select conv_id, pos, cast(spent as bigint) as used, 1 as win from s where pos = 1
+  union all
+  select s.conv_id, s.pos, case when fits then deal.used + s.spent else s.spent end, deal.win + case when fits then 0 else 1 end
+  from deal join s on s.conv_id is not distinct from deal.conv_id and s.pos = deal.pos + 1,
+  lateral (select deal.used = 0 or deal.used + s.spent
+    <= s.room - case when deal.win > 1 then least(256, s.room // 2) else 0 end as fits)),
 t as (
-  select *, dense_rank() over (partition by conv_id order by floor(before / floor(room / 2))) as win from s),
+  select s.*, deal.win from s join deal on s.conv_id is not distinct from deal.conv_id and s.pos = deal.pos),
 w as (
   select conv_id, win, sum(spent) as own, min(before) as starts from t group by conv_id, win),
 x as (
