@@ -10,8 +10,10 @@ multiplied out), so scoring is table look-ups and additions; texts go in
 segments, so memory stays the same for texts of any length.
 
 Fitting uses at most ``SAMPLE`` labelled documents that are not held out,
-drawn by a hash of ``doc_id``; of each, ``SHOWN`` chunks drawn from all over
-the text reach the driver.
+drawn by a hash of ``doc_id``, each with all chunks of its whole text: fitting
+and scoring pool over the same spans.  The driver holds the sampled texts once,
+as bytes; responses are computed for ``SLICE`` chunks at a time, so a long text
+costs time but no more memory.
 
 Defined results: null and empty texts score as one chunk of padding; repeated
 labels of a document count as their smallest; a null ``doc_id`` is not held
@@ -34,7 +36,6 @@ from bookshift.llm.common import small_batches, texts
 from bookshift.llm.toxicity import held_out
 
 SAMPLE = 2500
-SHOWN = 4
 FILTERS = 16
 WIDTH = 5
 EMBED = 6
@@ -43,27 +44,26 @@ EMBED = 6
 BLOCK = 64
 CHUNK = 8
 SEGMENT = BLOCK * (CHUNK - 1) * 128
+#: chunks whose responses are held at once while fitting
+SLICE = 512
 EPOCHS = 8
 THRESHOLD = 0.7
 PAD = 0
 
 
-def _chunks(text: bytes) -> list[tuple[int, int]]:
-    step = BLOCK * (CHUNK - 1)
-    return [(a, a + BLOCK * CHUNK) for a in range(0, max(1, len(text) - BLOCK), step)]
+def chunks_of(text: bytes) -> np.ndarray:
+    """All chunks of a text as rows of bytes (a view); a row reaches
+    ``WIDTH - 1`` bytes further, so that a filter can start at every place."""
+    step, span = BLOCK * (CHUNK - 1), BLOCK * CHUNK + WIDTH - 1
+    n = -(-max(1, len(text) - BLOCK) // step)
+    padded = np.full((n - 1) * step + span, PAD, np.uint8)
+    padded[:min(len(text), len(padded))] = np.frombuffer(text, np.uint8)[:len(padded)]
+    return np.lib.stride_tricks.sliding_window_view(padded, span)[::step]
 
 
-def _shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Some chunks of a text, drawn evenly from all of it."""
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for text in texts(b.column(0)):
-            spans = _chunks(text)
-            rng = np.random.default_rng(zlib.crc32(text))
-            pick = np.sort(rng.permutation(len(spans))[:SHOWN])
-            out.append(b"".join(text[a:z].ljust(BLOCK * CHUNK + WIDTH - 1, bytes([PAD]))
-                                for a, z in (spans[i] for i in pick)))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), b.column(1)], names=["chunks", "label"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(texts(b.column(0))), pa.binary()), b.column(1)], names=["bytes", "label"])
 
 
 class Net:
@@ -98,44 +98,71 @@ class Net:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _strongest(tables: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(response, bytes under the filter) at the place of each chunk where each
+    filter responds most; ``SLICE`` chunks at a time."""
+    span, raw, under = BLOCK * CHUNK, [], []
+    for a in range(0, len(data), SLICE):
+        part = data[a:a + SLICE]
+        seen = tables[0][part[:, :span]]
+        for k in range(1, WIDTH):
+            seen += tables[k][part[:, k:k + span]]
+        won = seen.argmax(axis=1)  # chunk, filter
+        raw.append(np.take_along_axis(seen, won[:, None, :], axis=1)[:, 0, :])
+        under.append(np.stack([part[np.arange(len(part))[:, None], won + k] for k in range(WIDTH)]))
+    return np.concatenate(raw), np.concatenate(under, axis=1)
+
+
+def loss_and_gradient(p: dict[str, np.ndarray], data: np.ndarray, own: np.ndarray,
+                      labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean log loss of documents given by their chunks (``own``: the document
+    of each chunk), and its gradient; a maximum passes its gradient to the place
+    that won, shared evenly by chunks that tie."""
+    n = len(labels)
+    tables = np.einsum("be,kef->kbf", p["emb"], p["w"]).astype(p["emb"].dtype)
+    best, under = _strongest(tables, data)
+    raw = best + p["b"]
+    pooled = np.maximum(raw, 0)
+    count = np.bincount(own, minlength=n)[:, None]
+    mean = np.zeros((n, FILTERS))
+    np.add.at(mean, own, pooled)
+    mean /= count
+    top = np.zeros((n, FILTERS))
+    np.maximum.at(top, own, pooled)
+    is_top = pooled == top[own]
+    ties = np.zeros((n, FILTERS))
+    np.add.at(ties, own, is_top)
+    both = np.concatenate([mean, top], axis=1)
+    z = both @ p["out"] + p["c"][0]
+    err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n
+    g_mean, g_top = err[:, None] * p["out"][:FILTERS] / count, err[:, None] * p["out"][FILTERS:] / ties
+    g_pool = (g_mean[own] + g_top[own] * is_top) * (raw > 0)
+    g = {"out": both.T @ err, "c": np.array([err.sum()]), "b": g_pool.sum(axis=0),
+         "emb": np.zeros_like(p["emb"]), "w": np.zeros_like(p["w"])}
+    place = np.arange(FILTERS)
+    for k in range(WIDTH):
+        # response gradients gathered by byte: one row per byte value and filter
+        by_byte = np.bincount((under[k].astype(np.int64) * FILTERS + place).ravel(), g_pool.ravel(),
+                              256 * FILTERS).reshape(256, FILTERS)
+        g["w"][k] = p["emb"].T @ by_byte
+        g["emb"] += by_byte @ p["w"][k].T
+    return float((np.logaddexp(0, z) - labels * z).mean()), g
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.03) -> Net:
-    """``bags``: per document its shown chunks (rows of bytes).  Adam on the
-    log loss; the maxima pass their gradient to the place that won."""
+    """``bags``: per document all its chunks (rows of bytes).  Adam on the log loss."""
     rng = np.random.default_rng(11)
     p = {"emb": rng.normal(0, 0.5, (256, EMBED)), "w": rng.normal(0, 0.3, (WIDTH, EMBED, FILTERS)),
          "b": np.zeros(FILTERS), "out": rng.normal(0, 0.1, 2 * FILTERS), "c": np.zeros(1)}
     p["c"][0] = np.log(labels.mean() / (1 - labels.mean()))
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     t = 0
-    span = BLOCK * CHUNK
     for epoch in range(epochs):
         for rows in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // 32)):
             data = np.concatenate([bags[i] for i in rows])
             own = np.repeat(np.arange(len(rows)), [len(bags[i]) for i in rows])
-            tables = np.einsum("be,kef->kbf", p["emb"], p["w"]).astype(np.float32)
-            seen = tables[0][data[:, :span]]
-            for k in range(1, WIDTH):
-                seen += tables[k][data[:, k:k + span]]
-            won = seen.argmax(axis=1)  # chunk, filter
-            raw = np.take_along_axis(seen, won[:, None, :], axis=1)[:, 0, :] + p["b"]
-            pooled = np.maximum(raw, 0)
-            count = np.bincount(own, minlength=len(rows))[:, None]
-            mean = np.zeros((len(rows), FILTERS))
-            np.add.at(mean, own, pooled)
-            mean /= count
-            top = np.zeros((len(rows), FILTERS))
-            np.maximum.at(top, own, pooled)
-            z = np.concatenate([mean, top], axis=1) @ p["out"] + p["c"][0]
-            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) / len(rows)
-            g_mean, g_top = err[:, None] * p["out"][:FILTERS] / count, err[:, None] * p["out"][FILTERS:]
-            is_top = pooled == top[own]
-            g_pool = (g_mean[own] + g_top[own] * is_top) * (raw > 0)
-            g = {"out": np.concatenate([mean, top], axis=1).T @ err, "c": np.array([err.sum()]),
-                 "b": g_pool.sum(axis=0), "emb": np.zeros_like(p["emb"]), "w": np.zeros_like(p["w"])}
-            for k in range(WIDTH):
-                byte = data[np.arange(len(data))[:, None], won + k]  # chunk, filter
-                g["w"][k] = np.einsum("cfe,cf->ef", p["emb"][byte], g_pool)
-                np.add.at(g["emb"], byte, g_pool[:, :, None] * p["w"][k].T)
+            single = {k: x.astype(np.float32) for k, x in p.items()}
+            _, g = loss_and_gradient(single, data, own, labels[rows])
             t += 1
             step = rate * (1 - epoch / epochs) ** 0.5
             for key in p:
@@ -160,10 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net:
     drawn = marks.join(ids, F.col("lid") == F.col("did")).orderBy(F.xxhash64("lid"), "lid").limit(sample)
     made = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .join(F.broadcast(drawn), F.col("doc_id") == F.col("lid")).select("text", "label")
-            .mapInArrow(_shown, "chunks binary, label int"))
+            .mapInArrow(_whole, "bytes binary, label int"))
     bags, known = [], []
     for r in made.toLocalIterator():
-        bags.append(np.frombuffer(r["chunks"], np.uint8).reshape(-1, BLOCK * CHUNK + WIDTH - 1))
+        bags.append(chunks_of(bytes(r["bytes"])))
         known.append(r["label"])
     known = np.array(known, float)
     if not len(known) or known.min() == known.max():
