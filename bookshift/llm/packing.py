@@ -6,10 +6,16 @@
 2. The histogram of lengths (at most ``capacity`` numbers, whatever the size
    of the corpus) defines the configuration LP: cover each length's pieces
    with as few sequences as possible, a configuration being a multiset of
-   lengths that fits a sequence.  Multiplicative weights solve it: the
-   more of a length is covered, the lower its price, and a bounded-knapsack
-   dynamic program finds the configuration worth most at these prices.
-3. The fractional solution is rounded down to whole sequences; what is left
+   lengths that fits a sequence.  Multiplicative weights solve it: a
+   price starts as the length and falls by a factor as the length is covered; a
+   bounded-knapsack dynamic program finds the configuration worth most at these
+   prices among ``PRICED`` lengths drawn by what is left of them; it is taken for
+   a share of its scarcest length.  The rounds go on until the covering
+   constraints hold but for ``TOLERANCE`` of the tokens.  Each round takes at
+   least that share of some length, so there are at most (lengths / ``STEP``)
+   rounds whatever the counts.  Prices over all lengths also give the bound that
+   no packing can beat (``lower_bound``).
+3. Steps of more than one sequence are rounded down to whole ones; what is left
    goes best-fit into open sequences, by groups of equal ones.
 4. The plan says which ranks of a length go to which sequences and offsets;
    every task places its own pieces by binary search.
@@ -42,9 +48,12 @@ from bookshift.llm.common import small_batches, stage, texts
 
 CAPACITY = 2048
 END_ID = 0
-#: rounds of multiplicative weights and their step
-ROUNDS = 200
+#: share of its scarcest length that a configuration is taken for, rate at which
+#: prices fall, share of the tokens that may stay uncovered, lengths priced at once
 STEP = 0.5
+RATE = 0.05
+TOLERANCE = 0.02
+PRICED = 96
 
 
 def vocabulary_file() -> str:
@@ -122,25 +131,42 @@ def _knapsack(price: np.ndarray, most: np.ndarray, capacity: int) -> Counter:
     return out
 
 
-def solve(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, step: float = STEP) -> dict[tuple, float]:
-    """Fractional configuration LP: sequences of each configuration (tuple of
-    lengths, longest first).  No length is covered beyond its pieces; lengths
-    not fully covered after ``rounds`` are left to the rounding."""
+def lower_bound(counts: np.ndarray, capacity: int = CAPACITY, price: np.ndarray | None = None) -> float:
+    """No packing has fewer sequences: prices (by default the lengths) over the
+    most that one configuration of any lengths is worth at them."""
+    price = np.arange(capacity + 1) if price is None else price
+    best = _knapsack(price, counts, capacity)
+    worth = sum(price[l] * m for l, m in best.items())
+    return float(price @ counts) / worth if worth > 0 else 0.0
+
+
+def solve(counts: np.ndarray, capacity: int = CAPACITY, step: float = STEP, rate: float = RATE,
+          tolerance: float = TOLERANCE, priced: int = PRICED) -> dict[tuple, float]:
+    """Configuration LP: sequences of each configuration (tuple of lengths,
+    longest first) that cover all but ``tolerance`` of the tokens.  No length is
+    covered beyond its pieces; every step is at least one sequence and rounded
+    down to whole ones."""
+    rng = np.random.default_rng(17)
     lengths = np.arange(capacity + 1)
     left = counts.astype(float)
-    weight = np.where(counts > 0, lengths * (1 + 0.05 * lengths / capacity), 0.0)  # long pieces are hard to place later
+    price = lengths.astype(float)
     plan: dict[tuple, float] = defaultdict(float)
-    for _ in range(rounds):
-        taken = _knapsack(weight, np.floor(left + 1e-9), capacity)
-        if not taken:
-            break
+    while True:
+        mass = np.where(left >= 1, left * lengths, 0.0)
+        if mass.sum() <= tolerance * (counts @ lengths):
+            return dict(plan)
+        drawn = np.flatnonzero(mass)
+        if len(drawn) > priced:  # weighted draw without replacement
+            drawn = drawn[np.argsort(rng.exponential(size=len(drawn)) / mass[drawn])[:priced]]
+        some = np.zeros(capacity + 1)
+        some[drawn] = np.floor(left[drawn] + 1e-9)
+        taken = _knapsack(price, some, capacity)
         most = min(left[l] / m for l, m in taken.items())  # never beyond what is left
-        by = min(most, max(1.0, step * min(counts[l] / m for l, m in taken.items())))
+        by = max(1.0, np.floor(min(most, step * min(counts[l] / m for l, m in taken.items())) + 1e-9))
         plan[tuple(sorted(taken.elements(), reverse=True))] += by
         for l, m in taken.items():
             left[l] -= by * m
-            weight[l] *= np.exp(-by * m / counts[l])
-    return dict(plan)
+            price[l] *= np.exp(-rate * by * m / counts[l])
 
 
 def pack(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:

@@ -45,7 +45,7 @@ BLOCK = 64
 CHUNK = 8
 SEGMENT = BLOCK * (CHUNK - 1) * 128
 #: chunks whose responses are held at once while fitting
-SLICE = 512
+SLICE = 32
 EPOCHS = 8
 THRESHOLD = 0.7
 PAD = 0
