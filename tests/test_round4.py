@@ -32,6 +32,8 @@ def _dealt_by(plan: str) -> list[list[str]]:
 
 @pytest.mark.parametrize("name, few", [
     ("multi_adhoc_repayment", ["kpd_idlink_xtkm"]),
+    ("disbursement_details", ["rtm_idlink_xtrm"]),
+    ("disbursement_payload", ["rtm_idlink_xtrm"]),
 ])
 def test_no_shuffle_by_a_type(spark, shuffled, name, few):
     dealt = _dealt_by(_plan(QUERIES[name](spark, SF)))
