@@ -34,6 +34,7 @@ def _dealt_by(plan: str) -> list[list[str]]:
     ("multi_adhoc_repayment", ["kpd_idlink_xtkm"]),
     ("disbursement_details", ["rtm_idlink_xtrm"]),
     ("disbursement_payload", ["rtm_idlink_xtrm"]),
+    ("loan_accounts_operational", ["kpd_idlink_xtkm", "rcb_idlink_xrbl", "rmr_idlink_xsu"]),
 ])
 def test_no_shuffle_by_a_type(spark, shuffled, name, few):
     dealt = _dealt_by(_plan(QUERIES[name](spark, SF)))
