@@ -122,12 +122,19 @@ def group_payloads(groups: DataFrame) -> DataFrame:
 # -- K3 --------------------------------------------------------------------------
 
 def loan_staged(loan_accounts: DataFrame, loan_attributes: DataFrame, funders: DataFrame,
-                group_keys: DataFrame, test_group: str) -> DataFrame:
+                group_keys: DataFrame, test_group: str, by_loan: bool = False) -> DataFrame:
     """Loan accounts (K9) + loan attributes (K10) on loan id, + funder keys
     on funder name, + group keys on loan id (J5); then the run tag and a
-    whole-row de-duplication (G5)."""
+    whole-row de-duplication (G5).
+
+    With ``by_loan`` a loan's rows are brought together before the
+    de-duplication, which with ``loan_documents`` then needs no other shuffle:
+    for rows that are nested whole.  Without it a large loan's rows stay
+    spread, for the uncollected forms of ``nest``."""
     merged = merge_chain(loan_accounts, [(loan_attributes, ["loanid"]), (funders, ["funder"]),
                                          (group_keys, ["loanid"])])
+    if by_loan:
+        merged = merged.repartition("loanid")
     return merged.withColumn("test_group", F.lit(test_group)).dropDuplicates()
 
 

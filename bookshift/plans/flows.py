@@ -39,11 +39,12 @@ def clients(t: Mapping[str, DataFrame], cohort: DataFrame) -> DataFrame:
 
 
 def loans(t: Mapping[str, DataFrame], cohort: DataFrame, funders: DataFrame, group_keys: DataFrame,
-          test_group: str) -> DataFrame:
-    """Staged loan rows (K3) of the cohort."""
+          test_group: str, by_loan: bool = False) -> DataFrame:
+    """Staged loan rows (K3) of the cohort (``by_loan``: see ``documents.loan_staged``)."""
     own = for_cohort(t, cohort)
     attributes = _kept(datasets.loan_attributes(own), "loanid", cohort)
-    return documents.loan_staged(datasets.loan_accounts_operational(own), attributes, funders, group_keys, test_group)
+    return documents.loan_staged(datasets.loan_accounts_operational(own), attributes, funders, group_keys, test_group,
+                                 by_loan)
 
 
 def disbursements(t: Mapping[str, DataFrame], cohort: DataFrame) -> DataFrame:
