@@ -150,8 +150,9 @@ def nest_field_sets(df: DataFrame, keys: Sequence[str], field_sets: Sequence[Fie
     if has_array:
         grouped = staged.groupBy(*group_cols).agg(
             F.collect_list(F.struct(order.alias("o"), record.alias("r"))).alias("__recs"))
+        # sort_array has one ordering for all records; array_sort makes one for each two it compares
         grouped = grouped.select(*[F.col(f"`{k}`") for k in var_keys],
-                                 F.transform(F.array_sort("__recs"), lambda x: x.getField("r")).alias("__recs"))
+                                 F.transform(F.sort_array("__recs"), lambda x: x.getField("r")).alias("__recs"))
         first = F.col("__recs").getItem(0)
         copies = F.size("__recs").cast("bigint")
     else:
